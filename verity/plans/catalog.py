@@ -42,10 +42,10 @@ def _tok(c: str) -> str:
 UNSHARED = "(ln(1.5) + 1.0)"
 
 
-def _score_sql(view: str, extra_cols: str, digits: int = 6, accepted: float | None = None) -> str:
-    """Oracle for pair scoring written with unnest + GROUP BY."""
-    acc = f", raw >= {accepted} AS accepted" if accepted is not None else ""
-    return with_views(view) + f""",
+def _score_ctes(view: str) -> str:
+    """CTEs (after a ``WITH``) ending in ``r``: the view's rows plus ``raw`` score,
+    computed with unnest + GROUP BY, independently of the DataFrame plan."""
+    return f""",
 toks AS (
   SELECT message_id, t, 0 AS s FROM {view}, unnest({_tok('best_answer')}) AS u(t)
   UNION ALL
@@ -64,7 +64,12 @@ r AS (
                      OR coalesce(n.na, 0) = 0 OR coalesce(n.nb, 0) = 0 THEN 0.0
                    ELSE least(1.0, greatest(0.0, n.dot / (sqrt(n.na) * sqrt(n.nb)))) END AS raw
   FROM {view} p LEFT JOIN n USING (message_id))
-SELECT {extra_cols}, round(raw, {digits}) AS score{acc} FROM r"""
+"""
+
+
+def _score_sql(view: str, extra_cols: str, digits: int = 6, accepted: float | None = None) -> str:
+    acc = f", raw >= {accepted} AS accepted" if accepted is not None else ""
+    return with_views(view) + _score_ctes(view) + f"SELECT {extra_cols}, round(raw, {digits}) AS score{acc} FROM r"
 
 
 # --- 2.4 text scoring ------------------------------------------------------
@@ -197,3 +202,139 @@ def q_scan_questions(spark: SparkSession, root: str) -> DataFrame:
     return d.select(d.doc_id.cast("string").alias("_id"),
                     F.concat(d.lang, F.lit("/"), d.source).alias("question_title"),
                     d.text.alias("question_content"), d.text.alias("best_answer"))
+
+
+# --- 2.2 JSON, projections, validation ----------------------------------------
+
+from verity.functions import json as js  # noqa: E402
+from verity.operators import decide as dc  # noqa: E402
+
+_Q_FIELDS = ["message_id", "trace_id", "question_id", "title", "content", "best_answer",
+             "source", "created_at", "attempts"]
+
+
+@register("encode_messages", with_views("v_questions") + "SELECT message_id AS key, CAST(to_json({"
+          + ", ".join(f"'{f}': {f}" for f in _Q_FIELDS) + "}) AS VARCHAR) AS value FROM v_questions")
+def q_encode_messages(spark: SparkSession, root: str) -> DataFrame:
+    return js.encode(fx.v_questions(spark, root), "question")
+
+
+_JSON_OK = """
+j AS (SELECT key, value,
+             CASE WHEN json_valid(value) THEN json_type(value) = 'OBJECT' ELSE false END AS ok
+      FROM v_json),
+k AS (SELECT key, ok, CASE WHEN ok THEN value ELSE '{}' END AS jv FROM j)
+"""
+
+
+def _jstr(f: str, default: str | None) -> str:
+    e = f"json_extract_string(jv, '$.{f}')"
+    if default is not None:
+        e = f"coalesce({e}, '{default}')"
+    return f"CASE WHEN ok THEN {e} END AS {f}"
+
+
+@register("decode_messages", with_views("v_json") + "," + _JSON_OK + "SELECT key, "
+          + ", ".join([_jstr("message_id", None), _jstr("trace_id", None), _jstr("question_id", None),
+                       _jstr("title", ""), _jstr("content", ""), _jstr("prompt", ""),
+                       _jstr("best_answer", "")])
+          + ", CASE WHEN ok THEN coalesce(CAST(json_extract(jv, '$.attempts') AS INTEGER), 0) END AS attempts"
+          + " FROM k WHERE ok")
+def q_decode_messages(spark: SparkSession, root: str) -> DataFrame:
+    # Decodable messages; malformed ones are routed by ``validate_requests``.
+    d = js.decode(fx.v_json(spark, root), "regeneration")
+    return d.filter(F.col("valid")).drop("valid")
+
+
+@register("validate_requests", with_views("v_json") + "," + _JSON_OK + """,
+m AS (SELECT key, ok AND json_extract_string(jv, '$.question_id') IS NOT NULL AS good, jv FROM k)
+SELECT key,
+       CASE WHEN good THEN json_extract_string(jv, '$.question_id') END AS question_id,
+       CASE WHEN good THEN coalesce(json_extract_string(jv, '$.best_answer'), '') END AS best_answer,
+       CASE WHEN good THEN coalesce(json_extract_string(jv, '$.llm_answer'), '') END AS llm_answer,
+       CASE WHEN good THEN 'ok' ELSE 'invalid_payload' END AS status
+FROM m""")
+def q_validate_requests(spark: SparkSession, root: str) -> DataFrame:
+    return js.validate_score_requests(fx.v_json(spark, root))
+
+
+# --- 2.9 W1 attempts, 2.2 P4 / P5, 2.7 A5 ----------------------------------------
+
+_W1_CTES = f""",
+a AS (SELECT *, score >= {sc.STREAM_THRESHOLD} AS nat FROM v_attempts),
+b AS (SELECT *, coalesce(sum(CAST(nat AS INTEGER)) OVER (PARTITION BY message_id ORDER BY ts, event_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM a),
+c AS (SELECT *, row_number() OVER (PARTITION BY message_id, seg ORDER BY ts, event_id) AS rn FROM b),
+d AS (SELECT *, CAST((rn - 1) % {dc.MAX_ATTEMPTS} + 1 AS INTEGER) AS attempts_n FROM c),
+decided AS (SELECT *, nat OR attempts_n >= {dc.MAX_ATTEMPTS} AS accepted,
+                   (NOT nat) AND attempts_n >= {dc.MAX_ATTEMPTS} AS forced FROM d)
+"""
+W1_SQL = with_views("v_attempts") + _W1_CTES
+
+
+def _decided(spark: SparkSession, root: str) -> DataFrame:
+    return dc.attempt_decisions(fx.v_attempts(spark, root))
+
+
+@register("attempt_decisions", W1_SQL + """
+SELECT trace_id, message_id, round(score, 6) AS score, attempts_n AS attempts, accepted, forced FROM decided""")
+def q_attempt_decisions(spark: SparkSession, root: str) -> DataFrame:
+    d = _decided(spark, root)
+    return d.select("trace_id", "message_id", F.round("score", 6).alias("score"), "attempts",
+                    "accepted", "forced")
+
+
+@register("regeneration_requests", W1_SQL + """
+SELECT message_id, trace_id, question_id, title, content, prompt, best_answer, attempts_n AS attempts
+FROM decided WHERE NOT accepted""")
+def q_regeneration_requests(spark: SparkSession, root: str) -> DataFrame:
+    return dc.regeneration_requests(_decided(spark, root))
+
+
+@register("validated_projection", W1_SQL + f"""
+SELECT message_id, trace_id, question_id, title, prompt AS content, llm_answer, best_answer,
+       round(score, 6) AS score, accepted, '{dc.SCORER_SOURCE}' AS source, attempts_n AS attempts,
+       produced_at AS decided_at
+FROM decided WHERE accepted""")
+def q_validated_projection(spark: SparkSession, root: str) -> DataFrame:
+    v = dc.validated_projection(_decided(spark, root))
+    return v.withColumn("score", F.round("score", 6))
+
+
+@register("decision_counts", W1_SQL + """
+SELECT CASE WHEN NOT accepted THEN 'regenerated' WHEN forced THEN 'forced' ELSE 'accepted' END AS decision,
+       count(*) AS n
+FROM decided GROUP BY 1""")
+def q_decision_counts(spark: SparkSession, root: str) -> DataFrame:
+    return dc.decision_counts(_decided(spark, root))
+
+
+# --- 2.2 P6 / P7, 2.8 U1, 2.5 P8 / G5, 2.9 W5 -------------------------------------
+
+@register("llm_request_union", with_views("v_questions", "v_prompted", "v_attempts") + _W1_CTES + """
+SELECT message_id, trace_id, question_id, title, content, prompt, best_answer,
+       attempts + 1 AS attempts, 'question' AS origin FROM v_prompted
+UNION ALL
+SELECT message_id, trace_id, question_id, title, content, prompt, best_answer,
+       attempts_n + 1 AS attempts, 'regeneration' AS origin FROM decided WHERE NOT accepted""")
+def q_llm_request_union(spark: SparkSession, root: str) -> DataFrame:
+    regen = dc.regeneration_requests(_decided(spark, root))
+    return dc.request_union(fx.v_questions(spark, root), regen)
+
+
+@register("answer_requests", with_views("v_answers") + """
+SELECT message_id, trace_id, question_id, title, content, prompt, llm_answer, best_answer,
+       0.0 AS latency_ms, attempts + 1 AS attempts FROM v_answers""")
+def q_answer_requests(spark: SparkSession, root: str) -> DataFrame:
+    responses, _errors = dc.answer_requests(dc.first_requests(fx.v_questions(spark, root)))
+    return responses
+
+
+@register("regeneration_loop", with_views("v_answers") + _score_ctes("v_answers") + f"""
+SELECT message_id, trace_id, question_id, llm_answer, best_answer, round(raw, 6) AS score,
+       CASE WHEN raw >= {sc.STREAM_THRESHOLD} THEN 1 ELSE {dc.MAX_ATTEMPTS} END AS attempts,
+       CASE WHEN raw >= {sc.STREAM_THRESHOLD} THEN 1 ELSE {dc.MAX_ATTEMPTS} END AS request_attempts,
+       true AS accepted, raw < {sc.STREAM_THRESHOLD} AS forced, '{dc.SCORER_SOURCE}' AS source
+FROM r""")
+def q_regeneration_loop(spark: SparkSession, root: str) -> DataFrame:
+    return dc.regeneration_loop(fx.v_questions(spark, root))
