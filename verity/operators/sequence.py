@@ -77,7 +77,9 @@ def keyed_scan(
         aggs.append(F.max(F.when(F.col(f"{prefix}flag"), F.col(lpos))).alias(f"{prefix}mflag"))
     summary = scanned.groupBy(*keys, b).agg(*aggs)
 
-    across = Window.partitionBy(*keys).orderBy(b)
+    # Without keys this window runs over the chunk summary only (one row per
+    # time bucket), never over the data.
+    across = Window.partitionBy(*keys).orderBy(b) if keys else Window.orderBy(b)
     across_before = across.rowsBetween(Window.unboundedPreceding, -1)
     off = f"{prefix}off"
     summary = summary.withColumn(off, F.coalesce(F.sum(f"{prefix}cnt").over(across_before), F.lit(0)))

@@ -338,3 +338,122 @@ SELECT message_id, trace_id, question_id, llm_answer, best_answer, round(raw, 6)
 FROM r""")
 def q_regeneration_loop(spark: SparkSession, root: str) -> DataFrame:
     return dc.regeneration_loop(fx.v_questions(spark, root))
+
+
+# --- 2.3 joins, 2.9 W2 / W3, 2.7 A6, 2.8 U2 ----------------------------------------
+
+from verity.operators import reuse as ru  # noqa: E402
+
+_TTL = ru.CACHE_TTL_SECONDS
+_USABLE = "coalesce(length(respuesta_llm), 0) > 0"
+
+
+def _trace(spark: SparkSession, root: str) -> DataFrame:
+    return fx.v_trace(spark, root)
+
+
+@register("reuse_lookup", with_views("v_trace", "v_store") + f"""
+SELECT t.message_id, t.trace_id, t.question_id, coalesce(s.pregunta, '') AS title,
+       coalesce(s.contenido, '') AS content, coalesce(s.respuesta_llm, '') AS llm_answer,
+       coalesce(s.respuesta_dataset, '') AS best_answer, coalesce(s.score, 0.0) AS score,
+       coalesce(s.aceptado, false) AS accepted, 'storage' AS source, t.attempts, t.created_at AS decided_at
+FROM v_trace t JOIN v_store s ON s.id_pregunta = t.question_id WHERE {_USABLE}""")
+def q_reuse_lookup(spark: SparkSession, root: str) -> DataFrame:
+    return ru.reuse_lookup(_trace(spark, root), fx.v_store(spark, root))
+
+
+@register("reuse_misses", with_views("v_trace", "v_store") + f"""
+SELECT message_id, question_id, created_at FROM v_trace t
+WHERE NOT EXISTS (SELECT 1 FROM v_store s WHERE s.id_pregunta = t.question_id AND {_USABLE})""")
+def q_reuse_misses(spark: SparkSession, root: str) -> DataFrame:
+    return ru.reuse_misses(_trace(spark, root), fx.v_store(spark, root)) \
+        .select("message_id", "question_id", "created_at")
+
+
+def _ttl_ctes(source: str) -> str:
+    """Refresh chain per key by recursion over next pointers (oracle form)."""
+    return f""",
+nx AS (SELECT a.id, (SELECT first(b.id ORDER BY b.ts, b.event_id) FROM {source} b
+                     WHERE b.k = a.k AND b.ts > a.ts + INTERVAL '{_TTL} seconds') AS nxt
+       FROM {source} a),
+anchors(id) AS (
+  SELECT first(id ORDER BY ts, event_id) FROM {source} GROUP BY k
+  UNION ALL
+  SELECT nx.nxt FROM anchors JOIN nx ON nx.id = anchors.id WHERE nx.nxt IS NOT NULL)
+"""
+
+
+_T = ",\nt AS (SELECT message_id AS id, question_id AS k, ts, event_id FROM v_trace)"
+_ST = f",\nst AS (SELECT DISTINCT id_pregunta FROM v_store WHERE {_USABLE}),\n" \
+      "ts2 AS (SELECT t.* FROM t JOIN st ON st.id_pregunta = t.k)"
+ROUTE_SQL = with_views("v_trace", "v_store", recursive=True) + _T + _ST + _ttl_ctes("ts2") + """,
+routed AS (
+  SELECT t.id AS message_id, t.k AS question_id,
+         CASE WHEN st.id_pregunta IS NULL THEN 'llm' WHEN an.id IS NOT NULL THEN 'storage' ELSE 'cache' END AS route
+  FROM t LEFT JOIN st ON st.id_pregunta = t.k LEFT JOIN anchors an ON an.id = t.id)
+"""
+
+
+@register("reuse_ttl_hits", with_views("v_trace", recursive=True) + _T + _ttl_ctes("t") + """
+SELECT t.id AS message_id, t.k AS question_id, an.id IS NULL AS hit
+FROM t LEFT JOIN anchors an ON an.id = t.id""")
+def q_reuse_ttl_hits(spark: SparkSession, root: str) -> DataFrame:
+    return ru.ttl_hits(_trace(spark, root), _TTL).select("message_id", "question_id", "hit")
+
+
+def _routed(spark: SparkSession, root: str) -> DataFrame:
+    return ru.route_requests(_trace(spark, root), fx.v_store(spark, root), _TTL)
+
+
+@register("route_questions", ROUTE_SQL + "SELECT * FROM routed")
+def q_route_questions(spark: SparkSession, root: str) -> DataFrame:
+    return _routed(spark, root).select("message_id", "question_id", "route")
+
+
+@register("reuse_hit_rate", ROUTE_SQL + """
+SELECT count(*) FILTER (WHERE route = 'cache') AS cache_hits,
+       count(*) FILTER (WHERE route = 'storage') AS storage_hits,
+       count(*) FILTER (WHERE route = 'llm') AS misses,
+       round(avg(CASE WHEN route <> 'llm' THEN 1.0 ELSE 0.0 END), 6) AS hit_rate
+FROM routed""")
+def q_reuse_hit_rate(spark: SparkSession, root: str) -> DataFrame:
+    return ru.hit_rate(_routed(spark, root))
+
+
+@register("reuse_distance", with_views("v_trace") + f""",
+p AS (SELECT message_id, question_id, row_number() OVER (ORDER BY ts, event_id) AS pos FROM v_trace),
+q AS (SELECT *, lag(pos) OVER (PARTITION BY question_id ORDER BY pos) AS prv,
+                lead(pos) OVER (PARTITION BY question_id ORDER BY pos) AS nxt FROM p),
+c AS (SELECT a.message_id, count(*) AS n FROM q a JOIN q b
+        ON b.pos > a.prv AND b.pos < a.pos AND coalesce(b.nxt, 9223372036854775807) > a.pos
+      GROUP BY a.message_id)
+SELECT q.message_id, q.question_id,
+       CAST(CASE WHEN q.prv IS NULL THEN -1 ELSE coalesce(c.n, 0) END AS BIGINT) AS reuse_distance,
+       (q.prv IS NOT NULL AND coalesce(c.n, 0) < {ru.CACHE_SIZE}) AS lru_hit
+FROM q LEFT JOIN c USING (message_id)""")
+def q_reuse_distance(spark: SparkSession, root: str) -> DataFrame:
+    d = ru.reuse_distance(_trace(spark, root))
+    return d.select("message_id", "question_id", "reuse_distance", ru.lru_hits(d).alias("lru_hit"))
+
+
+@register("validated_union", with_views("v_trace", "v_store", "v_attempts", recursive=True) + _T + _ST
+          + _ttl_ctes("ts2") + _W1_CTES.replace(",\na AS", ",\na AS", 1) + f""",
+routed AS (
+  SELECT t.id AS message_id, CASE WHEN an.id IS NOT NULL THEN 'storage' ELSE 'cache' END AS route
+  FROM t JOIN st ON st.id_pregunta = t.k LEFT JOIN anchors an ON an.id = t.id)
+SELECT v.message_id, v.trace_id, v.question_id, coalesce(s.pregunta, '') AS title,
+       coalesce(s.contenido, '') AS content, coalesce(s.respuesta_llm, '') AS llm_answer,
+       coalesce(s.respuesta_dataset, '') AS best_answer, round(coalesce(s.score, 0.0), 6) AS score,
+       coalesce(s.aceptado, false) AS accepted, r.route AS source, v.attempts, v.created_at AS decided_at
+FROM v_trace v JOIN routed r ON r.message_id = v.message_id JOIN v_store s ON s.id_pregunta = v.question_id
+UNION ALL
+SELECT message_id, trace_id, question_id, title, prompt AS content, llm_answer, best_answer,
+       round(score, 6) AS score, accepted, '{dc.SCORER_SOURCE}' AS source, attempts_n AS attempts,
+       produced_at AS decided_at
+FROM decided WHERE accepted""")
+def q_validated_union(spark: SparkSession, root: str) -> DataFrame:
+    routed = _routed(spark, root).filter(F.col("route") != ru.ROUTE_LLM)
+    store = fx.v_store(spark, root).withColumnRenamed("id_pregunta", "question_id")
+    hits = ru.hit_projection(routed.join(store, "question_id"), source=F.col("route"))
+    accepted = dc.validated_projection(_decided(spark, root))
+    return hits.unionByName(accepted).withColumn("score", F.round("score", 6))

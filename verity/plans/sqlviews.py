@@ -145,11 +145,11 @@ DEPENDS = {
 }
 
 
-def with_views(*names: str) -> str:
+def with_views(*names: str, recursive: bool = False) -> str:
     """A ``WITH`` clause defining the named views (and what they build on)."""
     ordered: list[str] = []
     for n in names:
         for dep in DEPENDS.get(n, []) + [n]:
             if dep not in ordered:
                 ordered.append(dep)
-    return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in ordered) + "\n"
+    return ("WITH RECURSIVE " if recursive else "WITH ") + ",\n".join(f"{n} AS ({VIEWS[n]})" for n in ordered) + "\n"
