@@ -457,3 +457,175 @@ def q_validated_union(spark: SparkSession, root: str) -> DataFrame:
     hits = ru.hit_projection(routed.join(store, "question_id"), source=F.col("route"))
     accepted = dc.validated_projection(_decided(spark, root))
     return hits.unionByName(accepted).withColumn("score", F.round("score", 6))
+
+
+# --- 2.7 A1-A4 upserts and metrics ------------------------------------------------
+
+from verity.operators import analytics as an  # noqa: E402
+from verity.operators import store as st  # noqa: E402
+
+MERGE_SPLIT = "2024-01-16 00:00:00"
+
+_UPSERT_SQL = with_views("v_validated") + """,
+o AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY decided_ts DESC, message_id DESC) AS rl,
+             row_number() OVER (PARTITION BY question_id ORDER BY decided_ts, message_id) AS rf,
+             count(*) OVER (PARTITION BY question_id) AS cnt FROM v_validated),
+l AS (SELECT * FROM o WHERE rl = 1),
+f AS (SELECT question_id, decided_at AS creado_en FROM o WHERE rf = 1)
+SELECT l.question_id AS id_pregunta, l.title AS pregunta, l.content AS contenido,
+       l.best_answer AS respuesta_dataset, l.llm_answer AS respuesta_llm, l.score, l.accepted AS aceptado,
+       l.decided_at AS ultima_actualizacion, l.cnt AS contador_consultas, f.creado_en
+FROM l JOIN f USING (question_id)"""
+
+
+@register("results_upsert", _UPSERT_SQL)
+def q_results_upsert(spark: SparkSession, root: str) -> DataFrame:
+    return st.results_upsert(fx.v_validated(spark, root))
+
+
+@register("results_merge", _UPSERT_SQL)
+def q_results_merge(spark: SparkSession, root: str) -> DataFrame:
+    """Prior table = upsert of records before the split; merge the rest onto it.
+    The oracle is the single-pass upsert of everything (merge law)."""
+    v = fx.v_validated(spark, root)
+    split = F.lit(MERGE_SPLIT).cast("timestamp")
+    prior = st.results_upsert(v.filter(F.col("decided_ts") < split))
+    return st.results_merge(prior, v.filter(F.col("decided_ts") >= split))
+
+
+@register("global_metrics", with_views("v_validated") + """
+SELECT 'global' AS _id, count(*) AS procesadas, count(*) FILTER (WHERE accepted) AS aceptadas,
+       count(*) FILTER (WHERE NOT accepted) AS rechazadas, round(sum(score), 6) AS score_acum,
+       first(score ORDER BY decided_ts DESC, message_id DESC) AS ultimo_score,
+       first(decided_at ORDER BY decided_ts DESC, message_id DESC) AS actualizado_en,
+       first(decided_at ORDER BY decided_ts, message_id) AS creado_en,
+       round(sum(score) / count(*), 6) AS score_medio
+FROM v_validated""")
+def q_global_metrics(spark: SparkSession, root: str) -> DataFrame:
+    m = st.global_metrics(fx.v_validated(spark, root))
+    return m.withColumn("score_acum", F.round("score_acum", 6)).withColumn("score_medio", F.round("score_medio", 6))
+
+
+# --- 2.7 A7-A11, 2.3 J4, 2.6 E1, 2.8 L3, 2.10 labels ----------------------------------------
+
+@register("status_counts", with_views("v_log") + "SELECT status, count(*) AS n FROM v_log GROUP BY status")
+def q_status_counts(spark: SparkSession, root: str) -> DataFrame:
+    return an.status_counts(fx.v_log(spark, root))
+
+
+_SWEEP_VALUES = ", ".join(f"(CAST({t} AS DOUBLE))" for t in an.SWEEP_THRESHOLDS)
+
+
+@register("threshold_sweep", with_views("v_answers") + _score_ctes("v_answers") + f""",
+th AS (SELECT * FROM (VALUES {_SWEEP_VALUES}) AS v(threshold)),
+tot AS (SELECT count(*) AS n FROM r)
+SELECT th.threshold, count(*) FILTER (WHERE raw >= th.threshold) AS accepted,
+       count(*) FILTER (WHERE raw < th.threshold) AS regenerated,
+       round(count(*) FILTER (WHERE raw < th.threshold) / any_value(tot.n), 6) AS regeneration_rate,
+       round(avg(raw) FILTER (WHERE raw >= th.threshold), 6) AS accepted_mean_score
+FROM th, r, tot GROUP BY th.threshold""")
+def q_threshold_sweep(spark: SparkSession, root: str) -> DataFrame:
+    a = fx.v_answers(spark, root).select("message_id", "best_answer", "llm_answer")
+    scored = sc._scored(a, "message_id", "best_answer", "llm_answer")
+    return an.threshold_sweep(scored, "_raw")
+
+
+def _latency(spark: SparkSession, root: str) -> DataFrame:
+    o = table(spark, root, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderdate").alias("created_ts"))
+    li = table(spark, root, "lineitem").select(
+        F.col("l_orderkey").alias("k"), "l_linenumber", F.col("l_shipdate").alias("decided_ts"))
+    li = li.withColumn("message_id", F.concat(F.col("k").cast("string"), F.lit("-"),
+                                              F.col("l_linenumber").cast("string")))
+    lat = an.message_latency(o, li, key="k", keep=("message_id",))
+    return lat.filter(F.col("latency_ms") >= 0).select("message_id", "latency_ms")
+
+
+_LAT_SQL = with_views("v_correlated") + """,
+lat AS (SELECT message_id, (epoch_us(decided_ts) - epoch_us(created_ts)) // 1000 AS latency_ms FROM v_correlated)
+"""
+
+
+@register("message_latency", _LAT_SQL + "SELECT * FROM lat")
+def q_message_latency(spark: SparkSession, root: str) -> DataFrame:
+    return _latency(spark, root)
+
+
+@register("latency_summary", _LAT_SQL + """
+SELECT count(latency_ms) AS n, round(avg(latency_ms), 6) AS mean_ms, CAST(max(latency_ms) AS DOUBLE) AS max_ms,
+       round(quantile_cont(latency_ms, 0.5), 6) AS p50_ms, round(quantile_cont(latency_ms, 0.95), 6) AS p95_ms
+FROM lat""")
+def q_latency_summary(spark: SparkSession, root: str) -> DataFrame:
+    return an.latency_summary(_latency(spark, root))
+
+
+@register("throughput_windows", with_views("v_log") + """
+SELECT strftime(time_bucket(INTERVAL '1 hour', "timestamp"), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(time_bucket(INTERVAL '1 hour', "timestamp") + INTERVAL '1 hour', '%Y-%m-%d %H:%M:%S') AS window_end,
+       count(*) AS n
+FROM v_log GROUP BY 1, 2""")
+def q_throughput_windows(spark: SparkSession, root: str) -> DataFrame:
+    return an.throughput_windows(fx.v_log(spark, root))
+
+
+@register("interarrival_stats", with_views("v_log") + """,
+g AS (SELECT question_id, (epoch_us("timestamp") - lag(epoch_us("timestamp")) OVER (
+          PARTITION BY question_id ORDER BY "timestamp", event_id)) / 1e6 AS gap FROM v_log)
+SELECT question_id, count(*) AS n, round(avg(gap), 3) AS mean_gap_s, round(1 / avg(gap), 9) AS rate_per_s
+FROM g GROUP BY question_id""")
+def q_interarrival_stats(spark: SparkSession, root: str) -> DataFrame:
+    return an.interarrival_stats(fx.v_log(spark, root))
+
+
+@register("interarrival_gaps", with_views("v_log") + """
+SELECT message_id, question_id,
+       round((epoch_us("timestamp") - lag(epoch_us("timestamp")) OVER (
+           PARTITION BY question_id ORDER BY "timestamp", event_id)) / 1e6, 6) AS gap_s
+FROM v_log""")
+def q_interarrival_gaps(spark: SparkSession, root: str) -> DataFrame:
+    g = an.interarrival_gaps(fx.v_log(spark, root), tiebreak="event_id")
+    return g.select("message_id", "question_id", F.round("gap_s", 6).alias("gap_s"))
+
+
+@register("error_backoff", with_views("v_errors") + """,
+d AS (SELECT *, 1.0 * pow(2, attempts - 1) AS delay_s FROM v_errors)
+SELECT message_id, question_id, error_type, error_detail, attempts, delay_s,
+       strftime(make_timestamp(((epoch_us(ts) + CAST(delay_s * 1000000 AS BIGINT)) // 1000000) * 1000000),
+                '%Y-%m-%dT%H:%M:%SZ') AS retry_at
+FROM d""")
+def q_error_backoff(spark: SparkSession, root: str) -> DataFrame:
+    e = an.error_backoff(fx.v_errors(spark, root), jitter=0.0)
+    return e.select("message_id", "question_id", "error_type", "error_detail", "attempts", "delay_s", "retry_at")
+
+
+@register("sample_questions")
+def q_sample_questions(spark: SparkSession, root: str) -> DataFrame:
+    return an.sample_questions(fx.v_questions(spark, root)).select("message_id", "question_id")
+
+
+def _sanitize_sql(x: str) -> str:
+    return f"replace(replace(replace({x}, ' ', '-'), '/', '-'), '.', '_')"
+
+
+@register("sanitize_labels", with_views("v_log") + f""",
+g AS (SELECT status, count(*) AS n, min(latency) AS lo, max(latency) AS hi,
+             count(*) / ((epoch_us(max("timestamp")) - epoch_us(min("timestamp"))) / 1e6) AS rate
+      FROM v_log GROUP BY status)
+SELECT status,
+       'traffic_poisson_n' || CAST(n AS VARCHAR) || '_lambda'
+         || {_sanitize_sql('CAST(CAST(rate AS DECIMAL(18, 4)) AS VARCHAR)')} AS poisson_label,
+       'traffic_uniform_n' || CAST(n AS VARCHAR)
+         || '_low' || {_sanitize_sql('CAST(CAST(lo AS DECIMAL(18, 2)) AS VARCHAR)')}
+         || '_high' || {_sanitize_sql('CAST(CAST(hi AS DECIMAL(18, 2)) AS VARCHAR)')} AS uniform_label
+FROM g""")
+def q_sanitize_labels(spark: SparkSession, root: str) -> DataFrame:
+    log = fx.v_log(spark, root)
+    us = F.unix_micros(F.col("timestamp"))
+    g = log.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.min("latency").alias("lo"),
+                                  F.max("latency").alias("hi"),
+                                  (F.count(F.lit(1)) / ((F.max(us) - F.min(us)) / 1e6)).alias("rate"))
+    dec = lambda c, s: F.col(c).cast(f"decimal(18,{s})").cast("string")
+    return g.select(
+        "status",
+        an.run_label(F.lit("poisson"), F.col("n"), [("lambda", dec("rate", 4))]).alias("poisson_label"),
+        an.run_label(F.lit("uniform"), F.col("n"), [("low", dec("lo", 2)), ("high", dec("hi", 2))])
+        .alias("uniform_label"))
