@@ -147,36 +147,39 @@ def regeneration_loop(questions: DataFrame, generator: Generator = offline_answe
                       threshold: float = STREAM_THRESHOLD, max_attempts: int = MAX_ATTEMPTS,
                       source: str = SCORER_SOURCE) -> DataFrame:
     """Question -> answer -> score -> accept or regenerate, for at most
-    ``max(max_attempts, 1)`` rounds; returns the validated rows of all rounds.
-
-    Each round works on the still-rejected set only (it shrinks), and the set
-    carried to the next round is checkpointed to the cluster's checkpoint
-    directory, so lineage stays one round deep and lost executors only
-    recompute the current round.  Every message is seen once per round, so
-    the decision counter in round r is r.
+    ``max(max_attempts, 1)`` rounds; returns the validated rows of all rounds
+    (without the long reference answer, which stays with the question).
+
+    A regeneration request repeats the question's prompt, so round r + 1
+    re-derives its requests from the source questions with a left-semi join
+    on the keys still rejected.  Only a slim decision frame (ids, answer,
+    score, flags; no long texts) is checkpointed per round to the cluster's
+    checkpoint directory: lineage stays one round deep, lost executors only
+    recompute the current round, and the final union reads checkpoints.
+    Every message is seen once per round, so the decision counter in round r
+    is r.
     """
-    requests = first_requests(questions)
+    base = first_requests(questions)
     rounds = max(int(max_attempts), 1)
-    accepted_parts = []
+    parts = []
+    pending = None
     for r in range(1, rounds + 1):
+        requests = base if pending is None else base.join(pending, "message_id", "left_semi")
+        requests = requests.withColumn("attempts", F.lit(r).cast("int"))
         responses, _ = answer_requests(requests, generator)
         scored = _scored(responses, "message_id", "best_answer", "llm_answer")
         nat = F.col("_raw") >= F.lit(threshold)
-        decided = scored.withColumn("decision_attempts", F.lit(r)) \
-            .withColumn("accepted", nat | (F.lit(r) >= F.lit(max_attempts))) \
-            .withColumn("forced", F.col("accepted") & ~nat) \
-            .withColumn("score", F.round(F.col("_raw"), 6)).drop("_raw")
-        if r < rounds:
-            decided = checkpoint(decided)
-        accepted_parts.append(decided.filter(F.col("accepted")))
-        if r < rounds:
-            regen = decided.filter(~F.col("accepted")).withColumn("attempts", F.col("decision_attempts"))
-            requests = repeat_requests(regeneration_requests(regen))
-    out = accepted_parts[0]
-    for p in accepted_parts[1:]:
+        accepted = nat | (F.lit(r) >= F.lit(max_attempts))
+        decided = checkpoint(scored.select(
+            "message_id", "trace_id", "question_id", "llm_answer",
+            F.round(F.col("_raw"), 6).alias("score"),
+            F.lit(r).cast("int").alias("attempts"),
+            F.lit(r).cast("int").alias("request_attempts"),
+            accepted.alias("accepted"), (accepted & ~nat).alias("forced"),
+            F.lit(source).alias("source")))
+        parts.append(decided.filter(F.col("accepted")))
+        pending = decided.filter(~F.col("accepted")).select("message_id")
+    out = parts[0]
+    for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select(
-        "message_id", "trace_id", "question_id", "llm_answer", "best_answer", "score",
-        F.col("decision_attempts").cast("int").alias("attempts"),
-        F.col("attempts").cast("int").alias("request_attempts"),
-        "accepted", "forced", F.lit(source).alias("source"))
+    return out

@@ -331,7 +331,7 @@ def q_answer_requests(spark: SparkSession, root: str) -> DataFrame:
 
 
 @register("regeneration_loop", with_views("v_answers") + _score_ctes("v_answers") + f"""
-SELECT message_id, trace_id, question_id, llm_answer, best_answer, round(raw, 6) AS score,
+SELECT message_id, trace_id, question_id, llm_answer, round(raw, 6) AS score,
        CASE WHEN raw >= {sc.STREAM_THRESHOLD} THEN 1 ELSE {dc.MAX_ATTEMPTS} END AS attempts,
        CASE WHEN raw >= {sc.STREAM_THRESHOLD} THEN 1 ELSE {dc.MAX_ATTEMPTS} END AS request_attempts,
        true AS accepted, raw < {sc.STREAM_THRESHOLD} AS forced, '{dc.SCORER_SOURCE}' AS source
