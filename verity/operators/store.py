@@ -6,7 +6,7 @@ aggregation, so a hot question costs one partial row per task), and a later
 batch is merged onto the prior table with a full outer join:
 
 * counter  = prior count + batch count            (``$inc``)
-* created  = prior value if the row existed        (``$setOnInsert``)
+* created  = the earliest record's time           (``$setOnInsert``)
 * fields   = the newest record wins                 (``$set``), ordered by
              (decided_at, message_id) so replays and late records cannot
              overwrite newer values.
@@ -60,8 +60,9 @@ def results_merge(prior: DataFrame, batch: DataFrame, order: Sequence[str] = ORD
         cols.append(F.when(take_new, F.col(f"n.{dst}")).otherwise(F.col(f"p.{dst}")).alias(dst))
     cols.append((F.coalesce(F.col("p.contador_consultas"), F.lit(0))
                  + F.coalesce(F.col("n.contador_consultas"), F.lit(0))).alias("contador_consultas"))
-    cols.append(F.when(F.col("p.id_pregunta").isNotNull(), F.col("p.creado_en"))
-                .otherwise(F.col("n.creado_en")).alias("creado_en"))
+    # "first" is the earliest record (ISO strings of one format order as time),
+    # so the merge does not depend on the order batches arrive in.
+    cols.append(F.least(F.col("p.creado_en"), F.col("n.creado_en")).alias("creado_en"))
     return j.select(*cols).select(*RESULT_COLUMNS)
 
 
@@ -97,7 +98,7 @@ def merge_metrics(prior: DataFrame, batch: DataFrame) -> DataFrame:
         .alias("score_acum"),
         F.when(newer, F.col("n.ultimo_score")).otherwise(F.col("p.ultimo_score")).alias("ultimo_score"),
         F.when(newer, F.col("n.actualizado_en")).otherwise(F.col("p.actualizado_en")).alias("actualizado_en"),
-        F.coalesce(F.col("p.creado_en"), F.col("n.creado_en")).alias("creado_en"),
+        F.least(F.col("p.creado_en"), F.col("n.creado_en")).alias("creado_en"),
     )
 
 

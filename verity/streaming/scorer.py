@@ -51,7 +51,9 @@ def counter_step(scores: np.ndarray, pending: int, threshold: float, max_attempt
     attempts = ((pos - before) - 1) % m + 1
     accepted = nat | (attempts >= max_attempts)
     forced = accepted & ~nat
-    after = 0 if len(attempts) == 0 or accepted[-1] else int(attempts[-1])
+    if len(attempts) == 0:
+        return attempts.astype(np.int32), accepted, forced, int(pending)
+    after = 0 if accepted[-1] else int(attempts[-1])
     return attempts.astype(np.int32), accepted, forced, after
 
 
