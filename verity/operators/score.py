@@ -4,10 +4,11 @@ The vectorizer of the reference is fitted on the two texts of a pair only, so
 the IDF has a closed form: 1 for a term in both texts, ln(1.5) + 1 for a term
 in one.  No corpus model is needed.
 
-``score_pairs`` / ``evaluate_pairs`` (the table operators) hash-partition the
-pairs once on their key, explode tokens natively, count per (key, term) and
-fold per key; both aggregations and the join back reuse that one exchange, so
-token rows are never shuffled.  A pair's work is bounded by its own text, so
+``score_pairs`` / ``evaluate_pairs`` (the table operators) hash-partition
+only (key, expected, actual) once on the key, explode tokens natively, count
+per (key, term) and fold per key; both aggregations run on that exchange, so
+token rows are never shuffled and texts cross the network once.  The small
+per-key sums are joined back onto the caller's (pruned) rows.  A pair's work is bounded by its own text, so
 there is no key skew (keys are unique per pair).
 
 ``pair_score`` is the same score as a single Column (row-local fold with
@@ -115,22 +116,31 @@ def pair_norms(df: DataFrame, key: str, expected: str = "best_answer",
                                F.sum(wb * wb).alias("_nb2"))
 
 
-def _cosine(expected: Column, actual: Column) -> Column:
+def _cosine() -> Column:
+    """Cosine from the per-key sums; 0 when a side has no token (an empty or
+    NULL text has none), where the reference's vectorizer would not fit."""
     cos = F.col("_dot") / (F.sqrt(F.col("_na2")) * F.sqrt(F.col("_nb2")))
-    empty = (F.coalesce(F.length(expected), F.lit(0)) == 0) | (F.coalesce(F.length(actual), F.lit(0)) == 0)
     ok = (F.coalesce(F.col("_na2"), F.lit(0.0)) > 0) & (F.coalesce(F.col("_nb2"), F.lit(0.0)) > 0)
-    return F.when(empty | ~ok, F.lit(0.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), cos)))
+    return F.when(ok, F.least(F.lit(1.0), F.greatest(F.lit(0.0), cos))).otherwise(F.lit(0.0))
 
 
 def _scored(df: DataFrame, key: str, expected: str, actual: str) -> DataFrame:
-    """Input rows plus ``_raw`` score.  One hash exchange on ``key`` serves the
-    token aggregation and the join back (the exchange is reused)."""
-    # Non-null keys only on both sides, so the two subtrees are identical and
-    # share one exchange; rows with a NULL key are kept with a NULL score.
-    base = df.filter(F.col(key).isNotNull()).repartition(key)
-    norms = pair_norms(base, key, expected, actual)
+    """Input rows plus ``_raw`` score.
+
+    Only ``(key, expected, actual)`` is hash-partitioned on ``key``; the token
+    explode and both aggregations run on that one exchange, whose only
+    consumer they are, so the texts cross the network once.  The per-key
+    norms (one small row per pair) are then joined back onto the caller's
+    rows, which carry only the columns the caller selects (AQE broadcasts the
+    norms when they are small, else it is a sort-merge join whose norms side
+    is already partitioned).  A pair without any token has no norms row and
+    scores 0; rows with a NULL key are kept with a NULL score.
+    """
+    base = df.filter(F.col(key).isNotNull())
+    pairs = base.select(key, expected, actual).repartition(key)
+    norms = pair_norms(pairs, key, expected, actual)
     joined = base.join(norms, key, "left")
-    scored = joined.withColumn("_raw", _cosine(F.col(expected), F.col(actual))) \
+    scored = joined.withColumn("_raw", _cosine()) \
         .drop("_dot", "_na2", "_nb2")
     orphans = df.filter(F.col(key).isNull()).withColumn("_raw", F.lit(None).cast("double"))
     return scored.unionByName(orphans)
