@@ -17,8 +17,9 @@
        ``next``; it is enumerated in ceil(log2(longest chain)) rounds of
        joins (A <- A u J(A); J <- J o J), each checkpointed.
 * ``reuse_distance`` counts, for each repeat request, the distinct other keys
-  requested since the previous request of the same key (LRU stack distance);
-  an LRU cache of capacity C hits exactly when the distance is below C.
+  requested since the previous request of the same key (LRU stack distance),
+  as an exact 2D dominance count over dyadic position blocks; an LRU cache
+  of capacity C hits exactly when the distance is below C.
 """
 
 from __future__ import annotations
@@ -179,35 +180,51 @@ def hit_rate(routed: DataFrame) -> DataFrame:
 
 def reuse_distance(requests: DataFrame, key: str = "question_id", ts: str = "ts",
                    tiebreak: str = "event_id", id_col: str = "message_id",
-                   block: int = 512, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                   block: int = 4096, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
     """Per request: ``reuse_distance`` = distinct other keys requested since the
     previous request of this key (-1 for a key's first request).
 
-    Global arrival positions come from a chunked scan (no single-partition
-    window over the data).  The distance counts rows j between the previous
-    and the current request whose key does not recur before the current one;
-    that range condition is evaluated as an equi-join on position blocks, so
-    each request meets only the blocks its own gap covers.
+    With global arrival positions (a chunked scan, no single-partition
+    window), a repeat request at position b whose key was last requested at
+    a has distance (b - a - 1) - #{repeat requests m : prev(m) > a, m < b}:
+    every position of the gap counts once, except those whose key recurs
+    inside the gap.  That count is a 2D dominance count, done exactly in
+    O(N log^2 N) work: ``m < b`` is split into at most log2 N dyadic position
+    blocks, and inside each block a running count ordered by prev(m)
+    descending (a chunked keyed scan over (level, block), ``block`` positions
+    per chunk) gives the points with prev(m) > a.  No task holds a whole
+    level, and no pair of rows is enumerated.
     """
     order = [ts, tiebreak]
     g = keyed_scan(requests, [], order, time_bucket(ts, bucket_seconds)).withColumnRenamed("_pos", "_gpos")
-    k = keyed_scan(g, [key], order, time_bucket(ts, bucket_seconds), lag_cols=["_gpos"], lead_cols=["_gpos"])
-    k = k.drop("_pos")
-    big = F.lit(2 ** 62)
-    rows = k.select(F.floor(F.col("_gpos") / block).alias("blk"), F.col("_gpos").alias("j"),
-                    F.coalesce(F.col("_next__gpos"), big).alias("jn"))
-    queries = k.filter(F.col("_prev__gpos").isNotNull()).select(
-        F.col(id_col).alias("_qid"), F.col("_gpos").alias("i"),
-        (F.col("_prev__gpos") + 1).alias("lo"), (F.col("_gpos") - 1).alias("hi"))
-    queries = queries.filter(F.col("lo") <= F.col("hi")).withColumn(
-        "blk", F.explode(F.sequence(F.floor(F.col("lo") / block), F.floor(F.col("hi") / block))))
-    counts = queries.join(rows, "blk") \
-        .filter((F.col("j") >= F.col("lo")) & (F.col("j") <= F.col("hi")) & (F.col("jn") > F.col("i"))) \
-        .groupBy("_qid").agg(F.count(F.lit(1)).alias("_n"))
-    out = k.join(counts, k[id_col] == counts["_qid"], "left")
-    dist = F.when(F.col("_prev__gpos").isNull(), F.lit(-1)).otherwise(F.coalesce(F.col("_n"), F.lit(0)))
+    k = keyed_scan(g, [key], order, time_bucket(ts, bucket_seconds), lag_cols=["_gpos"]).drop("_pos")
+    pos = checkpoint(k)
+    n = pos.agg(F.max("_gpos")).first()[0] or 0
+    levels = F.explode(F.sequence(F.lit(0), F.lit(max(int(n).bit_length(), 1) - 1))).alias("L")
+    rep = pos.filter(F.col("_prev__gpos").isNotNull())
+
+    def shr(c: str) -> Column:
+        return F.expr(f"shiftright({c}, L)")
+
+    null_id = F.lit(None).cast(pos.schema[id_col].dataType)
+    points = rep.select(F.col("_prev__gpos").alias("x"), F.col("_gpos").alias("y"), levels) \
+        .withColumn("blk", shr("y")).filter(F.col("blk") % 2 == 0) \
+        .select("L", "blk", (-F.col("x")).alias("negx"), F.lit(0).alias("kind"), F.lit(1).alias("w"),
+                null_id.alias("_qid"))
+    queries = rep.select(F.col(id_col).alias("_qid"), F.col("_prev__gpos").alias("a"),
+                         F.col("_gpos").alias("b"), levels) \
+        .withColumn("hb", shr("b")) \
+        .filter(((F.col("hb") % 2) == 1) & (F.expr("shiftleft(hb, L)") > F.col("a") + 1)) \
+        .select("L", (F.col("hb") - 1).alias("blk"), (-F.col("a")).alias("negx"), F.lit(1).alias("kind"),
+                F.lit(0).alias("w"), "_qid")
+    scanned = keyed_scan(points.unionByName(queries), ["L", "blk"], ["negx", "kind"],
+                         F.floor(F.col("negx") / F.lit(int(block))), cumsum="w")
+    nested = scanned.filter(F.col("kind") == 1).groupBy("_qid").agg(F.sum("_csum").alias("_n"))
+    out = pos.join(nested, pos[id_col] == nested["_qid"], "left")
+    dist = F.when(F.col("_prev__gpos").isNull(), F.lit(-1)) \
+        .otherwise(F.col("_gpos") - F.col("_prev__gpos") - 1 - F.coalesce(F.col("_n"), F.lit(0)))
     return out.withColumn("reuse_distance", dist.cast("long")) \
-        .drop("_qid", "_n", "_gpos", "_prev__gpos", "_next__gpos")
+        .drop("_qid", "_n", "_gpos", "_prev__gpos")
 
 
 def lru_hits(with_distance: DataFrame, capacity: int = CACHE_SIZE) -> Column:

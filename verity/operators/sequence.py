@@ -37,13 +37,16 @@ def keyed_scan(
     lead_cols: Sequence[str] = (),
     flag: Column | None = None,
     prefix: str = "_",
+    cumsum: str | None = None,
 ) -> DataFrame:
     """Add ordered-scan columns per key, computed chunk-wise.
 
     Adds ``{prefix}pos`` (1-based position within ``keys`` by ``order``),
     ``{prefix}prev_<c>`` / ``{prefix}next_<c>`` (value of ``c`` on the previous
     / next row of the key) and, when ``flag`` is given, ``{prefix}lastflag``
-    (position of the last row strictly before with ``flag`` true, else null).
+    (position of the last row strictly before with ``flag`` true, else null)
+    and, when ``cumsum`` names a numeric column, ``{prefix}csum`` (its sum over
+    the key's rows strictly before).
 
     ``bucket`` must be non-decreasing in ``order`` within a key (a time bucket
     of the leading order column).
@@ -66,6 +69,8 @@ def keyed_scan(
     if flag is not None:
         scanned = scanned.withColumn(
             f"{prefix}lflag", F.max(F.when(F.col(f"{prefix}flag"), F.col(lpos))).over(before))
+    if cumsum is not None:
+        scanned = scanned.withColumn(f"{prefix}lsum", F.coalesce(F.sum(cumsum).over(before), F.lit(0)))
 
     # One summary row per chunk; same clustering as the chunk windows, so no
     # extra exchange of the data is needed for it.
@@ -75,6 +80,8 @@ def keyed_scan(
     aggs += [F.min_by(F.col(c), okey).alias(f"{prefix}first_{c}") for c in lead_cols]
     if flag is not None:
         aggs.append(F.max(F.when(F.col(f"{prefix}flag"), F.col(lpos))).alias(f"{prefix}mflag"))
+    if cumsum is not None:
+        aggs.append(F.coalesce(F.sum(cumsum), F.lit(0)).alias(f"{prefix}tsum"))
     summary = scanned.groupBy(*keys, b).agg(*aggs)
 
     # Without keys this window runs over the chunk summary only (one row per
@@ -90,11 +97,16 @@ def keyed_scan(
     if flag is not None:
         summary = summary.withColumn(
             f"{prefix}gflag", F.max(F.col(off) + F.col(f"{prefix}mflag")).over(across_before))
+    if cumsum is not None:
+        summary = summary.withColumn(
+            f"{prefix}soff", F.coalesce(F.sum(f"{prefix}tsum").over(across_before), F.lit(0)))
     keep = [*keys, b, off, f"{prefix}cnt"]
     keep += [f"{prefix}plast_{c}" for c in lag_cols]
     keep += [f"{prefix}nfirst_{c}" for c in lead_cols]
     if flag is not None:
         keep.append(f"{prefix}gflag")
+    if cumsum is not None:
+        keep.append(f"{prefix}soff")
     summary = summary.select(*keep)
 
     out = scanned.join(summary, on=[*keys, b], how="inner")
@@ -112,9 +124,13 @@ def keyed_scan(
         out = out.withColumn(
             f"{prefix}lastflag",
             F.coalesce(F.col(off) + F.col(f"{prefix}lflag"), F.col(f"{prefix}gflag")))
+    if cumsum is not None:
+        out = out.withColumn(f"{prefix}csum", F.col(f"{prefix}soff") + F.col(f"{prefix}lsum"))
     drop = [b, lpos, off, f"{prefix}cnt"]
     drop += [f"{prefix}lag_{c}" for c in lag_cols] + [f"{prefix}plast_{c}" for c in lag_cols]
     drop += [f"{prefix}lead_{c}" for c in lead_cols] + [f"{prefix}nfirst_{c}" for c in lead_cols]
     if flag is not None:
         drop += [f"{prefix}flag", f"{prefix}lflag", f"{prefix}gflag"]
+    if cumsum is not None:
+        drop += [f"{prefix}lsum", f"{prefix}soff"]
     return out.drop(*drop)
