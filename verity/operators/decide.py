@@ -143,6 +143,19 @@ def answer_requests(requests: DataFrame, generator: Generator = offline_answer,
     return responses, errors
 
 
+_KEY_BYTES = 64
+
+
+def _broadcast_limit(spark) -> int:
+    v = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    try:
+        return int(v)
+    except ValueError:                      # e.g. "10MB"
+        units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+        v = v.strip().lower().rstrip("b") or "0"
+        return int(float(v[:-1]) * units[v[-1]]) if v[-1] in units else int(float(v))
+
+
 def regeneration_loop(questions: DataFrame, generator: Generator = offline_answer,
                       threshold: float = STREAM_THRESHOLD, max_attempts: int = MAX_ATTEMPTS,
                       source: str = SCORER_SOURCE) -> DataFrame:
@@ -164,7 +177,17 @@ def regeneration_loop(questions: DataFrame, generator: Generator = offline_answe
     parts = []
     pending = None
     for r in range(1, rounds + 1):
-        requests = base if pending is None else base.join(pending, "message_id", "left_semi")
+        if pending is None:
+            requests = base
+        else:
+            # The pending keys are materialized, so their count is known: they
+            # are broadcast only under the session's broadcast threshold
+            # (about 64 bytes per key), otherwise the semi-join shuffles.
+            n = pending.count()
+            if n == 0:
+                break
+            small = n * _KEY_BYTES <= _broadcast_limit(pending.sparkSession)
+            requests = base.join(F.broadcast(pending) if small else pending, "message_id", "left_semi")
         requests = requests.withColumn("attempts", F.lit(r).cast("int"))
         responses, _ = answer_requests(requests, generator)
         scored = _scored(responses, "message_id", "best_answer", "llm_answer")
