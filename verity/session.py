@@ -38,8 +38,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint directory named by the cluster.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is configured (local tests) a scratch folder is
-    created, so lineage cutting still works there.
+    as is (a cluster without it is an error: a machine-local folder would not
+    survive executor loss).  Only a local master without the setting (tests)
+    gets a scratch folder, so lineage cutting still works there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="verity-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
