@@ -70,10 +70,12 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: in
                     final_rows: int = 200_000) -> dict[float, float | None]:
     """Exact linear-interpolation quantiles (as ``percentile`` / ``quantile_cont``).
 
-    Each needed order statistic is found by histogram refinement: count rows
-    per value bucket (a distributed aggregate returning at most ``buckets``
-    rows), keep the bucket holding the rank, repeat inside it until it holds
-    at most ``final_rows`` distinct values, then read those value counts.
+    Order statistics are found by histogram refinement: count rows per value
+    bucket (a distributed aggregate returning at most ``buckets`` rows), keep
+    the bucket holding the rank, repeat inside it until it holds at most
+    ``final_rows`` distinct values, then read those value counts.  All ranks
+    that fall in the same range share each refinement step, so a column with
+    few distinct values is answered by one count per value.
     """
     x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull()).persist()
     try:
@@ -84,36 +86,45 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: in
         for p in probs:
             h = (n - 1) * p
             needed[p] = (math.floor(h), math.ceil(h), h - math.floor(h))
+        ranks = sorted({r for lo, hi, _ in needed.values() for r in (lo, hi)})
         values: dict[int, float] = {}
-        for r in sorted({r for lo, hi, _ in needed.values() for r in (lo, hi)}):
-            values[r] = _order_statistic(x, r, buckets, final_rows)
+        _order_statistics(x, ranks, F.lit(True), 0, buckets, final_rows, values)
         return {p: values[lo] + frac * (values[hi] - values[lo]) for p, (lo, hi, frac) in needed.items()}
     finally:
         x.unpersist()
 
 
-def _order_statistic(x: DataFrame, rank: int, buckets: int, final_rows: int) -> float:
-    cond = F.lit(True)
-    below = 0
-    while True:
-        part = x.filter(cond)
-        stats = part.agg(F.min("x"), F.max("x"), F.count_distinct("x")).first()
-        lo, hi, distinct = stats[0], stats[1], stats[2]
-        if distinct <= final_rows or lo == hi:
-            counts = part.groupBy("x").count().orderBy("x").collect()
-            for row in counts:
-                if below + row["count"] > rank:
-                    return row["x"]
-                below += row["count"]
-            return counts[-1]["x"]
-        width = (hi - lo) / buckets
-        idx = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1))
-        hist = part.groupBy(idx.alias("b")).count().orderBy("b").collect()
-        for row in hist:
-            if below + row["count"] > rank:
-                cond = cond & (idx == F.lit(row["b"]))
-                break
-            below += row["count"]
+def _order_statistics(x: DataFrame, ranks: list[int], cond, below: int, buckets: int, final_rows: int,
+                      out: dict[int, float]) -> None:
+    """Fill ``out[r]`` for the 0-based ``ranks`` (sorted), all lying in the rows
+    of ``x`` matching ``cond``, with ``below`` rows of smaller value outside."""
+    part = x.filter(cond)
+    stats = part.agg(F.min("x"), F.max("x"), F.count_distinct("x")).first()
+    lo, hi, distinct = stats[0], stats[1], stats[2]
+    if distinct <= final_rows or lo == hi:
+        counts = part.groupBy("x").count().orderBy("x").collect()
+        pending = list(ranks)
+        seen = below
+        for row in counts:
+            seen += row["count"]
+            while pending and pending[0] < seen:
+                out[pending.pop(0)] = row["x"]
+        for r in pending:
+            out[r] = counts[-1]["x"]
+        return
+    width = (hi - lo) / buckets
+    idx = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1))
+    hist = part.groupBy(idx.alias("b")).count().orderBy("b").collect()
+    pending = list(ranks)
+    seen = below
+    for row in hist:
+        inside = [r for r in pending if r < seen + row["count"]]
+        if inside:
+            _order_statistics(x, inside, cond & (idx == F.lit(row["b"])), seen, buckets, final_rows, out)
+            pending = pending[len(inside):]
+        seen += row["count"]
+        if not pending:
+            break
 
 
 def latency_summary(latency: DataFrame, col: str = "latency_ms") -> DataFrame:
