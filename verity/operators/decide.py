@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -190,7 +191,13 @@ def regeneration_loop(questions: DataFrame, generator: Generator = offline_answe
             requests = base.join(F.broadcast(pending) if small else pending, "message_id", "left_semi")
         requests = requests.withColumn("attempts", F.lit(r).cast("int"))
         responses, _ = answer_requests(requests, generator)
-        scored = _scored(responses, "message_id", "best_answer", "llm_answer")
+        # One scan, one answer generation and one exchange per round: the slim
+        # responses are hash-partitioned once and kept (memory, spilling to
+        # disk) while the round is scored and checkpointed; a lost block is
+        # recomputed from the round's lineage.
+        slim = responses.select("message_id", "trace_id", "question_id", "llm_answer", "best_answer") \
+            .repartition("message_id").persist(StorageLevel.MEMORY_AND_DISK)
+        scored = _scored(slim, "message_id", "best_answer", "llm_answer", clustered=True)
         nat = F.col("_raw") >= F.lit(threshold)
         accepted = nat | (F.lit(r) >= F.lit(max_attempts))
         decided = checkpoint(scored.select(
@@ -200,6 +207,7 @@ def regeneration_loop(questions: DataFrame, generator: Generator = offline_answe
             F.lit(r).cast("int").alias("request_attempts"),
             accepted.alias("accepted"), (accepted & ~nat).alias("forced"),
             F.lit(source).alias("source")))
+        slim.unpersist()
         parts.append(decided.filter(F.col("accepted")))
         pending = decided.filter(~F.col("accepted")).select("message_id")
     out = parts[0]

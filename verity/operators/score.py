@@ -124,7 +124,7 @@ def _cosine() -> Column:
     return F.when(ok, F.least(F.lit(1.0), F.greatest(F.lit(0.0), cos))).otherwise(F.lit(0.0))
 
 
-def _scored(df: DataFrame, key: str, expected: str, actual: str) -> DataFrame:
+def _scored(df: DataFrame, key: str, expected: str, actual: str, clustered: bool = False) -> DataFrame:
     """Input rows plus ``_raw`` score.
 
     Only ``(key, expected, actual)`` is hash-partitioned on ``key``; the token
@@ -135,9 +135,14 @@ def _scored(df: DataFrame, key: str, expected: str, actual: str) -> DataFrame:
     norms when they are small, else it is a sort-merge join whose norms side
     is already partitioned).  A pair without any token has no norms row and
     scores 0; rows with a NULL key are kept with a NULL score.
+
+    ``clustered=True`` says ``df`` is already hash-partitioned on ``key``
+    (e.g. a persisted repartition), so no exchange is added at all.
     """
     base = df.filter(F.col(key).isNotNull())
-    pairs = base.select(key, expected, actual).repartition(key)
+    pairs = base.select(key, expected, actual)
+    if not clustered:
+        pairs = pairs.repartition(key)
     norms = pair_norms(pairs, key, expected, actual)
     joined = base.join(norms, key, "left")
     scored = joined.withColumn("_raw", _cosine()) \
