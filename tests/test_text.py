@@ -64,3 +64,8 @@ def test_tokenize_unicode_words(spark):
 
 def test_sanitize_fragment(spark):
     assert _eval(spark, ["poisson 1.5/s run"], tx.sanitize_fragment) == ["poisson-1_5-s-run"]
+
+
+def test_whitespace_set_is_python_isspace():
+    want = {chr(i) for i in range(0x110000) if chr(i).isspace()}
+    assert set(tx.WHITESPACE_CHARS) == want

@@ -20,6 +20,12 @@ WHITESPACE_CLASS = (
     r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+# The same characters as code-point ranges, for trimming by character set.
+WHITESPACE_RANGES = (
+    (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
+    (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+)
+WHITESPACE_CHARS = "".join(chr(c) for lo, hi in WHITESPACE_RANGES for c in range(lo, hi + 1))
 # Default TF-IDF token pattern: runs of two or more word characters.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
 # Separator between title and content in a prompt.
@@ -69,9 +75,12 @@ def _col(c: Column | str) -> Column:
 
 
 def strip_ws(c: Column | str) -> Column:
-    """Python ``str.strip()``: remove leading/trailing whitespace of any kind."""
-    ws = WHITESPACE_CLASS
-    return F.regexp_replace(_col(c), F.lit(f"^{ws}+|{ws}+$"), F.lit(""))
+    """Python ``str.strip()``: remove leading/trailing whitespace of any kind.
+
+    A character-set trim touches only the two ends of the text (a regex
+    replace would scan all of it).
+    """
+    return F.trim(_col(c), F.lit(WHITESPACE_CHARS))
 
 
 def whitespace_tokens(c: Column | str) -> Column:
