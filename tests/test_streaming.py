@@ -138,3 +138,30 @@ def test_storage_stream_matches_batch_upsert_and_replay_is_idempotent(spark, tmp
     assert as_rows(snap.read_version(spark, r2, 1).toPandas()) == first
     _same(snap.read_version(spark, r2), want, want.columns)
     _same(snap.read_version(spark, m2), wm, wm.columns)
+
+
+def test_stream_counter_on_fixture_events_matches_batch(spark, tmp_path):
+    """W1 over the driver's events (v_attempts at sf0.001), streamed in time order."""
+    from conftest import SMOKE_DIR
+    from verity.sources import fixtures as fx
+    from verity.streaming.scorer import stream_attempt_decisions
+
+    rows = fx.v_attempts(spark, SMOKE_DIR).select("message_id", "ts", "event_id", "score") \
+        .orderBy("ts", "event_id").collect()
+    recs = [{"message_id": r.message_id, "ts": r.ts.strftime("%Y-%m-%dT%H:%M:%S.%f"),
+             "event_id": r.event_id, "score": r.score} for r in rows]
+    src = str(tmp_path / "events")
+    _write_files(src, recs, 4)
+    schema = "message_id string, ts timestamp, event_id long, score double"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(src)
+    decided = stream_attempt_decisions(stream, order=("ts", "event_id"), threshold=0.65, max_attempts=3)
+    out = str(tmp_path / "decided")
+    q = decided.writeStream.format("parquet").option("path", out) \
+        .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+    q.awaitTermination(300)
+    assert q.exception() is None
+    got = spark.read.parquet(out).select("event_id", "attempts", "accepted", "forced")
+    want = attempt_decisions(spark.read.schema(schema).json(src), order=("ts", "event_id"),
+                             threshold=0.65, max_attempts=3).select("event_id", "attempts", "accepted", "forced")
+    assert got.count() == len(recs)
+    assert as_rows(got.toPandas()) == as_rows(want.toPandas())
