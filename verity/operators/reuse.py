@@ -115,8 +115,10 @@ def ttl_anchors(df: DataFrame, key: str, ts: str, tiebreak: str, id_col: str,
     ``id_col`` must be unique per row; order within a key is (ts, tiebreak).
     ``ttl_seconds <= 0`` never expires: only each key's first request refreshes.
     """
-    rows = df.select(F.col(key).alias("k"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
-                     F.col(tiebreak).alias("tb"), F.col(id_col).alias("id"))
+    # Four narrow columns, materialized once: the heads, the jump pointers and
+    # the chain bound all read them, so the input plan runs once.
+    rows = checkpoint(df.select(F.col(key).alias("k"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
+                                F.col(tiebreak).alias("tb"), F.col(id_col).alias("id")))
     heads = rows.groupBy("k").agg(F.min_by("id", F.struct("us", "tb")).alias("id")).select("id")
     anchors = heads
     if ttl_seconds > 0:
