@@ -139,16 +139,14 @@ def _scored(df: DataFrame, key: str, expected: str, actual: str, clustered: bool
     ``clustered=True`` says ``df`` is already hash-partitioned on ``key``
     (e.g. a persisted repartition), so no exchange is added at all.
     """
-    base = df.filter(F.col(key).isNotNull())
-    pairs = base.select(key, expected, actual)
+    pairs = df.filter(F.col(key).isNotNull()).select(key, expected, actual)
     if not clustered:
         pairs = pairs.repartition(key)
     norms = pair_norms(pairs, key, expected, actual)
-    joined = base.join(norms, key, "left")
-    scored = joined.withColumn("_raw", _cosine()) \
-        .drop("_dot", "_na2", "_nb2")
-    orphans = df.filter(F.col(key).isNull()).withColumn("_raw", F.lit(None).cast("double"))
-    return scored.unionByName(orphans)
+    # A NULL key matches nothing in the left join; its score is NULL.
+    joined = df.join(norms, key, "left")
+    raw = F.when(F.col(key).isNull(), F.lit(None).cast("double")).otherwise(_cosine())
+    return joined.withColumn("_raw", raw).drop("_dot", "_na2", "_nb2")
 
 
 def score_pairs(df: DataFrame, key: str = "message_id", expected: str = "best_answer",
