@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from verity.sources.schemas import DEFAULTS, SCHEMAS
 
+_CORRUPT = "_corrupt_record"
+
 # Fixed value: status of a rejected score request.
 INVALID_PAYLOAD = "invalid_payload"
 VALID_PAYLOAD = "ok"
@@ -39,8 +42,12 @@ def decode(df: DataFrame, kind: str, value: str = "value", keep: tuple[str, ...]
     """
     schema = SCHEMAS[kind]
     defaults = DEFAULTS.get(kind, {})
-    parsed = df.withColumn("_j", F.from_json(F.col(value), schema)) \
-        .withColumn("valid", is_json_object(value))
+    # One parse: a JSON object gives a struct with no corrupt text; malformed
+    # text, arrays, scalars and null are captured as corrupt (or give NULL).
+    with_corrupt = T.StructType(schema.fields + [T.StructField(_CORRUPT, T.StringType())])
+    parsed = df.withColumn("_j", F.from_json(F.col(value), with_corrupt,
+                                             {"columnNameOfCorruptRecord": _CORRUPT})) \
+        .withColumn("valid", F.col("_j").isNotNull() & F.col(f"_j.{_CORRUPT}").isNull())
     cols = []
     for f in schema.fields:
         c = F.col("_j").getField(f.name)
