@@ -83,11 +83,6 @@ def strip_ws(c: Column | str) -> Column:
     return F.trim(_col(c), F.lit(WHITESPACE_CHARS))
 
 
-def whitespace_tokens(c: Column | str) -> Column:
-    """Python ``str.split()`` as an array (an empty string gives ``[""]``)."""
-    return F.split(strip_ws(c), WHITESPACE_CLASS + "+")
-
-
 def first_tokens(c: Column | str, n: int = OFFLINE_TOKEN_LIMIT) -> Column:
     """``" ".join(text.split()[:n])``.
 

@@ -170,14 +170,6 @@ def accept(score: Column | str, threshold: float) -> Column:
     return _c(score) >= F.lit(threshold)
 
 
-def token_rows(df: DataFrame, key: str, expected: str = "best_answer",
-               actual: str = "llm_answer") -> DataFrame:
-    """One row per token occurrence: (key, term, side) with side 0 = expected."""
-    tagged = F.concat(_tagged(tokenize(expected), 0), _tagged(tokenize(actual), 1))
-    return df.select(key, F.explode(tagged).alias("x")).select(
-        key, F.col("x.t").alias("term"), F.col("x.s").alias("side"))
-
-
 def term_frequencies(df: DataFrame, key: str = "message_id", expected: str = "best_answer",
                      actual: str = "llm_answer") -> DataFrame:
     """Raw term counts of both texts of each pair: (key, term, tf_expected, tf_actual).
