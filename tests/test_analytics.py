@@ -39,3 +39,15 @@ def test_threshold_sweep_brute_force(spark):
         assert got[t].regenerated == len(scores) - len(acc)
         assert got[t].regeneration_rate == round((len(scores) - len(acc)) / len(scores), 6)
         assert got[t].accepted_mean_score == pytest.approx(round(sum(acc) / len(acc), 6))
+
+
+def test_sample_with_replacement(spark):
+    from verity.operators.analytics import sample_questions
+
+    df = spark.range(2000).withColumnRenamed("id", "question_id")
+    a = [r.question_id for r in sample_questions(df, fraction=1.0, seed=7).collect()]
+    b = [r.question_id for r in sample_questions(df, fraction=1.0, seed=7).collect()]
+    assert sorted(a) == sorted(b)                       # same seed, same draw
+    assert len(a) != len(set(a))                        # with replacement: repeats occur
+    assert set(a) <= set(range(2000))
+    assert 1700 < len(a) < 2300                         # Poisson(1) copies per row on average
