@@ -108,9 +108,9 @@ def _next_pointers(rows: DataFrame, width_us: int) -> DataFrame:
         .select("id", F.coalesce("asof", "fb").alias("nxt"))
 
 
-def ttl_anchors(df: DataFrame, key: str, ts: str, tiebreak: str, id_col: str,
-                ttl_seconds: float = CACHE_TTL_SECONDS) -> DataFrame:
-    """``df`` plus ``refresh``: true for requests that (re)store the entry.
+def anchor_ids(df: DataFrame, key: str, ts: str, tiebreak: str, id_col: str,
+               ttl_seconds: float = CACHE_TTL_SECONDS) -> DataFrame:
+    """Ids (column ``id``) of the requests that (re)store the entry.
 
     ``id_col`` must be unique per row; order within a key is (ts, tiebreak).
     ``ttl_seconds <= 0`` never expires: only each key's first request refreshes.
@@ -139,7 +139,14 @@ def ttl_anchors(df: DataFrame, key: str, ts: str, tiebreak: str, id_col: str,
                 a, b = jump.alias("a"), jump.alias("b")
                 jump = checkpoint(a.join(b, F.col("a.nxt") == F.col("b.id"))
                                   .select(F.col("a.id").alias("id"), F.col("b.nxt").alias("nxt")))
-    flagged = anchors.select(F.col("id").alias(id_col), F.lit(True).alias("refresh"))
+    return anchors
+
+
+def ttl_anchors(df: DataFrame, key: str, ts: str, tiebreak: str, id_col: str,
+                ttl_seconds: float = CACHE_TTL_SECONDS) -> DataFrame:
+    """``df`` plus ``refresh``: true for requests that (re)store the entry."""
+    flagged = anchor_ids(df, key, ts, tiebreak, id_col, ttl_seconds) \
+        .select(F.col("id").alias(id_col), F.lit(True).alias("refresh"))
     return df.join(flagged, id_col, "left").withColumn("refresh", F.coalesce("refresh", F.lit(False)))
 
 
@@ -159,8 +166,8 @@ def route_requests(requests: DataFrame, store: DataFrame, ttl_seconds: float = C
         F.col("id_pregunta").alias(key), F.lit(True).alias("_stored"))
     marked = requests.join(keys, key, "left")
     stored = marked.filter(F.col("_stored").isNotNull())
-    flagged = ttl_anchors(stored.select(key, ts, tiebreak, id_col), key, ts, tiebreak, id_col, ttl_seconds) \
-        .select(id_col, "refresh")
+    flagged = anchor_ids(stored.select(key, ts, tiebreak, id_col), key, ts, tiebreak, id_col, ttl_seconds) \
+        .select(F.col("id").alias(id_col), F.lit(True).alias("refresh"))
     out = marked.join(flagged, id_col, "left")
     route = F.when(F.col("_stored").isNull(), F.lit(ROUTE_LLM)) \
         .when(F.col("refresh"), F.lit(SOURCE_STORAGE)).otherwise(F.lit(SOURCE_CACHE))
