@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -59,3 +61,23 @@ def checkpoint(df, eager: bool = True):
     """Reliable checkpoint (never a local one): cuts lineage, survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per Spark context.
+
+    Functions of a module are pickled by reference, so workers import it; a session started in
+    another folder, or a cluster without the package installed, gets it as a zip file.
+    """
+    import verity
+
+    root = Path(verity.__file__).resolve().parent
+    context = spark.sparkContext
+    if getattr(context, "_verity_shipped", False) or not root.is_dir():
+        return
+    target = Path(tempfile.mkdtemp(prefix="verity-zip-")) / "verity.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for path in sorted(root.rglob("*.py")):
+            archive.write(path, path.relative_to(root.parent))
+    context.addPyFile(str(target))
+    context._verity_shipped = True
