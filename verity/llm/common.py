@@ -71,6 +71,12 @@ _POWER = powers(2 * SLICE_BYTES, _BASE)
 _POWER_INVERSE = powers(2 * SLICE_BYTES, _BASE_INVERSE)
 
 
+def _tails(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The last three bytes of each word, as one number."""
+    third = data[np.maximum(end - 3, begin)].astype(np.uint32)
+    return third << np.uint32(16) | data[np.maximum(end - 2, begin)].astype(np.uint32) << np.uint32(8) | data[end - 1]
+
+
 def _hash_slice(data: np.ndarray, starts: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hash, start and end of each word of ``data``; ``starts``: positions where a new text begins."""
     n = len(data)
@@ -96,8 +102,8 @@ def _hash_slice(data: np.ndarray, starts: np.ndarray, lower: bool) -> tuple[np.n
     return mix(value + (end - begin + 1).astype(np.uint64) * _BASE), begin, end + 1
 
 
-def word_slices(column: pa.Array, lower: bool) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Yield (first row, end row, word hashes, words per row) for slices of whole rows.
+def word_slices(column: pa.Array, lower: bool, tails: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """Yield (first row, end row, word hashes, words per row, tails) for slices of whole rows.
 
     A slice holds about ``SLICE_BYTES`` of text or one longer text; a longer text is hashed in
     pieces cut at white space.
@@ -109,22 +115,25 @@ def word_slices(column: pa.Array, lower: bool) -> Iterator[tuple[int, int, np.nd
         hi = min(max(hi, lo + 1), rows)
         a, b = int(at[lo]), int(at[hi])
         if a == b:
-            yield lo, hi, np.zeros(0, np.uint64), np.zeros(hi - lo, np.int64)
+            yield lo, hi, np.zeros(0, np.uint64), np.zeros(hi - lo, np.int64), np.zeros(0, np.uint32) if tails else None
         elif b - a <= SLICE_BYTES or hi - lo > 1:
-            value, begin, _ = _hash_slice(data[a:b], at[lo:hi] - a, lower)
+            value, begin, end = _hash_slice(data[a:b], at[lo:hi] - a, lower)
             edges = np.searchsorted(begin, at[lo : hi + 1] - a)
-            yield lo, hi, value, np.diff(edges)
+            yield lo, hi, value, np.diff(edges), _tails(data[a:b], begin, end) if tails else None
         else:
-            parts, x = [], a
+            parts, ends, x = [], [], a
             while x < b:
                 y = min(x + SLICE_BYTES, b)
                 while y < b and not _SPACE[data[y]]:
                     step = np.flatnonzero(_SPACE[data[y : y + SLICE_BYTES]])
                     y = y + int(step[0]) if len(step) else min(y + SLICE_BYTES, b)
-                parts.append(_hash_slice(data[x:y], np.zeros(1, np.int64), lower)[0])
+                value, begin, end = _hash_slice(data[x:y], np.zeros(1, np.int64), lower)
+                parts.append(value)
+                if tails:
+                    ends.append(_tails(data[x:y], begin, end))
                 x = y
             value = np.concatenate(parts)
-            yield lo, hi, value, np.array([len(value)])
+            yield lo, hi, value, np.array([len(value)]), np.concatenate(ends) if tails else None
         lo = hi
 
 
@@ -134,7 +143,7 @@ def shingle_sets(column: pa.Array, width: int = 5) -> Iterator[tuple[int, np.nda
     A text with fewer words has its whole word sequence as its one shingle; without words, none.
     """
     weight = np.random.default_rng(width).integers(1, 1 << 63, width, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    for lo, _, value, counts in word_slices(column, lower=True):
+    for lo, _, value, counts, _ in word_slices(column, lower=True):
         if len(value) >= width:
             rolled = np.zeros(len(value) - width + 1, np.uint64)
             for k in range(width):

@@ -15,7 +15,12 @@ Equal sets are one class and enter once.  Short lists pair up directly.  In a lo
 frequent passage, a large group of copies) the classes first link to one centre per key; then only
 pairs from different components are tried, the list's dominant component being joined by the
 others and never with itself.  So no link between components is lost and a group's pairs are not
-enumerated.  Candidates are checked on the full sets.
+enumerated.
+
+Candidates are first held against a bitmap of each set (the parity of shingles per bucket, about a
+bit per shingle): bits that differ bound the symmetric difference from below, so the bound drops
+no link.  The rest are checked on the full sets, which are made anew from the texts concerned: a
+Bloom filter of bounded size over their ids goes to the scan, so no text is shuffled.
 """
 
 from __future__ import annotations
@@ -36,18 +41,21 @@ from verity.session import checkpoint
 WIDTH = 5
 PERCENT = 75
 #: Shingles listed by at least so many classes come last in the global order.
-FREQUENT = 256
+FREQUENT = 8
 #: Bound of the frequent shingles sent to every task (8 bytes each).  It changes the order only.
 MOST_FREQUENT = 1 << 18
 #: Lists up to this length pair up at once; longer ones take the component-aware way.
 SHORT_LIST = 16
 #: Positions whose lists make the first links.
-FIRST_LINKS = 3
+FIRST_LINKS = 8
 #: Sets above this size are heavy whatever the cost, which bounds the subsets of one set.
 LIGHT_BOUND = 24
 FLUSH = 300_000
+#: Bits of the Bloom filter over the ids of texts to check, by their count; at most 8 MB.
+BLOOM_BITS = (20, 26)
+BLOOM_BLOCK = 1 << 16
 
-_STATS = "kind int, doc_id bigint, n bigint, cid bigint, token bigint, hits bigint"
+_STATS = "kind int, doc_id bigint, n bigint, cid bigint, token bigint, hits bigint, bits binary"
 _POSTINGS = "kind int, bucket int, blob binary"
 _LISTS = "kind int, token bigint, a bigint, an int, apos int, b bigint, bn int"
 
@@ -75,33 +83,44 @@ def class_id(tokens: np.ndarray) -> int:
     return int(mix(total + np.uint64(len(tokens)))[0].astype(np.int64))
 
 
+def bitmap(tokens: np.ndarray) -> bytes:
+    """The parity of a set's shingles per bucket; the buckets are a power of two, one per shingle."""
+    buckets = 1 << max(6, (len(tokens) - 1).bit_length())
+    at = (tokens & np.uint64(buckets - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=buckets).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
 def _stats(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Kind 0: a row per document; 1: shingles met often; 2: every shingle of the hash sample."""
     seen: set[int] = set()
 
-    def rows(kind, doc=None, n=None, cid=None, token=None, hits=None):
+    def rows(kind, doc=None, n=None, cid=None, token=None, hits=None, bits=None):
         m = len(doc) if doc is not None else len(token)
         null = pa.nulls(m, pa.int64())
         return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(m, kind, np.int32))] + [null if x is None else pa.array(x, pa.int64()) for x in (doc, n, cid, token, hits)],
-            names=["kind", "doc_id", "n", "cid", "token", "hits"],
+            [pa.array(np.full(m, kind, np.int32))]
+            + [null if x is None else pa.array(x, pa.int64()) for x in (doc, n, cid, token, hits)]
+            + [pa.array(bits, pa.binary()) if bits else pa.nulls(m, pa.binary())],
+            names=["kind", "doc_id", "n", "cid", "token", "hits", "bits"],
         )
 
     def counts(pile):
         token, hits = np.unique(np.concatenate(pile), return_counts=True)
         sampled = token % np.uint64(1024) == 0
         yield rows(2, token=token[sampled].view(np.int64), hits=hits[sampled])
-        often = hits >= 4
+        often = hits >= 3
         yield rows(1, token=token[often].view(np.int64), hits=hits[often])
 
     pile, held = [], 0
     for batch in batches:
         n, cid = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+        bits: list[bytes | None] = [None] * batch.num_rows
         for i, own in shingle_sets(batch.column("text"), width):
             n[i] = len(own)
             if not len(own):
                 continue
             key = cid[i] = class_id(own)
+            bits[i] = bitmap(own)
             if int(key) not in seen:
                 seen.add(int(key))
                 pile.append(own)
@@ -109,7 +128,7 @@ def _stats(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordB
                 if held >= 4 * FLUSH:
                     yield from counts(pile)
                     pile, held = [], 0
-        yield rows(0, doc=batch.column("doc_id"), n=n, cid=cid)
+        yield rows(0, doc=batch.column("doc_id"), n=n, cid=cid, bits=bits)
     if pile:
         yield from counts(pile)
 
@@ -253,17 +272,77 @@ def _lists(batches: Iterator[pa.RecordBatch], percent: int, short: int) -> Itera
         )
 
 
-def _sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+def _close(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """The pairs whose bitmaps allow a link."""
     for batch in batches:
-        cids, blobs, size = [], [], 0
-        for _, own in shingle_sets(batch.column("text"), width):
-            cids.append(class_id(own) if len(own) else 0)
-            blobs.append(own.tobytes())
-            size += len(blobs[-1])
-            if size > 8 << 20:
-                yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(blobs, pa.binary())], names=["cid", "tokens"])
-                cids, blobs, size = [], [], 0
-        yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(blobs, pa.binary())], names=["cid", "tokens"])
+        an, bn = (batch.column(x).to_numpy() for x in ("an", "bn"))
+        most = an + bn - 2 * least_overlap(an, bn, percent)
+        keep = np.zeros(batch.num_rows, bool)
+        for i, (x, y) in enumerate(zip(batch.column("abits"), batch.column("bbits"), strict=True)):
+            p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+            while len(p) > len(q):
+                p = p[: len(p) // 2] ^ p[len(p) // 2 :]
+            while len(q) > len(p):
+                q = q[: len(q) // 2] ^ q[len(q) // 2 :]
+            keep[i] = int(np.bitwise_count(p ^ q).sum()) <= most[i]
+        yield batch.select(["a", "b", "adoc", "bdoc"]).filter(pa.array(keep))
+
+
+def _bloom_at(ids: np.ndarray, bits: int) -> list[np.ndarray]:
+    value = ids.astype(np.int64).view(np.uint64)
+    return [(mix(value + np.uint64(k * 0x9E3779B9 + 1)) & np.uint64((1 << bits) - 1)).astype(np.int64) for k in range(3)]
+
+
+def _bloom_blocks(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
+    """This task's share of a Bloom filter, in blocks (those with a bit set)."""
+    field = np.zeros((1 << bits) // 8, np.uint8)
+    for batch in batches:
+        for at in _bloom_at(batch.column("doc_id").to_numpy(), bits):
+            np.bitwise_or.at(field, at >> 3, (1 << (at & 7)).astype(np.uint8))
+    parts = field.reshape(-1, BLOOM_BLOCK)
+    used = np.flatnonzero(parts.any(axis=1))
+    yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array([parts[x].tobytes() for x in used], pa.binary())], names=["block", "bits"])
+
+
+def _bloom_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, part in zip(batch.column("block").to_pylist(), batch.column("bits"), strict=True):
+            own = np.frombuffer(part.as_buffer(), np.uint8)
+            total[block] = total[block] | own if block in total else own.copy()
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["block", "bits"])
+
+
+def _sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """(cid, tokens) of the documents with these ids, and of a few more."""
+    ids = checkpoint(ids.select("doc_id").distinct())
+    low, high = BLOOM_BITS
+    bits = min(max(low, (16 * ids.count()).bit_length()), high)
+    kind = "block int, bits binary"
+    field = np.zeros((1 << bits) // 8, np.uint8)
+    for r in ids.mapInArrow(lambda x: _bloom_blocks(x, bits), kind).repartition("block").mapInArrow(_bloom_joined, kind).collect():
+        field[r["block"] * BLOOM_BLOCK : (r["block"] + 1) * BLOOM_BLOCK] = np.frombuffer(r["bits"], np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(field)
+
+    def sets(batches):
+        names = ["cid", "tokens"]
+        for batch in batches:
+            inside = np.ones(batch.num_rows, bool)
+            for at in _bloom_at(batch.column("doc_id").to_numpy(), bits):
+                inside &= shared.value[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+            cids, blobs, size = [], [], 0
+            for _, own in shingle_sets(batch.column("text").filter(pa.array(inside)), width):
+                if not len(own):
+                    continue
+                cids.append(class_id(own))
+                blobs.append(own.tobytes())
+                size += len(blobs[-1])
+                if size > 8 << 20:
+                    yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(blobs, pa.binary())], names=names)
+                    cids, blobs, size = [], [], 0
+            yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(blobs, pa.binary())], names=names)
+
+    return docs.filter("doc_id IS NOT NULL").mapInArrow(sets, "cid bigint, tokens binary")
 
 
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -277,10 +356,14 @@ def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Reco
         yield batch.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets link."""
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """The pairs (a, b) of classes that link."""
+    side = lambda x: classes.select(F.col("cid").alias(x), F.col("n").alias(f"{x}n"), F.col("doc_id").alias(f"{x}doc"), F.col("bits").alias(f"{x}bits"))
+    known = pairs.join(side("a"), "a").join(side("b"), "b")
+    close = checkpoint(known.mapInArrow(lambda x: _close(x, percent), "a bigint, b bigint, adoc bigint, bdoc bigint"))
+    sets = _sets_of(docs, close.select(F.col("adoc").alias("doc_id")).unionByName(close.select(F.col("bdoc").alias("doc_id"))), width)
     rows = (
-        pairs.join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("at")), "a")
+        close.select("a", "b").join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("at")), "a")
         .join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("bt")), "b")
         .select("a", "b", "at", "bt")
     )
@@ -312,8 +395,9 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
     stats = checkpoint(docs.mapInArrow(lambda x: _stats(x, width), _STATS))
     members = stats.filter("kind = 0").select("doc_id", "n", "cid")
-    known = members.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = checkpoint(known.groupBy("cid", "n").agg(F.min("doc_id").alias("doc_id")))
+    known = stats.filter("kind = 0 AND n > 0 AND doc_id IS NOT NULL")
+    first = known.groupBy("cid", "n").agg(F.min(F.struct("doc_id", "bits")).alias("first"))
+    classes = checkpoint(first.select("cid", "n", "first.doc_id", "first.bits"))
     top = (
         stats.filter("kind = 1").groupBy("token").agg(F.sum("hits").alias("hits")).filter(F.col("hits") >= FREQUENT)
         .orderBy(F.desc("hits"), "token").limit(MOST_FREQUENT).collect()
@@ -333,10 +417,6 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
     short = lists.filter("kind = 0").groupBy("a", "b").agg(F.min("apos").alias("first"))
     long = lists.filter("kind = 1").select("token", "a", "an", "apos").distinct()
 
-    involved = lists.select(F.col("a").alias("cid")).unionByName(lists.filter("kind = 0").select(F.col("b").alias("cid"))).distinct()
-    wanted = classes.join(involved, "cid").select("doc_id", F.col("cid").alias("wanted"))
-    sets = checkpoint(docs.join(wanted, "doc_id").select("text").mapInArrow(lambda x: _sets(x, width), "cid bigint, tokens binary"))
-
     early = long.filter(F.col("apos") < FIRST_LINKS)
     centres = early.groupBy("token").agg(F.min(F.struct("a", "an", "apos")).alias("c"))
     need = lambda x, y: F.ceil(percent * (F.col(x) + F.col(y)) / (100 + percent) - F.lit(1e-9))
@@ -345,7 +425,7 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
         .filter((F.col("a") != F.col("b")) & (F.least(F.col("an") - F.col("apos"), F.col("bn") - F.col("bpos")) >= need("an", "bn")))
         .select("a", "b")
     )
-    links = _verified(short.filter("first = 0").select("a", "b").unionByName(star).distinct(), sets, percent)
+    links = _verified(short.filter("first = 0").select("a", "b").unionByName(star).distinct(), classes, docs, percent, width)
     near = checkpoint(components(links))
 
     # Whatever lies in different components, through short lists and long ones.
@@ -367,7 +447,7 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
         .filter(F.least(F.col("an") - F.col("apos"), F.col("bn") - F.col("bpos")) >= need("an", "bn"))
         .select("a", "b")
     )
-    rest = _verified(later.unionByName(across).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), sets, percent)
+    rest = _verified(later.unionByName(across).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), classes, docs, percent, width)
     label = components(links.unionByName(rest)).select(F.col("node").alias("cid"), F.col("component").alias("label"))
 
     groups = checkpoint(classes.join(label, "cid", "left").select("cid", "doc_id", F.coalesce("label", "cid").alias("label")))
