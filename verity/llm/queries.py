@@ -9,11 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verity.llm.common import table
+from verity.llm.exact_dedup import ORACLE as EXACT_DEDUP_ORACLE
+from verity.llm.exact_dedup import exact_dedup
 from verity.llm.line_dedup import ORACLE as LINE_DEDUP_ORACLE
 from verity.llm.line_dedup import line_dedup
 from verity.llm.ngram_join import ngram_components
 from verity.llm.packing import pack_documents
 from verity.llm.quality import score_quality
+from verity.llm.url_filter import judge_urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +37,11 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = line_dedup(table(spark, sf_dir, "documents"))
@@ -43,6 +51,14 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op8_line_dedup"] = LINE_DEDUP_ORACLE
 
 
+@query
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op9_exact_dedup"] = EXACT_DEDUP_ORACLE
+
+
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
