@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verity.llm.bpe import round_trip_digests
 from verity.llm.common import table
 from verity.llm.exact_dedup import ORACLE as EXACT_DEDUP_ORACLE
 from verity.llm.exact_dedup import exact_dedup
@@ -42,6 +43,12 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+@query
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return round_trip_digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = line_dedup(table(spark, sf_dir, "documents"))
