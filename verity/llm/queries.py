@@ -18,6 +18,8 @@ from verity.llm.ngram_join import ngram_components
 from verity.llm.packing import pack_documents
 from verity.llm.quality import score_quality
 from verity.llm.url_filter import judge_urls
+from verity.llm.warc import ORACLE as WARC_ORACLE
+from verity.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +45,14 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
 
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op6_warc"] = WARC_ORACLE
+
+
 @query
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
