@@ -46,8 +46,8 @@ FREQUENT = 8
 MOST_FREQUENT = 1 << 18
 #: Lists up to this length pair up at once; longer ones take the component-aware way.
 SHORT_LIST = 16
-#: Positions whose lists make the first links.
-FIRST_LINKS = 8
+#: First links come from so many lists of each class: its first in the global order.
+FIRST_LINKS = 4
 #: Sets above this size are heavy whatever the cost, which bounds the subsets of one set.
 LIGHT_BOUND = 24
 FLUSH = 300_000
@@ -417,8 +417,11 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
     short = lists.filter("kind = 0").groupBy("a", "b").agg(F.min("apos").alias("first"))
     long = lists.filter("kind = 1").select("token", "a", "an", "apos").distinct()
 
-    early = long.filter(F.col("apos") < FIRST_LINKS)
-    centres = early.groupBy("token").agg(F.min(F.struct("a", "an", "apos")).alias("c"))
+    # A group of copies has its frequent shingles after each copy's own; the copy with the fewest of
+    # its own, where the shingle comes first, is the most central.
+    order = Window.partitionBy("a").orderBy("apos", "token")
+    early = long.withColumn("k", F.row_number().over(order)).filter(F.col("k") <= FIRST_LINKS).drop("k")
+    centres = long.groupBy("token").agg(F.min(F.struct("apos", "a", "an")).alias("c"))
     need = lambda x, y: F.ceil(percent * (F.col(x) + F.col(y)) / (100 + percent) - F.lit(1e-9))
     star = (
         early.join(centres, "token").select(F.col("c.a").alias("a"), F.col("c.an").alias("bn"), F.col("c.apos").alias("bpos"), F.col("a").alias("b"), "an", "apos")
