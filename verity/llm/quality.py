@@ -6,7 +6,8 @@
    Sums are integers, so they do not depend on the order of tasks.  The tables have a fixed size
    (2 x ``BUCKETS`` x ``DIM``), so a task sends, and the driver gets, a bounded amount.
 2. *Pooling*: a document is the mean of its words' vectors from both tables, the mean of their
-   index vectors, that mean's squared norm (high where words repeat) and its log length.
+   index vectors, that mean's squared norm (high where words repeat), its log length and the share
+   of words whose index vector is that of the word before.
 3. *Network* (numpy): one hidden layer, trained on at most ``TRAIN_ROWS`` labelled documents that
    are not held out; a temperature fitted on a part set aside calibrates the probabilities.
 
@@ -26,13 +27,15 @@ from verity.llm.common import mix, word_slices
 
 BUCKETS = 1 << 14
 DIM = 64
-NONZERO = 4
+NONZERO = 2
 BLOCK_ROWS = 256
 #: Bound of the labelled documents that the network is trained on.
 TRAIN_ROWS = 20_000
 HIDDEN = 32
 THRESHOLD = 0.3
-FEATURES = 3 * DIM + 2
+#: Table entries that wait, for both tables and directions together, before they are counted.
+WAITING = 4_000_000
+FEATURES = 3 * DIM + 3
 
 
 def _index(value: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -48,26 +51,43 @@ def _rows(value: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """This task's share of both tables, in blocks."""
-    tables = [np.zeros(BUCKETS * DIM), np.zeros(BUCKETS * DIM)]
+    size = BUCKETS * DIM
+    tables = [np.zeros(size, np.int64), np.zeros(size, np.int64)]
+    # Entries wait until they are worth a count over a table: place, and size more if negative.
+    waiting: list[list[np.ndarray]] = [[], []]
+    held = 0
+
+    def count():
+        for table, places in zip(tables, waiting, strict=True):
+            if places:
+                found = np.bincount(np.concatenate(places), minlength=2 * size)
+                table += found[:size]
+                table -= found[size:]
+                places.clear()
+
     for batch in batches:
         for _, _, value, counts, tail in word_slices(batch.column("text"), lower=False, tails=True):
             if len(value) < 2:
                 continue
             doc = np.repeat(np.arange(len(counts)), counts)
-            rows = _rows(value, tail)
-            entries = [_index(value, k) for k in range(NONZERO)]
+            rows = [(row * DIM).astype(np.int32) for row in _rows(value, tail)]
+            entries = [(at + size * (sign < 0)).astype(np.int32) for at, sign in (_index(value, k) for k in range(NONZERO))]
             for gap in (1, 2):
                 if len(value) <= gap:
                     continue
-                same = doc[gap:] == doc[:-gap]
-                for table, row in zip(tables, rows, strict=True):
-                    left, right = row[:-gap][same] * DIM, row[gap:][same] * DIM
-                    for at, sign in entries:
-                        table += np.bincount(left + at[gap:][same], sign[gap:][same], BUCKETS * DIM)
-                        table += np.bincount(right + at[:-gap][same], sign[:-gap][same], BUCKETS * DIM)
+                left = np.flatnonzero(doc[gap:] == doc[:-gap])
+                for row, places in zip(rows, waiting, strict=True):
+                    for entry in entries:
+                        places.append(row[left] + entry[left + gap])
+                        places.append(row[left + gap] + entry[left])
+                        held += len(left)
+            if held >= WAITING:
+                count()
+                held = 0
+    count()
     blocks = BUCKETS // BLOCK_ROWS
     for t, table in enumerate(tables):
-        parts = table.astype(np.int64).reshape(blocks, -1)
+        parts = table.reshape(blocks, -1)
         used = np.flatnonzero(parts.any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array((t * blocks + used).astype(np.int32)), pa.array([parts[b].tobytes() for b in used], pa.binary())], names=["block", "sums"]
@@ -114,7 +134,9 @@ def pooled(column: pa.Array, tables: np.ndarray) -> np.ndarray:
             inside = np.flatnonzero((start < y) & (start + many > x))
             edges = np.maximum(start[inside], x) - x
             for t, row in enumerate(_rows(value[x:y], tail[x:y])):
-                own[full[inside], t * DIM : (t + 1) * DIM] += np.add.reduceat(tables[t][row], edges, axis=0)
+                vectors = tables[t][row]
+                for i, a, b in zip(full[inside].tolist(), edges.tolist(), [*edges[1:].tolist(), y - x], strict=True):
+                    own[i, t * DIM : (t + 1) * DIM] += vectors[a:b].sum(axis=0)
             who = np.repeat(np.arange(len(inside)), np.diff(np.append(edges, y - x)))
             sums = np.zeros(len(inside) * DIM)
             for k in range(NONZERO):
@@ -124,6 +146,9 @@ def pooled(column: pa.Array, tables: np.ndarray) -> np.ndarray:
         own[full, : 3 * DIM] /= many[:, None]
         own[full, 3 * DIM] = (own[full, 2 * DIM : 3 * DIM] ** 2).sum(axis=1)
         own[full, 3 * DIM + 1] = np.log1p(many)
+        doc = np.repeat(np.arange(len(counts)), counts)
+        alike = (value[1:] == value[:-1]) & (doc[1:] == doc[:-1])
+        own[:, 3 * DIM + 2] = np.bincount(doc[1:][alike], minlength=len(counts)) / np.maximum(counts, 1)
     return out
 
 
