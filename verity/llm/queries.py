@@ -8,10 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from verity.llm.ann import nearest
 from verity.llm.bpe import round_trip_digests
 from verity.llm.common import table
 from verity.llm.exact_dedup import ORACLE as EXACT_DEDUP_ORACLE
 from verity.llm.exact_dedup import exact_dedup
+from verity.llm.html_text import extract_text
 from verity.llm.line_dedup import ORACLE as LINE_DEDUP_ORACLE
 from verity.llm.line_dedup import line_dedup
 from verity.llm.ngram_join import ngram_components
@@ -35,6 +37,16 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op3_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
