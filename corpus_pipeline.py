@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from verity.llm.common import table
+from verity.llm.common import table, unused
 from verity.llm.line_dedup import line_dedup
 from verity.llm.ngram_join import keep_one
 from verity.llm.packing import pack_documents
@@ -27,9 +27,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without cross-site boilerplate lines; a document that had nothing else goes."""
-    cleaned = line_dedup(docs).filter("_left")
+    added = tuple(unused(docs.columns, x) for x in ("n_lines", "n_removed", "words_left"))
+    cleaned = line_dedup(docs, added=added).filter(F.col(added[2]))
     if "n_chars" in docs.columns:
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        chars = F.when(F.col(added[1]) > 0, F.length("text")).otherwise(F.col("n_chars"))
+        cleaned = cleaned.withColumn("n_chars", chars.cast(docs.schema["n_chars"].dataType))
     return cleaned.select(*docs.columns)
 
 

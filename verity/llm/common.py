@@ -33,6 +33,14 @@ def text_or_empty(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def unused(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column has it (in any case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (public splitmix64 constants), on a copy."""
     x = x.astype(np.uint64, copy=True)

@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verity.llm.common import unused
 from verity.session import checkpoint
 
 MIN_SITES = 10
@@ -91,31 +92,30 @@ def _without(batches: Iterator[pa.RecordBatch], text: str, gone: str, left: str,
         yield pa.RecordBatch.from_arrays(arrays, names=batch.schema.names)
 
 
-def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, site: str = "source") -> DataFrame:
+def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, site: str = "source", added: tuple[str, str, str] = ("n_lines", "n_removed", "words_left")) -> DataFrame:
     """``docs`` (doc_id, text, a site column; others pass through) with boilerplate lines taken out
-    of text, and three columns more: ``_lines`` (lines with words before), ``_removed`` (lines taken
-    out) and ``_left`` (false if that left a text without words).
+    of text, and three columns more, named by ``added``: lines with words before, lines taken out, and
+    whether words are left or no line was taken out.  ``added`` must not name columns of ``docs``.
 
     A null text stays null, with no lines.  A null site is none.  A row with a null doc_id never
     holds a line.  Rows that repeat a doc_id count as one document.  An empty table gives none.
     """
-    clash = {"_lines", "_removed", "_left", "_gone"} & set(docs.columns)
-    if clash:
-        raise ValueError(f"columns in use: {sorted(clash)}")
+    n_lines, n_removed, left = added
+    doc, gone = (unused([*docs.columns, *added], x) for x in ("doc", "gone"))
     lines = checkpoint(
-        docs.select(F.col("doc_id").alias("doc_id"), F.col(site).cast("string").alias("site"), F.explode(F.split("text", "\n")).alias("line"))
+        docs.select("doc_id", F.col(site).cast("string").alias("site"), F.explode(F.split("text", "\n")).alias("line"))
         .filter(F.col("line").rlike(WORD))
         .select("doc_id", "site", F.xxhash64("line").alias("line"))
     )
     spread = checkpoint(spread_lines(lines, min_sites))
-    gone = (
+    marks = (
         lines.join(spread, "line").filter(~F.col("doc_id").eqNullSafe(F.col("holder")))
-        .groupBy("doc_id").agg(F.collect_set("line").alias("_gone")).withColumnRenamed("doc_id", "_doc")
+        .groupBy(F.col("doc_id").alias(doc)).agg(F.collect_set("line").alias(gone))
     )
     full = F.size(F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD)))
     joined = (
-        docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
-        .withColumn("_lines", F.when(F.col("text").isNull(), 0).otherwise(full).cast("bigint"))
-        .withColumn("_removed", F.lit(0).cast("bigint")).withColumn("_left", F.lit(True))
+        docs.join(marks, F.col("doc_id").eqNullSafe(F.col(doc)), "left").drop(doc)
+        .withColumn(n_lines, F.when(F.col("text").isNull(), 0).otherwise(full).cast("bigint"))
+        .withColumn(n_removed, F.lit(0).cast("bigint")).withColumn(left, F.lit(True))
     )
-    return joined.mapInArrow(lambda x: _without(x, "text", "_gone", "_left", "_removed"), joined.schema).drop("_gone")
+    return joined.mapInArrow(lambda x: _without(x, "text", gone, left, n_removed), joined.schema).drop(gone)

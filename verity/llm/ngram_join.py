@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from verity.llm.common import mix, shingle_sets
+from verity.llm.common import mix, shingle_sets, unused
 from verity.llm.graph import components
 from verity.session import checkpoint
 
@@ -470,7 +470,7 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> Dat
     """
     kept = ngram_components(docs, percent, width).filter("doc_id = component_id").select("doc_id").distinct()
     by = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.length("text"))
-    mark = next(x for x in (f"_at{i}" for i in range(len(docs.columns) + 1)) if x not in docs.columns)
+    mark = unused(docs.columns, "place")
     rest = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
     one = rest.withColumn(mark, F.row_number().over(by)).filter(F.col(mark) == 1).drop(mark)
     return one.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))

@@ -73,8 +73,8 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = line_dedup(table(spark, sf_dir, "documents"))
-    return docs.select("doc_id", F.col("_lines").alias("n_lines"), F.col("_removed").alias("n_removed"), "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return line_dedup(docs).select("doc_id", "n_lines", "n_removed", "text")
 
 
 ORACLES["op8_line_dedup"] = LINE_DEDUP_ORACLE
