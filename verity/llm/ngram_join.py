@@ -9,7 +9,8 @@ A document's set holds its distinct 5-word shingles; two documents link when
 * *Heavy* sets scan inverted lists: each lists the first ``n - ceil(percent * n / 100) + 1`` of its
   shingles in one global order (rare before frequent), and a position bound prunes a list.
 * The boundary minimises the summed cost: keys enumerated against expected postings scanned, from
-  the histogram of small sizes and a 1-in-1024 hash sample of all shingles' list lengths.
+  the histogram of small sizes and the lengths of all lists, counted over all classes by 42 bits of a
+  shingle.  The same counts tell the frequent shingles.
 
 Equal sets are one class and enter once.  Short lists pair up directly.  In a long list (a
 frequent passage, a large group of copies) the classes first link to one centre per key; then only
@@ -42,8 +43,8 @@ WIDTH = 5
 PERCENT = 75
 #: Shingles listed by at least so many classes come last in the global order.
 FREQUENT = 8
-#: Bound of the frequent shingles sent to every task (8 bytes each).  It changes the order only.
-MOST_FREQUENT = 1 << 18
+#: Bound of the frequent shingles sent to every task (16 bytes each).  It changes the order only.
+MOST_FREQUENT = 1 << 20
 #: Lists up to this length pair up at once; longer ones take the component-aware way.
 SHORT_LIST = 16
 #: First links come from so many lists of each class: its first in the global order.
@@ -55,7 +56,7 @@ FLUSH = 300_000
 BLOOM_BITS = (20, 26)
 BLOOM_BLOCK = 1 << 16
 
-_STATS = "kind int, doc_id bigint, n bigint, cid bigint, token bigint, hits bigint, bits binary"
+_STATS = "kind int, doc_id bigint, n bigint, cid bigint, bits binary, bucket int, blob binary"
 _POSTINGS = "kind int, bucket int, blob binary"
 _LISTS = "kind int, token bigint, a bigint, an int, apos int, b bigint, bn int"
 
@@ -90,26 +91,27 @@ def bitmap(tokens: np.ndarray) -> bytes:
     return np.packbits(np.bincount(at, minlength=buckets).astype(np.uint8) & 1, bitorder="little").tobytes()
 
 
+def _code(token: np.ndarray) -> np.ndarray:
+    """The bits of a shingle by which its classes are counted: a bucket and 32 more."""
+    return token >> np.uint64(22)
+
+
 def _stats(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Kind 0: a row per document; 1: shingles met often; 2: every shingle of the hash sample."""
+    """Kind 0: a row per document; 1: how many classes of a part have each shingle, packed per bucket."""
     seen: set[int] = set()
+    names = ["kind", "doc_id", "n", "cid", "bits", "bucket", "blob"]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
 
-    def rows(kind, doc=None, n=None, cid=None, token=None, hits=None, bits=None):
-        m = len(doc) if doc is not None else len(token)
-        null = pa.nulls(m, pa.int64())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(m, kind, np.int32))]
-            + [null if x is None else pa.array(x, pa.int64()) for x in (doc, n, cid, token, hits)]
-            + [pa.array(bits, pa.binary()) if bits else pa.nulls(m, pa.binary())],
-            names=["kind", "doc_id", "n", "cid", "token", "hits", "bits"],
-        )
+    def rows(kind, m, **columns):
+        columns["kind"] = np.full(m, kind, np.int32)
+        return pa.RecordBatch.from_arrays([pa.array(columns[n], t) if n in columns else pa.nulls(m, t) for n, t in zip(names, kinds, strict=True)], names=names)
 
     def counts(pile):
-        token, hits = np.unique(np.concatenate(pile), return_counts=True)
-        sampled = token % np.uint64(1024) == 0
-        yield rows(2, token=token[sampled].view(np.int64), hits=hits[sampled])
-        often = hits >= 3
-        yield rows(1, token=token[often].view(np.int64), hits=hits[often])
+        code, hits = np.unique(_code(np.concatenate(pile)), return_counts=True)
+        bucket, code, hits = code >> np.uint64(32), code.astype(np.uint32), hits.astype(np.uint32)
+        edge = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        blobs = [code[x:y].tobytes() + hits[x:y].tobytes() for x, y in zip(edge, np.append(edge[1:], len(code)), strict=True)]
+        yield rows(1, len(edge), bucket=bucket[edge].astype(np.int32), blob=blobs)
 
     pile, held = [], 0
     for batch in batches:
@@ -128,17 +130,43 @@ def _stats(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordB
                 if held >= 4 * FLUSH:
                     yield from counts(pile)
                     pile, held = [], 0
-        yield rows(0, doc=batch.column("doc_id"), n=n, cid=cid, bits=bits)
+        yield rows(0, batch.num_rows, doc_id=batch.column("doc_id"), n=n, cid=cid, bits=bits)
     if pile:
         yield from counts(pile)
 
 
+def _counted(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """(code, hits) of the shingles that at least ``least`` classes have; and, code null, this
+    partition's number of postings and sum of squared list lengths."""
+    parts = []
+    for batch in batches:
+        for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob"), strict=True):
+            raw = blob.as_buffer()
+            m = len(raw) // 8
+            code = np.frombuffer(raw, np.uint32, m).astype(np.uint64) | np.uint64(bucket << 32)
+            parts.append((code, np.frombuffer(raw, np.uint32, m, 4 * m)))
+    if not parts:
+        return
+    code, hits = (np.concatenate(x) for x in zip(*parts, strict=True))
+    del parts
+    order = np.argsort(code, kind="stable")
+    code, hits = code[order], hits[order].astype(np.int64)
+    edge = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
+    code, hits = code[edge], np.add.reduceat(hits, edge)
+    often = hits >= least
+    null = pa.nulls(1, pa.int64())
+    names = ["code", "hits", "squares"]
+    yield pa.RecordBatch.from_arrays([null, pa.array([int(hits.sum())], pa.int64()), pa.array([int((hits * hits).sum())], pa.int64())], names=names)
+    yield pa.RecordBatch.from_arrays([pa.array(code[often].view(np.int64)), pa.array(hits[often]), pa.nulls(int(often.sum()), pa.int64())], names=names)
+
+
 def _ordered(own: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, int]:
     """``own`` with its frequent shingles last (least frequent first); how many are not frequent."""
     if not len(frequent):
         return own, len(own)
-    at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
-    hot = frequent[at] == own
+    code = _code(own)
+    at = np.minimum(np.searchsorted(frequent, code), len(frequent) - 1)
+    hot = frequent[at] == code
     if not hot.any():
         return own, len(own)
     late = own[hot][np.argsort(rank[at[hot]], kind="stable")]
@@ -370,11 +398,10 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
     return checkpoint(rows.mapInArrow(lambda x: _linked(x, percent), "a bigint, b bigint"))
 
 
-def _boundary(stats: DataFrame, classes: DataFrame, percent: int) -> int:
+def _boundary(counted: DataFrame, classes: DataFrame, percent: int) -> int:
     """The size up to which enumerating subsets costs less than scanning lists (both summed)."""
     sizes = {r["n"]: r["count"] for r in classes.filter(F.col("n") <= LIGHT_BOUND).groupBy("n").count().collect()}
-    hits = F.col("hits").cast("double")
-    row = stats.filter("kind = 2").groupBy("token").agg(F.sum("hits").alias("hits")).agg(F.sum(hits * hits), F.sum(hits)).first()
+    row = counted.filter("code IS NULL").agg(F.sum("squares").cast("double"), F.sum("hits").cast("double")).first()
     scanned = row[0] / row[1] if row[1] else 1.0
     best, cost, boundary = 0.0, 0.0, 0
     for n in range(1, LIGHT_BOUND + 1):
@@ -393,20 +420,19 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
+    buckets = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     stats = checkpoint(docs.mapInArrow(lambda x: _stats(x, width), _STATS))
     members = stats.filter("kind = 0").select("doc_id", "n", "cid")
     known = stats.filter("kind = 0 AND n > 0 AND doc_id IS NOT NULL")
     first = known.groupBy("cid", "n").agg(F.min(F.struct("doc_id", "bits")).alias("first"))
     classes = checkpoint(first.select("cid", "n", "first.doc_id", "first.bits"))
-    top = (
-        stats.filter("kind = 1").groupBy("token").agg(F.sum("hits").alias("hits")).filter(F.col("hits") >= FREQUENT)
-        .orderBy(F.desc("hits"), "token").limit(MOST_FREQUENT).collect()
-    )
-    token = np.array([r["token"] for r in top], np.int64).view(np.uint64)
-    order = np.argsort(token)
-    frequent = spark.sparkContext.broadcast((token[order], np.arange(len(token))[::-1][order].copy()))
-    boundary = _boundary(stats, classes, percent)
-    buckets = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed = stats.filter("kind = 1").select("bucket", "blob").repartition("bucket")
+    counted = checkpoint(packed.mapInArrow(lambda x: _counted(x, FREQUENT), "code bigint, hits bigint, squares bigint"))
+    top = counted.filter("code IS NOT NULL").orderBy(F.desc("hits"), "code").limit(MOST_FREQUENT).select("code").toArrow()
+    code = top.column("code").to_numpy().view(np.uint64)
+    order = np.argsort(code)
+    frequent = spark.sparkContext.broadcast((code[order], np.arange(len(code))[::-1][order].copy()))
+    boundary = _boundary(counted, classes, percent)
 
     def postings(batches):
         hot, rank = frequent.value
