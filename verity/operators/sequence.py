@@ -5,12 +5,15 @@ a row within its key" or "the last flagged row before this one".  A plain
 ``Window.partitionBy(key)`` sends every row of a key to one task, so one hot
 key holding a third of the data would run in a single task.
 
-Here each key's timeline is cut into chunks ``(key, bucket)`` where
-``bucket`` is a time bucket.  Windows run per chunk (many tasks for a hot
-key), a per-chunk summary (one row per chunk, map-side aggregated) carries
-offsets across chunks with a window over the summary only, and a join on
-``(key, bucket)`` applies them.  This is the classic two-level parallel
-prefix scan expressed with DataFrame operators.
+Here the rows are range-partitioned by (key, order) with sampled splitters, so
+every task gets about as many rows however they spread over keys and time, and
+a hot key is cut wherever a splitter falls.  Windows run per (key, partition).
+Only a key that spans partitions needs anything from other partitions, and a
+partition boundary cuts one key at most: the carried offsets are at most two
+rows per partition, whatever the data, and are joined as a broadcast.  The scan
+is materialized once, so the input is read and exchanged once for both.
+
+NULL keys and NULL order values are keys and values like others (NULL first).
 """
 
 from __future__ import annotations
@@ -20,50 +23,43 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_SECONDS = 3600
-
-
-def time_bucket(ts: Column | str, seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return F.floor(F.unix_micros(c.cast("timestamp")) / F.lit(int(seconds) * 1_000_000)).cast("long")
+from verity.session import checkpoint
 
 
 def keyed_scan(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    bucket: Column,
     lag_cols: Sequence[str] = (),
     lead_cols: Sequence[str] = (),
     flag: Column | None = None,
     prefix: str = "_",
     cumsum: str | None = None,
 ) -> DataFrame:
-    """Add ordered-scan columns per key, computed chunk-wise.
+    """Add ordered-scan columns per key; no row is dropped.
 
     Adds ``{prefix}pos`` (1-based position within ``keys`` by ``order``),
     ``{prefix}prev_<c>`` / ``{prefix}next_<c>`` (value of ``c`` on the previous
     / next row of the key) and, when ``flag`` is given, ``{prefix}lastflag``
     (position of the last row strictly before with ``flag`` true, else null)
     and, when ``cumsum`` names a numeric column, ``{prefix}csum`` (its sum over
-    the key's rows strictly before).
-
-    ``bucket`` must be non-decreasing in ``order`` within a key (a time bucket
-    of the leading order column).
+    the key's rows strictly before).  ``order`` should be a total order within
+    a key; a NULL flag counts as false.
     """
     keys = list(keys)
     order_cols = [F.col(c) for c in order]
-    b = f"{prefix}bucket"
-    df = df.withColumn(b, bucket)
+    part, lpos, off = f"{prefix}part", f"{prefix}lpos", f"{prefix}off"
     if flag is not None:
-        df = df.withColumn(f"{prefix}flag", flag)
-    chunk = Window.partitionBy(*keys, b).orderBy(*order_cols)
+        df = df.withColumn(f"{prefix}flag", F.coalesce(flag, F.lit(False)))
+    df = df.repartitionByRange(*[F.col(k) for k in keys], *order_cols).withColumn(part, F.spark_partition_id())
+    chunk = Window.partitionBy(*keys, part).orderBy(*order_cols)
     before = chunk.rowsBetween(Window.unboundedPreceding, -1)
 
-    lpos = f"{prefix}lpos"
     scanned = df.withColumn(lpos, F.row_number().over(chunk))
     for c in lag_cols:
         scanned = scanned.withColumn(f"{prefix}lag_{c}", F.lag(c).over(chunk))
+    if lead_cols:
+        scanned = scanned.withColumn(f"{prefix}ends", F.lead(F.lit(1)).over(chunk).isNull())
     for c in lead_cols:
         scanned = scanned.withColumn(f"{prefix}lead_{c}", F.lead(c).over(chunk))
     if flag is not None:
@@ -71,9 +67,8 @@ def keyed_scan(
             f"{prefix}lflag", F.max(F.when(F.col(f"{prefix}flag"), F.col(lpos))).over(before))
     if cumsum is not None:
         scanned = scanned.withColumn(f"{prefix}lsum", F.coalesce(F.sum(cumsum).over(before), F.lit(0)))
+    scanned = checkpoint(scanned)
 
-    # One summary row per chunk; same clustering as the chunk windows, so no
-    # extra exchange of the data is needed for it.
     okey = F.struct(*order_cols)
     aggs = [F.count(F.lit(1)).alias(f"{prefix}cnt")]
     aggs += [F.max_by(F.col(c), okey).alias(f"{prefix}last_{c}") for c in lag_cols]
@@ -82,55 +77,56 @@ def keyed_scan(
         aggs.append(F.max(F.when(F.col(f"{prefix}flag"), F.col(lpos))).alias(f"{prefix}mflag"))
     if cumsum is not None:
         aggs.append(F.coalesce(F.sum(cumsum), F.lit(0)).alias(f"{prefix}tsum"))
-    summary = scanned.groupBy(*keys, b).agg(*aggs)
+    summary = scanned.groupBy(*keys, part).agg(*aggs)
 
-    # Without keys this window runs over the chunk summary only (one row per
-    # time bucket), never over the data.
-    across = Window.partitionBy(*keys).orderBy(b) if keys else Window.orderBy(b)
+    # Without keys this window has one row per partition, never the data.
+    across = Window.partitionBy(*keys).orderBy(part) if keys else Window.orderBy(part)
     across_before = across.rowsBetween(Window.unboundedPreceding, -1)
-    off = f"{prefix}off"
-    summary = summary.withColumn(off, F.coalesce(F.sum(f"{prefix}cnt").over(across_before), F.lit(0)))
+    whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    summary = summary.withColumn(f"{prefix}parts", F.count(F.lit(1)).over(whole)) \
+        .withColumn(off, F.coalesce(F.sum(f"{prefix}cnt").over(across_before), F.lit(0)))
+    keep = [*keys, part, off]
     for c in lag_cols:
         summary = summary.withColumn(f"{prefix}plast_{c}", F.lag(f"{prefix}last_{c}").over(across))
+        keep.append(f"{prefix}plast_{c}")
     for c in lead_cols:
         summary = summary.withColumn(f"{prefix}nfirst_{c}", F.lead(f"{prefix}first_{c}").over(across))
+        keep.append(f"{prefix}nfirst_{c}")
     if flag is not None:
         summary = summary.withColumn(
             f"{prefix}gflag", F.max(F.col(off) + F.col(f"{prefix}mflag")).over(across_before))
+        keep.append(f"{prefix}gflag")
     if cumsum is not None:
         summary = summary.withColumn(
             f"{prefix}soff", F.coalesce(F.sum(f"{prefix}tsum").over(across_before), F.lit(0)))
-    keep = [*keys, b, off, f"{prefix}cnt"]
-    keep += [f"{prefix}plast_{c}" for c in lag_cols]
-    keep += [f"{prefix}nfirst_{c}" for c in lead_cols]
-    if flag is not None:
-        keep.append(f"{prefix}gflag")
-    if cumsum is not None:
         keep.append(f"{prefix}soff")
-    summary = summary.select(*keep)
-
-    out = scanned.join(summary, on=[*keys, b], how="inner")
-    out = out.withColumn(f"{prefix}pos", F.col(off) + F.col(lpos))
+    # Keys that span partitions: at most two rows per partition boundary.
+    carried = summary.filter(F.col(f"{prefix}parts") > 1).select(
+        *[F.col(c).alias(f"{prefix}s_{c}" if c in (*keys, part) else c) for c in keep])
+
+    on = scanned[part] == carried[f"{prefix}s_{part}"]
+    for k in keys:
+        on = on & scanned[k].eqNullSafe(carried[f"{prefix}s_{k}"])
+    out = scanned.join(F.broadcast(carried), on, "left").drop(*[f"{prefix}s_{c}" for c in (*keys, part)])
+    out = out.withColumn(off, F.coalesce(off, F.lit(0))).withColumn(f"{prefix}pos", F.col(off) + F.col(lpos))
+    drop = [part, lpos, off]
     for c in lag_cols:
         out = out.withColumn(
             f"{prefix}prev_{c}",
             F.when(F.col(lpos) == 1, F.col(f"{prefix}plast_{c}")).otherwise(F.col(f"{prefix}lag_{c}")))
+        drop += [f"{prefix}lag_{c}", f"{prefix}plast_{c}"]
     for c in lead_cols:
         out = out.withColumn(
             f"{prefix}next_{c}",
-            F.when(F.col(lpos) == F.col(f"{prefix}cnt"), F.col(f"{prefix}nfirst_{c}"))
-            .otherwise(F.col(f"{prefix}lead_{c}")))
+            F.when(F.col(f"{prefix}ends"), F.col(f"{prefix}nfirst_{c}")).otherwise(F.col(f"{prefix}lead_{c}")))
+        drop += [f"{prefix}lead_{c}", f"{prefix}nfirst_{c}", f"{prefix}ends"]
     if flag is not None:
         out = out.withColumn(
             f"{prefix}lastflag",
             F.coalesce(F.col(off) + F.col(f"{prefix}lflag"), F.col(f"{prefix}gflag")))
-    if cumsum is not None:
-        out = out.withColumn(f"{prefix}csum", F.col(f"{prefix}soff") + F.col(f"{prefix}lsum"))
-    drop = [b, lpos, off, f"{prefix}cnt"]
-    drop += [f"{prefix}lag_{c}" for c in lag_cols] + [f"{prefix}plast_{c}" for c in lag_cols]
-    drop += [f"{prefix}lead_{c}" for c in lead_cols] + [f"{prefix}nfirst_{c}" for c in lead_cols]
-    if flag is not None:
         drop += [f"{prefix}flag", f"{prefix}lflag", f"{prefix}gflag"]
     if cumsum is not None:
+        out = out.withColumn(
+            f"{prefix}csum", F.coalesce(F.col(f"{prefix}soff"), F.lit(0)) + F.col(f"{prefix}lsum"))
         drop += [f"{prefix}lsum", f"{prefix}soff"]
     return out.drop(*drop)

@@ -12,14 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from verity.functions.text import build_prompt, offline_answer
-from verity.operators.sequence import keyed_scan, time_bucket
+from verity.operators.sequence import keyed_scan
 from verity.sources.schemas import ISO_FORMAT
 from verity.sources.tables import table, utc
 
 # Fixed values of the views.
 QUESTION_CREATED_AT = "2024-01-01T00:00:00.000000Z"
 QUESTION_SOURCE = "traffic-generator"
-ERROR_ATTEMPT_CAP = 10
 ACCEPTED_EVENT_TYPES = ("purchase", "signup")
 
 
@@ -156,8 +155,8 @@ def v_log(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def v_errors(spark: SparkSession, root: str, bucket_seconds: int = 86400) -> DataFrame:
-    """Error events; attempts = position of the error per user, capped at 10."""
+def v_errors(spark: SparkSession, root: str) -> DataFrame:
+    """Error events; attempts = position of the error per user."""
     e = _events(spark, root).filter(F.col("event_type") == "error")
     e = e.select(
         e.event_id, utc("ts").alias("ts"), e.user_id,
@@ -167,22 +166,8 @@ def v_errors(spark: SparkSession, root: str, bucket_seconds: int = 86400) -> Dat
         F.lit("RuntimeError").alias("error_type"),
         e.props.alias("error_detail"),
     )
-    ranked = keyed_scan(e, ["user_id"], ["ts", "event_id"], time_bucket("ts", bucket_seconds))
-    return ranked.withColumn("attempts", F.least(F.col("_pos"), F.lit(ERROR_ATTEMPT_CAP)).cast("int")) \
-        .drop("_pos")
-
-
-def v_correlated(spark: SparkSession, root: str) -> DataFrame:
-    o = table(spark, root, "orders").select("o_orderkey", "o_orderdate")
-    li = table(spark, root, "lineitem").select("l_orderkey", "l_linenumber", "l_shipdate")
-    j = li.join(o, li.l_orderkey == o.o_orderkey)
-    j = j.filter(F.col("l_shipdate") >= F.col("o_orderdate"))
-    return j.select(
-        F.concat(F.col("o_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
-        .alias("message_id"),
-        utc("o_orderdate").alias("created_ts"),
-        utc("l_shipdate").alias("decided_ts"),
-    )
+    ranked = keyed_scan(e, ["user_id"], ["ts", "event_id"])
+    return ranked.withColumn("attempts", F.col("_pos").cast("int")).drop("_pos")
 
 
 def v_json(spark: SparkSession, root: str) -> DataFrame:
@@ -201,3 +186,29 @@ def v_json(spark: SparkSession, root: str) -> DataFrame:
         e.event_id.cast("string").alias("key"),
         F.when(e.event_id % 50 == 0, F.lit("{bad")).otherwise(F.to_json(body)).alias("value"),
     )
+
+
+def v_attempts_nulls(spark: SparkSession, root: str) -> DataFrame:
+    """``v_attempts`` with NULL keys, times and scores mixed in by event id."""
+    a = v_attempts(spark, root)
+    gap = lambda c, n, r: F.when(F.col("event_id") % n != r, F.col(c)).alias(c)
+    return a.select("trace_id", "event_id", gap("message_id", 11, 3), gap("ts", 13, 4), gap("score", 7, 2))
+
+
+def v_odd_validated(spark: SparkSession, root: str) -> DataFrame:
+    """``v_validated`` with times cut to ten minutes (ties), in two forms (with
+    and without a fraction), and some NULL question ids."""
+    v = v_validated(spark, root)
+    us = F.unix_micros("decided_ts")
+    cut = F.timestamp_micros(us - F.pmod(us, F.lit(600_000_000)))
+    whole = F.date_format(cut, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    at = F.when(F.col("message_id").cast("long") % 2 == 0, iso(cut)).otherwise(whole)
+    qid = F.when(F.col("message_id").cast("long") % 17 != 5, F.col("question_id"))
+    return v.withColumn("decided_at", at).withColumn("question_id", qid).drop("decided_ts")
+
+
+def v_attempt_pairs(spark: SparkSession, root: str) -> DataFrame:
+    """Several answers under one message id: all (user, assistant) turns of a conversation."""
+    p = v_pairs(spark, root)
+    return p.select(F.col("question_id").alias("message_id"), F.col("message_id").alias("turn_id"),
+                    "best_answer", "llm_answer")
