@@ -1,56 +1,92 @@
-"""Versioned snapshot tables for upserts without a MERGE-capable table format.
-
-A table is a folder of versions ``v=<n>`` (zero-padded), each a complete
-parquet snapshot written with ``_SUCCESS``.  Version ``n`` is derived from
-version < ``n`` plus micro-batch ``n``, and written with ``overwrite``; a
-replayed micro-batch therefore rewrites the same version from the same
-inputs instead of applying its counts twice.  Only folder names are listed
-on the driver; rows never pass through it.
+"""Versioned tables for upserts without a MERGE-capable table format.
+
+A table is a folder of deltas ``v=<n>`` (one per micro-batch, zero-padded) and
+bases ``base=<n>`` (everything up to batch ``n``), each a complete parquet
+folder with ``_SUCCESS``.  Its content is the newest base and the deltas after
+it, to be combined by the caller's mergeable aggregation.  A delta is written with
+``overwrite``, so a replayed micro-batch rewrites the same delta.  Compaction
+writes a base and then drops what the base before it already covers, so a
+reader that started before keeps its files for one more compaction.  Only
+folder names are listed on the driver (at most the deltas between two
+compactions and two bases); rows never pass through it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-_PREFIX = "v="
+_DELTA, _BASE = "v=", "base="
 _WIDTH = 12
 
 
-def _fs(spark: SparkSession, root: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+def _path(root: str, kind: str, version: int) -> str:
+    return f"{root.rstrip('/')}/{kind}{int(version):0{_WIDTH}d}"
 
 
 def version_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/{_PREFIX}{int(version):0{_WIDTH}d}"
+    return _path(root, _DELTA, version)
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete versions (with ``_SUCCESS``), ascending."""
-    p, fs = _fs(spark, root)
+def _listed(spark: SparkSession, root: str, kind: str) -> list[int]:
+    """Complete versions of a kind, ascending."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(p):
         return []
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(_PREFIX):
-            marker = spark._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")
-            if fs.exists(marker):
-                out.append(int(name[len(_PREFIX):]))
+        if st.isDirectory() and name.startswith(kind) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append(int(name[len(kind):]))
     return sorted(out)
 
 
-def latest_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
-    vs = [v for v in versions(spark, root) if before is None or v < before]
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Complete deltas, ascending."""
+    return _listed(spark, root, _DELTA)
+
+
+def latest_version(spark: SparkSession, root: str) -> int | None:
+    vs = versions(spark, root)
     return vs[-1] if vs else None
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
-    """The given version, or the newest complete one; None for an empty table."""
+    """The given delta, or the newest complete one; None for an empty table."""
     v = latest_version(spark, root) if version is None else version
     return None if v is None else spark.read.parquet(version_path(root, v))
 
 
-def write_version(df: DataFrame, root: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(version_path(root, version))
+def write_delta(df: DataFrame, root: str, version: int) -> None:
+    """Write delta ``version``; one that a base covers already is left alone."""
+    bases = _listed(df.sparkSession, root, _BASE)
+    if not bases or bases[-1] < version:
+        df.write.mode("overwrite").parquet(version_path(root, version))
+
+
+def current_parts(spark: SparkSession, root: str, upto: int | None = None) -> DataFrame | None:
+    """The rows of the newest base and of the deltas after it (up to ``upto``), to be combined."""
+    bases = [b for b in _listed(spark, root, _BASE) if upto is None or b <= upto]
+    first = bases[-1] if bases else -1
+    paths = [_path(root, _BASE, first)] if bases else []
+    paths += [version_path(root, v) for v in versions(spark, root) if v > first and (upto is None or v <= upto)]
+    return spark.read.parquet(*paths) if paths else None
+
+
+def compact(spark: SparkSession, root: str, upto: int, combine: Callable[[DataFrame], DataFrame]) -> None:
+    """Fold everything up to delta ``upto`` into a base; drop what the base before it covers."""
+    before = [b for b in _listed(spark, root, _BASE) if b < upto]
+    parts = current_parts(spark, root, upto)
+    if parts is None or upto in _listed(spark, root, _BASE):
+        return
+    combine(parts).write.mode("overwrite").parquet(_path(root, _BASE, upto))
+    if not before:
+        return
+    fs = spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    old = [_path(root, _BASE, b) for b in before[:-1]]
+    old += [version_path(root, v) for v in versions(spark, root) if v <= before[-1]]
+    for path in old:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(path), True)
