@@ -1,9 +1,9 @@
 """Analytics over logs, decisions and correlated stages.
 
 All of it is aggregation with map-side partial aggregation (counts, sums,
-min/max), so hot keys or hot windows never put their rows in one task.  The
-exact percentiles use distributed histogram refinement: only bucket counts
-(bounded) reach the driver, never the values themselves.
+min/max), so hot keys or hot windows never put their rows in one task.  Exact
+percentiles place counted values by a range-partitioned running sum.  Results
+are not rounded here; the registered queries round what they compare.
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from verity.functions.text import sanitize_fragment
-from verity.operators.sequence import DEFAULT_BUCKET_SECONDS, keyed_scan, time_bucket
+from verity.operators.sequence import keyed_scan
+from verity.session import checkpoint
 
 # Thresholds of the sweep (the three defaults of the reference
 # and a grid around them), retry backoff defaults, window size.
@@ -23,6 +24,8 @@ SWEEP_THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.65, 0.7, 0.8, 0.9)
 BACKOFF_BASE_SECONDS = 1.0
 BACKOFF_JITTER_SECONDS = 0.5
 THROUGHPUT_WINDOW = "1 hour"
+#: About 3,000 years; times end with the year 9999.
+LONGEST_DELAY_SECONDS = 1e11
 
 
 def status_counts(log: DataFrame, status: str = "status") -> DataFrame:
@@ -41,7 +44,7 @@ def threshold_sweep(scored: DataFrame, score: str = "score",
     s = F.col(score)
     aggs = []
     for i, t in enumerate(thresholds):
-        acc = s >= F.lit(t)
+        acc = F.coalesce(s >= F.lit(t), F.lit(False))
         aggs += [F.count_if(acc).alias(f"a{i}"), F.count_if(~acc).alias(f"r{i}"),
                  F.sum(F.when(acc, s)).alias(f"s{i}")]
     row = scored.agg(F.count(F.lit(1)).alias("n"), *aggs)
@@ -51,8 +54,8 @@ def threshold_sweep(scored: DataFrame, score: str = "score",
     out = row.select("n", F.inline(F.array(*structs)))
     return out.select(
         "threshold", "accepted", "regenerated",
-        F.round(F.col("regenerated") / F.col("n"), 6).alias("regeneration_rate"),
-        F.round(F.col("_s") / F.col("accepted"), 6).alias("accepted_mean_score"))
+        (F.col("regenerated") / F.col("n")).alias("regeneration_rate"),
+        F.when(F.col("accepted") > 0, F.col("_s") / F.col("accepted")).alias("accepted_mean_score"))
 
 
 def message_latency(created: DataFrame, decided: DataFrame, key: str = "message_id",
@@ -66,77 +69,40 @@ def message_latency(created: DataFrame, decided: DataFrame, key: str = "message_
     return j.select(key, *keep, ms.cast("long").alias("latency_ms"))
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], buckets: int = 4096,
-                    final_rows: int = 200_000) -> dict[float, float | None]:
-    """Exact linear-interpolation quantiles (as ``percentile`` / ``quantile_cont``).
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> DataFrame:
+    """One row of exact linear-interpolation quantiles (as ``percentile`` / ``quantile_cont``), columns q0, q1, ...
 
-    Order statistics are found by histogram refinement: count rows per value
-    bucket (a distributed aggregate returning at most ``buckets`` rows), keep
-    the bucket holding the rank, repeat inside it until it holds at most
-    ``final_rows`` distinct values, then read those value counts.  All ranks
-    that fall in the same range share each refinement step, so a column with
-    few distinct values is answered by one count per value.
+    Rows are counted per distinct value (map-side partials), and a running sum
+    of the counts over sampled value ranges places every value's ranks; the
+    values that hold a wanted rank are picked by a conditional maximum.  No
+    value reaches the driver (the row count does), and no task holds the
+    column.  NULLs are ignored; NaN is the largest value.  Without rows all
+    quantiles are NULL.
     """
-    x = df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull()).persist()
-    try:
-        n = x.count()
-        if n == 0:
-            return {p: None for p in probs}
-        needed = {}
-        for p in probs:
-            h = (n - 1) * p
-            needed[p] = (math.floor(h), math.ceil(h), h - math.floor(h))
-        ranks = sorted({r for lo, hi, _ in needed.values() for r in (lo, hi)})
-        values: dict[int, float] = {}
-        _order_statistics(x, ranks, F.lit(True), 0, buckets, final_rows, values)
-        return {p: values[lo] + frac * (values[hi] - values[lo]) for p, (lo, hi, frac) in needed.items()}
-    finally:
-        x.unpersist()
-
-
-def _order_statistics(x: DataFrame, ranks: list[int], cond, below: int, buckets: int, final_rows: int,
-                      out: dict[int, float]) -> None:
-    """Fill ``out[r]`` for the 0-based ``ranks`` (sorted), all lying in the rows
-    of ``x`` matching ``cond``, with ``below`` rows of smaller value outside."""
-    part = x.filter(cond)
-    stats = part.agg(F.min("x"), F.max("x"), F.count_distinct("x")).first()
-    lo, hi, distinct = stats[0], stats[1], stats[2]
-    if distinct <= final_rows or lo == hi:
-        counts = part.groupBy("x").count().orderBy("x").collect()
-        pending = list(ranks)
-        seen = below
-        for row in counts:
-            seen += row["count"]
-            while pending and pending[0] < seen:
-                out[pending.pop(0)] = row["x"]
-        for r in pending:
-            out[r] = counts[-1]["x"]
-        return
-    width = (hi - lo) / buckets
-    idx = F.least(F.floor((F.col("x") - F.lit(lo)) / F.lit(width)), F.lit(buckets - 1))
-    hist = part.groupBy(idx.alias("b")).count().orderBy("b").collect()
-    pending = list(ranks)
-    seen = below
-    for row in hist:
-        inside = [r for r in pending if r < seen + row["count"]]
-        if inside:
-            _order_statistics(x, inside, cond & (idx == F.lit(row["b"])), seen, buckets, final_rows, out)
-            pending = pending[len(inside):]
-        seen += row["count"]
-        if not pending:
-            break
+    counts = checkpoint(df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
+                        .groupBy("x").agg(F.count(F.lit(1)).alias("n")))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    placed = keyed_scan(counts, [], ["x"], cumsum="n").withColumn("_to", F.col("_csum") + F.col("n"))
+    picks, out = [], []
+    for i, p in enumerate(probs):
+        h = max(total - 1, 0) * p
+        lo, hi = math.floor(h), math.ceil(h)
+        for name, rank in ((f"lo{i}", lo), (f"hi{i}", hi)):
+            inside = (F.col("_csum") <= F.lit(rank)) & (F.lit(rank) < F.col("_to"))
+            picks.append(F.max(F.when(inside, F.col("x"))).alias(name))
+        gap = F.lit(h - lo) * (F.col(f"hi{i}") - F.col(f"lo{i}"))
+        out.append(F.when(F.col(f"lo{i}") == F.col(f"hi{i}"), F.col(f"lo{i}")).otherwise(F.col(f"lo{i}") + gap).alias(f"q{i}"))
+    return placed.agg(*picks).select(*out)
 
 
 def latency_summary(latency: DataFrame, col: str = "latency_ms") -> DataFrame:
-    """Count, mean, max and exact p50 / p95 of message latency."""
-    q = exact_quantiles(latency, col, (0.5, 0.95))
-    return latency.agg(
-        F.count(F.col(col)).alias("n"),
-        F.round(F.avg(col), 6).alias("mean_ms"),
-        F.max(col).cast("double").alias("max_ms"),
-    ).select("n", "mean_ms", "max_ms",
-             F.round(F.lit(q[0.5]).cast("double"), 6).alias("p50_ms"),
-             F.round(F.lit(q[0.95]).cast("double"), 6).alias("p95_ms"))
+    """Count, mean, max and exact p50 / p95 of message latency (unrounded)."""
+    values = checkpoint(latency.select(F.col(col).cast("double").alias("x")))
+    stats = values.agg(F.count("x").alias("n"), F.avg("x").alias("mean_ms"), F.max("x").alias("max_ms"))
+    ranks = exact_quantiles(values, "x", (0.5, 0.95))
+    # Two one-row frames, joined on a constant.
+    return stats.withColumn("_k", F.lit(1)).join(ranks.withColumn("_k", F.lit(1)), "_k") \
+        .select("n", "mean_ms", "max_ms", F.col("q0").alias("p50_ms"), F.col("q1").alias("p95_ms"))
 
 
 def throughput_windows(log: DataFrame, ts: str = "timestamp", size: str = THROUGHPUT_WINDOW) -> DataFrame:
@@ -155,18 +121,16 @@ def interarrival_stats(log: DataFrame, key: str = "question_id", ts: str = "time
     us = F.unix_micros(F.col(ts).cast("timestamp"))
     g = log.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(us).alias("_f"), F.max(us).alias("_l"))
     mean = F.when(F.col("n") > 1, (F.col("_l") - F.col("_f")) / 1e6 / (F.col("n") - 1))
-    # Millisecond resolution: a mean of microsecond stamps often ends in a
-    # half microsecond, where 6-decimal rounding depends on summation order.
-    return g.select(key, "n", F.round(mean, 3).alias("mean_gap_s"),
-                    F.round(1 / mean, 9).alias("rate_per_s"))
+    return g.select(key, "n", mean.alias("mean_gap_s"), F.when(mean > 0, 1 / mean).alias("rate_per_s"))
 
 
 def interarrival_gaps(log: DataFrame, key: str = "question_id", ts: str = "timestamp",
-                      tiebreak: str = "message_id", bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Per request: seconds since the previous request of the same key (NULL for the first).
-    The previous row comes from a chunked scan, so a hot key spans many tasks."""
+                      tiebreak: str = "message_id") -> DataFrame:
+    """Per request: seconds since the previous request of the same key (NULL for the first
+    and where either time is NULL).  The previous row comes from a range-partitioned scan,
+    so a hot key spans many tasks."""
     d = log.withColumn("_us", F.unix_micros(F.col(ts).cast("timestamp")))
-    s = keyed_scan(d, [key], [ts, tiebreak], time_bucket(ts, bucket_seconds), lag_cols=["_us"])
+    s = keyed_scan(d, [key], [ts, tiebreak], lag_cols=["_us"])
     gap = (F.col("_us") - F.col("_prev__us")) / 1e6
     return s.withColumn("gap_s", gap).drop("_us", "_prev__us", "_pos")
 
@@ -175,18 +139,33 @@ def error_backoff(errors: DataFrame, ts: str = "ts", attempts: str = "attempts",
                   base: float = BACKOFF_BASE_SECONDS, jitter: float = BACKOFF_JITTER_SECONDS,
                   seed: int = 7) -> DataFrame:
     """Error records with exponential backoff: delay = base * 2^(attempts-1) + U(0, jitter);
-    ``retry_at`` is cut to whole seconds (UTC, ISO with Z)."""
+    ``retry_at`` is cut to whole seconds (UTC, ISO with Z).
+
+    There is no cap on the attempts.  A delay of ``LONGEST_DELAY_SECONDS`` or more
+    leads beyond the years a time can have: its ``retry_at`` is NULL (never)."""
     delay = F.lit(base) * F.pow(F.lit(2.0), F.col(attempts) - 1)
     if jitter > 0:
         delay = delay + F.rand(seed) * F.lit(jitter)
-    retry_us = F.unix_micros(F.col(ts).cast("timestamp")) + (F.col("delay_s") * 1_000_000).cast("long")
+    ours = F.when(F.col("delay_s") < LONGEST_DELAY_SECONDS, F.col("delay_s"))
+    retry_us = F.unix_micros(F.col(ts).cast("timestamp")) + (ours * 1_000_000).cast("long")
     return errors.withColumn("delay_s", delay).withColumn(
         "retry_at", F.date_format(F.timestamp_seconds(F.floor(retry_us / 1_000_000)), "yyyy-MM-dd'T'HH:mm:ss'Z'"))
 
 
-def sample_questions(questions: DataFrame, fraction: float = 1.0, seed: int = 42) -> DataFrame:
-    """Draw questions with replacement (each row is picked Poisson(fraction) times)."""
-    return questions.sample(withReplacement=True, fraction=fraction, seed=seed)
+def sample_questions(questions: DataFrame, n: int, seed: int = 42, order: str = "question_id") -> DataFrame:
+    """``n`` draws with replacement: ``draw`` (0 to n - 1) and the question it picked.
+
+    Draw i picks the row at position md5(seed, i) mod N in ``order``, so the
+    same seed gives the same draws on any engine.  Without questions there are none.
+    """
+    placed = checkpoint(keyed_scan(questions, [], [order]))
+    total = placed.count()
+    if not total:
+        return placed.select(F.lit(0).cast("long").alias("draw"), *questions.columns)
+    digits = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col("draw").cast("string"))), 1, 15)
+    draws = questions.sparkSession.range(n).select(F.col("id").alias("draw")).select(
+        "draw", (F.conv(digits, 16, 10).cast("long") % F.lit(total) + 1).alias("_pos"))
+    return draws.join(placed, "_pos").select("draw", *questions.columns)
 
 
 def run_label(dist: Column, total: Column, params: Sequence[tuple[str, Column]]) -> Column:

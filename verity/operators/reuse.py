@@ -8,14 +8,9 @@
 * ``ttl_anchors`` decides, per key, which requests refresh the entry (misses)
   under a time-to-live: the first request stores at t0, later ones within
   ``ttl`` are hits, the first one after ``t0 + ttl`` is a miss and restarts.
-  The chain of refreshes is inherently sequential per key; it is evaluated
-  with pointer doubling so no task ever holds a whole key:
-    1. ``next(r)`` = first request of the key later than ``t_r + ttl``, by an
-       as-of lookup inside (key, ttl-chunk) partitions plus a per-chunk
-       summary for chunks without a candidate;
-    2. the refresh chain of a key is the path from its first request along
-       ``next``; it is enumerated in ceil(log2(longest chain)) rounds of
-       joins (A <- A u J(A); J <- J o J), each checkpointed.
+  Gaps longer than the ttl cut a key into independent segments; the chain
+  inside a segment that outlasts the ttl is enumerated by pointer doubling,
+  so no task ever holds a whole key.
 * ``reuse_distance`` counts, for each repeat request, the distinct other keys
   requested since the previous request of the same key (LRU stack distance),
   as an exact 2D dominance count over dyadic position blocks; an LRU cache
@@ -27,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from verity.operators.sequence import DEFAULT_BUCKET_SECONDS, keyed_scan, time_bucket
+from verity.operators.sequence import keyed_scan
 from verity.session import checkpoint
 
 # Answer-cache defaults (policy LRU, 1024 entries, 3600 s).
@@ -43,11 +38,20 @@ def usable_answers(store: DataFrame, answer: str = "respuesta_llm") -> DataFrame
     return store.filter(F.coalesce(F.length(F.col(answer)), F.lit(0)) > 0)
 
 
+def first_stored(store: DataFrame, key: str = "id_pregunta") -> DataFrame:
+    """One row per key of a store that may repeat keys: the newest, else the least answer."""
+    order = [F.try_to_timestamp(F.col("ultima_actualizacion")).desc_nulls_last()] \
+        if "ultima_actualizacion" in store.columns else []
+    w = Window.partitionBy(key).orderBy(*order, "respuesta_llm")
+    return store.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+
+
 def hit_projection(joined: DataFrame, source: Column | str = SOURCE_STORAGE,
-                   decided_at: str = "created_at") -> DataFrame:
+                   decided_at: Column | str = "created_at") -> DataFrame:
     """Request + stored result -> validated record.  Stored values always win
     (absent text -> "", score -> 0.0, accepted -> false); attempts come from
-    the request."""
+    the request.  ``decided_at``: a column for replayable batch runs; streams
+    pass the time of the decision."""
     src = F.lit(source) if isinstance(source, str) else source
     return joined.select(
         "message_id", "trace_id", "question_id",
@@ -59,7 +63,7 @@ def hit_projection(joined: DataFrame, source: Column | str = SOURCE_STORAGE,
         F.coalesce(F.col("aceptado").cast("boolean"), F.lit(False)).alias("accepted"),
         src.alias("source"),
         F.col("attempts").cast("int").alias("attempts"),
-        F.col(decided_at).alias("decided_at"),
+        (F.col(decided_at) if isinstance(decided_at, str) else decided_at).alias("decided_at"),
     )
 
 
@@ -67,12 +71,15 @@ _STORE_COLS = ["id_pregunta", "pregunta", "contenido", "respuesta_dataset", "res
                "score", "aceptado"]
 
 
-def reuse_lookup(requests: DataFrame, store: DataFrame, source: str = SOURCE_STORAGE) -> DataFrame:
+def reuse_lookup(requests: DataFrame, store: DataFrame, source: str = SOURCE_STORAGE,
+                 decided_at: Column | str = "created_at") -> DataFrame:
     """Requests that find a usable stored answer, as validated records.
 
-    ``store`` is keyed by ``id_pregunta`` (an upsert target, so unique)."""
-    s = usable_answers(store.select(*_STORE_COLS)).withColumnRenamed("id_pregunta", "question_id")
-    return hit_projection(requests.join(s, "question_id", "inner"), source)
+    A store that repeats a question id gives its first match only (``first_stored``)."""
+    extra = [c for c in ("ultima_actualizacion",) if c in store.columns]
+    s = first_stored(usable_answers(store.select(*_STORE_COLS, *extra))).drop(*extra)
+    joined = requests.join(s.withColumnRenamed("id_pregunta", "question_id"), "question_id", "inner")
+    return hit_projection(joined, source, decided_at)
 
 
 def reuse_misses(requests: DataFrame, store: DataFrame) -> DataFrame:
@@ -84,28 +91,29 @@ def reuse_misses(requests: DataFrame, store: DataFrame) -> DataFrame:
 
 # --- time-to-live ---------------------------------------------------------------
 
-def _next_pointers(rows: DataFrame, width_us: int) -> DataFrame:
-    """(id, nxt): first row of the same key with time > t + ttl, else NULL."""
-    first = F.min_by("id", F.struct("us", "tb"))
-    summary = rows.groupBy("k", "c").agg(first.alias("first_id"))
-    w = Window.partitionBy("k").orderBy("c")
-    fallback = summary.select(
-        "k", "c",
-        F.when(F.lead("c", 1).over(w) >= F.col("c") + 2, F.lead("first_id", 1).over(w))
-        .otherwise(F.lead("first_id", 2).over(w)).alias("fb"))
-
-    targets = rows.select("k", "c", F.col("us").alias("x"), F.lit(0).alias("kind"), "tb",
-                          F.col("id").alias("tid"), F.lit(None).cast(rows.schema["id"].dataType).alias("pid"))
-    probes = rows.select("k", (F.col("c") + 1).alias("c"), (F.col("us") + F.lit(width_us)).alias("x"),
-                         F.lit(1).alias("kind"), "tb",
-                         F.lit(None).cast(rows.schema["id"].dataType).alias("tid"), F.col("id").alias("pid"))
-    wd = Window.partitionBy("k", "c").orderBy(F.desc("x"), F.desc("kind"), F.desc("tb")) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    asof = targets.unionByName(probes).withColumn("asof", F.last("tid", ignorenulls=True).over(wd)) \
-        .filter(F.col("kind") == 1) \
-        .select("k", (F.col("c") - 1).alias("c"), F.col("pid").alias("id"), "asof")
-    return asof.join(fallback, ["k", "c"], "left") \
-        .select("id", F.coalesce("asof", "fb").alias("nxt"))
+def _dense_chain(rows: DataFrame, width_us: int) -> DataFrame:
+    """(k, pos) of the refreshing rows after the first in segments longer than the ttl.
+
+    ``rows``: k, seg, pos, us, size, where a segment's rows have consecutive
+    positions from ``seg`` on.  A row's successor is the first of its segment
+    later than ``us + ttl``; its place is the number of rows up to then, a
+    running count over rows and probes.  The chain from the segment's first
+    row is enumerated by pointer doubling on positions.
+    """
+    rows = rows.withColumn("w", F.lit(1))
+    targets = rows.select("k", "seg", F.col("us").alias("x"), F.lit(0).alias("kind"), "pos", "size", "w")
+    probes = rows.select("k", "seg", (F.col("us") + F.lit(width_us)).alias("x"), F.lit(1).alias("kind"), "pos", "size",
+                         F.lit(0).alias("w"))
+    counted = keyed_scan(targets.unionByName(probes), ["k", "seg"], ["x", "kind", "pos"], prefix="_s_", cumsum="w")
+    jump = checkpoint(counted.filter((F.col("kind") == 1) & (F.col("_s_csum") < F.col("size")))
+                      .select("k", "pos", (F.col("seg") + F.col("_s_csum")).alias("nxt")))
+    reached = checkpoint(rows.filter("pos = seg").select("k", "pos"))
+    while jump.head(1):
+        step = reached.join(jump, ["k", "pos"]).select("k", F.col("nxt").alias("pos"))
+        reached = checkpoint(reached.unionByName(step).distinct())
+        onward = jump.select("k", F.col("pos").alias("nxt"), F.col("nxt").alias("_to"))
+        jump = checkpoint(jump.join(onward, ["k", "nxt"]).select("k", "pos", F.col("_to").alias("nxt")))
+    return reached
 
 
 def anchor_ids(df: DataFrame, key: str, ts: str, tiebreak: str, id_col: str,
@@ -114,32 +122,33 @@ def anchor_ids(df: DataFrame, key: str, ts: str, tiebreak: str, id_col: str,
 
     ``id_col`` must be unique per row; order within a key is (ts, tiebreak).
     ``ttl_seconds <= 0`` never expires: only each key's first request refreshes.
+
+    A request later than the ttl after the previous one of its key refreshes
+    whatever came before, so gaps cut a key into segments, each led by an
+    anchor.  Only segments that last longer than the ttl hold further ones;
+    their rows alone go through the pointer doubling, whose rounds grow with the
+    logarithm of a segment's refreshes.  A NULL time refreshes and leads
+    nothing; a NULL key is a key.
     """
-    # Four narrow columns, materialized once: the heads, the jump pointers and
-    # the chain bound all read them, so the input plan runs once.
-    rows = checkpoint(df.select(F.col(key).alias("k"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
-                                F.col(tiebreak).alias("tb"), F.col(id_col).alias("id")))
-    heads = rows.groupBy("k").agg(F.min_by("id", F.struct("us", "tb")).alias("id")).select("id")
-    anchors = heads
-    if ttl_seconds > 0:
-        width = int(round(ttl_seconds * 1_000_000))
-        rows = rows.withColumn("c", F.floor(F.col("us") / F.lit(width)).cast("long"))
-        jump = checkpoint(_next_pointers(rows, width).filter(F.col("nxt").isNotNull()))
-        # At most one refresh per ttl-wide chunk, so the number of non-empty
-        # chunks of a key bounds its chain length (a single scalar).
-        longest = rows.groupBy("k").agg(F.count_distinct("c").alias("n")) \
-            .agg(F.max("n")).first()[0] or 0
-        anchors = checkpoint(heads)
-        covered = 1
-        while covered < longest:
-            step = anchors.join(jump, "id").select(F.col("nxt").alias("id"))
-            anchors = checkpoint(anchors.unionByName(step))
-            covered *= 2
-            if covered < longest:
-                a, b = jump.alias("a"), jump.alias("b")
-                jump = checkpoint(a.join(b, F.col("a.nxt") == F.col("b.id"))
-                                  .select(F.col("a.id").alias("id"), F.col("b.nxt").alias("nxt")))
-    return anchors
+    name = F.coalesce(F.concat(F.lit("k"), F.col(key).cast("string")), F.lit("n"))
+    rows = df.select(name.alias("k"), F.unix_micros(F.col(ts).cast("timestamp")).alias("us"),
+                     F.col(tiebreak).alias("tb"), F.col(id_col).alias("id"))
+    if ttl_seconds <= 0:
+        return rows.groupBy("k").agg(F.min_by("id", F.struct("us", "tb")).alias("id")).select("id")
+    width = int(round(ttl_seconds * 1_000_000))
+    placed = keyed_scan(rows, ["k"], ["us", "tb"], lag_cols=["us"])
+    heads = F.coalesce(F.col("us") - F.col("_prev_us") > F.lit(width), F.lit(True))
+    placed = placed.select("k", "us", "tb", "id", F.col("_pos").alias("pos"), heads.alias("leads"))
+    cut = keyed_scan(placed, ["k"], ["pos"], flag=F.col("leads"))
+    cut = cut.select("k", "us", "id", "pos", "leads", F.when(F.col("leads"), F.col("pos")).otherwise(F.col("_lastflag")).alias("seg"))
+    cut = checkpoint(cut)
+    spans = cut.groupBy("k", "seg").agg((F.max("us") - F.min("us")).alias("span"), F.count(F.lit(1)).alias("size"))
+    dense = checkpoint(cut.join(spans.filter(F.col("span") > width).select("k", "seg", "size"), ["k", "seg"]))
+    anchors = cut.filter("leads").select("id")
+    if not dense.head(1):
+        return anchors
+    chain = _dense_chain(dense.select("k", "seg", "pos", "us", "size"), width)
+    return anchors.unionByName(dense.filter("NOT leads").join(chain, ["k", "pos"]).select("id"))
 
 
 def ttl_anchors(df: DataFrame, key: str, ts: str, tiebreak: str, id_col: str,
@@ -163,7 +172,7 @@ def route_requests(requests: DataFrame, store: DataFrame, ttl_seconds: float = C
     """Three-way route: ``storage`` (store hit that (re)fills the cache),
     ``cache`` (served by the cached entry within ttl), ``llm`` (no usable answer)."""
     keys = usable_answers(store.select("id_pregunta", "respuesta_llm")).select(
-        F.col("id_pregunta").alias(key), F.lit(True).alias("_stored"))
+        F.col("id_pregunta").alias(key), F.lit(True).alias("_stored")).distinct()
     marked = requests.join(keys, key, "left")
     stored = marked.filter(F.col("_stored").isNotNull())
     flagged = anchor_ids(stored.select(key, ts, tiebreak, id_col), key, ts, tiebreak, id_col, ttl_seconds) \
@@ -181,53 +190,52 @@ def hit_rate(routed: DataFrame) -> DataFrame:
         F.count_if(F.col("route") == SOURCE_CACHE).alias("cache_hits"),
         F.count_if(F.col("route") == SOURCE_STORAGE).alias("storage_hits"),
         F.count_if(~hit).alias("misses"),
-        F.round(F.avg(hit.cast("double")), 6).alias("hit_rate"),
+        F.avg(hit.cast("double")).alias("hit_rate"),
     )
 
 
 # --- recency (LRU stack distance) ---------------------------------------------------
 
 def reuse_distance(requests: DataFrame, key: str = "question_id", ts: str = "ts",
-                   tiebreak: str = "event_id", id_col: str = "message_id",
-                   block: int = 4096, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                   tiebreak: str = "event_id", id_col: str = "message_id") -> DataFrame:
     """Per request: ``reuse_distance`` = distinct other keys requested since the
     previous request of this key (-1 for a key's first request).
 
-    With global arrival positions (a chunked scan, no single-partition
+    With global arrival positions (a range-partitioned scan, no single-partition
     window), a repeat request at position b whose key was last requested at
     a has distance (b - a - 1) - #{repeat requests m : prev(m) > a, m < b}:
     every position of the gap counts once, except those whose key recurs
     inside the gap.  That count is a 2D dominance count, done exactly in
     O(N log^2 N) work: ``m < b`` is split into at most log2 N dyadic position
     blocks, and inside each block a running count ordered by prev(m)
-    descending (a chunked keyed scan over (level, block), ``block`` positions
-    per chunk) gives the points with prev(m) > a.  No task holds a whole
-    level, and no pair of rows is enumerated.
+    descending (a keyed scan over (level, block), cut by sampled ranges)
+    gives the points with prev(m) > a.  Rows are made for the levels that
+    count only.  No task holds a whole level, and no pair of rows is enumerated.
     """
     order = [ts, tiebreak]
-    g = keyed_scan(requests, [], order, time_bucket(ts, bucket_seconds)).withColumnRenamed("_pos", "_gpos")
-    k = keyed_scan(g, [key], order, time_bucket(ts, bucket_seconds), lag_cols=["_gpos"]).drop("_pos")
-    pos = checkpoint(k)
+    g = keyed_scan(requests, [], order).withColumnRenamed("_pos", "_gpos")
+    pos = checkpoint(keyed_scan(g, [key], ["_gpos"], lag_cols=["_gpos"]).drop("_pos"))
     n = pos.agg(F.max("_gpos")).first()[0] or 0
-    levels = F.explode(F.sequence(F.lit(0), F.lit(max(int(n).bit_length(), 1) - 1))).alias("L")
+    every = F.sequence(F.lit(0), F.lit(max(int(n).bit_length(), 1) - 1))
     rep = pos.filter(F.col("_prev__gpos").isNotNull())
 
     def shr(c: str) -> Column:
         return F.expr(f"shiftright({c}, L)")
 
+    # Even blocks of a point; of a query, the odd ones that begin behind the last request.
+    even = F.filter(every, lambda x: F.call_function("shiftright", F.col("y"), x) % 2 == 0)
+    odd = F.filter(every, lambda x: (F.call_function("shiftright", F.col("b"), x) % 2 == 1)
+                   & (F.call_function("shiftleft", F.call_function("shiftright", F.col("b"), x), x) > F.col("a") + 1))
     null_id = F.lit(None).cast(pos.schema[id_col].dataType)
-    points = rep.select(F.col("_prev__gpos").alias("x"), F.col("_gpos").alias("y"), levels) \
-        .withColumn("blk", shr("y")).filter(F.col("blk") % 2 == 0) \
+    points = rep.select(F.col("_prev__gpos").alias("x"), F.col("_gpos").alias("y")) \
+        .select("x", "y", F.explode(even).alias("L")).withColumn("blk", shr("y")) \
         .select("L", "blk", (-F.col("x")).alias("negx"), F.lit(0).alias("kind"), F.lit(1).alias("w"),
                 null_id.alias("_qid"))
-    queries = rep.select(F.col(id_col).alias("_qid"), F.col("_prev__gpos").alias("a"),
-                         F.col("_gpos").alias("b"), levels) \
-        .withColumn("hb", shr("b")) \
-        .filter(((F.col("hb") % 2) == 1) & (F.expr("shiftleft(hb, L)") > F.col("a") + 1)) \
+    queries = rep.select(F.col(id_col).alias("_qid"), F.col("_prev__gpos").alias("a"), F.col("_gpos").alias("b")) \
+        .select("_qid", "a", "b", F.explode(odd).alias("L")).withColumn("hb", shr("b")) \
         .select("L", (F.col("hb") - 1).alias("blk"), (-F.col("a")).alias("negx"), F.lit(1).alias("kind"),
                 F.lit(0).alias("w"), "_qid")
-    scanned = keyed_scan(points.unionByName(queries), ["L", "blk"], ["negx", "kind"],
-                         F.floor(F.col("negx") / F.lit(int(block))), cumsum="w")
+    scanned = keyed_scan(points.unionByName(queries), ["L", "blk"], ["negx", "kind"], cumsum="w")
     nested = scanned.filter(F.col("kind") == 1).groupBy("_qid").agg(F.sum("_csum").alias("_n"))
     out = pos.join(nested, pos[id_col] == nested["_qid"], "left")
     dist = F.when(F.col("_prev__gpos").isNull(), F.lit(-1)) \

@@ -8,8 +8,9 @@ in one.  No corpus model is needed.
 only (key, expected, actual) once on the key, explode tokens natively, count
 per (key, term) and fold per key; both aggregations run on that exchange, so
 token rows are never shuffled and texts cross the network once.  The small
-per-key sums are joined back onto the caller's (pruned) rows.  A pair's work is bounded by its own text, so
-there is no key skew (keys are unique per pair).
+per-key sums are joined back onto the caller's (pruned) rows.  A pair is told
+from others by its key columns and a hash of its two texts, so a message with
+several answers gives several pairs, and a hot key spreads over its texts.
 
 ``pair_score`` is the same score as a single Column (row-local fold with
 higher-order functions, no shuffle at all), for places where a DataFrame
@@ -19,6 +20,8 @@ interpreted.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +29,6 @@ from verity.functions.text import SHARED_IDF, UNSHARED_IDF, tokenize
 
 # Default acceptance thresholds.
 STREAM_THRESHOLD = 0.65      # compose configuration of the streaming scorer
-JOB_THRESHOLD = 0.6          # scorer code default
 SERVICE_THRESHOLD = 0.5      # request/response score service default
 SCORE_DIGITS = 4             # the score service rounds to 4 decimals
 
@@ -89,15 +91,20 @@ def pair_score(expected: Column | str, actual: Column | str) -> Column:
     return F.when(empty, F.lit(0.0)).otherwise(score)
 
 
-def _token_positions(df: DataFrame, key: str, expected: str, actual: str) -> DataFrame:
-    """(key, _na, _p, term): the arrays are built once per row before the
+def _keys(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _token_positions(df: DataFrame, key: str | Sequence[str], expected: str, actual: str) -> DataFrame:
+    """(key columns, _na, _p, term): the arrays are built once per row before the
     generator, so nothing is re-tokenized per exploded token."""
-    arrays = df.select(key, tokenize(expected).alias("_ta"), tokenize(actual).alias("_tb"))
-    sized = arrays.select(key, F.size("_ta").alias("_na"), "_ta", "_tb")
-    return sized.select(key, "_na", F.posexplode(F.concat("_ta", "_tb")).alias("_p", "term"))
+    keys = _keys(key)
+    arrays = df.select(*keys, tokenize(expected).alias("_ta"), tokenize(actual).alias("_tb"))
+    sized = arrays.select(*keys, F.size("_ta").alias("_na"), "_ta", "_tb")
+    return sized.select(*keys, "_na", F.posexplode(F.concat("_ta", "_tb")).alias("_p", "term"))
 
 
-def pair_norms(df: DataFrame, key: str, expected: str = "best_answer",
+def pair_norms(df: DataFrame, key: str | Sequence[str], expected: str = "best_answer",
                actual: str = "llm_answer") -> DataFrame:
     """(key, dot, na, nb) of the pair TF-IDF vectors; ``df`` must be clustered on ``key``.
 
@@ -106,13 +113,14 @@ def pair_norms(df: DataFrame, key: str, expected: str = "best_answer",
     actual answer's), counted per (key, term) and folded per key.  Both
     aggregations run on the input's hash partitioning on ``key``.
     """
-    toks = _token_positions(df, key, expected, actual)
-    tf = toks.groupBy(key, "term").agg(
+    keys = _keys(key)
+    toks = _token_positions(df, keys, expected, actual)
+    tf = toks.groupBy(*keys, "term").agg(
         F.count_if(F.col("_p") < F.col("_na")).alias("ca"),
         F.count_if(F.col("_p") >= F.col("_na")).alias("cb"))
     wa = _weight(F.col("ca"), F.col("cb"))
     wb = _weight(F.col("cb"), F.col("ca"))
-    return tf.groupBy(key).agg(F.sum(wa * wb).alias("_dot"), F.sum(wa * wa).alias("_na2"),
+    return tf.groupBy(*keys).agg(F.sum(wa * wb).alias("_dot"), F.sum(wa * wa).alias("_na2"),
                                F.sum(wb * wb).alias("_nb2"))
 
 
@@ -124,40 +132,51 @@ def _cosine() -> Column:
     return F.when(ok, F.least(F.lit(1.0), F.greatest(F.lit(0.0), cos))).otherwise(F.lit(0.0))
 
 
-def _scored(df: DataFrame, key: str, expected: str, actual: str, clustered: bool = False) -> DataFrame:
+def _scored(df: DataFrame, key: str | Sequence[str], expected: str, actual: str,
+            clustered: bool = False) -> DataFrame:
     """Input rows plus ``_raw`` score.
 
-    Only ``(key, expected, actual)`` is hash-partitioned on ``key``; the token
+    Pairs are keyed by the key columns and a hash of both texts.  Rows that
+    share all of these are one pair: counting its tokens k times scales both
+    vectors by k, which leaves the cosine as it is.
+
+    Only ``(key, expected, actual)`` is hash-partitioned on the key; the token
     explode and both aggregations run on that one exchange, whose only
     consumer they are, so the texts cross the network once.  The per-key
     norms (one small row per pair) are then joined back onto the caller's
     rows, which carry only the columns the caller selects (AQE broadcasts the
     norms when they are small, else it is a sort-merge join whose norms side
     is already partitioned).  A pair without any token has no norms row and
-    scores 0; rows with a NULL key are kept with a NULL score.
+    scores 0; rows with a NULL key column are kept with a NULL score.
 
-    ``clustered=True`` says ``df`` is already hash-partitioned on ``key``
-    (e.g. a persisted repartition), so no exchange is added at all.
+    ``clustered=True`` says ``df`` is already hash-partitioned on the key
+    columns (e.g. a persisted repartition), so no exchange is added at all.
     """
-    pairs = df.filter(F.col(key).isNotNull()).select(key, expected, actual)
+    keys = _keys(key)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    df = df.withColumn("_texts", F.xxhash64(expected, F.lit("|"), actual))
+    pairs = df.filter(known).select(*keys, "_texts", expected, actual)
     if not clustered:
-        pairs = pairs.repartition(key)
-    norms = pair_norms(pairs, key, expected, actual)
+        pairs = pairs.repartition(*keys, "_texts")
+    norms = pair_norms(pairs, [*keys, "_texts"], expected, actual)
     # A NULL key matches nothing in the left join; its score is NULL.
-    joined = df.join(norms, key, "left")
-    raw = F.when(F.col(key).isNull(), F.lit(None).cast("double")).otherwise(_cosine())
-    return joined.withColumn("_raw", raw).drop("_dot", "_na2", "_nb2")
+    joined = df.join(norms, [*keys, "_texts"], "left")
+    raw = F.when(~known, F.lit(None).cast("double")).otherwise(_cosine())
+    return joined.select(*[c for c in df.columns if c != "_texts"], raw.alias("_raw"))
 
 
-def score_pairs(df: DataFrame, key: str = "message_id", expected: str = "best_answer",
+def score_pairs(df: DataFrame, key: str | Sequence[str] = "message_id", expected: str = "best_answer",
                 actual: str = "llm_answer", out: str = "score", digits: int | None = 6) -> DataFrame:
-    """Add the pair score (rounded to ``digits`` when given).  ``key`` must be unique per row."""
+    """Add the pair score (rounded to ``digits`` when given).  ``key`` may name one column or
+    several, and need not be unique: a message may have several answers."""
     s = _scored(df, key, expected, actual)
     val = F.round(F.col("_raw"), digits) if digits is not None else F.col("_raw")
     return s.withColumn(out, val).drop("_raw")
 
 
-def evaluate_pairs(df: DataFrame, threshold: float = SERVICE_THRESHOLD, key: str = "message_id",
+def evaluate_pairs(df: DataFrame, threshold: float = SERVICE_THRESHOLD, key: str | Sequence[str] = "message_id",
                    expected: str = "best_answer", actual: str = "llm_answer") -> DataFrame:
     """Score service as a table job: accepted on the unrounded score, score to 4 dp."""
     s = _scored(df, key, expected, actual)
@@ -165,11 +184,6 @@ def evaluate_pairs(df: DataFrame, threshold: float = SERVICE_THRESHOLD, key: str
         .withColumn("accepted", F.col("_raw") >= F.lit(threshold)).drop("_raw")
 
 
-def accept(score: Column | str, threshold: float) -> Column:
-    """Acceptance predicate on the unrounded score."""
-    return _c(score) >= F.lit(threshold)
-
-
 def term_frequencies(df: DataFrame, key: str = "message_id", expected: str = "best_answer",
                      actual: str = "llm_answer") -> DataFrame:
     """Raw term counts of both texts of each pair: (key, term, tf_expected, tf_actual).
