@@ -43,31 +43,34 @@ REGENERATION = _schema(
 )
 SCORE_REQUEST = _schema(("question_id", S), ("best_answer", S), ("llm_answer", S))
 
-# Stored result document and the global metrics document.
-RESULT_DOC = _schema(
-    ("id_pregunta", S), ("pregunta", S), ("contenido", S), ("respuesta_dataset", S),
-    ("respuesta_llm", S), ("score", D), ("aceptado", B), ("ultima_actualizacion", S),
-    ("contador_consultas", T.LongType()), ("creado_en", S),
-)
-TRAFFIC_LOG = _schema(
-    ("timestamp", S), ("operation", S), ("message_id", S), ("question_id", S),
-    ("status", S), ("latency", D), ("topic", S),
-)
-
-# Field defaults of absent fields.  ``None`` means "no default: required".
+# Field defaults of absent fields.
 # The string default is "", counters default to 0, the question
 # source defaults to "traffic-generator".
 DEFAULTS: dict[str, dict[str, object]] = {
     "question": {"question_id": "", "title": "", "content": "", "best_answer": "",
                  "source": "traffic-generator", "attempts": 0},
     "llm_request": {"attempts": 0},
-    "llm_response": {},
+    "llm_response": {"title": "", "content": "", "prompt": "", "llm_answer": "", "best_answer": ""},
     "error": {},
     "validated": {},
     "regeneration": {"title": "", "content": "", "prompt": "", "best_answer": "", "attempts": 0},
     "score_request": {"best_answer": "", "llm_answer": ""},
 }
 
+# Fields without a default, which a message must have.
+_IDS = ("message_id", "trace_id", "question_id")
+REQUIRED: dict[str, tuple[str, ...]] = {
+    "llm_request": (*_IDS, "title", "content", "prompt", "best_answer"),
+    "llm_response": _IDS,
+    "error": (*_IDS, "error_type", "error_detail", "attempts"),
+    "validated": (*_IDS, "title", "content", "llm_answer", "best_answer", "score", "accepted", "source", "attempts"),
+    "regeneration": _IDS,
+    "score_request": ("question_id",),
+}
+
+# Fields filled in when absent: ids, and times of the step that makes the record.
+GENERATED = {"message_id": "id", "trace_id": "id", "created_at": "time", "produced_at": "time", "decided_at": "time"}
+
 SCHEMAS: dict[str, T.StructType] = {
     "question": QUESTION,
     "llm_request": LLM_REQUEST,

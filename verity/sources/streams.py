@@ -2,14 +2,17 @@
 
 A topic is either a Kafka topic (``fmt="kafka"``, needs the Kafka connector
 on the classpath) or a folder of JSON-lines files (``fmt="files"``, used in
-tests and for replayable batch drops).  Both give the same raw shape
-``(key, value, topic)`` with ``value`` the UTF-8 JSON text, so decoding
-(``verity.functions.json.decode``) is the same for both.
+tests and for replayable batch drops; folders inside it are read too).  Both
+give the same raw shape ``(key, value, topic)`` with ``value`` the UTF-8 JSON
+text, so decoding (``verity.functions.json.decode``) is the same for both.
+
+A micro-batch takes all that is there unless ``max_per_trigger`` bounds it
+(records for Kafka, files for a folder): size it for the cluster.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,27 +20,37 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from verity.functions.json import encode
 
-# Fixed value: records per poll of the reference consumers.
-MAX_RECORDS_PER_POLL = 50
 
+def kafka_source_options(topic: str, servers: str | None, max_per_trigger: int | None = None,
+                         extra: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Options of a Kafka source; ``extra`` overrides (security, group prefix, ...)."""
+    if not servers:
+        raise ValueError("a Kafka topic needs kafka_servers")
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest"}
+    if max_per_trigger:
+        options["maxOffsetsPerTrigger"] = str(int(max_per_trigger))
+    return options | dict(extra or {})
 
-def read_topic(spark: SparkSession, topic: str, fmt: str = "files", path: str | None = None,
-               max_per_trigger: int | None = MAX_RECORDS_PER_POLL,
-               kafka_servers: str | None = None) -> DataFrame:
-    """Streaming (key, value, topic) from the earliest offset.
 
-    ``max_per_trigger`` bounds a micro-batch (records for Kafka, files for a
-    folder).  For files, the key is the message's ``message_id``.
-    """
+def kafka_sink_options(topic: str, servers: str | None, extra: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Options of a Kafka sink: every in-sync replica confirms, retries do not duplicate."""
+    if not servers:
+        raise ValueError("a Kafka topic needs kafka_servers")
+    options = {"kafka.bootstrap.servers": servers, "topic": topic, "kafka.acks": "all",
+               "kafka.enable.idempotence": "true"}
+    return options | dict(extra or {})
+
+
+def read_topic(spark: SparkSession, topic: str, fmt: str = "files", path: str | None = None,
+               max_per_trigger: int | None = None, kafka_servers: str | None = None,
+               kafka_options: Mapping[str, str] | None = None) -> DataFrame:
+    """Streaming (key, value, topic) from the earliest offset.  For files, the
+    key is the message's ``message_id``."""
     if fmt == "kafka":
-        reader = spark.readStream.format("kafka") \
-            .option("kafka.bootstrap.servers", kafka_servers) \
-            .option("subscribe", topic).option("startingOffsets", "earliest")
-        if max_per_trigger:
-            reader = reader.option("maxOffsetsPerTrigger", int(max_per_trigger))
-        return reader.load().select(F.col("key").cast("string").alias("key"),
-                                    F.col("value").cast("string").alias("value"), "topic")
-    reader = spark.readStream.format("text")
+        options = kafka_source_options(topic, kafka_servers, max_per_trigger, kafka_options)
+        return spark.readStream.format("kafka").options(**options).load().select(
+            F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "topic")
+    reader = spark.readStream.format("text").option("recursiveFileLookup", "true")
     if max_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_per_trigger))
     raw = reader.load(path or topic)
@@ -65,15 +78,15 @@ def read_topic_batch(spark: SparkSession, topic: str, path: str | None = None) -
 
 
 def topic_writer(records: DataFrame, kind: str, topic: str, fmt: str = "files", path: str | None = None,
-                 checkpoint: str | None = None, kafka_servers: str | None = None) -> DataStreamWriter:
+                 checkpoint: str | None = None, kafka_servers: str | None = None,
+                 kafka_options: Mapping[str, str] | None = None) -> DataStreamWriter:
     """Streaming sink of typed records as JSON values keyed by ``message_id``.
 
     Returns the configured writer; the caller picks the trigger and starts it.
     """
     enc = encode(records, kind)
     if fmt == "kafka":
-        w = enc.writeStream.format("kafka").option("kafka.bootstrap.servers", kafka_servers) \
-            .option("topic", topic)
+        w = enc.writeStream.format("kafka").options(**kafka_sink_options(topic, kafka_servers, kafka_options))
     else:
         w = enc.select("value").writeStream.format("text").option("path", path or topic)
     if checkpoint:

@@ -28,7 +28,7 @@ def stream_throughput(log: DataFrame, ts: str = "timestamp", size: str = THROUGH
 
 def stream_message_latency(created: DataFrame, decided: DataFrame, key: str = "message_id",
                            created_ts: str = "created_ts", decided_ts: str = "decided_ts",
-                           delay: str = WATERMARK_DELAY, max_delay: str = "1 day") -> DataFrame:
+                           delay: str = WATERMARK_DELAY, *, max_delay: str) -> DataFrame:
     """Stream-stream inner join of two pipeline stages on the message key, with
     watermarks on both sides and a time bound so join state is purged."""
     c = created.select(F.col(key).alias("_ck"), F.col(created_ts).cast("timestamp").alias("_c")) \

@@ -11,29 +11,30 @@
   is accepted, so state holds only keys with pending rejections (each at most
   ``max_attempts - 1``).
 * The decided stream goes to ``foreachBatch``, which writes the validated
-  rows and the regeneration requests of micro-batch ``n`` into folders named
-  by ``n``; a folder that is already complete is not rewritten, so a replayed
-  batch does not emit its rows twice.
+  rows, the regeneration requests and the undecodable messages of a
+  micro-batch once (``verity.streaming.sinks``).
 
-Micro-batch size is bounded by the source (``max_per_trigger``), which also
-bounds what one hot key can put into a single state call.
+``max_per_trigger`` bounds a micro-batch, and with it what one hot key can put
+into a single state call.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from verity.functions.ids import now_iso
 from verity.functions.json import decode
-from verity.operators.decide import MAX_ATTEMPTS, SCORER_SOURCE, split_decisions
+from verity.operators.decide import MAX_ATTEMPTS, SCORER_SOURCE, regeneration_requests, validated_projection
 from verity.operators.score import STREAM_THRESHOLD, pair_score
-from verity.sources.streams import read_topic, write_topic_batch
+from verity.sources.streams import read_topic
+from verity.streaming.sinks import QUARANTINE, BatchSinks, consume, start
 
 _STATE = T.StructType([T.StructField("pending", T.IntegerType())])
 DECISION_FIELDS = [T.StructField("attempts", T.IntegerType()), T.StructField("accepted", T.BooleanType()),
@@ -96,47 +97,65 @@ def score_responses(responses: DataFrame, expected: str = "best_answer", actual:
     return responses.withColumn("score", pair_score(expected, actual))
 
 
-def _complete(spark: SparkSession, path: str) -> bool:
-    jp = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return jp.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jp)
+def decide_stream(raw: DataFrame, threshold: float = STREAM_THRESHOLD, max_attempts: int = MAX_ATTEMPTS) -> DataFrame:
+    """Raw (key, value) messages -> decided responses; undecodable ones pass
+    with ``valid`` false, their raw value and the reason.
 
-
-def batch_folder(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/b{int(batch_id):012d}"
-
-
-def decision_sink(validated_root: str, regeneration_root: str, source: str = SCORER_SOURCE):
-    """foreachBatch function writing both outputs of a decided micro-batch once."""
+    Rows of a key are taken in order of their parsed ``produced_at``.  A message
+    that does not decode has no key and no counter; it is keyed by its own text.
+    """
+    messages = decode(raw, "llm_response", keep=("key", "value"), stamp=True)
+    messages = messages.withColumn("value", F.when(~F.col("valid"), F.col("value")))
+    messages = messages.withColumn("_at", F.try_to_timestamp(F.col("produced_at")))
+    lane = F.when(F.col("valid"), F.concat(F.lit("m"), F.col("message_id"))) \
+        .otherwise(F.concat(F.lit("x"), F.sha2(F.coalesce("value", F.lit("")), 256)))
+    scored = score_responses(messages.withColumn("_lane", lane))
+    decided = stream_attempt_decisions(scored, "_lane", ("_at", "produced_at"), "score", threshold, max_attempts)
+    decided = decided.drop("_lane", "_at")
+    # Live counters, in every progress report of the query.
+    good = F.col("valid")
+    return decided.observe(
+        "decisions", F.count_if(good & F.col("accepted") & ~F.col("forced")).alias("accepted"),
+        F.count_if(good & F.col("forced")).alias("forced"),
+        F.count_if(good & ~F.col("accepted")).alias("regenerated"), F.count_if(~good).alias("quarantined"))
+
+
+def decision_sink(sinks: BatchSinks, source: str = SCORER_SOURCE, decided_at: Column | None = None):
+    """foreachBatch function writing the outputs of a decided micro-batch once."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        vpath, rpath = batch_folder(validated_root, batch_id), batch_folder(regeneration_root, batch_id)
-        if _complete(spark, vpath) and _complete(spark, rpath):
+        if sinks.done(batch.sparkSession, batch_id):
+            consume(batch)
             return
         batch = batch.persist()
-        validated, regen = split_decisions(batch, source)
-        write_topic_batch(validated, "validated", vpath, mode="overwrite")
-        write_topic_batch(regen, "regeneration", rpath, mode="overwrite")
+        good = batch.filter("valid")
+        at = decided_at if decided_at is not None else now_iso()
+        sinks.write(batch_id, {
+            "validated": ("validated", validated_projection(good, source, at)),
+            "regeneration": ("regeneration", regeneration_requests(good)),
+            QUARANTINE: (None, batch.filter(~F.col("valid")).select("key", "value", "reason")),
+        })
         batch.unpersist()
 
     return sink
 
 
-def start_scorer(spark: SparkSession, responses_path: str, validated_root: str, regeneration_root: str,
-                 checkpoint: str, threshold: float = STREAM_THRESHOLD, max_attempts: int = MAX_ATTEMPTS,
-                 max_per_trigger: int | None = 1, fmt: str = "files", available_now: bool = True,
-                 order: Sequence[str] = ("produced_at",), source: str = SCORER_SOURCE):
-    """Start the scorer: llm_responses -> decode -> score -> counter -> validated / regeneration.
+def start_scorer(spark: SparkSession, responses: str, validated: str, regeneration: str, checkpoint: str,
+                 quarantine: str | None = None, threshold: float = STREAM_THRESHOLD,
+                 max_attempts: int = MAX_ATTEMPTS, max_per_trigger: int | None = None, fmt: str = "files",
+                 available_now: bool = True, source: str = SCORER_SOURCE, decided_at: Column | None = None,
+                 kafka_servers: str | None = None, kafka_options: Mapping[str, str] | None = None):
+    """Start the scorer: llm_responses -> decode -> score -> counter -> validated / regeneration / quarantine.
 
-    ``checkpoint`` must be on shared storage; it holds offsets and the keyed
-    state, so a restarted query resumes where it stopped.
+    ``responses``, ``validated``, ``regeneration`` and ``quarantine`` are folders, or Kafka topics with
+    ``fmt="kafka"`` (``kafka_options`` go to the source and the sinks).  Without ``quarantine``, undecodable
+    messages go to ``<regeneration>_quarantine``.  ``checkpoint`` must be on shared storage; it holds offsets
+    and the keyed state, so a restarted query resumes where it stopped.  ``decided_at`` is the time of the
+    decision unless a column over the response is given (replayable runs).
     """
-    raw = read_topic(spark, "llm_responses", fmt, responses_path, max_per_trigger)
-    responses = decode(raw, "llm_response").filter(F.col("valid")).drop("valid", "key")
-    decided = stream_attempt_decisions(score_responses(responses), "message_id", order, "score",
-                                       threshold, max_attempts)
-    decided = decided.withColumn("produced_at", F.coalesce(F.col("produced_at"), F.lit("")))
-    w = decided.writeStream.foreachBatch(decision_sink(validated_root, regeneration_root, source)) \
-        .option("checkpointLocation", checkpoint).outputMode("append")
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
-    return w.start()
+    topics = {"validated": validated, "regeneration": regeneration,
+              QUARANTINE: quarantine or f"{regeneration.rstrip('/')}_quarantine"}
+    sinks = BatchSinks(topics, checkpoint, fmt, kafka_servers, kafka_options)
+    raw = read_topic(spark, responses, fmt, responses, max_per_trigger, kafka_servers, kafka_options)
+    return start(decide_stream(raw, threshold, max_attempts), decision_sink(sinks, source, decided_at),
+                 checkpoint, available_now)

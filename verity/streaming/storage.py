@@ -1,56 +1,72 @@
 """Streaming storage: validated responses -> results upsert + global metrics.
 
-Each micro-batch ``n`` is reduced to one row per question (map-side partial
-aggregation) and merged onto the newest results version older than ``n``;
-the outcome is written as version ``n`` (``verity.sources.snapshots``).  The
-metrics row is merged the same way.  A replayed micro-batch rewrites the same
-version from the same inputs, so counters are not applied twice.
-
-Scale note: results are keyed by question, so a version is bounded by the
-number of distinct questions, not by the message volume; each micro-batch is
-one full outer join of the prior snapshot with a small batch aggregate.
+Each micro-batch ``n`` is reduced to one mergeable row per question
+(``results_state``) and written as delta ``n``: work and bytes per trigger follow the batch,
+not the table.  Every ``compact_every`` batches the deltas are folded into a
+base version; the table is the newest base and the deltas after it, combined
+by one aggregation (``current_results``).  A replayed micro-batch rewrites the
+same delta from the same rows, so counters are not applied twice.
+
+Messages that do not decode, or lack a required field, go to the quarantine.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from verity.functions.json import decode
-from verity.operators.store import merge_metrics, metrics_partial, results_merge, results_upsert
+from verity.functions.json import decode, split_valid
+from verity.operators.store import (METRIC_COLUMNS, RESULT_COLUMNS, combine_metrics, combine_states,
+                                    metrics_partial, results_state)
 from verity.sources import snapshots as snap
 from verity.sources.streams import read_topic
+from verity.streaming.sinks import QUARANTINE, BatchSinks, start
+
+COMPACT_EVERY = 64
+
+
+def current_results(spark: SparkSession, root: str, state: bool = False) -> DataFrame | None:
+    """The stored results (with the order key if ``state``); None before the first batch."""
+    parts = snap.current_parts(spark, root)
+    if parts is None:
+        return None
+    combined = combine_states(parts)
+    return combined if state else combined.select(*RESULT_COLUMNS)
+
+
+def current_metrics(spark: SparkSession, root: str) -> DataFrame | None:
+    parts = snap.current_parts(spark, root)
+    return None if parts is None else combine_metrics(parts).select(*METRIC_COLUMNS)
+
+
+def apply_batch(batch: DataFrame, batch_id: int, results_root: str, metrics_root: str,
+                compact_every: int = COMPACT_EVERY) -> None:
+    """Add one batch of validated records to the stored results and metrics."""
+    snap.write_delta(results_state(batch), results_root, batch_id)
+    snap.write_delta(metrics_partial(batch).coalesce(1), metrics_root, batch_id)
+    if compact_every and (batch_id + 1) % compact_every == 0:
+        snap.compact(batch.sparkSession, results_root, batch_id, combine_states)
+        snap.compact(batch.sparkSession, metrics_root, batch_id, lambda rows: combine_metrics(rows).coalesce(1))
+
 
+def start_storage(spark: SparkSession, validated: str, results_root: str, metrics_root: str, checkpoint: str,
+                  quarantine: str | None = None, max_per_trigger: int | None = None, fmt: str = "files",
+                  available_now: bool = True, compact_every: int = COMPACT_EVERY, kafka_servers: str | None = None,
+                  kafka_options: Mapping[str, str] | None = None):
+    """Start the storage query over a validated topic (a folder, or a Kafka topic).
 
-def apply_batch(batch: DataFrame, batch_id: int, results_root: str, metrics_root: str) -> None:
-    """Merge one batch of validated records onto the stored results and metrics."""
-    spark = batch.sparkSession
-    batch = batch.persist()
-    prior = snap.latest_version(spark, results_root, before=batch_id)
-    if prior is None:
-        results = results_upsert(batch)
-    else:
-        results = results_merge(snap.read_version(spark, results_root, prior), batch)
-    snap.write_version(results, results_root, batch_id)
-
-    mprior = snap.latest_version(spark, metrics_root, before=batch_id)
-    metrics = metrics_partial(batch)
-    if mprior is not None:
-        metrics = merge_metrics(snap.read_version(spark, metrics_root, mprior), metrics)
-    snap.write_version(metrics.coalesce(1), metrics_root, batch_id)
-    batch.unpersist()
-
-
-def start_storage(spark: SparkSession, validated_path: str, results_root: str, metrics_root: str,
-                  checkpoint: str, max_per_trigger: int | None = 1, fmt: str = "files",
-                  available_now: bool = True):
-    """Start the storage query over a validated topic (a folder glob for files)."""
-    raw = read_topic(spark, "validated_responses", fmt, validated_path, max_per_trigger)
-    validated = decode(raw, "validated").filter(F.col("valid")).drop("valid", "key")
+    Without ``quarantine``, undecodable messages go to ``<results_root>_quarantine``."""
+    sinks = BatchSinks({QUARANTINE: quarantine or f"{results_root.rstrip('/')}_quarantine"}, checkpoint, fmt,
+                       kafka_servers, kafka_options)
+    raw = read_topic(spark, validated, fmt, validated, max_per_trigger, kafka_servers, kafka_options)
+    decoded = decode(raw, "validated", keep=("key", "value"), stamp=True)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(batch, batch_id, results_root, metrics_root)
+        batch = batch.persist()
+        good, bad = split_valid(batch)
+        apply_batch(good.drop("key"), batch_id, results_root, metrics_root, compact_every)
+        sinks.write(batch_id, {QUARANTINE: (None, bad)})
+        batch.unpersist()
 
-    w = validated.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 second")
-    return w.start()
+    return start(decoded, sink, checkpoint, available_now)
