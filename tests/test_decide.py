@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from verity.operators.decide import attempt_decisions, decision_counts, regeneration_loop
+from verity.operators.decide import attempt_decisions, decision_counts, generate_with_fallback, regeneration_loop
 from verity.streaming.scorer import counter_step
 
 
@@ -61,6 +61,50 @@ def test_stream_step_matches_loop_across_batches(max_attempts):
     assert got == want
 
 
+def test_null_scores_keys_and_times_are_decided(spark):
+    t = dt.datetime(2024, 1, 1)
+    rows = [("a", t, 1, None), ("a", t, 2, 0.9), (None, t, 3, 0.1), (None, None, 4, 0.9), ("b", None, 5, None)]
+    df = spark.createDataFrame(rows, "message_id string, ts timestamp, event_id long, score double")
+    out = {r.event_id: (r.attempts, r.accepted, r.forced) for r in attempt_decisions(df, max_attempts=3).collect()}
+    assert out == {1: (1, False, False), 2: (2, True, False), 3: (1, False, False), 4: (1, True, False), 5: (1, False, False)}
+    both = attempt_decisions(df, max_attempts=3)
+    assert both.filter("accepted").count() + both.filter("NOT accepted").count() == len(rows)
+
+
+def test_generate_with_fallback(spark):
+    req = spark.createDataFrame([(f"m{i}", "t", "q", "T", "C", p, "b", 1) for i, p in enumerate(["good", "boom", None])],
+                                "message_id string, trace_id string, question_id string, title string, content string, "
+                                "prompt string, best_answer string, attempts int")
+    failing = F.when(F.col("prompt") == "boom", F.lit("timeout"))
+    answers, errors = generate_with_fallback(req, lambda p: F.concat(F.lit("A "), p), failing)
+    got = {r.message_id: r.llm_answer for r in answers.collect()}
+    assert got["m0"] == "A good" and "timeout" in got["m1"] and "empty answer" in got["m2"]
+    assert {r.message_id: r.error_detail for r in errors.collect()} == {"m1": "timeout", "m2": "empty answer"}
+    answers, errors = generate_with_fallback(req, lambda p: F.concat(F.lit("A "), p), failing, fallback=False)
+    assert (answers.count(), errors.count()) == (1, 2)
+
+
+def test_regeneration_loop_rescores_a_changed_answer(spark):
+    """A generator whose answer changes from round to round, and a question that brings attempts."""
+    q = spark.createDataFrame(
+        [("m1", "t1", "q1", "alpha", "beta", "alpha beta", "s", "2024-01-01T00:00:00Z", 2),
+         ("m2", "t2", "q2", "alpha", "beta", "gamma delta", "s", "2024-01-01T00:00:00Z", 0)],
+        "message_id string, trace_id string, question_id string, title string, content string, best_answer string, "
+        "source string, created_at string, attempts int")
+    calls = []
+
+    def generator(prompt):
+        calls.append(1)
+        return F.lit(["nothing", "alpha beta", "x"][len(calls) - 1])
+
+    out = {r.message_id: r for r in regeneration_loop(q, generator, 0.9, 3, decided_at=F.col("created_at")).collect()}
+    assert (out["m1"].attempts, out["m1"].request_attempts, out["m1"].forced, out["m1"].llm_answer) == (2, 2, False, "alpha beta")
+    assert (out["m2"].attempts, out["m2"].request_attempts, out["m2"].forced, out["m2"].llm_answer) == (3, 3, True, "x")
+    calls.clear()
+    once = {r.message_id: r for r in regeneration_loop(q, generator, 0.9, 1).collect()}
+    assert once["m1"].request_attempts == 3 and once["m1"].content == "alpha\n\nbeta"
+
+
 def test_decision_counts_labels(spark):
     df = spark.createDataFrame([(True, False), (True, True), (False, False), (False, False)],
                                "accepted boolean, forced boolean")

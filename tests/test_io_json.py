@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import csv
 import os
 
 from pyspark.sql import functions as F
 
-from verity.functions.json import INVALID_PAYLOAD, decode, encode, validate_score_requests
+from verity.functions.json import INVALID_PAYLOAD, decode, encode, split_valid, validate_score_requests
 from verity.sources.files import append_csv_log, import_json_if_absent, load_questions_csv, read_csv_log
 
 
@@ -33,6 +34,7 @@ def test_encode_keeps_nulls_and_round_trips(spark):
     row = enc.collect()[0]
     assert row.key == "m1" and '"retry_at":null' in row.value
     back = decode(enc, "error").collect()[0]
+    assert back.valid
     assert back.error_detail == "boom" and back.retry_at is None and back.attempts == 2
 
 
@@ -48,6 +50,37 @@ def test_validate_score_requests(spark):
     assert out["d"].best_answer == "" and out["d"].status == "ok"
 
 
+def test_decode_loose_types_required_fields_and_stamps(spark):
+    df = spark.createDataFrame(
+        [("a", '{"message_id": 5, "trace_id": "t", "question_id": "q", "attempts": "2", "latency_ms": "1.5"}'),
+         ("b", '{"message_id": "m", "trace_id": "t", "question_id": "q", "attempts": "two"}'),
+         ("c", '{"trace_id": "t", "question_id": "q"}'), ("d", None), ("e", "")], "key string, value string")
+    rows = decode(df, "llm_response", keep=("key", "value"), stamp=True)
+    out = {r.key: r for r in rows.collect()}
+    assert out["a"].valid and (out["a"].message_id, out["a"].attempts, out["a"].latency_ms) == ("5", 2, 1.5)
+    assert out["a"].produced_at.endswith("Z") and out["a"].llm_answer == ""
+    assert {k: out[k].reason for k in "bcde"} == {
+        "b": "bad attempts", "c": "missing message_id", "d": "not a JSON object", "e": "not a JSON object"}
+    good, bad = split_valid(rows)
+    assert (good.count(), bad.count()) == (1, 4) and bad.columns == ["key", "value", "reason"]
+    ids = [decode(df.filter("key = 'd'").withColumn("value", F.lit("{}")), "question", stamp=True).first().message_id
+           for _ in range(2)]
+    assert ids[0] == ids[1] and len(ids[0]) == 32          # the same message gets the same id again
+
+
+def test_csv_like_a_dict_reader(spark, tmp_path):
+    text = ('id,question_title,question_content,best_answer\r\n'
+            '1,"two\nlines","says ""hi"", twice",x\r\n2,,"",plain\r\n3,"a, b",c\r\n4,t\r\n')
+    p = tmp_path / "q.csv"
+    p.write_bytes(text.encode())
+    want = {}
+    with open(p, newline="", encoding="utf-8") as f:
+        for r in csv.DictReader(f):
+            want[r["id"]] = (r["question_title"], r["question_content"], r["best_answer"])
+    got = {r._id: (r.question_title, r.question_content, r.best_answer) for r in load_questions_csv(spark, str(p)).collect()}
+    assert got == want
+
+
 SAMPLE = (
     "id,question_title,question_content,best_answer\n"
     "a1,Title one,Content one,\"Quoted, full answer\"\n"

@@ -6,12 +6,13 @@ import datetime as dt
 import random
 from collections import OrderedDict
 
+import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import as_rows
 from verity.operators.reuse import lru_hits, reuse_distance, reuse_lookup, reuse_misses, ttl_hits
-from verity.operators.store import merge_metrics, metrics_partial, results_merge, results_upsert
+from verity.operators.store import (RESULT_COLUMNS, merge_metrics, metrics_partial, results_merge, results_state,
+                                    results_upsert)
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -68,7 +69,7 @@ def test_reuse_distance_matches_lru(spark):
     rnd = random.Random(5)
     keys = [f"k{int(rnd.paretovariate(1.2)) % 40}" for _ in range(600)]
     rows = [(k, i * 13) for i, k in enumerate(keys)]
-    d = reuse_distance(_requests(spark, rows), block=16, bucket_seconds=600)
+    d = reuse_distance(_requests(spark, rows))
     for cap in (1, 3, 8, 20):
         got = {int(r.message_id): r.h for r in d.select("message_id", lru_hits(d, cap).alias("h")).collect()}
         assert [got[i] for i in range(len(rows))] == lru_loop(keys, cap), cap
@@ -96,36 +97,80 @@ def test_lookup_empty_vs_null_answer(spark):
     assert sorted(r.message_id for r in reuse_misses(req, store).collect()) == ["m2", "m3", "m4"]
 
 
+def test_lookup_takes_the_first_of_repeated_store_rows(spark):
+    req = spark.createDataFrame([("m1", "t1", "q1", 0, "2024-01-01T00:00:00Z")],
+                                "message_id string, trace_id string, question_id string, attempts int, created_at string")
+    store = spark.createDataFrame(
+        [("q1", "p", "c", "b", "older", 0.9, True, "2024-01-01T00:00:05.500000Z"),
+         ("q1", "p", "c", "b", "newer", 0.9, True, "2024-01-01T00:00:06Z"),
+         ("q1", "p", "c", "b", "", 0.9, True, "2024-01-01T00:00:07Z")],
+        "id_pregunta string, pregunta string, contenido string, respuesta_dataset string, respuesta_llm string, "
+        "score double, aceptado boolean, ultima_actualizacion string")
+    assert [h.llm_answer for h in reuse_lookup(req, store).collect()] == ["newer"]
+
+
+def test_ttl_dense_hot_key_and_odd_rows(spark):
+    """One key asked every second for hours (a long chain inside one segment), NULL keys and times."""
+    rows = [("hot", i) for i in range(3000)] + [("b", 5), ("b", 6)]
+    df = _requests(spark, rows)
+    got = {int(r.message_id): r.hit for r in ttl_hits(df, ttl_seconds=7).collect()}
+    assert [got[i] for i in range(len(rows))] == ttl_loop(rows, 7)
+    odd = spark.createDataFrame(
+        [("0", None, T0, 0), ("1", None, T0 + dt.timedelta(seconds=1), 1), ("2", "a", None, 2), ("3", "a", T0, 3),
+         ("4", "a", T0 + dt.timedelta(seconds=3), 4)], "message_id string, question_id string, ts timestamp, event_id long")
+    assert {r.message_id: r.hit for r in ttl_hits(odd, ttl_seconds=7).collect()} == {
+        "0": False, "1": True, "2": False, "3": False, "4": True}
+
+
 def _validated(spark, n=300, seed=1):
+    """Ties in time, both time forms, a time that does not parse, NULL question ids."""
     rnd = random.Random(seed)
     rows = []
     for i in range(n):
-        ts = T0 + dt.timedelta(seconds=rnd.randint(0, 5000))
-        rows.append((f"m{i}", f"q{rnd.randint(0, 30)}", f"title{i}", f"c{i}", f"a{i}", f"b{i}",
-                     round(rnd.random(), 4), rnd.random() < 0.6, ts.strftime("%Y-%m-%dT%H:%M:%S.%fZ")))
+        ts = T0 + dt.timedelta(seconds=rnd.randint(0, 40) * 100, milliseconds=rnd.choice([0, 0, 500]))
+        at = ts.strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+        at = rnd.choice([at, at.replace(".000000Z", "Z"), at, "" if i % 29 == 3 else at])
+        rows.append((f"m{i}", None if i % 23 == 7 else f"q{rnd.randint(0, 30)}", f"title{i}", f"c{i}", f"a{i}", f"b{i}",
+                     round(rnd.random(), 4), rnd.random() < 0.6, at))
     return spark.createDataFrame(
         rows, "message_id string, question_id string, title string, content string, llm_answer string, "
         "best_answer string, score double, accepted boolean, decided_at string")
 
 
-def test_merge_law(spark):
-    v = _validated(spark)
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_merge_law(spark, seed):
+    v = _validated(spark, seed=seed)
     x, y = v.randomSplit([0.4, 0.6], seed=3)
-    merged = results_merge(results_upsert(x), y)
-    assert as_rows(merged.toPandas()) == as_rows(results_upsert(v).toPandas())
-    # newer batch first, older second: same result
-    merged2 = results_merge(results_upsert(y), x)
-    assert as_rows(merged2.toPandas()) == as_rows(results_upsert(v).toPandas())
-    m = merge_metrics(metrics_partial(x), metrics_partial(y))
-    assert as_rows(m.toPandas()) == as_rows(metrics_partial(v).toPandas())
+    want = as_rows(results_state(v).toPandas())
+    assert as_rows(results_merge(results_state(x), y).toPandas()) == want
+    assert as_rows(results_merge(results_state(y), x).toPandas()) == want       # the newer batch first
+    assert as_rows(results_merge(results_state(x), y).select(*RESULT_COLUMNS).toPandas()) \
+        == as_rows(results_upsert(v).toPandas())
+    for a, b in ((x, y), (y, x)):
+        m = merge_metrics(metrics_partial(a), metrics_partial(b))
+        assert as_rows(m.toPandas()) == as_rows(metrics_partial(v).toPandas())
+    empty = merge_metrics(metrics_partial(v), metrics_partial(v.limit(0)))
+    assert as_rows(empty.toPandas()) == as_rows(metrics_partial(v).toPandas())
+
+
+def test_merge_keeps_the_larger_message_of_a_tie(spark):
+    row = lambda m, at: (m, "q", m, "", "", "", 0.5, True, at)
+    kind = "message_id string, question_id string, title string, content string, llm_answer string, " \
+           "best_answer string, score double, accepted boolean, decided_at string"
+    old = spark.createDataFrame([row("m9", "2024-01-01T00:00:05.500000Z")], kind)
+    new = spark.createDataFrame([row("m1", "2024-01-01T00:00:05.500000Z"), row("m0", "2024-01-01T00:00:05Z")], kind)
+    r = results_merge(results_state(old), new).first()
+    assert (r.pregunta, r.creado_en, r.contador_consultas) == ("m9", "2024-01-01T00:00:05Z", 3)
 
 
 def test_upsert_counts_and_newest_wins(spark):
     v = _validated(spark, n=50, seed=9)
     res = {r.id_pregunta: r for r in results_upsert(v).collect()}
-    pdf = v.toPandas().sort_values(["decided_at", "message_id"])
-    for q, g in pdf.groupby("question_id"):
-        r = res[q]
+    pdf = v.toPandas()
+    pdf["at"] = pd.to_datetime(pdf.decided_at.replace("", None), format="ISO8601")
+    for q, g in pdf.groupby("question_id", dropna=False):
+        r = res[None if pd.isna(q) else q]
         assert r.contador_consultas == len(g)
-        assert r.respuesta_llm == g.iloc[-1].llm_answer
-        assert r.creado_en == g.iloc[0].decided_at
+        newest = g.sort_values(["at", "message_id"], na_position="first").iloc[-1]
+        earliest = g.sort_values(["at", "message_id"], na_position="last").iloc[0]
+        assert r.respuesta_llm == newest.llm_answer and r.creado_en == earliest.decided_at

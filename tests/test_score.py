@@ -8,7 +8,6 @@ from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from verity.operators.score import evaluate_pairs, pair_score, score_pairs
 
@@ -81,6 +80,14 @@ def test_null_key_rows_are_kept(spark):
     assert {r.message_id: r.score for r in rows} == {None: None, "k": 1.0}
 
 
+def test_repeated_keys_are_pairs_of_their_own(spark):
+    rows = [("m", "aa bb", "aa bb"), ("m", "aa bb", "cc dd"), ("m", "aa bb", "aa bb"), ("n", "aa", "aa")]
+    got = sorted((r.llm_answer, r.score) for r in score_pairs(_frame(spark, rows)).collect())
+    assert got == [("aa", 1.0), ("aa bb", 1.0), ("aa bb", 1.0), ("cc dd", 0.0)]
+    two = score_pairs(_frame(spark, rows), key=["message_id", "best_answer"]).collect()
+    assert sorted(r.score for r in two) == [0.0, 1.0, 1.0, 1.0]
+
+
 VOCAB = ["aa", "bb", "cc", "dd", "ee", "ÉL", "x", "11", "a_b"]
 text = st.lists(st.sampled_from(VOCAB), max_size=12).map(" ".join)
 

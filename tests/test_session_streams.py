@@ -32,7 +32,7 @@ def test_two_topics_one_stream_and_sink(spark, tmp_path):
     _drop(rdir, "a.json", [{"message_id": "m2", "question_id": "q2", "prompt": "P", "attempts": 1}],
           1_700_000_001)
     src = read_topics(spark, ["questions_in", "regeneration_requests"], paths=[qdir, rdir])
-    q1 = decode(src.filter(F.col("topic") == "questions_in"), "question", keep=("key", "topic"))
+    q1 = decode(src.filter(F.col("topic") == "questions_in"), "question", keep=("key", "topic", "value"), stamp=True)
     out = str(tmp_path / "llm_requests")
     w = topic_writer(q1.withColumn("prompt", F.col("title")).withColumn("created_at", F.lit("")),
                      "llm_request", "llm_requests", path=out, checkpoint=str(tmp_path / "ck"))

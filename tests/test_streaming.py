@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from conftest import as_rows
 from verity.functions.json import decode
-from verity.operators.decide import attempt_decisions, split_decisions
+from verity.operators.decide import attempt_decisions, regeneration_loop, split_decisions
 from verity.operators.score import score_pairs
-from verity.operators.store import metrics_partial, results_upsert
+from verity.operators.store import METRIC_COLUMNS, combine_states, metrics_partial, results_upsert
 from verity.sources import snapshots as snap
-from verity.sources.streams import read_topic_batch
+from verity.sources.streams import kafka_sink_options, kafka_source_options, read_topic_batch
+from verity.streaming.router import start_router, start_worker
 from verity.streaming.scorer import start_scorer
-from verity.streaming.storage import apply_batch, start_storage
+from verity.streaming.storage import apply_batch, current_metrics, current_results, start_storage
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta".split()
 T0 = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
@@ -59,10 +60,8 @@ def _write_files(folder, records, n_files, start_index=0):
 
 def _batch_expected(spark, records):
     df = spark.createDataFrame([json.dumps(r) for r in records], "string").toDF("value")
-    resp = decode(df.withColumn("key", F.lit(None).cast("string")), "llm_response").drop("valid", "key")
-    # score_pairs needs a key unique per row: a message has several responses.
-    resp = resp.withColumn("_rk", F.concat_ws("|", "message_id", "produced_at"))
-    scored = score_pairs(resp, key="_rk", digits=None).drop("_rk") \
+    resp = decode(df.withColumn("key", F.lit(None).cast("string")), "llm_response").drop("valid", "reason", "key")
+    scored = score_pairs(resp, digits=None) \
         .withColumn("ts", F.to_timestamp("produced_at")).withColumn("event_id", F.lit(0))
     decided = attempt_decisions(scored, order=("ts", "event_id"), threshold=0.65, max_attempts=3) \
         .drop("ts", "event_id")
@@ -70,7 +69,7 @@ def _batch_expected(spark, records):
 
 
 def _read_kind(spark, root, kind):
-    return decode(read_topic_batch(spark, kind, f"{root}/*"), kind).drop("valid", "key")
+    return decode(read_topic_batch(spark, kind, f"{root}/*"), kind).drop("valid", "reason", "key")
 
 
 def _same(a, b, cols):
@@ -90,11 +89,11 @@ def test_scorer_stream_matches_batch_with_restart(spark, tmp_path):
     src, ck = str(tmp_path / "responses"), str(tmp_path / "ck")
     vroot, rroot = str(tmp_path / "validated"), str(tmp_path / "regen")
     _write_files(src, records[:half], 3)
-    q = start_scorer(spark, src, vroot, rroot, ck, max_per_trigger=1)
+    q = start_scorer(spark, src, vroot, rroot, ck, max_per_trigger=1, decided_at=F.col("produced_at"))
     q.awaitTermination(300)
     assert q.exception() is None
     _write_files(src, records[half:], 3, start_index=3)           # new files after the restart
-    q = start_scorer(spark, src, vroot, rroot, ck, max_per_trigger=1)
+    q = start_scorer(spark, src, vroot, rroot, ck, max_per_trigger=1, decided_at=F.col("produced_at"))
     q.awaitTermination(300)
     assert q.exception() is None
 
@@ -114,30 +113,147 @@ def test_storage_stream_matches_batch_upsert_and_replay_is_idempotent(spark, tmp
     q.awaitTermination(300)
 
     results, metrics = str(tmp_path / "results"), str(tmp_path / "metrics")
-    q2 = start_storage(spark, f"{vroot}/*", results, metrics, str(tmp_path / "ck2"), max_per_trigger=1)
+    q2 = start_storage(spark, vroot, results, metrics, str(tmp_path / "ck2"), max_per_trigger=1, compact_every=2)
     q2.awaitTermination(300)
     assert q2.exception() is None
 
     validated = _read_kind(spark, vroot, "validated")
-    got = snap.read_version(spark, results)
     want = results_upsert(validated)
-    _same(got, want, want.columns)
-    gm = snap.read_version(spark, metrics)
-    wm = metrics_partial(validated)
-    _same(gm, wm, wm.columns)
+    _same(current_results(spark, results), want, want.columns)
+    wm = metrics_partial(validated).select(*METRIC_COLUMNS)
+    _same(current_metrics(spark, metrics), wm, wm.columns)
+    assert len(os.listdir(results)) <= 5                          # compacted, old deltas dropped
 
-    # Replaying a micro-batch rewrites the same version with the same content,
-    # and version n equals the batch upsert of everything up to n.
+    # Replaying a micro-batch rewrites the same delta, before and after compaction.
     parts = validated.randomSplit([0.5, 0.5], seed=7)
     parts = [p.persist() for p in parts]
     r2, m2 = str(tmp_path / "results2"), str(tmp_path / "metrics2")
     apply_batch(parts[0], 0, r2, m2)
     apply_batch(parts[1], 1, r2, m2)
-    first = as_rows(snap.read_version(spark, r2, 1).toPandas())
     apply_batch(parts[1], 1, r2, m2)
-    assert as_rows(snap.read_version(spark, r2, 1).toPandas()) == first
-    _same(snap.read_version(spark, r2), want, want.columns)
-    _same(snap.read_version(spark, m2), wm, wm.columns)
+    _same(current_results(spark, r2), want, want.columns)
+    snap.compact(spark, r2, 1, combine_states)
+    apply_batch(parts[1], 1, r2, m2)
+    _same(current_results(spark, r2), want, want.columns)
+    _same(current_metrics(spark, m2), wm, wm.columns)
+
+
+def _lines(folder):
+    """All messages below a folder of JSON-lines files."""
+    out = []
+    for root, _, names in os.walk(folder):
+        for n in names:
+            if n.startswith("part-"):
+                with open(os.path.join(root, n), encoding="utf-8") as f:
+                    out += [json.loads(x) for x in f if x.strip()]
+    return out
+
+
+def _run(q):
+    q.awaitTermination(300)
+    assert q.exception() is None
+    return q
+
+
+def test_nothing_is_lost_in_the_scorer_and_storage(spark, tmp_path):
+    """Malformed, loosely typed, id-less, time-less and empty input: each message is in one output."""
+    src = tmp_path / "responses"
+    src.mkdir()
+    good = _responses(3, seed=5)[:2]
+    good[0]["llm_answer"] = good[0]["best_answer"]
+    good[1].update(message_id="rejected", llm_answer="zeta")
+    loose = dict(good[0], message_id="loose", attempts="1")
+    timeless = {k: v for k, v in dict(good[0], message_id="timeless").items() if k != "produced_at"}
+    empty_time = dict(good[0], message_id="emptytime", produced_at="")
+    idless = [{k: v for k, v in dict(good[0], title=str(i)).items() if k != "message_id"} for i in range(2)]
+    wrong = dict(good[0], message_id="wrong", attempts="many")
+    lines = [json.dumps(x) for x in [*good, loose, timeless, empty_time, *idless, wrong]] + ["{bad", "[1]", "7"]
+    (src / "a.json").write_text("\n".join(lines) + "\n")
+    v, r, ck = (str(tmp_path / x) for x in ("validated", "regen", "ck"))
+    q = _run(start_scorer(spark, str(src), v, r, ck))
+    accepted, again, refused = _lines(v), _lines(r), _lines(f"{r}_quarantine")
+    assert accepted and [x["message_id"] for x in again] == ["rejected"]
+    assert len(accepted) + len(again) + len(refused) == len(lines)
+    assert sorted(x["reason"] for x in refused) == ["bad attempts"] + ["missing message_id"] * 2 + ["not a JSON object"] * 3
+    assert {x["value"] for x in refused} >= {"{bad", "[1]", "7"}
+    assert all(x["decided_at"].endswith("Z") for x in accepted)
+    seen = q.lastProgress.observedMetrics["decisions"]
+    assert seen.accepted + seen.forced == len(accepted) and (seen.regenerated, seen.quarantined) == (len(again), 6)
+
+    (tmp_path / "validated" / "bad.json").write_text('{"message_id": "x"}\n')
+    _run(start_storage(spark, v, str(tmp_path / "results"), str(tmp_path / "metrics"), str(tmp_path / "ck2")))
+    stored = current_results(spark, str(tmp_path / "results"))
+    assert stored.agg(F.sum("contador_consultas")).first()[0] == len(accepted)
+    assert [x["reason"] for x in _lines(str(tmp_path / "results_quarantine"))] == ["missing trace_id"]
+
+
+def test_replayed_batch_is_consumed_and_not_emitted_twice(spark, tmp_path):
+    records = _responses(8, seed=2)
+    src, v, r, ck = (str(tmp_path / x) for x in ("responses", "validated", "regen", "ck"))
+    _write_files(src, records[:20], 2)
+    _run(start_scorer(spark, src, v, r, ck, max_per_trigger=1))
+    before = sorted(map(json.dumps, _lines(v) + _lines(r)))
+    commits = sorted((n for n in os.listdir(f"{ck}/commits") if n.isdigit()), key=int)
+    os.remove(f"{ck}/commits/{commits[-1]}")
+    if os.path.exists(f"{ck}/commits/.{commits[-1]}.crc"):
+        os.remove(f"{ck}/commits/.{commits[-1]}.crc")
+    _run(start_scorer(spark, src, v, r, ck, max_per_trigger=1))
+    assert sorted(map(json.dumps, _lines(v) + _lines(r))) == before
+    _write_files(src, records[20:], 1, start_index=5)
+    _run(start_scorer(spark, src, v, r, ck, max_per_trigger=1))
+    assert len(_lines(v) + _lines(r)) == len(records)
+    # Another query over the same outputs has folders of its own.
+    _run(start_scorer(spark, src, v, r, str(tmp_path / "other")))
+    assert len(_lines(v) + _lines(r)) == 2 * len(records)
+
+
+def test_the_whole_cycle_equals_the_batch(spark, tmp_path):
+    """questions -> route -> answer -> score -> regenerate -> ... -> results, all as streams."""
+    at = lambda i: (T0 + dt.timedelta(seconds=i)).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+    asked = [{"message_id": f"m{i}", "trace_id": f"t{i}", "question_id": f"q{i}", "title": f"title {i}",
+              "content": "alpha beta gamma " + WORDS[i % 8], "created_at": at(i),
+              "best_answer": "title alpha beta gamma" if i % 2 else "entirely other words"} for i in range(12)]
+    p = {x: str(tmp_path / x) for x in ("questions", "regen", "validated", "requests", "responses", "errors", "results", "metrics", "cache")}
+    ck = lambda x: str(tmp_path / f"ck_{x}")
+    _write_files(p["questions"], asked, 2)
+
+    def turn():
+        _run(start_router(spark, p["questions"], p["regen"], p["validated"], p["requests"], p["results"], p["cache"], ck("router")))
+        _run(start_worker(spark, p["requests"], p["responses"], p["errors"], ck("worker")))
+        _run(start_scorer(spark, p["responses"], p["validated"], p["regen"], ck("scorer"), threshold=0.3))
+
+    for _ in range(3):
+        turn()
+    _run(start_storage(spark, p["validated"], p["results"], p["metrics"], ck("storage")))
+    schema = "message_id string, trace_id string, question_id string, title string, content string, best_answer string, created_at string"
+    questions = spark.createDataFrame([{k: a[k] for k in a} for a in asked], schema).withColumn("attempts", F.lit(0))
+    batch = regeneration_loop(questions, threshold=0.3)
+    cols = ["id_pregunta", "pregunta", "contenido", "respuesta_dataset", "respuesta_llm", "score", "aceptado", "contador_consultas"]
+    _same(current_results(spark, p["results"]), results_upsert(batch), cols)
+    tries = {x["message_id"]: x["attempts"] for x in _lines(p["validated"])}
+    assert {r.message_id: r.attempts for r in batch.collect()} == tries and set(tries.values()) == {1, 3}
+
+    # Asked again: served from the stored results, within the ttl from the cache, also across micro-batches.
+    again = [dict(a, message_id=f"again{i}{j}", created_at=at(100 + j)) for i, a in enumerate(asked[:4]) for j in range(2)]
+    _write_files(p["questions"], again, 1, start_index=7)
+    _run(start_router(spark, p["questions"], p["regen"], p["validated"], p["requests"], p["results"], p["cache"], ck("router")))
+    _write_files(p["questions"], [dict(a, message_id=f"late{i}", created_at=at(150 if i else 9000)) for i, a in enumerate(asked[:2])], 1, start_index=9)
+    _run(start_router(spark, p["questions"], p["regen"], p["validated"], p["requests"], p["results"], p["cache"], ck("router")))
+    source = {x["message_id"]: x["source"] for x in _lines(p["validated"])}
+    assert all(source[f"again{i}0"] == "storage" and source[f"again{i}1"] == "cache" for i in range(4))
+    assert (source["late0"], source["late1"]) == ("storage", "cache")
+
+
+def test_kafka_options():
+    read = kafka_source_options("t", "h:1", 500, {"kafka.security.protocol": "SSL"})
+    assert read == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest",
+                    "maxOffsetsPerTrigger": "500", "kafka.security.protocol": "SSL"}
+    assert "maxOffsetsPerTrigger" not in kafka_source_options("t", "h:1")
+    write = kafka_sink_options("t", "h:1", {"kafka.acks": "1"})
+    assert write == {"kafka.bootstrap.servers": "h:1", "topic": "t", "kafka.acks": "1", "kafka.enable.idempotence": "true"}
+    for make in (kafka_source_options, kafka_sink_options):
+        with pytest.raises(ValueError):
+            make("t", None)
 
 
 def test_stream_counter_on_fixture_events_matches_batch(spark, tmp_path):

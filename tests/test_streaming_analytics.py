@@ -71,7 +71,7 @@ def test_stream_latency_join_matches_batch(spark, tmp_path):
     cs = spark.readStream.schema("message_id string, created_ts timestamp").option("maxFilesPerTrigger", 1).json(ci)
     ds = spark.readStream.schema("message_id string, decided_ts timestamp").option("maxFilesPerTrigger", 1).json(di)
     out = str(tmp_path / "lat")
-    _run(stream_message_latency(cs, ds), out, str(tmp_path / "ck"))
+    _run(stream_message_latency(cs, ds, max_delay="1 day"), out, str(tmp_path / "ck"))
     got = spark.read.parquet(out)
     cb = spark.read.schema("message_id string, created_ts timestamp").json(ci)
     db = spark.read.schema("message_id string, decided_ts timestamp").json(di)

@@ -42,28 +42,28 @@ def _tok(c: str) -> str:
 UNSHARED = "(ln(1.5) + 1.0)"
 
 
-def _score_ctes(view: str) -> str:
+def _score_ctes(view: str, key: str = "message_id") -> str:
     """CTEs (after a ``WITH``) ending in ``r``: the view's rows plus ``raw`` score,
     computed with unnest + GROUP BY, independently of the DataFrame plan."""
     return f""",
 toks AS (
-  SELECT message_id, t, 0 AS s FROM {view}, unnest({_tok('best_answer')}) AS u(t)
+  SELECT {key}, t, 0 AS s FROM {view}, unnest({_tok('best_answer')}) AS u(t)
   UNION ALL
-  SELECT message_id, t, 1 AS s FROM {view}, unnest({_tok('llm_answer')}) AS u(t)),
+  SELECT {key}, t, 1 AS s FROM {view}, unnest({_tok('llm_answer')}) AS u(t)),
 tf AS (
-  SELECT message_id, t, count(*) FILTER (WHERE s = 0) AS ca, count(*) FILTER (WHERE s = 1) AS cb
-  FROM toks GROUP BY message_id, t),
+  SELECT {key}, t, count(*) FILTER (WHERE s = 0) AS ca, count(*) FILTER (WHERE s = 1) AS cb
+  FROM toks GROUP BY {key}, t),
 w AS (
-  SELECT message_id,
+  SELECT {key},
          ca * CASE WHEN ca > 0 AND cb > 0 THEN 1.0 ELSE {UNSHARED} END AS wa,
          cb * CASE WHEN ca > 0 AND cb > 0 THEN 1.0 ELSE {UNSHARED} END AS wb
   FROM tf),
-n AS (SELECT message_id, sum(wa * wb) AS dot, sum(wa * wa) AS na, sum(wb * wb) AS nb FROM w GROUP BY message_id),
+n AS (SELECT {key}, sum(wa * wb) AS dot, sum(wa * wa) AS na, sum(wb * wb) AS nb FROM w GROUP BY {key}),
 r AS (
   SELECT p.*, CASE WHEN coalesce(length(p.best_answer), 0) = 0 OR coalesce(length(p.llm_answer), 0) = 0
                      OR coalesce(n.na, 0) = 0 OR coalesce(n.nb, 0) = 0 THEN 0.0
                    ELSE least(1.0, greatest(0.0, n.dot / (sqrt(n.na) * sqrt(n.nb)))) END AS raw
-  FROM {view} p LEFT JOIN n USING (message_id))
+  FROM {view} p LEFT JOIN n USING ({key}))
 """
 
 
@@ -85,6 +85,13 @@ def q_score_conversation_pairs(spark: SparkSession, root: str) -> DataFrame:
     return sc.score_pairs(fx.v_pairs(spark, root)).select("message_id", "question_id", "score")
 
 
+@register("score_attempts", with_views("v_attempt_pairs") + _score_ctes("v_attempt_pairs", "turn_id")
+          + "SELECT message_id, turn_id, round(raw, 6) AS score FROM r")
+def q_score_attempts(spark: SparkSession, root: str) -> DataFrame:
+    """Several answers under one message id, scored apart by the default key."""
+    return sc.score_pairs(fx.v_attempt_pairs(spark, root)).select("message_id", "turn_id", "score")
+
+
 @register("evaluate_pairs", _score_sql("v_answers", "question_id", digits=4, accepted=sc.SERVICE_THRESHOLD))
 def q_evaluate_pairs(spark: SparkSession, root: str) -> DataFrame:
     a = fx.v_answers(spark, root).select("message_id", "question_id", "best_answer", "llm_answer")
@@ -172,7 +179,7 @@ def _fallback_error_col() -> F.Column:
 
 
 _NL = "chr(10)"
-_FALLBACK_SQL = with_views("v_questions") + f"""
+_FALLBACK_BODY = f"""
 SELECT message_id,
        {_placeholder_sql('title', tx.FALLBACK_EMPTY_TITLE)} || {_NL} || {_NL} || 'Descripción: '
        || {_placeholder_sql('content', tx.FALLBACK_EMPTY_CONTENT)} || {_NL} || {_NL}
@@ -185,7 +192,7 @@ SELECT message_id,
 FROM v_questions"""
 
 
-@register("fallback_answers", _FALLBACK_SQL)
+@register("fallback_answers", with_views("v_questions") + _FALLBACK_BODY)
 def q_fallback_answers(spark: SparkSession, root: str) -> DataFrame:
     q = fx.v_questions(spark, root)
     return q.select("message_id", tx.fallback_answer("title", "content", _fallback_error_col()).alias("answer"))
@@ -239,11 +246,21 @@ def _jstr(f: str, default: str | None) -> str:
                        _jstr("title", ""), _jstr("content", ""), _jstr("prompt", ""),
                        _jstr("best_answer", "")])
           + ", CASE WHEN ok THEN coalesce(CAST(json_extract(jv, '$.attempts') AS INTEGER), 0) END AS attempts"
-          + " FROM k WHERE ok")
+          + " FROM k WHERE ok AND json_extract_string(jv, '$.question_id') IS NOT NULL")
 def q_decode_messages(spark: SparkSession, root: str) -> DataFrame:
     # Decodable messages; malformed ones are routed by ``validate_requests``.
     d = js.decode(fx.v_json(spark, root), "regeneration")
-    return d.filter(F.col("valid")).drop("valid")
+    return d.filter(F.col("valid")).drop("valid", "reason")
+
+
+@register("quarantine_messages", with_views("v_json") + "," + _JSON_OK + """
+SELECT key, CASE WHEN ok THEN 'missing question_id' ELSE 'not a JSON object' END AS reason,
+       (SELECT value FROM v_json v WHERE v.key = k.key) AS value
+FROM k WHERE NOT ok OR json_extract_string(jv, '$.question_id') IS NULL""")
+def q_quarantine_messages(spark: SparkSession, root: str) -> DataFrame:
+    """The complement of ``decode_messages``: raw value and reason, none lost."""
+    d = js.decode(fx.v_json(spark, root), "regeneration", keep=("key", "value"))
+    return d.filter(~F.col("valid")).select("key", "reason", "value")
 
 
 @register("validate_requests", with_views("v_json") + "," + _JSON_OK + """,
@@ -284,6 +301,19 @@ def q_attempt_decisions(spark: SparkSession, root: str) -> DataFrame:
                     "accepted", "forced")
 
 
+@register("attempt_decisions_nulls", with_views("v_attempts_nulls") + f""",
+a AS (SELECT *, coalesce(score >= {sc.STREAM_THRESHOLD}, false) AS nat FROM v_attempts_nulls),
+b AS (SELECT *, coalesce(sum(CAST(nat AS INTEGER)) OVER (PARTITION BY message_id ORDER BY ts NULLS FIRST, event_id
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM a),
+c AS (SELECT *, row_number() OVER (PARTITION BY message_id, seg ORDER BY ts NULLS FIRST, event_id) AS rn FROM b)
+SELECT trace_id, message_id, CAST((rn - 1) % 3 + 1 AS INTEGER) AS attempts, nat OR (rn - 1) % 3 + 1 >= 3 AS accepted,
+       (NOT nat) AND (rn - 1) % 3 + 1 >= 3 AS forced FROM c""")
+def q_attempt_decisions_nulls(spark: SparkSession, root: str) -> DataFrame:
+    """NULL keys, times and scores: every row decided, a NULL score rejected."""
+    d = dc.attempt_decisions(fx.v_attempts_nulls(spark, root))
+    return d.select("trace_id", "message_id", "attempts", "accepted", "forced")
+
+
 @register("regeneration_requests", W1_SQL + """
 SELECT message_id, trace_id, question_id, title, content, prompt, best_answer, attempts_n AS attempts
 FROM decided WHERE NOT accepted""")
@@ -330,14 +360,47 @@ def q_answer_requests(spark: SparkSession, root: str) -> DataFrame:
     return responses
 
 
-@register("regeneration_loop", with_views("v_answers") + _score_ctes("v_answers") + f"""
-SELECT message_id, trace_id, question_id, llm_answer, round(raw, 6) AS score,
-       CASE WHEN raw >= {sc.STREAM_THRESHOLD} THEN 1 ELSE {dc.MAX_ATTEMPTS} END AS attempts,
-       CASE WHEN raw >= {sc.STREAM_THRESHOLD} THEN 1 ELSE {dc.MAX_ATTEMPTS} END AS request_attempts,
-       true AS accepted, raw < {sc.STREAM_THRESHOLD} AS forced, '{dc.SCORER_SOURCE}' AS source
-FROM r""")
+_LOOP_SQL = with_views("v_answers") + _score_ctes("v_answers") + f""",
+loop AS (
+  SELECT message_id, trace_id, question_id, title, prompt AS content, llm_answer, best_answer, raw AS score,
+         true AS accepted, '{dc.SCORER_SOURCE}' AS source,
+         CASE WHEN raw >= {sc.STREAM_THRESHOLD} THEN 1 ELSE {dc.MAX_ATTEMPTS} END AS attempts,
+         created_at AS decided_at, raw < {sc.STREAM_THRESHOLD} AS forced FROM r)
+"""
+
+
+def _looped(spark: SparkSession, root: str) -> DataFrame:
+    return dc.regeneration_loop(fx.v_questions(spark, root), decided_at=F.col("created_at"))
+
+
+@register("regeneration_loop", _LOOP_SQL + """
+SELECT * EXCLUDE (score), round(score, 6) AS score, attempts AS request_attempts FROM loop""")
 def q_regeneration_loop(spark: SparkSession, root: str) -> DataFrame:
-    return dc.regeneration_loop(fx.v_questions(spark, root))
+    return _looped(spark, root).withColumn("score", F.round("score", 6))
+
+
+@register("loop_to_results", _LOOP_SQL + """
+SELECT question_id AS id_pregunta, title AS pregunta, content AS contenido, best_answer AS respuesta_dataset,
+       llm_answer AS respuesta_llm, round(score, 6) AS score, accepted AS aceptado,
+       decided_at AS ultima_actualizacion, CAST(1 AS BIGINT) AS contador_consultas, decided_at AS creado_en FROM loop""")
+def q_loop_to_results(spark: SparkSession, root: str) -> DataFrame:
+    """The loop's records, upserted into the results."""
+    from verity.operators import store as results
+
+    return results.results_upsert(_looped(spark, root)).withColumn("score", F.round("score", 6))
+
+
+@register("generate_with_fallback", with_views("v_answers") + f""",
+fb AS ({_FALLBACK_BODY})
+SELECT a.message_id, a.question_id, a.attempts + 1 AS attempts,
+       CASE WHEN ends_with(a.title, '/src0') THEN fb.answer ELSE a.llm_answer END AS llm_answer,
+       CASE WHEN ends_with(a.title, '/src0') THEN 'timeout' END AS error_detail
+FROM v_answers a JOIN fb USING (message_id)""")
+def q_generate_with_fallback(spark: SparkSession, root: str) -> DataFrame:
+    """Answer, else fallback text naming the failure; failures are reported too."""
+    r, e = dc.generate_with_fallback(dc.first_requests(fx.v_questions(spark, root)), error=_fallback_error_col())
+    return r.join(e.select("message_id", "error_detail"), "message_id", "left") \
+        .select("message_id", "question_id", "attempts", "llm_answer", "error_detail")
 
 
 # --- 2.3 joins, 2.9 W2 / W3, 2.7 A6, 2.8 U2 ----------------------------------------
@@ -417,7 +480,7 @@ SELECT count(*) FILTER (WHERE route = 'cache') AS cache_hits,
        round(avg(CASE WHEN route <> 'llm' THEN 1.0 ELSE 0.0 END), 6) AS hit_rate
 FROM routed""")
 def q_reuse_hit_rate(spark: SparkSession, root: str) -> DataFrame:
-    return ru.hit_rate(_routed(spark, root))
+    return ru.hit_rate(_routed(spark, root)).withColumn("hit_rate", F.round("hit_rate", 6))
 
 
 @register("reuse_distance", with_views("v_trace") + f""",
@@ -437,7 +500,7 @@ def q_reuse_distance(spark: SparkSession, root: str) -> DataFrame:
 
 
 @register("validated_union", with_views("v_trace", "v_store", "v_attempts", recursive=True) + _T + _ST
-          + _ttl_ctes("ts2") + _W1_CTES.replace(",\na AS", ",\na AS", 1) + f""",
+          + _ttl_ctes("ts2") + _W1_CTES + f""",
 routed AS (
   SELECT t.id AS message_id, CASE WHEN an.id IS NOT NULL THEN 'storage' ELSE 'cache' END AS route
   FROM t JOIN st ON st.id_pregunta = t.k LEFT JOIN anchors an ON an.id = t.id)
@@ -466,16 +529,20 @@ from verity.operators import store as st  # noqa: E402
 
 MERGE_SPLIT = "2024-01-16 00:00:00"
 
-_UPSERT_SQL = with_views("v_validated") + """,
+def _upsert_sql(view: str) -> str:
+    return f""",
 o AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY decided_ts DESC, message_id DESC) AS rl,
              row_number() OVER (PARTITION BY question_id ORDER BY decided_ts, message_id) AS rf,
-             count(*) OVER (PARTITION BY question_id) AS cnt FROM v_validated),
+             count(*) OVER (PARTITION BY question_id) AS cnt FROM {view}),
 l AS (SELECT * FROM o WHERE rl = 1),
 f AS (SELECT question_id, decided_at AS creado_en FROM o WHERE rf = 1)
 SELECT l.question_id AS id_pregunta, l.title AS pregunta, l.content AS contenido,
        l.best_answer AS respuesta_dataset, l.llm_answer AS respuesta_llm, l.score, l.accepted AS aceptado,
        l.decided_at AS ultima_actualizacion, l.cnt AS contador_consultas, f.creado_en
-FROM l JOIN f USING (question_id)"""
+FROM l JOIN f ON l.question_id IS NOT DISTINCT FROM f.question_id"""
+
+
+_UPSERT_SQL = with_views("v_validated") + _upsert_sql("v_validated")
 
 
 @register("results_upsert", _UPSERT_SQL)
@@ -489,8 +556,35 @@ def q_results_merge(spark: SparkSession, root: str) -> DataFrame:
     The oracle is the single-pass upsert of everything (merge law)."""
     v = fx.v_validated(spark, root)
     split = F.lit(MERGE_SPLIT).cast("timestamp")
-    prior = st.results_upsert(v.filter(F.col("decided_ts") < split))
-    return st.results_merge(prior, v.filter(F.col("decided_ts") >= split))
+    prior = st.results_state(v.filter(F.col("decided_ts") < split))
+    return st.results_merge(prior, v.filter(F.col("decided_ts") >= split)).select(*st.RESULT_COLUMNS)
+
+
+@register("results_merge_ties", with_views("v_odd_validated") + _upsert_sql("v_odd_validated"))
+def q_results_merge_ties(spark: SparkSession, root: str) -> DataFrame:
+    """The merge law with ties across the split, both time forms and NULL ids, the
+    later half first."""
+    v = fx.v_odd_validated(spark, root)
+    half = F.pmod(F.xxhash64("message_id"), F.lit(2)) == 0
+    merged = st.results_merge(st.results_state(v.filter(half)), v.filter(~half))
+    return merged.select(*st.RESULT_COLUMNS)
+
+
+_METRICS_SQL = """
+SELECT 'global' AS _id, count(*) AS procesadas, count(*) FILTER (WHERE accepted) AS aceptadas,
+       count(*) FILTER (WHERE NOT accepted) AS rechazadas, round(sum(score), 6) AS score_acum,
+       first(score ORDER BY decided_ts DESC, message_id DESC) AS ultimo_score,
+       first(decided_at ORDER BY decided_ts DESC, message_id DESC) AS actualizado_en,
+       first(decided_at ORDER BY decided_ts, message_id) AS creado_en
+FROM v_odd_validated"""
+
+
+@register("metrics_merge", with_views("v_odd_validated") + _METRICS_SQL)
+def q_metrics_merge(spark: SparkSession, root: str) -> DataFrame:
+    v = fx.v_odd_validated(spark, root)
+    half = F.pmod(F.xxhash64("message_id"), F.lit(2)) == 0
+    m = st.merge_metrics(st.metrics_partial(v.filter(half)), st.metrics_partial(v.filter(~half)))
+    return m.select(*st.METRIC_COLUMNS).withColumn("score_acum", F.round("score_acum", 6))
 
 
 @register("global_metrics", with_views("v_validated") + """
@@ -527,7 +621,9 @@ FROM th, r, tot GROUP BY th.threshold""")
 def q_threshold_sweep(spark: SparkSession, root: str) -> DataFrame:
     a = fx.v_answers(spark, root).select("message_id", "best_answer", "llm_answer")
     scored = sc._scored(a, "message_id", "best_answer", "llm_answer")
-    return an.threshold_sweep(scored, "_raw")
+    sweep = an.threshold_sweep(scored, "_raw")
+    return sweep.withColumn("regeneration_rate", F.round("regeneration_rate", 6)) \
+        .withColumn("accepted_mean_score", F.round("accepted_mean_score", 6))
 
 
 def _latency(spark: SparkSession, root: str) -> DataFrame:
@@ -537,11 +633,11 @@ def _latency(spark: SparkSession, root: str) -> DataFrame:
     li = li.withColumn("message_id", F.concat(F.col("k").cast("string"), F.lit("-"),
                                               F.col("l_linenumber").cast("string")))
     lat = an.message_latency(o, li, key="k", keep=("message_id",))
-    return lat.filter(F.col("latency_ms") >= 0).select("message_id", "latency_ms")
+    return lat.select("message_id", "latency_ms")
 
 
 _LAT_SQL = with_views("v_correlated") + """,
-lat AS (SELECT message_id, (epoch_us(decided_ts) - epoch_us(created_ts)) // 1000 AS latency_ms FROM v_correlated)
+lat AS (SELECT message_id, CAST(trunc((epoch_us(decided_ts) - epoch_us(created_ts)) / 1000) AS BIGINT) AS latency_ms FROM v_correlated)
 """
 
 
@@ -555,7 +651,8 @@ SELECT count(latency_ms) AS n, round(avg(latency_ms), 6) AS mean_ms, CAST(max(la
        round(quantile_cont(latency_ms, 0.5), 6) AS p50_ms, round(quantile_cont(latency_ms, 0.95), 6) AS p95_ms
 FROM lat""")
 def q_latency_summary(spark: SparkSession, root: str) -> DataFrame:
-    return an.latency_summary(_latency(spark, root))
+    s = an.latency_summary(_latency(spark, root))
+    return s.select("n", "max_ms", *[F.round(c, 6).alias(c) for c in ("mean_ms", "p50_ms", "p95_ms")])
 
 
 @register("throughput_windows", with_views("v_log") + """
@@ -573,7 +670,10 @@ g AS (SELECT question_id, (epoch_us("timestamp") - lag(epoch_us("timestamp")) OV
 SELECT question_id, count(*) AS n, round(avg(gap), 3) AS mean_gap_s, round(1 / avg(gap), 9) AS rate_per_s
 FROM g GROUP BY question_id""")
 def q_interarrival_stats(spark: SparkSession, root: str) -> DataFrame:
-    return an.interarrival_stats(fx.v_log(spark, root))
+    s = an.interarrival_stats(fx.v_log(spark, root))
+    # A mean of microsecond stamps may end in a half microsecond, where six
+    # decimals would depend on the order of the sum: compared to three.
+    return s.withColumn("mean_gap_s", F.round("mean_gap_s", 3)).withColumn("rate_per_s", F.round("rate_per_s", 9))
 
 
 @register("interarrival_gaps", with_views("v_log") + """
@@ -597,9 +697,16 @@ def q_error_backoff(spark: SparkSession, root: str) -> DataFrame:
     return e.select("message_id", "question_id", "error_type", "error_detail", "attempts", "delay_s", "retry_at")
 
 
-@register("sample_questions")
+@register("sample_questions", with_views("v_questions") + """,
+p AS (SELECT message_id, question_id, row_number() OVER (ORDER BY question_id) AS pos FROM v_questions),
+t AS (SELECT count(*) AS n FROM p),
+d AS (SELECT n, unnest(range(n)) AS draw FROM t),
+h AS (SELECT draw, CAST('0x' || substr(md5('42:' || CAST(draw AS VARCHAR)), 1, 15) AS BIGINT) % n + 1 AS pos FROM d)
+SELECT h.draw, p.message_id, p.question_id FROM h JOIN p USING (pos)""")
 def q_sample_questions(spark: SparkSession, root: str) -> DataFrame:
-    return an.sample_questions(fx.v_questions(spark, root)).select("message_id", "question_id")
+    """As many draws as there are questions."""
+    q = fx.v_questions(spark, root).select("message_id", "question_id")
+    return an.sample_questions(q, q.count(), seed=42)
 
 
 def _sanitize_sql(x: str) -> str:

@@ -115,14 +115,13 @@ SELECT event_id, ts, user_id,
        CAST(user_id AS VARCHAR) AS question_id,
        'RuntimeError' AS error_type,
        props AS error_detail,
-       CAST(least(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id), 10) AS INTEGER) AS attempts
+       CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS attempts
 FROM events WHERE event_type = 'error'"""
 
 VIEWS["v_correlated"] = """
 SELECT CAST(o.o_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS message_id,
        o.o_orderdate AS created_ts, l.l_shipdate AS decided_ts
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-WHERE l.l_shipdate >= o.o_orderdate"""
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
 
 VIEWS["v_json"] = """
 SELECT CAST(event_id AS VARCHAR) AS key,
@@ -138,10 +137,32 @@ SELECT CAST(event_id AS VARCHAR) AS key,
                  'attempts': CAST(floor(value / 100) AS INTEGER)}) AS VARCHAR) END AS value
 FROM events"""
 
+VIEWS["v_attempts_nulls"] = """
+SELECT trace_id, event_id,
+       CASE WHEN event_id % 11 <> 3 THEN message_id END AS message_id,
+       CASE WHEN event_id % 13 <> 4 THEN ts END AS ts,
+       CASE WHEN event_id % 7 <> 2 THEN score END AS score
+FROM v_attempts"""
+
+VIEWS["v_odd_validated"] = f"""
+SELECT * REPLACE (
+         CASE WHEN CAST(message_id AS BIGINT) % 17 <> 5 THEN question_id END AS question_id,
+         CASE WHEN CAST(message_id AS BIGINT) % 2 = 0
+              THEN strftime(time_bucket(INTERVAL '10 minutes', decided_ts), '{ISO}')
+              ELSE strftime(time_bucket(INTERVAL '10 minutes', decided_ts), '%Y-%m-%dT%H:%M:%SZ') END AS decided_at,
+         time_bucket(INTERVAL '10 minutes', decided_ts) AS decided_ts)
+FROM v_validated"""
+
+VIEWS["v_attempt_pairs"] = """
+SELECT question_id AS message_id, message_id AS turn_id, best_answer, llm_answer FROM v_pairs"""
+
 # Views used by other views.
 DEPENDS = {
     "v_prompted": ["v_questions"],
     "v_answers": ["v_questions", "v_prompted"],
+    "v_attempts_nulls": ["v_attempts"],
+    "v_odd_validated": ["v_validated"],
+    "v_attempt_pairs": ["v_pairs"],
 }
 
 
