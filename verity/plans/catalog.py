@@ -16,7 +16,7 @@ from verity.functions import text as tx
 from verity.operators import score as sc
 from verity.plans.sqlviews import WS, with_views
 from verity.sources import fixtures as fx
-from verity.sources.tables import table
+from verity.sources.tables import question_documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -206,9 +206,9 @@ SELECT CAST(doc_id AS VARCHAR) AS _id, lang || '/' || source AS question_title,
 FROM documents""")
 def q_scan_questions(spark: SparkSession, root: str) -> DataFrame:
     d = table(spark, root, "documents")
-    return d.select(d.doc_id.cast("string").alias("_id"),
-                    F.concat(d.lang, F.lit("/"), d.source).alias("question_title"),
-                    d.text.alias("question_content"), d.text.alias("best_answer"))
+    return question_documents(d.select(
+        F.col("doc_id").alias("_id"), F.concat("lang", F.lit("/"), "source").alias("question_title"),
+        F.col("text").alias("question_content"), F.col("text").alias("best_answer")))
 
 
 # --- 2.2 JSON, projections, validation ----------------------------------------

@@ -25,12 +25,16 @@ def utc(c) -> F.Column:
     return F.col(c).cast("timestamp")
 
 
-def scan_questions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def question_documents(documents: DataFrame) -> DataFrame:
     """Question documents with the projection the generator asks for (S2).
 
     Only ``_id``, ``question_title``, ``question_content`` and ``best_answer``
     are read; with parquet/orc the pruning reaches the file scan.
     """
-    df = spark.read.format(fmt).load(path)
-    return df.select(F.col("_id").cast("string").alias("_id"), "question_title",
-                     "question_content", "best_answer")
+    return documents.select(F.col("_id").cast("string").alias("_id"), "question_title",
+                            "question_content", "best_answer")
+
+
+def scan_questions(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """``question_documents`` of a stored collection."""
+    return question_documents(spark.read.format(fmt).load(path))
