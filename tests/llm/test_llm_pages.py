@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from llm_inputs import shipped  # noqa: F401 (fixtures)
 
 from verity.llm import queries, warc
 from verity.llm.ann import nearest

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 import pytest
+from llm_inputs import no_documents, odd_documents, odd_rows, shipped  # noqa: F401 (fixtures)
 from test_llm_documents import SF, brute_components, check_pieces, texts
 from tokenizers import Tokenizer
 

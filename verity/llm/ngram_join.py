@@ -491,7 +491,8 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
 def keep_one(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: the one of smallest doc_id.
 
-    Columns pass through.  Of rows repeating that doc_id one stays (smallest hash of its text).
+    Columns pass through.  Rows that repeat a doc_id are one document: if one of them leads a group,
+    one of them stays (smallest hash of its text).
     Rows with a null doc_id belong to no group and stay.
     """
     kept = ngram_components(docs, percent, width).filter("doc_id = component_id").select("doc_id").distinct()

@@ -27,6 +27,8 @@ from verity.session import checkpoint, ensure_checkpoint_dir
 MAGIC = "WARC/1.1\r\n"
 RECORD_END = "\r\n\r\n"
 REVISIT_BYTES = 100
+#: So many pieces that are not whole records, about 100 bytes each, are broadcast at most.
+BROADCAST_PIECES = 200_000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -124,11 +126,12 @@ def _walked(group: pd.DataFrame) -> pd.DataFrame:
                 break
             i = j
     owner = np.maximum.accumulate(np.where(reached, offset, -1))
-    return pd.DataFrame({"file": group["file"], "block": group["block"], "at": group["at"], "offset": offset, "size": group["size"], "need": successor - offset, "owner": owner})
+    return pd.DataFrame({"file": group["file"], "block": group["block"], "at": group["at"], "offset": offset, "owner": owner})
 
 
 def verified_pieces(pieces: DataFrame) -> DataFrame:
-    """file, block, at, offset, size, need, owner of each piece: owner is the offset of its record."""
+    """file, block, at, offset, owner of each piece: owner is the offset of its record, -1 if that began
+    in an earlier split (or there is none)."""
     header_bytes = F.octet_length("header") + len(RECORD_END)
     length = F.expr(r"try_cast(regexp_extract(header, '(?:\\A|\r\n)Content-Length: ([0-9]{1,15})(?:\r\n|\\z)', 1) as bigint)")
     parts = checkpoint(pieces.select("file", "block", "at", "size", (header_bytes + length + len(RECORD_END) + len(MAGIC)).alias("step")))
@@ -141,7 +144,7 @@ def verified_pieces(pieces: DataFrame) -> DataFrame:
         .join(base, ["file", "block"])
         .withColumn("offset", F.col("base") + F.col("run") - len(MAGIC))
         .withColumn("successor", F.col("offset") + F.coalesce("step", F.lit(0)))
-        .select("file", "block", "at", "size", "offset", "successor")
+        .select("file", "block", "at", "offset", "successor")
     )
     placed = checkpoint(placed)
 
@@ -160,7 +163,7 @@ def verified_pieces(pieces: DataFrame) -> DataFrame:
         jump = checkpoint(jump.join(onward, ["file", "successor"]).select("file", "offset", F.col("onward").alias("successor")))
 
     marked = placed.join(entries.withColumn("entry", F.lit(True)), ["file", "offset"], "left").withColumn("entry", F.coalesce("entry", F.lit(False)))
-    kind = "file string, block bigint, at bigint, offset bigint, size bigint, need bigint, owner bigint"
+    kind = "file string, block bigint, at bigint, offset bigint, owner bigint"
     return checkpoint(marked.groupBy("file", "block").applyInPandas(_walked, kind))
 
 
@@ -181,18 +184,21 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     owned = checkpoint(
         found.join(carried, ["file", "block"])
         .withColumn("owner", F.when(F.col("owner") >= 0, F.col("owner")).otherwise(F.col("carried")))
-        .filter("owner IS NOT NULL").select("file", "at", "offset", "size", "need", "owner")
+        .select("file", "at", "offset", "owner")
     )
-    in_parts = owned.filter("offset <> owner").select("file", "owner").distinct()
-    whole = owned.join(in_parts, ["file", "owner"], "left_anti").select("file", "at")
-    parts = owned.join(in_parts, ["file", "owner"]).select("file", "at", "offset", "owner")
+    # All but a few pieces are whole records: those that are not are looked up, so payloads stay where
+    # they are read.  The few are broadcast up to a checked count, and joined by a shuffle beyond it.
+    in_parts = owned.filter("owner IS NOT NULL AND offset <> owner").select("file", "owner").distinct()
+    parts = checkpoint(owned.join(in_parts, ["file", "owner"]).select("file", "at", "offset", "owner"))
+    rest = checkpoint(parts.select("file", "at").unionByName(owned.filter("owner IS NULL").select("file", "at")))
+    few = (lambda df: F.broadcast(df)) if rest.count() <= BROADCAST_PIECES else (lambda df: df)
     data = pieces.select("file", "at", "data")
     joined = (
-        data.join(parts, ["file", "at"]).groupBy("file", "owner")
+        data.join(few(parts), ["file", "at"]).groupBy("file", "owner")
         .agg(F.array_sort(F.collect_list(F.struct("offset", "data"))).alias("all"))
         .select(F.expr(f"aggregate(slice(all, 2, size(all)), all[0].data, (x, y) -> concat(x, cast('{MAGIC.strip()}\r\n' as binary), y.data))").alias("data"))
     )
-    records = data.join(whole, ["file", "at"]).select("data").unionByName(joined)
+    records = data.join(few(rest), ["file", "at"], "left_anti").select("data").unionByName(joined)
     end = F.instr(F.col("data").cast("string"), RECORD_END)
     rows = records.withColumn("header", F.substring(F.col("data").cast("string"), F.lit(1), end - 1))
     number = lambda name: F.expr(f"try_cast(regexp_extract({name}, '^<urn:page:(-?[0-9]+)>$', 1) as bigint)")
