@@ -25,10 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Token i is written as this code point plus i, beyond the surrogates.
-FIRST = 0x10000
+#: Token i is written as this code point plus i: below the surrogates if all fit, else beyond them.
+FIRST_LOW, FIRST_HIGH, SURROGATES = 0x100, 0x10000, 0xD800
 CHUNK_WORDS = 50_000
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 LONG_WORD = 256
 SLICE_CHARS = 2_000_000
 _POSITIONS = 1 << 20
@@ -37,13 +37,13 @@ _FIXPOINT = f"""
 WITH RECURSIVE state(word, s) AS (
   SELECT word, s FROM words
   UNION ALL
-  SELECT b.word, b.s[:b.best % {_POSITIONS} - 1] || t.made || b.s[b.best % {_POSITIONS} + 2:]
+  SELECT word, substr(s, 1, best % {_POSITIONS} - 1) || chr(CAST({{first}} + best // {_POSITIONS} AS INTEGER)) || substr(s, best % {_POSITIONS} + 2)
   FROM (
     SELECT r.word, any_value(r.s) AS s, min(m.rank * {_POSITIONS} + r.pos) AS best
     FROM (SELECT word, s, unnest(range(1, length(s))) AS pos FROM state) r
     JOIN merges m ON substr(r.s, r.pos, 2) = m.pair
     GROUP BY r.word
-  ) b JOIN tokens t ON t.rank = b.best // {_POSITIONS}
+  )
 )
 SELECT word, arg_min(s, length(s)) AS s FROM state GROUP BY word
 """
@@ -61,12 +61,13 @@ class Codec:
         with open(path, "rb") as f:
             self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.pattern = regex.compile(pattern)
+        first = self.first = FIRST_LOW if FIRST_LOW + max(self.ranks.values()) < SURROGATES else FIRST_HIGH
+        self.fixpoint = _FIXPOINT.format(first=first)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         made = [(a, b, i) for t, i in self.ranks.items() for k in range(1, len(t)) if (a := self.ranks.get(t[:k])) is not None and (b := self.ranks.get(t[k:])) is not None]
-        self._load("merges", pair=[chr(FIRST + a) + chr(FIRST + b) for a, b, _ in made], rank=pa.array([i for *_, i in made], pa.int64()))
-        self._load("tokens", rank=pa.array(self.ranks.values(), pa.int64()), made=[chr(FIRST + i) for i in self.ranks.values()])
+        self._load("merges", pair=[chr(first + a) + chr(first + b) for a, b, _ in made], rank=pa.array([i for *_, i in made], pa.int64()))
         self._load("vocabulary", id=pa.array(self.ranks.values(), pa.int32()), hex=[t.hex() for t in self.ranks])
-        self.byte = {b: chr(FIRST + self.ranks[bytes([b])]) for b in range(256)}
+        self.byte = {b: chr(first + self.ranks[bytes([b])]) for b in range(256)}
         self.ints = list(range(max(self.ranks.values()) + 1))  # shared by all cached words
         self.text = [str(i) for i in self.ints]
         self.cache: dict[str, tuple] = {}
@@ -110,12 +111,13 @@ class Codec:
                 self.cache[word] = self._heap(raw)
             else:
                 todo.append((word, raw))
+        ints, first = self.ints, self.first
         for x in range(0, len(todo), CHUNK_WORDS):
             part = todo[x : x + CHUNK_WORDS]
             rows = pa.table({"word": pa.array(range(len(part)), pa.int32()), "s": [raw.decode("latin1").translate(self.byte) for _, raw in part]})
             self.db.register("words", rows)
-            for i, s in self.db.execute(_FIXPOINT).fetchall():
-                self.cache[part[i][0]] = tuple(self.ints[ord(c) - FIRST] for c in s)
+            for i, s in self.db.execute(self.fixpoint).fetchall():
+                self.cache[part[i][0]] = tuple([ints[ord(c) - first] for c in s])
             self.db.unregister("words")
 
     def encode(self, texts: list[str | None]) -> list[list[int]]:
