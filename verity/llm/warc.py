@@ -227,6 +227,8 @@ def round_trip(pages: DataFrame) -> DataFrame:
         "page_id", "record_type", "refers_to", "digest", F.octet_length("payload").cast("bigint").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest")
     )
     read = checkpoint(read)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)  # read whole, and kept in the checkpoint
     responses = read.filter("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
     stored = responses.select(F.col("page_id").alias("refers_to"), "payload_digest", "payload_bytes").distinct()
     revisits = (
