@@ -10,9 +10,13 @@
    replicated to the other lists within ``REPLICATE`` times that distance, ``COPIES`` at most.
 4. A query searches the graph and probes the lists within ``PROBE`` times the distance of the
    nearest centroid, at most ``LISTS``, and at least as many as hold ``LEAST`` times k rows.
-5. Lists are split into parts of about ``PART`` rows by a hash of vec_id, so an overfull list (many
-   equal vectors) spreads over tasks.  Each part returns a query's k best by exact products in
-   double precision; the k best of those are the result.
+5. Lists are split into parts of about ``PART`` rows by a hash of vec_id, so an overfull list spreads
+   over tasks.  Each part returns a query's best by exact products in double precision; the k
+   best of those are the result.
+
+Equal vectors tie, and ties go to the smaller vec_id: of the rows of one vector only the k + 1 smallest ids can
+be in a result, so those stand for it in the lists, and equal query vectors are searched once.  A vector
+that a third of all rows share thus costs as much as any other.
 
 The centroids and their graph are the only thing broadcast: at most ``CENTROIDS`` vectors.
 """
@@ -31,8 +35,8 @@ from verity.session import checkpoint
 SAMPLE = 32_768
 CENTROIDS = 2_048
 ROWS_PER_LIST = 128
-DEGREE, FAR_LINKS, BEAM = 24, 8, 96
-COPIES, REPLICATE = 8, 1.12
+DEGREE, FAR_LINKS, BEAM = 24, 8, 32
+COPIES, REPLICATE = 4, 1.06
 LISTS, PROBE, LEAST = 96, 1.6, 4
 PART = 4_096
 
@@ -154,23 +158,28 @@ def _probes(batches: Iterator[pa.RecordBatch], graph: Graph, sizes: np.ndarray,
             yield pa.RecordBatch.from_arrays([pa.array(at[row, place].astype(np.int32)), taken.column("vec_id"), taken.column("x")], names=["list", "query_id", "x"])
 
 
-def _scan(key, members: pa.Table, queries: pa.Table, k: int) -> pa.Table:
-    """A query's k best in one part of a list: products row by row, so equal vectors score equally."""
-    names = ["query_id", "vec_id", "score"]
-    kinds = [pa.int64(), pa.int64(), pa.float64()]
+def _scan(key, members: pa.Table, queries: pa.Table, best_of: int) -> pa.Table:
+    """A query's best in one part of a list.  A matrix product narrows them down; the scores are
+    products row by row, so equal vectors score equally."""
+    names, kinds = ["query_id", "vec_id", "score"], [pa.int64(), pa.int64(), pa.float64()]
     out: list[list] = [[], [], []]
     if members.num_rows and queries.num_rows:
         ids = members.column("vec_id").to_numpy()
         x = np.ascontiguousarray(_matrix(members.column("x").combine_chunks()))
         q = _matrix(queries.column("x").combine_chunks())
-        for query, vector in zip(queries.column("query_id").to_pylist(), q, strict=True):
-            score = (x * vector).sum(axis=1)
-            other = ids != query
-            best = np.lexsort((ids, -score))
-            best = best[other[best]][:k]
-            out[0].append(np.full(len(best), query))
-            out[1].append(ids[best])
-            out[2].append(score[best])
+        query_ids = queries.column("query_id").to_numpy()
+        slack = 1e-9 * np.linalg.norm(x, axis=1).max()
+        for lo in range(0, len(q), 256):
+            rough = q[lo : lo + 256] @ x.T
+            for query, vector, row in zip(query_ids[lo : lo + 256], q[lo : lo + 256], rough, strict=True):
+                near = np.arange(len(ids))
+                if len(ids) > best_of:
+                    near = np.flatnonzero(row >= np.partition(row, -best_of)[-best_of] - slack * np.linalg.norm(vector))
+                score = (x[near] * vector).sum(axis=1)
+                best = np.lexsort((ids[near], -score))[:best_of]
+                out[0].append(np.full(len(best), query))
+                out[1].append(ids[near][best])
+                out[2].append(score[best])
     return pa.table({n: pa.array(np.concatenate(v) if v else [], t) for n, v, t in zip(names, out, kinds, strict=True)})
 
 
@@ -196,9 +205,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     graph.scale = largest
     shared = spark.sparkContext.broadcast(graph)
 
-    dim = x.shape[1]
-    lists = rows.mapInArrow(lambda b: _assigned(b, shared.value, largest), "list int, vec_id bigint, x array<double>")
-    lists = checkpoint(lists)
+    place = Window.partitionBy("x").orderBy("vec_id")
+    few = rows.withColumn("place", F.row_number().over(place)).filter(F.col("place") <= k + 1).select("vec_id", "x")
+    lists = checkpoint(few.mapInArrow(lambda b: _assigned(b, shared.value, largest), "list int, vec_id bigint, x array<double>"))
     sizes = np.zeros(len(graph.points), np.int64)
     for r in lists.groupBy("list").count().collect():
         sizes[r["list"]] = r["count"]
@@ -206,14 +215,22 @@ def nearest(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     shared_sizes = spark.sparkContext.broadcast(sizes)
     per_list = spark.createDataFrame([(i, int(p)) for i, p in enumerate(parts)], "list int, parts int")
     members = lists.join(F.broadcast(per_list), "list").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
-    queries = rows.filter(is_query).mapInArrow(lambda b: _probes(b, shared.value, shared_sizes.value, k), "list int, query_id bigint, x array<double>")
+    asked = rows.filter(is_query)
+    first = checkpoint(asked.groupBy("x").agg(F.min("vec_id").alias("vec_id")))
+    queries = first.mapInArrow(lambda b: _probes(b, shared.value, shared_sizes.value, k), "list int, query_id bigint, x array<double>")
     queries = queries.join(F.broadcast(per_list), "list").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     found = members.select("list", "part", "vec_id", "x").groupBy("list", "part").cogroup(
         queries.select("list", "part", "query_id", "x").groupBy("list", "part")
-    ).applyInArrow(lambda key, a, b: _scan(key, a, b, k), "query_id bigint, vec_id bigint, score double")
+    ).applyInArrow(lambda key, a, b: _scan(key, a, b, k + 1), "query_id bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (
+    top = (
         found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        .withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1).select("query_id", "vec_id", "score")
+    )
+    # Every query row has the results of its vector but for itself.
+    same = asked.join(first.select("x", F.col("vec_id").alias("first_id")), "x").select(F.col("vec_id").alias("query_id"), "first_id")
+    return (
+        same.join(top.withColumnRenamed("query_id", "first_id"), "first_id").filter(F.col("vec_id") != F.col("query_id"))
         .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
