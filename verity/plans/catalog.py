@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from verity.functions import text as tx
 from verity.operators import score as sc
+from verity.plans import sqlviews as sv
 from verity.plans.sqlviews import WS, with_views
 from verity.sources import fixtures as fx
 from verity.sources.tables import question_documents, table
@@ -92,7 +93,7 @@ def q_score_attempts(spark: SparkSession, root: str) -> DataFrame:
     return sc.score_pairs(fx.v_attempt_pairs(spark, root)).select("message_id", "turn_id", "score")
 
 
-@register("evaluate_pairs", _score_sql("v_answers", "question_id", digits=4, accepted=sc.SERVICE_THRESHOLD))
+@register("evaluate_pairs", _score_sql("v_answers", "question_id", digits=4, accepted=sv.SERVICE_THRESHOLD))
 def q_evaluate_pairs(spark: SparkSession, root: str) -> DataFrame:
     a = fx.v_answers(spark, root).select("message_id", "question_id", "best_answer", "llm_answer")
     return sc.evaluate_pairs(a).select("question_id", "score", "accepted")
@@ -163,9 +164,9 @@ def _placeholder_sql(c: str, ph: str) -> str:
 
 
 @register("instruction_prompts", with_views("v_questions") + f"""
-SELECT message_id, '{tx.INSTRUCTION_INTRO}' || {_placeholder_sql('title', tx.INSTRUCTION_EMPTY_TITLE)}
+SELECT message_id, '{sv.INSTRUCTION_INTRO}' || {_placeholder_sql('title', sv.INSTRUCTION_EMPTY_TITLE)}
        || chr(10) || chr(10) || 'Detalles adicionales: '
-       || {_placeholder_sql('content', tx.INSTRUCTION_EMPTY_CONTENT)}
+       || {_placeholder_sql('content', sv.INSTRUCTION_EMPTY_CONTENT)}
        || chr(10) || chr(10) || 'Respuesta:' AS prompt
 FROM v_questions""")
 def q_instruction_prompts(spark: SparkSession, root: str) -> DataFrame:
@@ -181,14 +182,14 @@ def _fallback_error_col() -> F.Column:
 _NL = "chr(10)"
 _FALLBACK_BODY = f"""
 SELECT message_id,
-       {_placeholder_sql('title', tx.FALLBACK_EMPTY_TITLE)} || {_NL} || {_NL} || 'Descripción: '
-       || {_placeholder_sql('content', tx.FALLBACK_EMPTY_CONTENT)} || {_NL} || {_NL}
+       {_placeholder_sql('title', sv.FALLBACK_EMPTY_TITLE)} || {_NL} || {_NL} || 'Descripción: '
+       || {_placeholder_sql('content', sv.FALLBACK_EMPTY_CONTENT)} || {_NL} || {_NL}
        || 'Sugerencia generada localmente:' || {_NL}
        || '- Revisa la respuesta aceptada en el dataset.' || {_NL}
        || '- Considera desglosar el problema en pasos para verificar cada afirmación.' || {_NL} || {_NL}
-       || '{tx.FALLBACK_NOTE}'
+       || '{sv.FALLBACK_NOTE}'
        || CASE WHEN ends_with(title, '/src0') THEN ' Motivo original: timeout.' ELSE '' END
-       || ' ' || '{tx.FALLBACK_GUIDANCE}' AS answer
+       || ' ' || '{sv.FALLBACK_GUIDANCE}' AS answer
 FROM v_questions"""
 
 
@@ -278,13 +279,13 @@ def q_validate_requests(spark: SparkSession, root: str) -> DataFrame:
 # --- 2.9 W1 attempts, 2.2 P4 / P5, 2.7 A5 ----------------------------------------
 
 _W1_CTES = f""",
-a AS (SELECT *, score >= {sc.STREAM_THRESHOLD} AS nat FROM v_attempts),
+a AS (SELECT *, score >= {sv.STREAM_THRESHOLD} AS nat FROM v_attempts),
 b AS (SELECT *, coalesce(sum(CAST(nat AS INTEGER)) OVER (PARTITION BY message_id ORDER BY ts, event_id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM a),
 c AS (SELECT *, row_number() OVER (PARTITION BY message_id, seg ORDER BY ts, event_id) AS rn FROM b),
-d AS (SELECT *, CAST((rn - 1) % {dc.MAX_ATTEMPTS} + 1 AS INTEGER) AS attempts_n FROM c),
-decided AS (SELECT *, nat OR attempts_n >= {dc.MAX_ATTEMPTS} AS accepted,
-                   (NOT nat) AND attempts_n >= {dc.MAX_ATTEMPTS} AS forced FROM d)
+d AS (SELECT *, CAST((rn - 1) % {sv.MAX_ATTEMPTS} + 1 AS INTEGER) AS attempts_n FROM c),
+decided AS (SELECT *, nat OR attempts_n >= {sv.MAX_ATTEMPTS} AS accepted,
+                   (NOT nat) AND attempts_n >= {sv.MAX_ATTEMPTS} AS forced FROM d)
 """
 W1_SQL = with_views("v_attempts") + _W1_CTES
 
@@ -302,7 +303,7 @@ def q_attempt_decisions(spark: SparkSession, root: str) -> DataFrame:
 
 
 @register("attempt_decisions_nulls", with_views("v_attempts_nulls") + f""",
-a AS (SELECT *, coalesce(score >= {sc.STREAM_THRESHOLD}, false) AS nat FROM v_attempts_nulls),
+a AS (SELECT *, coalesce(score >= {sv.STREAM_THRESHOLD}, false) AS nat FROM v_attempts_nulls),
 b AS (SELECT *, coalesce(sum(CAST(nat AS INTEGER)) OVER (PARTITION BY message_id ORDER BY ts NULLS FIRST, event_id
                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg FROM a),
 c AS (SELECT *, row_number() OVER (PARTITION BY message_id, seg ORDER BY ts NULLS FIRST, event_id) AS rn FROM b)
@@ -323,7 +324,7 @@ def q_regeneration_requests(spark: SparkSession, root: str) -> DataFrame:
 
 @register("validated_projection", W1_SQL + f"""
 SELECT message_id, trace_id, question_id, title, prompt AS content, llm_answer, best_answer,
-       round(score, 6) AS score, accepted, '{dc.SCORER_SOURCE}' AS source, attempts_n AS attempts,
+       round(score, 6) AS score, accepted, '{sv.SCORER_SOURCE}' AS source, attempts_n AS attempts,
        produced_at AS decided_at
 FROM decided WHERE accepted""")
 def q_validated_projection(spark: SparkSession, root: str) -> DataFrame:
@@ -363,9 +364,9 @@ def q_answer_requests(spark: SparkSession, root: str) -> DataFrame:
 _LOOP_SQL = with_views("v_answers") + _score_ctes("v_answers") + f""",
 loop AS (
   SELECT message_id, trace_id, question_id, title, prompt AS content, llm_answer, best_answer, raw AS score,
-         true AS accepted, '{dc.SCORER_SOURCE}' AS source,
-         CASE WHEN raw >= {sc.STREAM_THRESHOLD} THEN 1 ELSE {dc.MAX_ATTEMPTS} END AS attempts,
-         created_at AS decided_at, raw < {sc.STREAM_THRESHOLD} AS forced FROM r)
+         true AS accepted, '{sv.SCORER_SOURCE}' AS source,
+         CASE WHEN raw >= {sv.STREAM_THRESHOLD} THEN 1 ELSE {sv.MAX_ATTEMPTS} END AS attempts,
+         created_at AS decided_at, raw < {sv.STREAM_THRESHOLD} AS forced FROM r)
 """
 
 
@@ -437,7 +438,7 @@ def _ttl_ctes(source: str) -> str:
     """Refresh chain per key by recursion over next pointers (oracle form)."""
     return f""",
 nx AS (SELECT a.id, (SELECT first(b.id ORDER BY b.ts, b.event_id) FROM {source} b
-                     WHERE b.k = a.k AND b.ts > a.ts + INTERVAL '{_TTL} seconds') AS nxt
+                     WHERE b.k = a.k AND b.ts > a.ts + INTERVAL '{sv.TTL_SECONDS} seconds') AS nxt
        FROM {source} a),
 anchors(id) AS (
   SELECT first(id ORDER BY ts, event_id) FROM {source} GROUP BY k
@@ -492,7 +493,7 @@ c AS (SELECT a.message_id, count(*) AS n FROM q a JOIN q b
       GROUP BY a.message_id)
 SELECT q.message_id, q.question_id,
        CAST(CASE WHEN q.prv IS NULL THEN -1 ELSE coalesce(c.n, 0) END AS BIGINT) AS reuse_distance,
-       (q.prv IS NOT NULL AND coalesce(c.n, 0) < {ru.CACHE_SIZE}) AS lru_hit
+       (q.prv IS NOT NULL AND coalesce(c.n, 0) < {sv.CACHE_SIZE}) AS lru_hit
 FROM q LEFT JOIN c USING (message_id)""")
 def q_reuse_distance(spark: SparkSession, root: str) -> DataFrame:
     d = ru.reuse_distance(_trace(spark, root))
@@ -511,7 +512,7 @@ SELECT v.message_id, v.trace_id, v.question_id, coalesce(s.pregunta, '') AS titl
 FROM v_trace v JOIN routed r ON r.message_id = v.message_id JOIN v_store s ON s.id_pregunta = v.question_id
 UNION ALL
 SELECT message_id, trace_id, question_id, title, prompt AS content, llm_answer, best_answer,
-       round(score, 6) AS score, accepted, '{dc.SCORER_SOURCE}' AS source, attempts_n AS attempts,
+       round(score, 6) AS score, accepted, '{sv.SCORER_SOURCE}' AS source, attempts_n AS attempts,
        produced_at AS decided_at
 FROM decided WHERE accepted""")
 def q_validated_union(spark: SparkSession, root: str) -> DataFrame:
@@ -607,7 +608,7 @@ def q_status_counts(spark: SparkSession, root: str) -> DataFrame:
     return an.status_counts(fx.v_log(spark, root))
 
 
-_SWEEP_VALUES = ", ".join(f"(CAST({t} AS DOUBLE))" for t in an.SWEEP_THRESHOLDS)
+_SWEEP_VALUES = ", ".join(f"(CAST({t} AS DOUBLE))" for t in sv.SWEEP_THRESHOLDS)
 
 
 @register("threshold_sweep", with_views("v_answers") + _score_ctes("v_answers") + f""",

@@ -7,10 +7,24 @@ rather than re-running it.
 
 from __future__ import annotations
 
-from verity.functions.text import OFFLINE_PREFIX, WHITESPACE_CLASS
-from verity.sources.fixtures import QUESTION_CREATED_AT, QUESTION_SOURCE
+# Fixed values of the results, stated here once more: an oracle that took them
+# from the library would agree with whatever the library has.
+WS = (r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+      r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]")
+OFFLINE_PREFIX = "Respuesta generada automáticamente en modo offline. Resumen de la pregunta: "
+INSTRUCTION_INTRO = ("Eres un asistente experto que responde preguntas provenientes de Yahoo! Answers. "
+                     "Redacta una respuesta clara y completa, justificando los pasos si corresponde. Pregunta: ")
+INSTRUCTION_EMPTY_TITLE, INSTRUCTION_EMPTY_CONTENT = "(Sin título)", "(Sin descripción adicional)"
+FALLBACK_EMPTY_TITLE = "Consulta de Yahoo! Answers"
+FALLBACK_EMPTY_CONTENT = "No se proporcionaron detalles adicionales."
+FALLBACK_NOTE = "Esta respuesta fue generada localmente porque el servicio de Gemini no respondió a tiempo."
+FALLBACK_GUIDANCE = ("Para obtener una respuesta definitiva, compara esta recomendación con la mejor respuesta humana "
+                     "del dataset y consulta fuentes confiables adicionales.")
+QUESTION_SOURCE, QUESTION_CREATED_AT = "traffic-generator", "2024-01-01T00:00:00.000000Z"
+STREAM_THRESHOLD, SERVICE_THRESHOLD, MAX_ATTEMPTS, SCORER_SOURCE = 0.65, 0.5, 3, "scorer"
+TTL_SECONDS, CACHE_SIZE = 3600, 1024
+SWEEP_THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.65, 0.7, 0.8, 0.9)
 
-WS = WHITESPACE_CLASS
 ISO = "%Y-%m-%dT%H:%M:%S.%fZ"
 
 VIEWS: dict[str, str] = {}
