@@ -27,8 +27,8 @@ from verity.session import checkpoint, ensure_checkpoint_dir
 MAGIC = "WARC/1.1\r\n"
 RECORD_END = "\r\n\r\n"
 REVISIT_BYTES = 100
-#: So many pieces that are not whole records, about 100 bytes each, are broadcast at most.
-BROADCAST_PIECES = 200_000
+#: So many narrow rows (revisits, pieces that are not whole records; about 150 bytes each) are broadcast at most.
+BROADCAST_ROWS = 200_000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -44,6 +44,11 @@ FROM g
 """
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """``rows`` (materialised and narrow), to be broadcast if there are at most ``BROADCAST_ROWS``."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def plan_records(pages: DataFrame) -> DataFrame:
     """page_id, url, html ('' for null), digest, refers_to (null: a response) per row of ``pages``.
 
@@ -58,6 +63,7 @@ def plan_records(pages: DataFrame) -> DataFrame:
         long.join(first, "digest").filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
         .select(F.col("page_id").alias("again_id"), F.col("digest").alias("again_digest"), "refers_to").distinct()
     )
+    again = _few(checkpoint(again))
     return rows.join(again, rows.page_id.eqNullSafe(again.again_id) & (rows.digest == again.again_digest), "left").drop("again_id", "again_digest")
 
 
@@ -191,14 +197,13 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     in_parts = owned.filter("owner IS NOT NULL AND offset <> owner").select("file", "owner").distinct()
     parts = checkpoint(owned.join(in_parts, ["file", "owner"]).select("file", "at", "offset", "owner"))
     rest = checkpoint(parts.select("file", "at").unionByName(owned.filter("owner IS NULL").select("file", "at")))
-    few = (lambda df: F.broadcast(df)) if rest.count() <= BROADCAST_PIECES else (lambda df: df)
     data = pieces.select("file", "at", "data")
     joined = (
-        data.join(few(parts), ["file", "at"]).groupBy("file", "owner")
+        data.join(_few(parts), ["file", "at"]).groupBy("file", "owner")
         .agg(F.array_sort(F.collect_list(F.struct("offset", "data"))).alias("all"))
         .select(F.expr(f"aggregate(slice(all, 2, size(all)), all[0].data, (x, y) -> concat(x, cast('{MAGIC.strip()}\r\n' as binary), y.data))").alias("data"))
     )
-    records = data.join(few(rest), ["file", "at"], "left_anti").select("data").unionByName(joined)
+    records = data.join(_few(rest), ["file", "at"], "left_anti").select("data").unionByName(joined)
     end = F.instr(F.col("data").cast("string"), RECORD_END)
     rows = records.withColumn("header", F.substring(F.col("data").cast("string"), F.lit(1), end - 1))
     number = lambda name: F.expr(f"try_cast(regexp_extract({name}, '^<urn:page:(-?[0-9]+)>$', 1) as bigint)")
