@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from verity.functions.ids import now_iso
@@ -25,7 +25,7 @@ from verity.operators import decide, reuse
 from verity.sources import snapshots as snap
 from verity.sources.streams import read_topic, read_topics
 from verity.streaming.sinks import QUARANTINE, BatchSinks, make_folder, start
-from verity.streaming.storage import current_results
+from verity.streaming.storage import COMPACT_EVERY, current_results
 
 QUESTIONS, REGENERATION = "questions_in", "regeneration"
 
@@ -38,9 +38,11 @@ def latest_entries(rows: DataFrame) -> DataFrame:
 def route_batch(questions: DataFrame, store: DataFrame, entries: DataFrame | None,
                 ttl_seconds: float = reuse.CACHE_TTL_SECONDS) -> DataFrame:
     """Questions (with ``ts``, parsed ``created_at``) -> the same with ``route``, given the cache's entries."""
-    # An index per row: a question may be sent again under the same message id.
-    rows = questions.withColumn("_row", F.concat(F.lit("q"), F.sha2(F.to_json(F.struct(*questions.columns)), 256)))
-    rows = rows.dropDuplicates(["_row"])
+    # An id per row: a question may be sent again, even as the very same message.
+    same = F.sha2(F.to_json(F.struct(*questions.columns)), 256)
+    rows = questions.withColumn("_same", same)
+    nth = F.row_number().over(Window.partitionBy("_same").orderBy("_same"))
+    rows = rows.withColumn("_row", F.concat(F.lit("q"), "_same", F.lit("-"), nth.cast("string"))).drop("_same")
     slim = rows.select("question_id", "ts", "message_id", "_row")
     if entries is not None:
         old = entries.join(slim.select("question_id").distinct(), "question_id", "left_semi").select(
@@ -91,6 +93,8 @@ def start_router(spark: SparkSession, questions: str, regeneration: str, validat
             outputs["validated"] = ("validated", reuse.hit_projection(joined, F.col("route"), "_at"))
             filled = hits.filter(F.col("route") == reuse.SOURCE_STORAGE).select("question_id", F.col("ts").alias("stored_at"))
             snap.write_delta(latest_entries(filled), cache_root, batch_id)
+            if (batch_id + 1) % COMPACT_EVERY == 0:
+                snap.compact(spark, cache_root, batch_id, latest_entries)
             fresh = routed.filter(F.col("route") == reuse.ROUTE_LLM)
         first, repeat = decide.first_requests(fresh), decide.repeat_requests(again)
         outputs["requests"] = ("llm_request", first.unionByName(repeat).withColumn("created_at", now_iso()))
