@@ -246,6 +246,21 @@ def test_the_whole_cycle_equals_the_batch(spark, tmp_path):
     assert (source["late0"], source["late1"]) == ("storage", "cache")
 
 
+def test_worker_reports_failures_and_retries(spark, tmp_path):
+    requests = [{"message_id": f"m{i}", "trace_id": "t", "question_id": "q", "title": "T", "content": "C", "prompt": p,
+                 "best_answer": "b", "attempts": 3} for i, p in enumerate(["good", "boom"])] + [{"message_id": "m2"}]
+    src, out, err = (str(tmp_path / x) for x in ("requests", "responses", "errors"))
+    _write_files(src, requests, 1)
+    failing = F.when(F.col("prompt") == "boom", F.lit("timeout"))
+    _run(start_worker(spark, src, out, err, str(tmp_path / "ck"), error=failing))
+    answers = {x["message_id"]: x for x in _lines(out)}
+    assert set(answers) == {"m0", "m1"} and "timeout" in answers["m1"]["llm_answer"]
+    (e,) = _lines(err)
+    late = dt.datetime.fromisoformat(e["retry_at"]) - dt.datetime.fromisoformat(e["produced_at"])
+    assert (e["error_type"], e["error_detail"], e["attempts"]) == ("GenerationError", "timeout", 3) and 2.9 < late.total_seconds() < 4.6
+    assert [x["reason"] for x in _lines(f"{out}_quarantine")] == ["missing trace_id"]
+
+
 def test_kafka_options():
     read = kafka_source_options("t", "h:1", 500, {"kafka.security.protocol": "SSL"})
     assert read == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest",

@@ -517,7 +517,7 @@ SELECT message_id, trace_id, question_id, title, prompt AS content, llm_answer,
 FROM decided WHERE accepted""")
 def q_validated_union(spark: SparkSession, root: str) -> DataFrame:
     routed = _routed(spark, root).filter(F.col("route") != ru.ROUTE_LLM)
-    store = fx.v_store(spark, root).withColumnRenamed("id_pregunta", "question_id")
+    store = ru.first_stored(ru.usable_answers(fx.v_store(spark, root))).withColumnRenamed("id_pregunta", "question_id")
     hits = ru.hit_projection(routed.join(store, "question_id"), source=F.col("route"))
     accepted = dc.validated_projection(_decided(spark, root))
     return hits.unionByName(accepted).withColumn("score", F.round("score", 6))

@@ -3,7 +3,7 @@
 ``start_router`` consumes two topics.  A question whose stored answer is usable becomes a validated record
 (``storage`` when it fills the cache, ``cache`` while the entry lives); any other becomes a request.  A
 regeneration record becomes a request with the same prompt.  ``start_worker`` answers requests: the generator's
-answer, else the fallback text, and an error record for every failure.
+answer, else the fallback text, and an error record for every failure, with the time to retry at.
 
 The cache's entries (question id and the time it was filled) are a versioned table: micro-batch ``n`` routes its
 questions together with the entries that batches before it left (``route_requests``, the batch operator, sees
@@ -22,6 +22,7 @@ from verity.functions.ids import now_iso
 from verity.functions.json import decode, split_valid
 from verity.functions.text import offline_answer
 from verity.operators import decide, reuse
+from verity.operators.analytics import error_backoff
 from verity.sources import snapshots as snap
 from verity.sources.streams import read_topic, read_topics
 from verity.streaming.sinks import QUARANTINE, BatchSinks, make_folder, start
@@ -131,7 +132,7 @@ def start_worker(spark: SparkSession, requests: str, responses: str, errors: str
         batch = batch.persist()
         good, bad = split_valid(batch)
         answers, failures = decide.generate_with_fallback(good, generator, error, fallback, now_iso())
-        failures = failures.withColumn("retry_at", F.lit(None).cast("string"))
+        failures = error_backoff(failures.withColumn("ts", F.try_to_timestamp(F.col("produced_at"))))
         sinks.write(batch_id, {"responses": ("llm_response", answers), "errors": ("error", failures), QUARANTINE: (None, bad)})
         batch.unpersist()
 
