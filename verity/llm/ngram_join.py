@@ -56,7 +56,6 @@ FLUSH = 300_000
 BLOOM_BITS = (20, 26)
 BLOOM_BLOCK = 1 << 16
 
-_STATS = "kind int, doc_id bigint, n bigint, cid bigint, bits binary, bucket int, blob binary"
 _POSTINGS = "kind int, bucket int, blob binary"
 _LISTS = "kind int, token bigint, a bigint, an int, apos int, b bigint, bn int"
 
@@ -96,43 +95,47 @@ def _code(token: np.ndarray) -> np.ndarray:
     return token >> np.uint64(22)
 
 
-def _stats(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """Kind 0: a row per document; 1: how many classes of a part have each shingle, packed per bucket."""
-    seen: set[int] = set()
-    names = ["kind", "doc_id", "n", "cid", "bits", "bucket", "blob"]
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+def _members(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """The size, class and bitmap of each document's set."""
+    for batch in batches:
+        n, cid = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
+        bits: list[bytes | None] = [None] * batch.num_rows
+        for i, own in shingle_sets(batch.column("text"), width):
+            if len(own):
+                n[i], cid[i], bits[i] = len(own), class_id(own), bitmap(own)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(cid), pa.array(bits, pa.binary())], names=["doc_id", "n", "cid", "bits"])
+
 
-    def rows(kind, m, **columns):
-        columns["kind"] = np.full(m, kind, np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(columns[n], t) if n in columns else pa.nulls(m, t) for n, t in zip(names, kinds, strict=True)], names=names)
+def _occurrences(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """How many classes of a part have each shingle, packed per bucket: the codes met once, and
+    apart from them (``hits`` not empty) those met more often with their counts."""
+    seen: set[int] = set()
 
-    def counts(pile):
+    def packed(pile):
         code, hits = np.unique(_code(np.concatenate(pile)), return_counts=True)
-        bucket, code, hits = code >> np.uint64(32), code.astype(np.uint32), hits.astype(np.uint32)
-        edge = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-        blobs = [code[x:y].tobytes() + hits[x:y].tobytes() for x, y in zip(edge, np.append(edge[1:], len(code)), strict=True)]
-        yield rows(1, len(edge), bucket=bucket[edge].astype(np.int32), blob=blobs)
+        for chosen in (hits == 1, hits > 1):
+            own, many = code[chosen], hits[chosen].astype(np.uint32)
+            bucket, own = own >> np.uint64(32), own.astype(np.uint32)
+            edge = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(own) else np.zeros(0, np.int64)
+            cuts = list(zip(edge, np.append(edge[1:], len(own)), strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bucket[edge].astype(np.int32)), pa.array([own[x:y].tobytes() for x, y in cuts], pa.binary()),
+                 pa.array([many[x:y].tobytes() if many[x] > 1 else b"" for x, y in cuts], pa.binary())],
+                names=["bucket", "codes", "hits"],
+            )
 
     pile, held = [], 0
     for batch in batches:
-        n, cid = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
-        bits: list[bytes | None] = [None] * batch.num_rows
-        for i, own in shingle_sets(batch.column("text"), width):
-            n[i] = len(own)
-            if not len(own):
-                continue
-            key = cid[i] = class_id(own)
-            bits[i] = bitmap(own)
-            if int(key) not in seen:
-                seen.add(int(key))
+        for _, own in shingle_sets(batch.column("text"), width):
+            if len(own) and (key := class_id(own)) not in seen:
+                seen.add(key)
                 pile.append(own)
                 held += len(own)
                 if held >= 4 * FLUSH:
-                    yield from counts(pile)
+                    yield from packed(pile)
                     pile, held = [], 0
-        yield rows(0, batch.num_rows, doc_id=batch.column("doc_id"), n=n, cid=cid, bits=bits)
     if pile:
-        yield from counts(pile)
+        yield from packed(pile)
 
 
 def _counted(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
@@ -140,11 +143,10 @@ def _counted(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Recor
     partition's number of postings and sum of squared list lengths."""
     parts = []
     for batch in batches:
-        for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob"), strict=True):
-            raw = blob.as_buffer()
-            m = len(raw) // 8
-            code = np.frombuffer(raw, np.uint32, m).astype(np.uint64) | np.uint64(bucket << 32)
-            parts.append((code, np.frombuffer(raw, np.uint32, m, 4 * m)))
+        for bucket, codes, hits in zip(batch.column("bucket").to_pylist(), batch.column("codes"), batch.column("hits"), strict=True):
+            code = np.frombuffer(codes.as_buffer(), np.uint32).astype(np.uint64) | np.uint64(bucket << 32)
+            many = np.frombuffer(hits.as_buffer(), np.uint32)
+            parts.append((code, many if len(many) else np.ones(len(code), np.uint32)))
     if not parts:
         return
     code, hits = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -421,13 +423,12 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
     buckets = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    stats = checkpoint(docs.mapInArrow(lambda x: _stats(x, width), _STATS))
-    members = stats.filter("kind = 0").select("doc_id", "n", "cid")
-    known = stats.filter("kind = 0 AND n > 0 AND doc_id IS NOT NULL")
+    members = checkpoint(docs.mapInArrow(lambda x: _members(x, width), "doc_id bigint, n bigint, cid bigint, bits binary"))
+    known = members.filter("n > 0 AND doc_id IS NOT NULL")
     first = known.groupBy("cid", "n").agg(F.min(F.struct("doc_id", "bits")).alias("first"))
     classes = checkpoint(first.select("cid", "n", "first.doc_id", "first.bits"))
-    packed = stats.filter("kind = 1").select("bucket", "blob").repartition("bucket")
-    counted = checkpoint(packed.mapInArrow(lambda x: _counted(x, FREQUENT), "code bigint, hits bigint, squares bigint"))
+    met = docs.filter("doc_id IS NOT NULL").select("text").mapInArrow(lambda x: _occurrences(x, width), "bucket int, codes binary, hits binary")
+    counted = checkpoint(met.repartition("bucket").mapInArrow(lambda x: _counted(x, FREQUENT), "code bigint, hits bigint, squares bigint"))
     top = counted.filter("code IS NOT NULL").orderBy(F.desc("hits"), "code").limit(MOST_FREQUENT).select("code").toArrow()
     code = top.column("code").to_numpy().view(np.uint64)
     order = np.argsort(code)
