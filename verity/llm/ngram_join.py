@@ -114,9 +114,11 @@ def _occurrences(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.R
     def packed(pile):
         code, hits = np.unique(_code(np.concatenate(pile)), return_counts=True)
         for chosen in (hits == 1, hits > 1):
+            if not chosen.any():
+                continue
             own, many = code[chosen], hits[chosen].astype(np.uint32)
             bucket, own = own >> np.uint64(32), own.astype(np.uint32)
-            edge = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(own) else np.zeros(0, np.int64)
+            edge = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
             cuts = list(zip(edge, np.append(edge[1:], len(own)), strict=True))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bucket[edge].astype(np.int32)), pa.array([own[x:y].tobytes() for x, y in cuts], pa.binary()),
