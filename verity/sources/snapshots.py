@@ -49,17 +49,6 @@ def versions(spark: SparkSession, root: str) -> list[int]:
     return _listed(spark, root, _DELTA)
 
 
-def latest_version(spark: SparkSession, root: str) -> int | None:
-    vs = versions(spark, root)
-    return vs[-1] if vs else None
-
-
-def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
-    """The given delta, or the newest complete one; None for an empty table."""
-    v = latest_version(spark, root) if version is None else version
-    return None if v is None else spark.read.parquet(version_path(root, v))
-
-
 def write_delta(df: DataFrame, root: str, version: int) -> None:
     """Write delta ``version``; one that a base covers already is left alone."""
     bases = _listed(df.sparkSession, root, _BASE)

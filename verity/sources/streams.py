@@ -92,8 +92,3 @@ def topic_writer(records: DataFrame, kind: str, topic: str, fmt: str = "files",
     if checkpoint:
         w = w.option("checkpointLocation", checkpoint)
     return w
-
-
-def write_topic_batch(records: DataFrame, kind: str, path: str, mode: str = "append") -> None:
-    """Batch sink of typed records as JSON lines (one message per line)."""
-    encode(records, kind).select("value").write.mode(mode).text(path)
