@@ -12,7 +12,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 18
 
@@ -29,10 +28,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def text_or_empty(column: str = "text"):
-    return F.coalesce(F.col(column), F.lit(""))
-
-
 def unused(columns: list[str], name: str) -> str:
     """``name``, with underscores before it until no column has it (in any case)."""
     taken = {c.lower() for c in columns}

@@ -143,25 +143,25 @@ def _occurrences(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.R
 def _counted(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     """(code, hits) of the shingles that at least ``least`` classes have; and, code null, this
     partition's number of postings and sum of squared list lengths."""
-    parts = []
+    names = ["code", "hits", "squares"]
+    parts: dict[int, list] = {}
     for batch in batches:
         for bucket, codes, hits in zip(batch.column("bucket").to_pylist(), batch.column("codes"), batch.column("hits"), strict=True):
-            code = np.frombuffer(codes.as_buffer(), np.uint32).astype(np.uint64) | np.uint64(bucket << 32)
-            many = np.frombuffer(hits.as_buffer(), np.uint32)
-            parts.append((code, many if len(many) else np.ones(len(code), np.uint32)))
-    if not parts:
-        return
-    code, hits = (np.concatenate(x) for x in zip(*parts, strict=True))
-    del parts
-    order = np.argsort(code, kind="stable")
-    code, hits = code[order], hits[order].astype(np.int64)
-    edge = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
-    code, hits = code[edge], np.add.reduceat(hits, edge)
-    often = hits >= least
-    null = pa.nulls(1, pa.int64())
-    names = ["code", "hits", "squares"]
-    yield pa.RecordBatch.from_arrays([null, pa.array([int(hits.sum())], pa.int64()), pa.array([int((hits * hits).sum())], pa.int64())], names=names)
-    yield pa.RecordBatch.from_arrays([pa.array(code[often].view(np.int64)), pa.array(hits[often]), pa.nulls(int(often.sum()), pa.int64())], names=names)
+            parts.setdefault(bucket, []).append((np.frombuffer(codes.as_buffer(), np.uint32), np.frombuffer(hits.as_buffer(), np.uint32)))
+    postings = squares = 0
+    for bucket in sorted(parts):
+        own = parts.pop(bucket)
+        code = np.concatenate([c for c, _ in own])
+        hits = np.concatenate([h if len(h) else np.ones(len(c), np.uint32) for c, h in own]).astype(np.int64)
+        order = np.argsort(code, kind="stable")
+        code, hits = code[order], hits[order]
+        edge = np.flatnonzero(np.concatenate(([True], code[1:] != code[:-1])))
+        code, hits = code[edge], np.add.reduceat(hits, edge)
+        postings, squares = postings + int(hits.sum()), squares + int((hits * hits).sum())
+        often = hits >= least
+        code = code[often].astype(np.int64) | bucket << 32
+        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(hits[often]), pa.nulls(len(code), pa.int64())], names=names)
+    yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([postings]), pa.array([squares])], names=names)
 
 
 def _ordered(own: np.ndarray, frequent: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, int]:
@@ -255,20 +255,34 @@ def _lists(batches: Iterator[pa.RecordBatch], percent: int, short: int) -> Itera
                 names=names,
             )
 
-    held = []
+    def pair_rows(a, an, b, bn, first):
+        for x in range(0, len(a), 50_000):
+            part = slice(x, x + 50_000)
+            m = len(a[part])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.zeros(m, np.int32)), pa.nulls(m, pa.int64()), pa.array(a[part]), pa.array(an[part]), pa.array(first[part]), pa.array(b[part]), pa.array(bn[part])],
+                names=names,
+            )
+
+    held: dict[int, list] = {}
     for batch in batches:
-        for kind, blob in zip(batch.column("kind").to_pylist(), batch.column("blob"), strict=True):
+        for kind, bucket, blob in zip(batch.column("kind").to_pylist(), batch.column("bucket").to_pylist(), batch.column("blob"), strict=True):
             raw = blob.as_buffer()
             m = len(raw) // 24
             columns = (np.frombuffer(raw, np.uint64, m), np.frombuffer(raw, np.int64, m, 8 * m), np.frombuffer(raw, np.int32, m, 16 * m), np.frombuffer(raw, np.int32, m, 20 * m))
             if kind:
                 yield from posting_rows(*columns)
             else:
-                held.append(columns)
-    if not held:
-        return
-    token, cid, n, pos = (np.concatenate(x) for x in zip(*held, strict=True))
-    del held
+                held.setdefault(bucket, []).append(columns)
+    for bucket in sorted(held):
+        found, rest = _bucket_pairs(*(np.concatenate(x) for x in zip(*held.pop(bucket), strict=True)), percent, short)
+        yield from posting_rows(*rest)
+        yield from pair_rows(*found)
+
+
+def _bucket_pairs(token, cid, n, pos, percent: int, short: int) -> tuple[tuple, tuple]:
+    """Of the postings of a bucket: the pairs (a, an, b, bn, first) of its short lists, and the
+    postings of its long ones."""
     order = np.lexsort((pos, cid, token))
     token, cid, n, pos = token[order], cid[order], n[order], pos[order]
     new = np.concatenate(([True], (token[1:] != token[:-1]) | (cid[1:] != cid[:-1])))
@@ -276,8 +290,9 @@ def _lists(batches: Iterator[pa.RecordBatch], percent: int, short: int) -> Itera
     start = np.flatnonzero(np.concatenate(([True], token[1:] != token[:-1])))
     length = np.diff(np.append(start, len(token)))
     long = np.repeat(length > short, length)
-    yield from posting_rows(token[long], cid[long], n[long], pos[long])
-    found = []
+    rest = (token[long], cid[long], n[long], pos[long])
+    empty = np.zeros(0, np.int64)
+    found = [(empty, empty.astype(np.int32), empty, empty.astype(np.int32), empty.astype(np.int32))]
     for m in range(2, short + 1):
         at = start[length == m]
         for i, j in combinations(range(m), 2):
@@ -287,21 +302,12 @@ def _lists(batches: Iterator[pa.RecordBatch], percent: int, short: int) -> Itera
             x, y = x[ok], y[ok]
             first = np.where((i == 0) & (pos[x] < FIRST_LINKS) & (pos[y] < FIRST_LINKS), 0, 1).astype(np.int32)
             found.append((cid[x], n[x], cid[y], n[y], first))
-    if not found:
-        return
     a, an, b, bn, first = (np.concatenate(x) for x in zip(*found, strict=True))
     order = np.lexsort((first, b, a))
     a, an, b, bn, first = a[order], an[order], b[order], bn[order], first[order]
-    if len(a):
-        new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-        a, an, b, bn, first = a[new], an[new], b[new], bn[new], first[new]
-    for x in range(0, len(a), 50_000):
-        part = slice(x, x + 50_000)
-        m = len(a[part])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.zeros(m, np.int32)), pa.nulls(m, pa.int64()), pa.array(a[part]), pa.array(an[part]), pa.array(first[part]), pa.array(b[part]), pa.array(bn[part])],
-            names=names,
-        )
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return (a[new], an[new], b[new], bn[new], first[new]), rest
 
 
 def _close(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
