@@ -7,7 +7,8 @@ bounded size, so memory does not grow with the batch or with one long text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,31 @@ def unused(columns: list[str], name: str) -> str:
     return name
 
 
+def _return_memory() -> None:
+    """Give what Arrow and the C library hold free back to the system, where they can."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run`` over Arrow batches, returning free memory after each batch: workers live on between
+    tasks, and what they keep counts towards their executor."""
+
+    def each(batches):
+        for batch in batches:
+            yield batch
+            del batch
+            _return_memory()
+
+    def wrapped(batches):
+        yield from run(each(batches))
+        _return_memory()
+
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser (public splitmix64 constants), on a copy."""
     x = x.astype(np.uint64, copy=True)

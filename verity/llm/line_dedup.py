@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verity.llm.common import unused
+from verity.llm.common import tidy, unused
 from verity.session import checkpoint
 
 MIN_SITES = 10
@@ -118,4 +118,4 @@ def line_dedup(docs: DataFrame, min_sites: int = MIN_SITES, site: str = "source"
         .withColumn(n_lines, F.when(F.col("text").isNull(), 0).otherwise(full).cast("bigint"))
         .withColumn(n_removed, F.lit(0).cast("bigint")).withColumn(left, F.lit(True))
     )
-    return joined.mapInArrow(lambda x: _without(x, "text", gone, left, n_removed), joined.schema).drop(gone)
+    return joined.mapInArrow(tidy(lambda x: _without(x, "text", gone, left, n_removed)), joined.schema).drop(gone)

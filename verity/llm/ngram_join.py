@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from verity.llm.common import mix, shingle_sets, unused
+from verity.llm.common import mix, shingle_sets, tidy, unused
 from verity.llm.graph import components
 from verity.session import checkpoint
 
@@ -358,7 +358,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     bits = min(max(low, (16 * ids.count()).bit_length()), high)
     kind = "block int, bits binary"
     field = np.zeros((1 << bits) // 8, np.uint8)
-    for r in ids.mapInArrow(lambda x: _bloom_blocks(x, bits), kind).repartition("block").mapInArrow(_bloom_joined, kind).collect():
+    for r in ids.mapInArrow(tidy(lambda x: _bloom_blocks(x, bits)), kind).repartition("block").mapInArrow(tidy(_bloom_joined), kind).collect():
         field[r["block"] * BLOOM_BLOCK : (r["block"] + 1) * BLOOM_BLOCK] = np.frombuffer(r["bits"], np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(field)
 
@@ -380,7 +380,7 @@ def _sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                     cids, blobs, size = [], [], 0
             yield pa.RecordBatch.from_arrays([pa.array(cids, pa.int64()), pa.array(blobs, pa.binary())], names=names)
 
-    return docs.filter("doc_id IS NOT NULL").mapInArrow(sets, "cid bigint, tokens binary")
+    return docs.filter("doc_id IS NOT NULL").mapInArrow(tidy(sets), "cid bigint, tokens binary")
 
 
 def _linked(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -398,14 +398,14 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
     """The pairs (a, b) of classes that link."""
     side = lambda x: classes.select(F.col("cid").alias(x), F.col("n").alias(f"{x}n"), F.col("doc_id").alias(f"{x}doc"), F.col("bits").alias(f"{x}bits"))
     known = pairs.join(side("a"), "a").join(side("b"), "b")
-    close = checkpoint(known.mapInArrow(lambda x: _close(x, percent), "a bigint, b bigint, adoc bigint, bdoc bigint"))
+    close = checkpoint(known.mapInArrow(tidy(lambda x: _close(x, percent)), "a bigint, b bigint, adoc bigint, bdoc bigint"))
     sets = _sets_of(docs, close.select(F.col("adoc").alias("doc_id")).unionByName(close.select(F.col("bdoc").alias("doc_id"))), width)
     rows = (
         close.select("a", "b").join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("at")), "a")
         .join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("bt")), "b")
         .select("a", "b", "at", "bt")
     )
-    return checkpoint(rows.mapInArrow(lambda x: _linked(x, percent), "a bigint, b bigint"))
+    return checkpoint(rows.mapInArrow(tidy(lambda x: _linked(x, percent)), "a bigint, b bigint"))
 
 
 def _boundary(counted: DataFrame, classes: DataFrame, percent: int) -> int:
@@ -431,12 +431,12 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
     buckets = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    members = checkpoint(docs.mapInArrow(lambda x: _members(x, width), "doc_id bigint, n bigint, cid bigint, bits binary"))
+    members = checkpoint(docs.mapInArrow(tidy(lambda x: _members(x, width)), "doc_id bigint, n bigint, cid bigint, bits binary"))
     known = members.filter("n > 0 AND doc_id IS NOT NULL")
     first = known.groupBy("cid", "n").agg(F.min(F.struct("doc_id", "bits")).alias("first"))
     classes = checkpoint(first.select("cid", "n", "first.doc_id", "first.bits"))
-    met = docs.filter("doc_id IS NOT NULL").select("text").mapInArrow(lambda x: _occurrences(x, width), "bucket int, codes binary, hits binary")
-    counted = checkpoint(met.repartition("bucket").mapInArrow(lambda x: _counted(x, FREQUENT), "code bigint, hits bigint, squares bigint"))
+    met = docs.filter("doc_id IS NOT NULL").select("text").mapInArrow(tidy(lambda x: _occurrences(x, width)), "bucket int, codes binary, hits binary")
+    counted = checkpoint(met.repartition("bucket").mapInArrow(tidy(lambda x: _counted(x, FREQUENT)), "code bigint, hits bigint, squares bigint"))
     top = counted.filter("code IS NOT NULL").orderBy(F.desc("hits"), "code").limit(MOST_FREQUENT).select("code").toArrow()
     code = top.column("code").to_numpy().view(np.uint64)
     order = np.argsort(code)
@@ -447,8 +447,8 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
         hot, rank = frequent.value
         return _postings(batches, width, percent, hot, rank, boundary, buckets)
 
-    packed = docs.filter("doc_id IS NOT NULL").select("text").mapInArrow(postings, _POSTINGS)
-    lists = checkpoint(packed.repartition("bucket").mapInArrow(lambda x: _lists(x, percent, SHORT_LIST), _LISTS))
+    packed = docs.filter("doc_id IS NOT NULL").select("text").mapInArrow(tidy(postings), _POSTINGS)
+    lists = checkpoint(packed.repartition("bucket").mapInArrow(tidy(lambda x: _lists(x, percent, SHORT_LIST)), _LISTS))
     short = lists.filter("kind = 0").groupBy("a", "b").agg(F.min("apos").alias("first"))
     long = lists.filter("kind = 1").select("token", "a", "an", "apos").distinct()
 

@@ -24,6 +24,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from verity.llm.common import tidy
+
 WINDOW = 1024
 TIERS = (1024, 512, 256, 128, 64)
 STEP_TOKENS = 16_384
@@ -194,4 +196,4 @@ def pack_documents(docs: DataFrame, path: str) -> DataFrame:
         packer.finish()
         yield _batch(packer.rows)
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, _SCHEMA)
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(tidy(run), _SCHEMA)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verity.llm.common import mix, word_slices
+from verity.llm.common import mix, tidy, word_slices
 
 BUCKETS = 1 << 14
 DIM = 64
@@ -108,7 +108,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """The two tables of unit vectors (2, BUCKETS, DIM), from the contexts of all documents."""
     kind = "block int, sums binary"
-    blocks = docs.select("text").mapInArrow(_contexts, kind).repartition("block").mapInArrow(_summed, kind).collect()
+    blocks = docs.select("text").mapInArrow(tidy(_contexts), kind).repartition("block").mapInArrow(tidy(_summed), kind).collect()
     tables = np.zeros((2 * (BUCKETS // BLOCK_ROWS), BLOCK_ROWS * DIM))
     for r in blocks:
         tables[r["block"]] += np.frombuffer(r["sums"], np.int64)
@@ -221,7 +221,7 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> t
             x = pooled(batch.column("text"), shared.value)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("y"), pa.array([v.tobytes() for v in x], pa.binary())], names=["doc_id", "y", "x"])
 
-    found = sorted((r["doc_id"], r["y"], bytes(r["x"])) for r in rows.mapInArrow(features, "doc_id bigint, y int, x binary").collect())
+    found = sorted((r["doc_id"], r["y"], bytes(r["x"])) for r in rows.mapInArrow(tidy(features), "doc_id bigint, y int, x binary").collect())
     x = np.array([np.frombuffer(r[2], np.float32) for r in found]).reshape(-1, FEATURES)
     return tables, Network(x, np.array([r[1] for r in found], np.float64))
 
@@ -246,7 +246,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
                 names=["doc_id", "held_out", "score", "predicted"],
             )
 
-    return docs.withColumn("held_out", held_out()).mapInArrow(score, "doc_id bigint, held_out boolean, score double, predicted int")
+    return docs.withColumn("held_out", held_out()).mapInArrow(tidy(score), "doc_id bigint, held_out boolean, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -259,4 +259,4 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
         for batch in batches:
             yield batch.filter(pa.array(network.scores(pooled(batch.column("text"), tables)) >= threshold))
 
-    return docs.mapInArrow(chosen, docs.schema)
+    return docs.mapInArrow(tidy(chosen), docs.schema)
