@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from llm_inputs import shipped  # noqa: F401 (fixtures)
 
-from verity.llm import queries, warc
+from verity.llm import ann, queries, warc
 from verity.llm.ann import nearest
 from verity.llm.html_text import Forest, Model, extract_text, labelled_pages, main_texts, trained
 from verity.llm.url_filter import judge_urls
@@ -214,3 +214,20 @@ def test_lists_spread_and_prune(spark):
         score[q] = -np.inf
         hits += len(set(ids[np.lexsort((ids, -score))[:20]]) & set(got[q].values()))
     assert hits / (60 * 20) >= 0.9
+
+
+def test_recall_with_all_centroids(spark, monkeypatch):
+    """As many lists as there can be, over vectors without clusters: the probed lists keep up with them."""
+    monkeypatch.setattr(ann, "ROWS_PER_LIST", 16)
+    x = np.random.default_rng(21).normal(size=(32_768, 64)).astype(np.float32).astype(float)
+    x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32).astype(float)
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id bigint, embedding array<float>").repartition(8)
+    got = {}
+    for r in nearest(df, "vec_id % 160 = 0", 20).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    hits = 0
+    for q in range(0, len(x), 160):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len(set(np.argsort(-score)[:20].tolist()) & got[q])
+    assert hits / (len(got) * 20) >= 0.9

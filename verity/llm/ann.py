@@ -9,7 +9,8 @@
    with a beam.  Every vector goes to its nearest centroid's posting list; one near a boundary is
    replicated to the other lists within ``REPLICATE`` times that distance, ``COPIES`` at most.
 4. A query searches the graph and probes the lists within ``PROBE`` times the distance of the
-   nearest centroid, at most ``LISTS``, and at least as many as hold ``LEAST`` times k rows.
+   nearest centroid, at most ``LISTS`` or one in ``SHARE`` of all lists, whichever is more, and at
+   least as many as hold ``LEAST`` times k rows.
 5. Lists are split into parts of about ``PART`` rows by a hash of vec_id, so an overfull list spreads
    over tasks.  Each part returns a query's best by exact products in double precision; the k
    best of those are the result.
@@ -36,8 +37,8 @@ SAMPLE = 32_768
 CENTROIDS = 2_048
 ROWS_PER_LIST = 128
 DEGREE, FAR_LINKS, BEAM = 24, 8, 32
-COPIES, REPLICATE = 4, 1.06
-LISTS, PROBE, LEAST = 96, 1.6, 4
+COPIES, REPLICATE = 8, 1.12
+LISTS, SHARE, PROBE, LEAST = 96, 8, 1.6, 4
 PART = 4_096
 
 
@@ -143,13 +144,14 @@ def _assigned(batches: Iterator[pa.RecordBatch], graph: Graph, norm: float) -> I
 
 
 def _probes(batches: Iterator[pa.RecordBatch], graph: Graph, sizes: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    most = max(LISTS, len(graph.points) // SHARE)
     for batch in batches:
-        for y in range(0, batch.num_rows, 512):
-            part = batch.slice(y, 512)
+        for y in range(0, batch.num_rows, 128):
+            part = batch.slice(y, 128)
             x = _matrix(part.column("x"))
             lifted = np.concatenate([x / np.linalg.norm(x, axis=1, keepdims=True) * graph.scale, np.zeros((len(x), 1))], axis=1)
-            few = len(graph.points) <= LISTS or sizes.sum() <= 2 * LEAST * k
-            at, dist = graph.search(lifted, len(graph.points) if few else LISTS)
+            few = len(graph.points) <= most or sizes.sum() <= 2 * LEAST * k
+            at, dist = graph.search(lifted, len(graph.points) if few else most)
             held = np.cumsum(sizes[at], axis=1) - sizes[at]
             row, place = np.nonzero((dist <= PROBE * dist[:, :1] + 1e-12) | (held < LEAST * k))
             if few and sizes.sum() <= 2 * LEAST * k:
