@@ -154,6 +154,17 @@ def test_urls(spark, odd_pages):
     assert judge_urls(df).count() == len(rows) and judge_urls(df.limit(0)).count() == 0
 
 
+def test_urls_without_a_rule_go_by_their_host(spark):
+    """Clean hosts are allowed and listed ones blocked on every suffix, also where no allow rule fits."""
+    pages = [(r.page_id, r.url) for r in spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()]
+    pages += [(10**6 + i, f"https://www.clean{i}.example.{end}/it/{i}") for i in range(30) for end in ("com", "org")]
+    got = [r for r in judge_urls(spark.createDataFrame(pages, "page_id bigint, url string")).collect() if not r.rule]
+    clean = [r for r in got if "-" not in r.host]
+    assert {r.host[-11:] for r in clean} == {"example.com", "example.org"} and all(r.verdict == "allow" for r in clean)
+    listed = [r for r in got if re.search(r"(ads-track|spam-farm|casino-win|free-bets)", r.host)]
+    assert listed and all(r.verdict == "block" for r in listed)
+
+
 def brute_nearest(rows, k, is_query):
     fine = {}
     for vec_id, x in rows:

@@ -1,9 +1,10 @@
 """URL filters: longest matching host/path rule, else gradient-boosted trees on lexical features.
 
 The trees (pyspark.ml) learn from labelled URLs: those whose host names an advert, tracker, spam or
-betting service (``LISTED``, a stand-in for a public blocklist) are blocked, those that an allow rule
-fits are allowed.  At most ``TRAIN_ROWS`` of each are used, the smallest by hash.  Features come from the
-URL alone and from statistics of its suffix (the host's last two labels) over all rows.
+betting service (``LISTED``, a stand-in for a public blocklist) are blocked; all others, of every suffix,
+are allowed unless a rule blocks them.  At most ``TRAIN_ROWS`` of each are used, the smallest by hash.
+Features come from the URL alone and from statistics of its suffix (the host's last two labels) over all
+rows.
 """
 
 from __future__ import annotations
@@ -92,7 +93,7 @@ def judge_urls(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     listed = F.col("host").rlike(LISTED)
     order = [F.xxhash64("host", "path", "page_id"), F.col("page_id")]
     blocked = rows.filter(listed).orderBy(*order).limit(TRAIN_ROWS).select(*FEATURES, F.lit(1.0).alias("label"))
-    allowed = rows.filter(~listed & (F.col("ruled") == "allow")).orderBy(*order).limit(TRAIN_ROWS).select(*FEATURES, F.lit(0.0).alias("label"))
+    allowed = rows.filter(~listed & (F.coalesce("ruled", F.lit("allow")) == "allow")).orderBy(*order).limit(TRAIN_ROWS).select(*FEATURES, F.lit(0.0).alias("label"))
     sample = checkpoint(blocked.unionByName(allowed))
     kinds = {r["label"] for r in sample.groupBy("label").count().collect()}
     result = ["page_id", "host", "path", "rule"]
