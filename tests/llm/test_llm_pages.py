@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -13,7 +14,7 @@ from llm_inputs import shipped  # noqa: F401 (fixtures)
 
 from verity.llm import ann, queries, warc
 from verity.llm.ann import nearest
-from verity.llm.html_text import Forest, Model, extract_text, labelled_pages, main_texts, trained
+from verity.llm.html_text import Forest, Model, _element, extract_text, labelled_pages, main_texts, trained
 from verity.llm.url_filter import judge_urls
 from verity.llm.warc import read_warc, round_trip
 
@@ -124,6 +125,32 @@ def test_main_text_of_odd_pages(spark, odd_pages):
     assert extract_text(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("attributes", [
+    'data-state="' + "x" * 600 + '" class="cookie banner"',
+    'class="' + " ".join(f"u{chr(97 + i)}" for i in range(20)) + ' cookie banner"',
+    'class="' + "ux " * 300 + 'cookie banner"',
+    'style="' + "color: red; " * 60 + '" hidden',
+])
+def test_long_attributes_are_read_whole(attributes):
+    forest, brief = Forest(), Forest()
+    forest.add(f"<div {attributes}>x</div>")
+    brief.add("<div class='cookie banner'>x</div>" if "cookie" in attributes else "<div hidden>x</div>")
+    assert set(brief.node_features[1]) <= set(forest.node_features[1]) and forest.kind == brief.kind
+    assert [t[2] for t in forest.texts] == [t[2] for t in brief.texts] == ([] if "hidden" in attributes else ["x"])
+
+
+def test_values_of_other_attributes_are_not_read():
+    value = "a hidden class='cookie banner' thing " * 40
+    assert _element("p", f'title="{value}"') == _element("p", "")
+    assert _element("p", f'title="{value}"class="post"') == _element("p", "class=post")
+
+
+def test_large_attributes_take_little_time():
+    start = time.time()
+    main_texts(["<div " + 'class="a" ' * 40_000 + ">x</div>", "<div class=" + " " * 40_000 + "a>x</div>", "<div x" + " " * 40_000 + ">x</div>", "<div " + "x" * 400_000 + ">x</div>"], trained())
+    assert time.time() - start < 30
+
+
 def rule_of(url):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     host = "".join(c.lower() if "A" <= c <= "Z" else c for c in re.match("[^/?#]*", rest)[0])

@@ -23,6 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SLICE_CHARS = 2_000_000
+#: Attributes of this length or more are parsed anew each time, so the memory of those kept is bounded.
+KEPT_CHARS = 500
 TRAIN_PAGES = 500
 EPOCHS = 150
 
@@ -43,6 +45,8 @@ BOUNDS = frozenset("ul ol dl table menu select body html article section div".sp
 
 _MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+#: An attribute with its quoted value, if it has one.
+_QUOTED = re.compile(r"""([^\s"'=]++)(\s*+=\s*+(?:"[^"]*"|'[^']*'))?""")
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
 FEATURES = 1 << 12
@@ -58,16 +62,25 @@ def _feature(name: str) -> int:
     return (h ^ h >> 15) % FEATURES
 
 
-@lru_cache(maxsize=20_000)
-def _element(tag: str, attributes: str) -> tuple[tuple[int, ...], int, bool]:
+def _parsed(tag: str, attributes: str) -> tuple[tuple[int, ...], int, bool]:
     """Features, kind and whether hidden, of an element as written."""
+    # Values of other attributes may be long and hold any text, also "hidden" or markup: only their names stay.
+    attributes = _QUOTED.sub(lambda m: m[0] if m[1].lower() in ("class", "id", "role") else m[1] + " " * bool(m[2]), attributes)
     names = " ".join(a or b or c for _, a, b, c in _NAMES.findall(attributes)).lower() if "=" in attributes else ""
-    words = _WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", names))
-    found = [f"tag {tag}"] + [f"name {w}" for w in words[:12]] + [f"name {w[:-1]}" for w in words[:12] if w.endswith("s") and len(w) > 3]
+    words = list(dict.fromkeys(_WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", names))))
+    found = [f"tag {tag}"] + [f"name {w}" for w in words] + [f"name {w[:-1]}" for w in words if w.endswith("s") and len(w) > 3]
     kind = 1 if tag in INLINE else 2 if words else 3 if tag in ("p", "li", "td", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "dd", "dt") else 4
     return tuple(_feature(x) for x in dict.fromkeys(found)), kind, tag in HIDDEN or "hidden" in attributes.lower().split()
 
 
+_parsed_before = lru_cache(maxsize=20_000)(_parsed)
+
+
+def _element(tag: str, attributes: str) -> tuple[tuple[int, ...], int, bool]:
+    """``_parsed``, kept for attributes of usual length; long ones are parsed each time, whole."""
+    return _parsed_before(tag, attributes) if len(attributes) < KEPT_CHARS else _parsed(tag, attributes)
+
+
 def _block_features(text: str, linked: int, parent: str) -> tuple[int, ...]:
     """Features of a block of running text: ``linked`` characters of it are in links."""
     n = len(text)
@@ -186,7 +199,7 @@ class Forest:
             if tag in ("body", "frameset") and open_tags.get("head"):
                 pop_to(next(k for k, s in enumerate(stack) if s[1] == "head"))
             attributes = m[3]
-            features, kind, hides = _element(tag, attributes if len(attributes) < 500 else attributes[:500])
+            features, kind, hides = _element(tag, attributes)
             if attributes.endswith("/") and tag not in ("p", "div", "a", "span"):
                 continue
             if tag in RAW:
