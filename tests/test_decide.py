@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from verity.operators.decide import attempt_decisions, decision_counts, generate_with_fallback, regeneration_loop
+from verity.operators.decide import attempt_decisions, decision_counts, generate_with_fallback, loop_quarantine, regeneration_loop
 from verity.streaming.scorer import counter_step
 
 
@@ -123,3 +123,11 @@ def test_regeneration_loop_deterministic_generator(spark):
     assert out["m2"].attempts == 3 and out["m2"].forced is True and out["m2"].accepted is True
     one = {r.message_id: r for r in regeneration_loop(q, threshold=0.3, max_attempts=1).collect()}
     assert all(r.attempts == 1 and r.accepted for r in one.values())
+
+
+def test_questions_without_message_id_reach_the_quarantine(spark):
+    rows = [("m1", "t1", "q1", "a title", "", "a title", 0), (None, "t2", "q2", "b title", "", "b title", 0), (None, "t2", "q2", "b title", "", "b title", 0)]
+    q = spark.createDataFrame(rows, "message_id string, trace_id string, question_id string, title string, content string, best_answer string, attempts int")
+    assert [r.message_id for r in regeneration_loop(q, threshold=0.3).collect()] == ["m1"]
+    left = loop_quarantine(q).collect()
+    assert [tuple(r)[:-1] for r in left] == rows[1:] and {r.reason for r in left} == {"missing message_id"}

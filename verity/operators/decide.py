@@ -178,6 +178,11 @@ def generate_with_fallback(requests: DataFrame, generator: Generator = offline_a
     return responses, errors
 
 
+def loop_quarantine(questions: DataFrame) -> DataFrame:
+    """The questions that ``regeneration_loop`` cannot take, one row each, all columns, with a ``reason``."""
+    return questions.filter(F.col("message_id").isNull()).withColumn("reason", F.lit("missing message_id"))
+
+
 def regeneration_loop(questions: DataFrame, generator: Generator = offline_answer,
                       threshold: float = STREAM_THRESHOLD, max_attempts: int = MAX_ATTEMPTS,
                       source: str = SCORER_SOURCE, decided_at: Column | None = None) -> DataFrame:
@@ -188,7 +193,7 @@ def regeneration_loop(questions: DataFrame, generator: Generator = offline_answe
     round, then the decision counter + 1) and ``forced``.
 
     ``message_id`` must be unique per question.  A question with a NULL
-    ``message_id`` cannot be told from others and is left out of the loop.  A round's requests are the source
+    ``message_id`` cannot be told from others; ``loop_quarantine`` has it.  A round's requests are the source
     questions joined with the keys still rejected, which carry the last answer
     and its score: an answer equal to the last one keeps its score, so a
     deterministic generator is scored once.  Each round checkpoints ids, the
