@@ -52,6 +52,50 @@ def test_keyed_scan_matches_loop_with_nulls_and_a_hot_key(spark):
             last, total = n + 1 if r[3] else last, total + r[2]
 
 
+@pytest.mark.parametrize("batch", [1, 7, 10000])
+def test_keyed_scan_carries_over_batches_and_partitions(spark, batch):
+    rnd = random.Random(batch)
+    rows = [(rnd.choice(["hot", "hot", "b", None]), rnd.choice([float("nan"), 1.0, None]), rnd.choice([None, *range(400)]), i,
+             rnd.getrandbits(63) - (1 << 62)) for i in range(900)]
+    df = spark.createDataFrame(rows, "k string, d double, t bigint, i int, x bigint").repartition(3)
+    held = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        for keys in (["k", "d"], ["k"], []):
+            got = {r.i: r for r in keyed_scan(df, keys, ["t", "i"], lag_cols=["t"], lead_cols=["i"], cumxor=["x"], gap=("t", 2)).collect()}
+            own = lambda r: tuple("nan" if v != v else v for v in r[:len(keys)])  # noqa: E731, B023
+            assert len(got) == len(rows)
+            for key in {own(r) for r in rows}:
+                group = sorted((r for r in rows if own(r) == key), key=lambda r: (r[2] is not None, r[2] or 0, r[3]))
+                xor, seg, before = 0, None, None
+                for n, r in enumerate(group):
+                    leads = n == 0 or r[2] is None or before is None or r[2] - before > 2
+                    seg = n + 1 if leads else seg
+                    g = got[r[3]]
+                    assert (g._pos, g._prev_t, g._cxor_x, g._leads, g._seg) == (n + 1, before, xor, leads, seg)
+                    assert g._next_i == (group[n + 1][3] if n + 1 < len(group) else None)
+                    xor, before = xor ^ r[4], r[2]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", held)
+
+
+def test_keyed_scan_exchanges_the_rows_once(spark):
+    """The scan's own plan: one range exchange, a sort, the scan; no hash exchange, no window."""
+    from unittest import mock
+
+    from verity.operators import sequence
+
+    df = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
+    plans = []
+    real = sequence.checkpoint
+    with mock.patch.object(sequence, "checkpoint", lambda x: (plans.append(x._jdf.queryExecution().executedPlan().toString()), real(x))[1]):
+        out = keyed_scan(df, ["k"], ["id"], flag=F.col("id") % 3 == 0, cumsum="id")
+    assert len(plans) == 1 and plans[0].count("Exchange") == 1 and "rangepartitioning" in plans[0] and "Window" not in plans[0]
+    final = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in final and "Window" not in final
+    assert keyed_scan(df.limit(0), ["k"], ["id"], lead_cols=["id"]).count() == 0
+
+
 def test_backoff_has_no_cap_and_does_not_overflow(spark):
     df = spark.range(1).select(F.to_timestamp(F.lit("2024-01-01 00:00:00")).alias("ts"), F.explode(F.array(
         *[F.lit(x) for x in (1, 12, 5000)])).alias("attempts"))

@@ -136,12 +136,8 @@ def anchor_ids(df: DataFrame, key: str, ts: str, tiebreak: str, id_col: str,
     if ttl_seconds <= 0:
         return rows.groupBy("k").agg(F.min_by("id", F.struct("us", "tb")).alias("id")).select("id")
     width = int(round(ttl_seconds * 1_000_000))
-    placed = keyed_scan(rows, ["k"], ["us", "tb"], lag_cols=["us"])
-    heads = F.coalesce(F.col("us") - F.col("_prev_us") > F.lit(width), F.lit(True))
-    placed = placed.select("k", "us", "tb", "id", F.col("_pos").alias("pos"), heads.alias("leads"))
-    cut = keyed_scan(placed, ["k"], ["pos"], flag=F.col("leads"))
-    cut = cut.select("k", "us", "id", "pos", "leads", F.when(F.col("leads"), F.col("pos")).otherwise(F.col("_lastflag")).alias("seg"))
-    cut = checkpoint(cut)
+    cut = keyed_scan(rows, ["k"], ["us", "tb"], gap=("us", width)).select(
+        "k", "us", "id", F.col("_pos").alias("pos"), F.col("_leads").alias("leads"), F.col("_seg").alias("seg"))
     spans = cut.groupBy("k", "seg").agg((F.max("us") - F.min("us")).alias("span"), F.count(F.lit(1)).alias("size"))
     dense = checkpoint(cut.join(spans.filter(F.col("span") > width).select("k", "seg", "size"), ["k", "seg"]))
     anchors = cut.filter("leads").select("id")
