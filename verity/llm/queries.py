@@ -16,9 +16,13 @@ from verity.llm.exact_dedup import exact_dedup
 from verity.llm.html_text import extract_text
 from verity.llm.line_dedup import ORACLE as LINE_DEDUP_ORACLE
 from verity.llm.line_dedup import line_dedup
+from verity.llm.lsh_forest import forest_components
 from verity.llm.ngram_join import ngram_components
 from verity.llm.packing import pack_documents
+from verity.llm.prefix_trie import ORACLE as TRIE_ORACLE
+from verity.llm.prefix_trie import conversation_trie
 from verity.llm.quality import score_quality
+from verity.llm.spelling import spelling_groups
 from verity.llm.url_filter import judge_urls
 from verity.llm.warc import ORACLE as WARC_ORACLE
 from verity.llm.warc import round_trip
@@ -91,3 +95,21 @@ ORACLES["op9_exact_dedup"] = EXACT_DEDUP_ORACLE
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+ORACLES["op12_prefix_trie"] = TRIE_ORACLE
+
+
+@query
+def op13_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest_components(table(spark, sf_dir, "documents"))
