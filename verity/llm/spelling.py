@@ -25,6 +25,7 @@ from math import ceil, log2, log10
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -172,8 +173,9 @@ def gram_dictionary(words: DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
     return levels
 
 
-def _key(parts: np.ndarray, kind: int) -> np.ndarray:
-    return mix(parts ^ np.uint64(kind * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)).view(np.int64)
+def _key(parts: np.ndarray, from_end: bool = False) -> np.ndarray:
+    """List keys; the lowest bit tells lists by the distance from the end."""
+    return ((mix(parts) & ~np.uint64(1)) | np.uint64(from_end)).view(np.int64)
 
 
 def _left_out(word: bytes) -> list[bytes]:
@@ -193,7 +195,7 @@ def _spelling_keys(word: bytes) -> np.ndarray:
     without = left[:-1] + right[1:] * inverse
     top = up[-1:]
     keys = np.concatenate((without + top * np.uint64(len(word) - 1), left[-1:] + top * base * np.uint64(len(word))))
-    return np.unique(_key(keys, 3))
+    return np.unique(_key(~keys))
 
 
 def _postings(batches: Iterator[pa.RecordBatch], levels: list[np.ndarray], late: np.ndarray, rank: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -221,8 +223,8 @@ def _postings(batches: Iterator[pa.RecordBatch], levels: list[np.ndarray], late:
         late_one[grams.word[chosen[order[chosen] > 0]]] = True
         chosen = chosen[order[chosen] == 0]
         code, own = mix(grams.code[chosen]), grams.word[chosen]
-        yield from rows(_key(code + grams.at[chosen].astype(np.uint64), 1), own, words, n)
-        yield from rows(_key(code + grams.room[chosen].astype(np.uint64), 2), own, words, n)
+        yield from rows(_key(code + grams.at[chosen].astype(np.uint64)), own, words, n)
+        yield from rows(_key(code + grams.room[chosen].astype(np.uint64), True), own, words, n)
         keys, index, held = [], [], 0
         for i in np.flatnonzero(late_one).tolist():
             keys.append(_spelling_keys(words[i]))
@@ -261,12 +263,14 @@ def _near_rows(a: np.ndarray, b: np.ndarray, la: np.ndarray, lb: np.ndarray) ->
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Near words of sorted lists: (a, b, bn) in both directions; a pair may come more than once."""
-    def found(words, counts, left, right):
+    """Near words of sorted lists: (a, b, an, bn), a the longer or, of equal length, the smaller; a pair
+    may come more than once.  An untouched gram of two words of one length has the same distance from
+    the start and from the end: lists by the latter need only pairs of different lengths."""
+    def found(words, counts, left, right, from_end):
         size = np.array([len(w) for w in words])
         swap = size[left] < size[right]
         left, right = np.where(swap, right, left), np.where(swap, left, right)
-        keep = size[left] - size[right] <= 1
+        keep = (size[left] - size[right] <= 1) & ((size[left] > size[right]) | ~from_end)
         left, right = left[keep], right[keep]
         hits = np.zeros(len(left), bool)
         small = size[left] <= 40
@@ -286,8 +290,10 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not len(left):
             return
         names, n = pa.array(words, pa.binary()), np.asarray(counts, np.int64)
-        for i, j in ((left, right), (right, left)):
-            yield pa.RecordBatch.from_arrays([names.take(pa.array(i)), names.take(pa.array(j)), pa.array(n[j])], names=["a", "b", "bn"])
+        a, b = names.take(pa.array(left)), names.take(pa.array(right))
+        turned = (size[left] == size[right]) & np.asarray(pc.greater(a, b))
+        left, right = np.where(turned, right, left), np.where(turned, left, right)
+        yield pa.RecordBatch.from_arrays([names.take(pa.array(left)), names.take(pa.array(right)), pa.array(n[left]), pa.array(n[right])], names=["a", "b", "an", "bn"])
 
     def short_lists(key, words, counts):
         """Whole short lists of one batch."""
@@ -301,11 +307,12 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 left.append((at[:, None] + i).ravel())
                 right.append((at[:, None] + j).ravel())
         if left:
-            yield from found(words, counts, np.concatenate(left), np.concatenate(right))
+            left, right = np.concatenate(left), np.concatenate(right)
+            yield from found(words, counts, left, right, key[left] & 1 == 1)
         for x, m in zip(edge[size > SHORT].tolist(), size[size > SHORT].tolist(), strict=True):
-            yield from long_list(words[x : x + m], counts[x : x + m])
+            yield from long_list(words[x : x + m], counts[x : x + m], bool(key[x] & 1))
 
-    def long_list(words, counts):
+    def long_list(words, counts, from_end):
         """Words of a long list that share a spelling with one code point left out."""
         met: dict[bytes, list[int]] = {}
         for i, w in enumerate(words):
@@ -319,7 +326,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 left.append(own[i])
                 right.append(own[j])
         if left:
-            yield from found(words, counts, np.concatenate(left), np.concatenate(right))
+            yield from found(words, counts, np.concatenate(left), np.concatenate(right), np.bool_(from_end))
 
     key, words, counts = np.zeros(0, np.int64), [], np.zeros(0, np.int64)
     for batch in batches:
@@ -353,8 +360,9 @@ def near_words(words: DataFrame) -> DataFrame:
         return _postings(batches, *shared.value)
 
     lists = words.mapInArrow(tidy(postings), "key bigint, w binary, n bigint")
-    pairs = lists.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_pairs), "a binary, b binary, bn bigint")
-    return pairs.distinct()
+    pairs = lists.repartition("key").sortWithinPartitions("key").mapInArrow(tidy(_pairs), "a binary, b binary, an bigint, bn bigint")
+    ends = F.array(F.struct("a", "b", "bn"), F.struct(F.col("b").alias("a"), F.col("a").alias("b"), F.col("an").alias("bn")))
+    return pairs.distinct().select(F.inline(ends))
 
 
 def spelling_groups(docs: DataFrame) -> DataFrame:
