@@ -43,10 +43,12 @@ INLINE = frozenset(
 ENDS_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 BOUNDS = frozenset("ul ol dl table menu select body html article section div".split())
 
-_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-#: An attribute with its quoted value, if it has one.
-_QUOTED = re.compile(r"""([^\s"'=]++)(\s*+=\s*+(?:"[^"]*"|'[^']*'))?""")
+_MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)", re.S)
+#: An attribute, as the HTML standard reads it: a quote opens a value only right after the equals sign.
+_ATTRIBUTE = r"""[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>]*+))?+"""
+#: The rest of a tag up to its end, or to the end of the page; nothing is given back, so time is linear.
+_REST = re.compile(rf"((?:[\s/]++|{_ATTRIBUTE})*+)(?:>|\Z)")
+_NAMED = re.compile(r"""([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>]*+)))?+""")
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
 FEATURES = 1 << 12
@@ -64,13 +66,13 @@ def _feature(name: str) -> int:
 
 def _parsed(tag: str, attributes: str) -> tuple[tuple[int, ...], int, bool]:
     """Features, kind and whether hidden, of an element as written."""
-    # Values of other attributes may be long and hold any text, also "hidden" or markup: only their names stay.
-    attributes = _QUOTED.sub(lambda m: m[0] if m[1].lower() in ("class", "id", "role") else m[1] + " " * bool(m[2]), attributes)
-    names = " ".join(a or b or c for _, a, b, c in _NAMES.findall(attributes)).lower() if "=" in attributes else ""
-    words = list(dict.fromkeys(_WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", names))))
+    found = [(m[1].lower(), m[2] or m[3] or m[4] or "") for m in _NAMED.finditer(attributes)]
+    names = " ".join(value for name, value in found if name in ("class", "id", "role"))
+    plain = any(name == "hidden" for name, _ in found)
+    words = list(dict.fromkeys(_WORD.findall(re.sub(r"([a-z])([A-Z])", r"\1 \2", names).lower())))
     found = [f"tag {tag}"] + [f"name {w}" for w in words] + [f"name {w[:-1]}" for w in words if w.endswith("s") and len(w) > 3]
     kind = 1 if tag in INLINE else 2 if words else 3 if tag in ("p", "li", "td", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "dd", "dt") else 4
-    return tuple(_feature(x) for x in dict.fromkeys(found)), kind, tag in HIDDEN or "hidden" in attributes.lower().split()
+    return tuple(_feature(x) for x in dict.fromkeys(found)), kind, tag in HIDDEN or plain
 
 
 _parsed_before = lru_cache(maxsize=20_000)(_parsed)
@@ -172,6 +174,8 @@ class Forest:
             tag = m[2]
             if tag is None:
                 continue
+            rest = _REST.match(source, at)
+            at = rest.end()
             tag = tag.lower()
             if m[1]:
                 if open_tags.get(tag):
@@ -198,7 +202,7 @@ class Forest:
                     pop_to(k)
             if tag in ("body", "frameset") and open_tags.get("head"):
                 pop_to(next(k for k, s in enumerate(stack) if s[1] == "head"))
-            attributes = m[3]
+            attributes = rest[1]
             features, kind, hides = _element(tag, attributes)
             if attributes.endswith("/") and tag not in ("p", "div", "a", "span"):
                 continue
