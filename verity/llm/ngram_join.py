@@ -421,13 +421,9 @@ def _boundary(counted: DataFrame, classes: DataFrame, percent: int) -> int:
     return boundary
 
 
-def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles, component_id per row of ``docs`` (columns doc_id, text; others ignored).
-
-    Null, empty and blank texts have an empty set and link with nothing.  A text of fewer than
-    ``width`` words is one shingle.  Rows that repeat a doc_id are separate rows.  A row with a null
-    doc_id is returned, makes no links, and its component_id is null.  An empty table gives none.
-    """
+def _classes_and_labels(docs: DataFrame, percent: int, width: int) -> tuple[DataFrame, DataFrame]:
+    """members (doc_id, n, cid, bits) per row of ``docs``, and groups (cid, doc_id, label): the classes of
+    equal sets, their smallest doc_id and what tells their component."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
     buckets = 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -489,6 +485,17 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
     label = components(links.unionByName(rest)).select(F.col("node").alias("cid"), F.col("component").alias("label"))
 
     groups = checkpoint(classes.join(label, "cid", "left").select("cid", "doc_id", F.coalesce("label", "cid").alias("label")))
+    return members, groups
+
+
+def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+    """doc_id, n_shingles, component_id per row of ``docs`` (columns doc_id, text; others ignored).
+
+    Null, empty and blank texts have an empty set and link with nothing.  A text of fewer than
+    ``width`` words is one shingle.  Rows that repeat a doc_id are separate rows.  A row with a null
+    doc_id is returned, makes no links, and its component_id is null.  An empty table gives none.
+    """
+    members, groups = _classes_and_labels(docs, percent, width)
     least = groups.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     named = groups.join(least, "label").select("cid", "component_id")
     return (
@@ -497,16 +504,36 @@ def ngram_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH
     )
 
 
+def _of_class(batches: Iterator[pa.RecordBatch], width: int, wanted: str) -> Iterator[pa.RecordBatch]:
+    """The rows whose text is of the class in column ``wanted`` (0: without shingles)."""
+    for batch in batches:
+        own = np.zeros(batch.num_rows, np.int64)
+        for i, tokens in shingle_sets(batch.column("text"), width):
+            own[i] = class_id(tokens) if len(tokens) else 0
+        yield batch.filter(pa.array(own == batch.column(wanted).to_numpy()))
+
+
 def keep_one(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
     """``docs`` with one document of each group of near duplicates: the one of smallest doc_id.
 
-    Columns pass through.  Rows that repeat a doc_id are one document: if one of them leads a group,
-    one of them stays (smallest hash of its text).
-    Rows with a null doc_id belong to no group and stay.
+    Columns pass through.  Rows that repeat a doc_id are separate: each group's leading class keeps one
+    row of its doc_id (smallest hash of its text), so unlike texts under one doc_id all stay, and copies
+    of a text go with their group.  Of rows that repeat a doc_id with blank texts one stays.  Rows with a
+    null doc_id belong to no group and stay.
     """
-    kept = ngram_components(docs, percent, width).filter("doc_id = component_id").select("doc_id").distinct()
-    by = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"), F.length("text"))
-    mark = unused(docs.columns, "place")
-    rest = docs.filter("doc_id IS NOT NULL").join(kept, "doc_id", "left_semi")
-    one = rest.withColumn(mark, F.row_number().over(by)).filter(F.col(mark) == 1).drop(mark)
-    return one.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    members, groups = _classes_and_labels(docs, percent, width)
+    members = members.filter("doc_id IS NOT NULL")
+    lead = groups.groupBy("label").agg(F.min(F.struct("doc_id", "cid")).alias("lead")).select("lead.doc_id", "lead.cid")
+    lead = lead.unionByName(members.filter("n = 0").select("doc_id", F.lit(0).cast("bigint").alias("cid")).distinct())
+    often = members.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select("doc_id")
+    often = checkpoint(often)
+    once = docs.filter("doc_id IS NOT NULL").join(lead.select("doc_id").join(often, "doc_id", "left_anti"), "doc_id", "left_semi")
+    kept = once.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    if not often.head(1):
+        return kept
+    wanted, place = unused(docs.columns, "wanted"), unused(docs.columns, "place")
+    again = docs.join(lead.join(often, "doc_id", "left_semi").withColumnRenamed("cid", wanted), "doc_id").select(*docs.columns, wanted)
+    same = again.mapInArrow(tidy(lambda x: _of_class(x, width, wanted)), again.schema)
+    by = Window.partitionBy("doc_id", wanted).orderBy(F.xxhash64("text"), F.length("text"))
+    one = same.withColumn(place, F.row_number().over(by)).filter(F.col(place) == 1)
+    return kept.unionByName(one.select(*docs.columns))
