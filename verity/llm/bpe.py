@@ -18,7 +18,7 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +31,9 @@ CHUNK_WORDS = 50_000
 CACHE_WORDS = 600_000
 LONG_WORD = 256
 SLICE_CHARS = 2_000_000
+#: A text beyond that size is encoded so many words at a time; ids are decoded so many at a time.
+PIECE_WORDS = 100_000
+PIECE_IDS = 400_000
 _POSITIONS = 1 << 20
 
 _FIXPOINT = f"""
@@ -130,7 +133,36 @@ class Codec:
             self._learn(new)
         return [list(chain.from_iterable(map(self.cache.__getitem__, words))) for words in split]
 
+    def pieces(self, text: str) -> Iterator[list[int]]:
+        """The ids of one long text, some words at a time."""
+        words = (m.group() for m in self.pattern.finditer(text))
+        while part := list(islice(words, PIECE_WORDS)):
+            new = set(part) - self.cache.keys()
+            if len(self.cache) + len(new) > CACHE_WORDS:
+                new = set(part)
+            if new:
+                self._learn(new)
+            yield list(chain.from_iterable(map(self.cache.__getitem__, part)))
+
     def decode(self, rows: list[list[int]]) -> list[bytes]:
+        """The bytes of each row of ids, in queries of at most ``PIECE_IDS`` ids."""
+        out: list[list[bytes]] = [[] for _ in rows]
+        at, held, size = [], [], 0
+        for i, row in enumerate(rows):
+            for x in range(0, len(row), PIECE_IDS):
+                part = row[x : x + PIECE_IDS]
+                if held and size + len(part) > PIECE_IDS:
+                    for k, data in zip(at, self._decoded(held), strict=True):
+                        out[k].append(data)
+                    at, held, size = [], [], 0
+                at.append(i)
+                held.append(part)
+                size += len(part)
+        for k, data in zip(at, self._decoded(held), strict=True):
+            out[k].append(data)
+        return [b"".join(parts) for parts in out]
+
+    def _decoded(self, rows: list[list[int]]) -> list[bytes]:
         out = [b""] * len(rows)
         many = [len(r) for r in rows]
         ids = pa.table({
@@ -167,6 +199,11 @@ def _slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[tuple[lis
         yield ids, values
 
 
+def _long(texts: list[str | None]) -> bool:
+    """Whether a slice is one text beyond the usual size."""
+    return len(texts) == 1 and len(texts[0] or "") > SLICE_CHARS
+
+
 def _keyed(docs: DataFrame, column: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), column)
 
@@ -180,7 +217,12 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for ids, texts in _slices(batch, "text", SLICE_CHARS):
-                found = codec(path, pattern).encode(texts)
+                own = codec(path, pattern)
+                if _long(texts):
+                    found = pa.chunked_array([pa.array(x, pa.int32()) for x in own.pieces(texts[0])], pa.int32()).combine_chunks()
+                    found = [found]
+                else:
+                    found = own.encode(texts)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return _keyed(docs, "text").mapInArrow(run, "doc_id bigint, ids array<int>")
@@ -211,6 +253,15 @@ def round_trip_digests(docs: DataFrame, path: str, pattern: str) -> DataFrame:
         for batch in batches:
             for ids, texts in _slices(batch, "text", SLICE_CHARS):
                 own = codec(path, pattern)
+                if _long(texts):
+                    n, named, data = 0, hashlib.sha256(), hashlib.sha256()
+                    for piece in own.pieces(texts[0]):
+                        if piece:
+                            named.update((("," if n else "") + ",".join(map(own.text.__getitem__, piece))).encode())
+                            data.update(own.decode([piece])[0])
+                            n += len(piece)
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([n], pa.int64()), pa.array([named.hexdigest()]), pa.array([data.hexdigest()])], names=names)
+                    continue
                 found = own.encode(texts)
                 written = [sha(",".join(map(own.text.__getitem__, r)).encode()) for r in found]
                 yield pa.RecordBatch.from_arrays(
