@@ -119,6 +119,28 @@ def test_keep_one_keeps_columns_and_one_of_each_group(odd_documents, odd_rows):
     assert ids == sorted(["1", "2", "4", "5", "6", "7", "9", "10", "11", "13", "None", "None"])
 
 
+def test_keep_one_loses_no_text(spark):
+    """Unlike texts under one doc_id: the copy of another document goes, the other text stays."""
+    a, b = " ".join(f"a{i}" for i in range(50)), " ".join(f"b{i}" for i in range(50))
+    docs = spark.createDataFrame([(1, a), (2, a), (2, b), (2, b), (3, b + " more"), (4, ""), (4, "  "), (5, None)], "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.text) for r in keep_one(docs).filter("text <> '' AND trim(text) <> ''").collect()) == [(1, a), (2, b)]
+    assert sorted(r.doc_id for r in keep_one(docs).filter("text IS NULL OR trim(text) = ''").collect()) == [4, 5]
+
+
+def test_bpe_of_a_text_beyond_a_slice(spark):
+    """A text of six million characters: encoded and decoded in pieces, ids as tiktoken's."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    text = " ".join(f"word{i % 7919} été{i % 13}\n" for i in range(400_000))
+    ranks = {__import__("base64").b64decode(x): int(y) for x, y in map(bytes.split, open(path, "rb"))}
+    ids = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary(text)
+    docs = spark.createDataFrame([(1, text), (2, "short")], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in round_trip_digests(docs, path, public_tokenizers.PATTERN).collect()}
+    assert got[1].n_tokens == len(ids) and got[1].ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+    assert got[1].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    encoded = encode_documents(docs, path, public_tokenizers.PATTERN)
+    assert bytes(decode_documents(encoded.filter("doc_id = 1"), path, public_tokenizers.PATTERN).first().data) == text.encode()
+
+
 def test_bitmap_bound_and_costs():
     rng = np.random.default_rng(1)
     for n in (1, 64, 65, 700):

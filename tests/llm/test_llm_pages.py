@@ -69,6 +69,40 @@ def test_warc_empty_table_and_foreign_bytes(spark, odd_pages, tmp_path):
     assert got[1] == b"abc"
 
 
+def test_warc_headers_of_others(spark, tmp_path):
+    """Names in any case, no or an unreadable length, bytes before the first record: nothing fails, nothing is silent."""
+    one = "WARC/1.1\r\nwarc-type: response\r\nWARC-RECORD-ID:<urn:page:1> \r\ncontent-length: 3\r\n\r\nabc\r\n\r\n"
+    bare = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:2>\r\n{}\r\ndefg"
+    (tmp_path / "a.warc").write_bytes((one + bare.format("")).encode())
+    (tmp_path / "b.warc").write_bytes((one + bare.format("Content-Length: many\r\n")).encode())
+    (tmp_path / "c.warc").write_bytes(b"WARC/1.0\r\nWARC-Type: response\r\n\r\nold")
+    got = Counter((r.page_id, r.record_type, bytes(r.payload), r.problem) for r in read_warc(spark, str(tmp_path)).collect())
+    assert got == {(1, "response", b"abc", None): 2, (2, "response", b"defg", "no length"): 2,
+                   (None, None, b"WARC/1.0\r\nWARC-Type: response\r\n\r\nold", "no record"): 1}
+
+
+def test_warc_splits_stay_between_the_scans(spark, odd_pages, tmp_path):
+    """The caller's split settings change after the chain has been verified and before the data are read."""
+    rows, df = odd_pages
+    folder = str(tmp_path / "w")
+    warc.write_warc(df.coalesce(2), folder)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in names}
+    try:
+        for k in names:
+            spark.conf.set(k, "1500")
+        read = read_warc(spark, folder)
+        for k in names:
+            spark.conf.set(k, "64m")
+        spark.conf.set("spark.sql.files.minPartitionNum", "1")
+        assert read.filter("problem IS NULL").count() == len(rows)
+        assert read.filter("record_type = 'response' AND sha2(payload, 256) <> digest").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_warc_query_reads_every_page(spark):
     assert queries.QUERIES["op6_warc"](spark, SF).count() == spark.read.parquet(f"{SF}/pages.parquet").count()
     assert warc.REVISIT_BYTES == 100
@@ -151,6 +185,22 @@ def test_large_attributes_take_little_time():
     assert time.time() - start < 30
 
 
+def test_broken_tags_take_linear_time():
+    """Attributes that never close: a megabyte each, also quotes and spaces that a regular expression might try again."""
+    model = trained()
+    for piece in ("<a '", '<a "', "<a =", "<a x='", "<a x=\"' ", "<a b = ", "< a", "<!-", "<a/"):
+        start = time.time()
+        main_texts([piece * (1_000_000 // len(piece))], model)
+        assert time.time() - start < 8, piece
+
+
+@pytest.mark.parametrize("tag", ["<a href=/o'neil>", '<a title=5">', "<a x='1'y=\"2\">", "<a 'x>", "<a =x>", "<a\nb/c = d\t>"])
+def test_quotes_open_values_only_after_an_equals_sign(tag):
+    forest = Forest()
+    forest.add(f"<p>one {tag}two</a></p><p>it's three</p>")
+    assert " ".join("".join(t[2] for t in forest.texts).split()) == "one twoit's three"
+
+
 def rule_of(url):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     host = "".join(c.lower() if "A" <= c <= "Z" else c for c in re.match("[^/?#]*", rest)[0])

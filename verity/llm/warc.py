@@ -90,7 +90,24 @@ def write_warc(pages: DataFrame, folder: str) -> None:
 
 
 def _header(name: str) -> F.Column:
-    return F.regexp_extract("header", rf"(?:\A|\r\n){name}: ([^\r\n]*)", 1)
+    """A header's value; names go without case, white space around the value does not count."""
+    return F.regexp_extract("header", rf"(?i)(?:\A|\r\n){name}:[ \t]*([^\r\n]*?)[ \t]*(?:\r\n|\z)", 1)
+
+
+def _pinned(spark: SparkSession) -> SparkSession:
+    """A session like ``spark`` whose file splits no longer change.
+
+    The archives are scanned twice, for the chain and for the data, and rows are known by their split and
+    place in it.  By default Spark sizes splits by the executors there are when a scan is planned, so one
+    that is lost or gained in between would shift them.
+    """
+    own = spark.newSession()
+    for name, value in dict(spark.conf.getAll).items():
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    if not own.conf.get("spark.sql.files.minPartitionNum", None):
+        own.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    return own
 
 
 def _pieces(spark: SparkSession, folder: str) -> DataFrame:
@@ -132,14 +149,14 @@ def _walked(group: pd.DataFrame) -> pd.DataFrame:
                 break
             i = j
     owner = np.maximum.accumulate(np.where(reached, offset, -1))
-    return pd.DataFrame({"file": group["file"], "block": group["block"], "at": group["at"], "offset": offset, "owner": owner})
+    return pd.DataFrame({"file": group["file"], "block": group["block"], "at": group["at"], "offset": offset, "owner": owner, "size": group["size"]})
 
 
 def verified_pieces(pieces: DataFrame) -> DataFrame:
     """file, block, at, offset, owner of each piece: owner is the offset of its record, -1 if that began
     in an earlier split (or there is none)."""
     header_bytes = F.octet_length("header") + len(RECORD_END)
-    length = F.expr(r"try_cast(regexp_extract(header, '(?:\\A|\r\n)Content-Length: ([0-9]{1,15})(?:\r\n|\\z)', 1) as bigint)")
+    length = F.expr(r"try_cast(regexp_extract(header, '(?i)(?:\\A|\r\n)Content-Length:[ \t]*([0-9]{1,15})[ \t]*(?:\r\n|\\z)', 1) as bigint)")
     parts = checkpoint(pieces.select("file", "block", "at", "size", (header_bytes + length + len(RECORD_END) + len(MAGIC)).alias("step")))
     before = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     blocks = parts.groupBy("file", "block").agg(F.sum(F.col("size") + len(MAGIC)).alias("total"))
@@ -150,7 +167,7 @@ def verified_pieces(pieces: DataFrame) -> DataFrame:
         .join(base, ["file", "block"])
         .withColumn("offset", F.col("base") + F.col("run") - len(MAGIC))
         .withColumn("successor", F.col("offset") + F.coalesce("step", F.lit(0)))
-        .select("file", "block", "at", "offset", "successor")
+        .select("file", "block", "at", "offset", "successor", "size")
     )
     placed = checkpoint(placed)
 
@@ -169,18 +186,20 @@ def verified_pieces(pieces: DataFrame) -> DataFrame:
         jump = checkpoint(jump.join(onward, ["file", "successor"]).select("file", "offset", F.col("onward").alias("successor")))
 
     marked = placed.join(entries.withColumn("entry", F.lit(True)), ["file", "offset"], "left").withColumn("entry", F.coalesce("entry", F.lit(False)))
-    kind = "file string, block bigint, at bigint, offset bigint, owner bigint"
+    kind = "file string, block bigint, at bigint, offset bigint, owner bigint, size bigint"
     return checkpoint(marked.groupBy("file", "block").applyInPandas(_walked, kind))
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
-    """record_type, page_id, url, digest, refers_to, payload (binary) of every record in ``folder``.
+    """record_type, page_id, url, digest, refers_to, payload (binary), problem of every record in ``folder``.
 
-    Bytes that no chain from a file's start reaches as a record (a broken header, a tail cut off)
-    belong to the record before them, whose payload is cut to its stated length.  An empty file or
-    folder without records gives no rows.
+    Header names go without case.  Bytes that no chain from a file's start reaches as a record (a broken
+    header, a tail cut off) belong to the record before them, whose payload is cut to its stated length.
+    A record that states no length is returned with all bytes up to the next known record as payload and
+    problem ``no length``; bytes before a file's first record with problem ``no record`` and nothing else
+    but the payload.  problem is null for all others.  An empty file gives no rows.
     """
-    pieces = _pieces(spark, folder)
+    pieces = _pieces(_pinned(spark), folder)
     found = verified_pieces(pieces)
     # A record that crosses splits: its later pieces look up the last record of the splits before.
     last = found.filter("owner >= 0").groupBy("file", "block").agg(F.max("owner").alias("own"))
@@ -190,7 +209,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     owned = checkpoint(
         found.join(carried, ["file", "block"])
         .withColumn("owner", F.when(F.col("owner") >= 0, F.col("owner")).otherwise(F.col("carried")))
-        .select("file", "at", "offset", "owner")
+        .select("file", "at", "offset", "owner", "size")
     )
     # All but a few pieces are whole records: those that are not are looked up, so payloads stay where
     # they are read.  The few are broadcast up to a checked count, and joined by a shuffle beyond it.
@@ -205,16 +224,24 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
     records = data.join(_few(rest), ["file", "at"], "left_anti").select("data").unionByName(joined)
     end = F.instr(F.col("data").cast("string"), RECORD_END)
+    stated = F.expr("try_cast(length as int)")
     rows = records.withColumn("header", F.substring(F.col("data").cast("string"), F.lit(1), end - 1))
     number = lambda name: F.expr(f"try_cast(regexp_extract({name}, '^<urn:page:(-?[0-9]+)>$', 1) as bigint)")
-    return (
-        rows.select(
+    body = (F.octet_length("header") + len(RECORD_END) + 1).cast("int")
+    told = (
+        rows.withColumn("length", _header("Content-Length")).select(
             _header("WARC-Type").alias("record_type"), _header("WARC-Record-ID").alias("key"), _header("WARC-Target-URI").alias("url"),
-            F.regexp_extract("header", r"(?:\A|\r\n)WARC-Payload-Digest: sha256:([0-9a-f]{64})", 1).alias("digest"), _header("WARC-Refers-To").alias("refers"),
-            F.substring(F.col("data"), (F.octet_length("header") + len(RECORD_END) + 1).cast("int"), _header("Content-Length").cast("int")).alias("payload"),
+            F.regexp_extract("header", r"(?i)(?:\A|\r\n)WARC-Payload-Digest:[ \t]*sha256:([0-9a-f]{64})", 1).alias("digest"), _header("WARC-Refers-To").alias("refers"),
+            F.when(stated.isNull(), F.substring(F.col("data"), body, F.octet_length("data"))).otherwise(F.substring(F.col("data"), body, stated)).alias("payload"),
+            F.when(stated.isNull(), "no length").alias("problem"),
         )
-        .select("record_type", number("key").alias("page_id"), "url", "digest", number("refers").alias("refers_to"), "payload")
+        .select("record_type", number("key").alias("page_id"), "url", "digest", number("refers").alias("refers_to"), "payload", "problem")
     )
+    lost = checkpoint(owned.filter("owner IS NULL AND size > 0").select("file", "at"))
+    if not lost.head(1):
+        return told
+    none = [F.lit(None).cast(told.schema[c].dataType).alias(c) for c in told.columns[:-2]]
+    return told.unionByName(data.join(_few(lost), ["file", "at"]).select(*none, F.col("data").alias("payload"), F.lit("no record").alias("problem")))
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
