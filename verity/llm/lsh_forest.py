@@ -10,7 +10,8 @@ The classes that share the first ``DEPTH`` values of an order form a region.  De
 region: in one of up to ``WINDOW + 1`` classes all are candidates of each other; in a denser one a
 class takes the neighbours with the longest common prefix, ``WINDOW`` to look at and the ``BEST`` of
 them, as deep as its region is dense.  A region cut by a partition boundary is stitched from the rows
-beside the cut.  Candidates whose signatures or sizes rule the link out are dropped at once.
+beside the cut.  Candidates whose signatures or sizes speak against the link are dropped at once, then
+those that bitmaps of the sets rule out.
 
 Links are confirmed on full sets: first the best candidates of each class, then those whose ends still
 lie in different components.  What dense regions leave open, classes of one region in different
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from verity.llm.common import shingle_sets, tidy
 from verity.llm.graph import components
-from verity.llm.ngram_join import _linked, _sets_of, class_id, ngram_components
+from verity.llm.ngram_join import _close, _linked, _sets_of, bitmap, class_id, ngram_components
 from verity.session import checkpoint, ship_package
 
 WIDTH = 5
@@ -64,14 +65,16 @@ def signature(tokens: np.ndarray) -> bytes:
 
 
 def _members(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
-    """The size, class and signature of each document's set."""
+    """The size, class, signature and bitmap of each document's set."""
     for batch in batches:
         n, cid = np.zeros(batch.num_rows, np.int64), np.zeros(batch.num_rows, np.int64)
         sig: list[bytes | None] = [None] * batch.num_rows
+        bits: list[bytes | None] = [None] * batch.num_rows
         for i, own in shingle_sets(batch.column("text"), width):
             if len(own):
-                n[i], cid[i], sig[i] = len(own), class_id(own), signature(own)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n), pa.array(cid), pa.array(sig, pa.binary())], names=["doc_id", "n", "cid", "sig"])
+                n[i], cid[i], sig[i], bits[i] = len(own), class_id(own), signature(own), bitmap(own)
+        columns = [batch.column("doc_id"), pa.array(n), pa.array(cid), pa.array(sig, pa.binary()), pa.array(bits, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n", "cid", "sig", "bits"])
 
 
 def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,9 +175,11 @@ def _same_class(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Re
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs (a, b) of classes whose full sets link."""
-    side = lambda x: classes.select(F.col("cid").alias(x), F.col("doc_id").alias(f"{x}doc"))
-    known = checkpoint(pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b"))
+    """The pairs (a, b) of classes whose full sets link.  Bitmaps of the sets, whose bits that differ bound
+    the symmetric difference from below, are compared first."""
+    side = lambda x: classes.select(F.col("cid").alias(x), F.col("n").alias(f"{x}n"), F.col("doc_id").alias(f"{x}doc"), F.col("bits").alias(f"{x}bits"))
+    known = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    known = checkpoint(known.mapInArrow(tidy(lambda x: _close(x, percent)), "a bigint, b bigint, adoc bigint, bdoc bigint"))
     ids = known.select(F.col("adoc").alias("doc_id")).unionByName(known.select(F.col("bdoc").alias("doc_id")))
     sets = _sets_of(docs, ids, width).dropDuplicates(["cid"])
     rows = known.select("a", "b").join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("at")), "a") \
@@ -204,9 +209,9 @@ def forest_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDT
     """
     ship_package(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
-    members = checkpoint(docs.mapInArrow(tidy(lambda x: _members(x, width)), "doc_id bigint, n bigint, cid bigint, sig binary"))
+    members = checkpoint(docs.mapInArrow(tidy(lambda x: _members(x, width)), "doc_id bigint, n bigint, cid bigint, sig binary, bits binary"))
     known = members.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = checkpoint(known.groupBy("cid", "n").agg(F.min(F.struct("doc_id", "sig")).alias("first")).select("cid", "n", "first.doc_id", "first.sig"))
+    classes = checkpoint(known.groupBy("cid", "n").agg(F.min(F.struct("doc_id", "sig", "bits")).alias("first")).select("cid", "n", "first.*"))
     pairs, dense = forest_candidates(classes, percent)
 
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
