@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from verity.functions.json import INVALID_PAYLOAD, decode, encode, split_valid, validate_score_requests
@@ -90,6 +91,45 @@ SAMPLE = (
 )
 
 
+@pytest.mark.parametrize("split", [37, 200, 5000])
+def test_csv_splits_inside_quoted_fields(spark, tmp_path, split):
+    """Files cut every few bytes, in the middle of quoted fields with line ends: the rows of csv.DictReader."""
+    import csv
+    import random
+
+    from verity.sources.csv_records import read_csv_records
+
+    rnd = random.Random(split)
+    bits = ['a', 'é', '""', ',', '\n', '\r\n', ' ', '5" x', "it's", "long " * 20]
+    for f in range(3):
+        with open(tmp_path / f"{f}.csv", "w", encoding="utf-8", newline="") as out:
+            out.write('id,"t\n1",c\r\n' if f == 1 else 'id,"t\n1",c\n')
+            for i in range(60):
+                quoted = '"' + "".join(rnd.choice([b for b in bits if '" x' not in b]) for _ in range(rnd.randrange(8))) + '"'
+                plain = "".join(rnd.choice(["a", "é", "x\"y", " "]) for _ in range(rnd.randrange(4))).lstrip('"')
+                row = rnd.choice([f"{f}-{i},{quoted},{plain}", f"{f}-{i},{plain},{quoted}", f"{f}-{i}", f"{f}-{i},{quoted},{plain},more,{quoted}", ""])
+                out.write(row + rnd.choice(["\n", "\r\n"]))
+            if f == 2:
+                out.write('open,"never closed\nto the end')
+    want = []
+    for f in range(3):
+        with open(tmp_path / f"{f}.csv", encoding="utf-8", newline="") as src:
+            want += [tuple(r[c] for c in ("id", "t\n1", "c")) for r in csv.DictReader(src)]
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, str(split))
+        df = read_csv_records(spark, str(tmp_path), ["id", "t", "c"])
+        got = [tuple(r) for r in df.collect()]
+        tasks = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(map(str, got)) == sorted(map(str, want))
+    assert tasks > 3 or split == 5000
+
+
 def test_csv_question_scan(spark, tmp_path):
     p = tmp_path / "q.csv"
     p.write_text(SAMPLE, encoding="utf-8")

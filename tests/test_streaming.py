@@ -15,11 +15,12 @@ from verity.functions.json import decode
 from verity.operators.decide import attempt_decisions, regeneration_loop, split_decisions
 from verity.operators.score import score_pairs
 from verity.operators.store import METRIC_COLUMNS, combine_states, metrics_partial, results_upsert
+from verity.session import ensure_checkpoint_dir
 from verity.sources import snapshots as snap
 from verity.sources.streams import kafka_sink_options, kafka_source_options, read_topic_batch
 from verity.streaming.router import start_router, start_worker
 from verity.streaming.scorer import start_scorer
-from verity.streaming.storage import apply_batch, current_metrics, current_results, start_storage
+from verity.streaming.storage import RESULT_KEY, apply_batch, current_metrics, current_results, start_storage
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta".split()
 T0 = dt.datetime(2024, 3, 1, tzinfo=dt.timezone.utc)
@@ -132,7 +133,7 @@ def test_storage_stream_matches_batch_upsert_and_replay_is_idempotent(spark, tmp
     apply_batch(parts[1], 1, r2, m2)
     apply_batch(parts[1], 1, r2, m2)
     _same(current_results(spark, r2), want, want.columns)
-    snap.compact(spark, r2, 1, combine_states)
+    snap.compact(spark, r2, 1, combine_states, RESULT_KEY)
     apply_batch(parts[1], 1, r2, m2)
     _same(current_results(spark, r2), want, want.columns)
     _same(current_metrics(spark, m2), wm, wm.columns)
@@ -237,15 +238,45 @@ def test_the_whole_cycle_equals_the_batch(spark, tmp_path):
     again = [dict(a, message_id=f"again{i}{j}", created_at=at(100 + j)) for i, a in enumerate(asked[:4]) for j in range(2)]
     again += [dict(again[0]), dict(again[0])]                     # the very same message, three times in all
     _write_files(p["questions"], again, 1, start_index=7)
+    spark.catalog.clearCache()
+    folders = len(os.listdir(checkpoint_folder(spark)))
     _run(start_router(spark, p["questions"], p["regen"], p["validated"], p["requests"], p["results"], p["cache"], ck("router")))
     _write_files(p["questions"], [dict(a, message_id=f"late{i}", created_at=at(150 if i else 9000)) for i, a in enumerate(asked[:2])], 1, start_index=9)
     _run(start_router(spark, p["questions"], p["regen"], p["validated"], p["requests"], p["results"], p["cache"], ck("router")))
+    # Micro-batches leave neither checkpoints nor cached blocks behind.
+    assert len(os.listdir(checkpoint_folder(spark))) == folders
+    assert spark.sparkContext._jsc.sc().getPersistentRDDs().isEmpty()
     source = {x["message_id"]: x["source"] for x in _lines(p["validated"])}
     assert sorted(x["source"] for x in _lines(p["validated"]) if x["message_id"] == "again00") == ["cache", "cache", "storage"]
     assert all(source[f"again{i}0"] == "storage" for i in range(1, 4)) and all(source[f"again{i}1"] == "cache" for i in range(4))
     assert (source["late0"], source["late1"]) == ("storage", "cache")
 
 
+def checkpoint_folder(spark):
+    return ensure_checkpoint_dir(spark).removeprefix("file:")
+
+
+def test_a_batch_reads_the_buckets_of_its_questions(spark, tmp_path):
+    """Of a stored table with deltas and a base, only the bucket folders of the ids asked for are scanned."""
+    root, metrics = str(tmp_path / "results"), str(tmp_path / "metrics")
+    rows = lambda lo, hi: spark.createDataFrame([(f"m{i}", "t", f"q{i}" if i else None, "T", "C", "A", "B", 0.5, True, "scorer", 1,
+                                                  f"2024-01-01T00:00:{i % 60:02d}Z") for i in range(lo, hi)],
+                                                "message_id string, trace_id string, question_id string, title string, content string, llm_answer string, "
+                                                "best_answer string, score double, accepted boolean, source string, attempts int, decided_at string")
+    for n in range(4):
+        apply_batch(rows(n * 40, n * 40 + 60), n, root, metrics, compact_every=3)
+    ids = spark.createDataFrame([("q45",), ("q150",), ("nobody",), (None,)], f"{RESULT_KEY} string")
+    got = current_results(spark, root, ids=ids)
+    _same(got, current_results(spark, root).filter("id_pregunta IN ('q45', 'q150')"), got.columns)
+    buckets = snap.buckets_of(ids, RESULT_KEY)
+    parts = snap.current_parts(spark, root, buckets=buckets)
+    read = parts.inputFiles()
+    assert read and {f.split("/")[-2] for f in read} <= {f"{snap.BUCKET}={b}" for b in buckets}
+    every = [f for *_, files in os.walk(root) for f in files if f.endswith(".parquet")]
+    assert len(read) < len(every) / 4
+    assert set(got.inputFiles()) >= set(read) and not set(got.inputFiles()) & (set(snap.current_parts(spark, root).inputFiles()) - set(read))
+
+
 def test_worker_reports_failures_and_retries(spark, tmp_path):
     requests = [{"message_id": f"m{i}", "trace_id": "t", "question_id": "q", "title": "T", "content": "C", "prompt": p,
                  "best_answer": "b", "attempts": 3} for i, p in enumerate(["good", "boom"])] + [{"message_id": "m2"}]

@@ -9,6 +9,9 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -57,10 +60,49 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+#: Folders of the checkpoints made inside ``checkpoints_removed``; None outside of it.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def checkpoint(df, eager: bool = True):
     """Reliable checkpoint (never a local one): cuts lineage, survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    out = df.checkpoint(eager=eager)
+    made = _made.get()
+    if made is not None:
+        folder = out._jdf.queryExecution().analyzed().rdd().getCheckpointFile()
+        if folder.isDefined():
+            made.append(folder.get())
+    return out
+
+
+@contextmanager
+def checkpoints_removed(spark: SparkSession) -> Iterator[None]:
+    """Remove the checkpoints made inside when it ends: for micro-batches, whose outputs are written by then."""
+    token = _made.set([])
+    try:
+        yield
+    finally:
+        made = _made.get() or []
+        _made.reset(token)
+        for folder in made:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def pinned_splits(spark: SparkSession) -> SparkSession:
+    """A session like ``spark`` whose file splits stay the same from scan to scan.
+
+    By default Spark sizes splits by the executors there are when a scan is planned; an operator that reads
+    files twice and knows rows by their split reads them through this session.
+    """
+    own = spark.newSession()
+    for name, value in dict(spark.conf.getAll).items():
+        if name.startswith("spark.sql.") and spark.conf.isModifiable(name):
+            own.conf.set(name, value)
+    if not own.conf.get("spark.sql.files.minPartitionNum", None):
+        own.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    return own
 
 
 def ship_package(spark: SparkSession) -> None:

@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from verity.sources.csv_records import read_csv_records
+
 # The id columns tried in order, and the question fields kept.
 CSV_ID_COLUMNS = ("id", "_id")
 CSV_QUESTION_FIELDS = ("question_title", "question_content", "best_answer")
 _DIALECT = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "emptyValue": ""}
-_RECORD = "_record"
 TRAFFIC_LOG_COLUMNS = ("timestamp", "operation", "message_id", "question_id", "status", "latency", "topic")
 
 
@@ -31,19 +32,11 @@ def load_questions_csv(spark: SparkSession, path: str) -> DataFrame:
     dropped.  Columns absent from the header read as ""; a short row keeps
     NULL in its missing fields, an empty field is "".  Quoted fields may hold
     commas, line ends and doubled quotes.  Surplus fields of a row are dropped,
-    so an unquoted comma cuts the last field (PERMISSIVE mode, as a dict reader
-    with a fixed header does).  Quoted line ends need ``multiLine``, with which a file is
-    read by one task: give large imports as several files.
+    so an unquoted comma cuts the last field, as a dict reader with a fixed header
+    does.  A file splits over tasks wherever it is cut (``read_csv_records``).
     """
     cols = _header(spark, path)
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*cols, _RECORD]])
-    df = spark.read.options(**_DIALECT).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _RECORD) \
-        .schema(schema).csv(path)
-    # The reader gives NULL for an empty field and for one that a short row lacks; a
-    # row with too few or too many fields also gives its text, where they are counted.
-    commas = F.split(F.regexp_replace(_RECORD, '"(?:[^"]|"")*"', ""), ",")
-    fields = F.when(F.col(_RECORD).isNull(), F.lit(len(cols))).otherwise(F.size(commas))
-    df = df.select(*[F.when(F.lit(i) < fields, F.coalesce(c, F.lit(""))).alias(c) for i, c in enumerate(cols)])
+    df = read_csv_records(spark, path, cols)
     ids = [F.when(F.col(c) != "", F.col(c)) for c in CSV_ID_COLUMNS if c in cols]
     qid = F.coalesce(*ids) if ids else F.lit(None).cast("string")
     fields = [(F.col(c) if c in cols else F.lit("")).alias(c) for c in CSV_QUESTION_FIELDS]

@@ -7,8 +7,9 @@ answer, else the fallback text, and an error record for every failure, with the
 
 The cache's entries (question id and the time it was filled) are a versioned table: micro-batch ``n`` routes its
 questions together with the entries that batches before it left (``route_requests``, the batch operator, sees
-them as earlier requests) and writes the entries it changed as delta ``n``.  Stored results are read anew for every
-micro-batch.  Inside a micro-batch the join strategy is left to AQE.
+them as earlier requests) and writes the entries it changed as delta ``n``.  Stored results and entries are bucketed by
+question: a micro-batch reads the files of its own questions' buckets, and only these questions' rows are combined, so
+its cost follows the batch.  What it checkpoints and persists is removed when it ends.  Inside a micro-batch the join strategy is left to AQE.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from verity.functions.json import decode, split_valid
 from verity.functions.text import offline_answer
 from verity.operators import decide, reuse
 from verity.operators.analytics import error_backoff
+from verity.session import checkpoints_removed
 from verity.sources import snapshots as snap
 from verity.sources.streams import read_topic, read_topics
 from verity.streaming.sinks import QUARANTINE, BatchSinks, make_folder, start
@@ -73,29 +75,42 @@ def start_router(spark: SparkSession, questions: str, regeneration: str, validat
                       max_per_trigger=max_per_trigger, kafka_servers=kafka_servers, kafka_options=kafka_options)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        held = [batch.persist()]
+        try:
+            with checkpoints_removed(spark):
+                route(held[0], batch_id, held)
+        finally:
+            for frame in held:
+                frame.unpersist()
+
+    def route(batch: DataFrame, batch_id: int, held: list[DataFrame]) -> None:
         asked, bad = split_valid(decode(batch.filter(F.col("topic") == questions), "question",
                                         keep=("key", "value"), stamp=True))
         again, bad_again = split_valid(decode(batch.filter(F.col("topic") == regeneration), "regeneration",
                                               keep=("key", "value")))
         asked = asked.drop("key").withColumn("ts", F.try_to_timestamp(F.col("created_at")))
-        store = current_results(spark, results_root)
+        # Of the stored results and of the cache's entries, only the buckets of this batch's questions.
+        ids = asked.select("question_id")
+        store = current_results(spark, results_root, ids=ids.withColumnRenamed("question_id", "id_pregunta"))
         at = decided_at if decided_at is not None else now_iso()
         outputs = {}
         if store is None:
             fresh = asked
         else:
-            entries = snap.current_parts(spark, cache_root, upto=batch_id - 1)
+            store = store.persist()
+            held.append(store)
+            entries = snap.current_parts(spark, cache_root, upto=batch_id - 1, buckets=snap.buckets_of(ids, "question_id"))
             routed = route_batch(asked, store, None if entries is None else latest_entries(entries), ttl_seconds).persist()
+            held.append(routed)
             hits = routed.filter(F.col("route") != reuse.ROUTE_LLM)
-            stored = reuse.first_stored(reuse.usable_answers(store)).withColumnRenamed("id_pregunta", "question_id")
+            stored = reuse.usable_answers(store).withColumnRenamed("id_pregunta", "question_id")
             joined = hits.select("message_id", "trace_id", "question_id", "route", "attempts", at.alias("_at")).join(
                 stored, "question_id")
             outputs["validated"] = ("validated", reuse.hit_projection(joined, F.col("route"), "_at"))
             filled = hits.filter(F.col("route") == reuse.SOURCE_STORAGE).select("question_id", F.col("ts").alias("stored_at"))
-            snap.write_delta(latest_entries(filled), cache_root, batch_id)
+            snap.write_delta(latest_entries(filled), cache_root, batch_id, "question_id")
             if (batch_id + 1) % COMPACT_EVERY == 0:
-                snap.compact(spark, cache_root, batch_id, latest_entries)
+                snap.compact(spark, cache_root, batch_id, latest_entries, "question_id")
             fresh = routed.filter(F.col("route") == reuse.ROUTE_LLM)
         first, repeat = decide.first_requests(fresh), decide.repeat_requests(again)
         outputs["requests"] = ("llm_request", first.unionByName(repeat).withColumn("created_at", now_iso()))
@@ -107,7 +122,6 @@ def start_router(spark: SparkSession, questions: str, regeneration: str, validat
             outputs["validated"] = ("validated", empty)
         if not sinks.done(spark, batch_id):
             sinks.write(batch_id, outputs)
-        batch.unpersist()
 
     return start(raw, sink, checkpoint, available_now)
 
@@ -130,10 +144,12 @@ def start_worker(spark: SparkSession, requests: str, responses: str, errors: str
         if sinks.done(spark, batch_id):
             return
         batch = batch.persist()
-        good, bad = split_valid(batch)
-        answers, failures = decide.generate_with_fallback(good, generator, error, fallback, now_iso())
-        failures = error_backoff(failures.withColumn("ts", F.try_to_timestamp(F.col("produced_at"))))
-        sinks.write(batch_id, {"responses": ("llm_response", answers), "errors": ("error", failures), QUARANTINE: (None, bad)})
-        batch.unpersist()
+        try:
+            good, bad = split_valid(batch)
+            answers, failures = decide.generate_with_fallback(good, generator, error, fallback, now_iso())
+            failures = error_backoff(failures.withColumn("ts", F.try_to_timestamp(F.col("produced_at"))))
+            sinks.write(batch_id, {"responses": ("llm_response", answers), "errors": ("error", failures), QUARANTINE: (None, bad)})
+        finally:
+            batch.unpersist()
 
     return start(decoded, sink, checkpoint, available_now)

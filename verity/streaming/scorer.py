@@ -128,14 +128,16 @@ def decision_sink(sinks: BatchSinks, source: str = SCORER_SOURCE, decided_at: Co
             consume(batch)
             return
         batch = batch.persist()
-        good = batch.filter("valid")
-        at = decided_at if decided_at is not None else now_iso()
-        sinks.write(batch_id, {
-            "validated": ("validated", validated_projection(good, source, at)),
-            "regeneration": ("regeneration", regeneration_requests(good)),
-            QUARANTINE: (None, batch.filter(~F.col("valid")).select("key", "value", "reason")),
-        })
-        batch.unpersist()
+        try:
+            good = batch.filter("valid")
+            at = decided_at if decided_at is not None else now_iso()
+            sinks.write(batch_id, {
+                "validated": ("validated", validated_projection(good, source, at)),
+                "regeneration": ("regeneration", regeneration_requests(good)),
+                QUARANTINE: (None, batch.filter(~F.col("valid")).select("key", "value", "reason")),
+            })
+        finally:
+            batch.unpersist()
 
     return sink
 

@@ -26,11 +26,21 @@ from verity.streaming.sinks import QUARANTINE, BatchSinks, start
 COMPACT_EVERY = 64
 
 
-def current_results(spark: SparkSession, root: str, state: bool = False) -> DataFrame | None:
-    """The stored results (with the order key if ``state``); None before the first batch."""
-    parts = snap.current_parts(spark, root)
+#: The column that the stored results are bucketed by.
+RESULT_KEY = "id_pregunta"
+
+
+def current_results(spark: SparkSession, root: str, state: bool = False, ids: DataFrame | None = None) -> DataFrame | None:
+    """The stored results (with the order key if ``state``); None before the first batch.
+
+    With ``ids`` (column ``id_pregunta``), those of these questions: only the files of their buckets
+    are read, and other questions' rows are dropped before any is combined."""
+    buckets = None if ids is None else snap.buckets_of(ids, RESULT_KEY)
+    parts = snap.current_parts(spark, root, buckets=buckets)
     if parts is None:
         return None
+    if ids is not None:
+        parts = parts.join(ids.select(RESULT_KEY).distinct(), RESULT_KEY, "left_semi")
     combined = combine_states(parts)
     return combined if state else combined.select(*RESULT_COLUMNS)
 
@@ -43,10 +53,10 @@ def current_metrics(spark: SparkSession, root: str) -> DataFrame | None:
 def apply_batch(batch: DataFrame, batch_id: int, results_root: str, metrics_root: str,
                 compact_every: int = COMPACT_EVERY) -> None:
     """Add one batch of validated records to the stored results and metrics."""
-    snap.write_delta(results_state(batch), results_root, batch_id)
+    snap.write_delta(results_state(batch), results_root, batch_id, RESULT_KEY)
     snap.write_delta(metrics_partial(batch).coalesce(1), metrics_root, batch_id)
     if compact_every and (batch_id + 1) % compact_every == 0:
-        snap.compact(batch.sparkSession, results_root, batch_id, combine_states)
+        snap.compact(batch.sparkSession, results_root, batch_id, combine_states, RESULT_KEY)
         snap.compact(batch.sparkSession, metrics_root, batch_id, lambda rows: combine_metrics(rows).coalesce(1))
 
 
@@ -64,9 +74,11 @@ def start_storage(spark: SparkSession, validated: str, results_root: str, metric
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        good, bad = split_valid(batch)
-        apply_batch(good.drop("key"), batch_id, results_root, metrics_root, compact_every)
-        sinks.write(batch_id, {QUARANTINE: (None, bad)})
-        batch.unpersist()
+        try:
+            good, bad = split_valid(batch)
+            apply_batch(good.drop("key"), batch_id, results_root, metrics_root, compact_every)
+            sinks.write(batch_id, {QUARANTINE: (None, bad)})
+        finally:
+            batch.unpersist()
 
     return start(decoded, sink, checkpoint, available_now)
