@@ -222,22 +222,22 @@ def reuse_distance(requests: DataFrame, key: str = "question_id", ts: str = "ts"
     even = F.filter(every, lambda x: F.call_function("shiftright", F.col("y"), x) % 2 == 0)
     odd = F.filter(every, lambda x: (F.call_function("shiftright", F.col("b"), x) % 2 == 1)
                    & (F.call_function("shiftleft", F.call_function("shiftright", F.col("b"), x), x) > F.col("a") + 1))
-    null_id = F.lit(None).cast(pos.schema[id_col].dataType)
+    # Six small numbers a row: a query is known by its own position.
     points = rep.select(F.col("_prev__gpos").alias("x"), F.col("_gpos").alias("y")) \
         .select("x", "y", F.explode(even).alias("L")).withColumn("blk", shr("y")) \
         .select("L", "blk", (-F.col("x")).alias("negx"), F.lit(0).alias("kind"), F.lit(1).alias("w"),
-                null_id.alias("_qid"))
-    queries = rep.select(F.col(id_col).alias("_qid"), F.col("_prev__gpos").alias("a"), F.col("_gpos").alias("b")) \
-        .select("_qid", "a", "b", F.explode(odd).alias("L")).withColumn("hb", shr("b")) \
+                F.lit(0).cast("long").alias("_qpos"))
+    queries = rep.select(F.col("_prev__gpos").alias("a"), F.col("_gpos").alias("b")) \
+        .select("a", "b", F.explode(odd).alias("L")).withColumn("hb", shr("b")) \
         .select("L", (F.col("hb") - 1).alias("blk"), (-F.col("a")).alias("negx"), F.lit(1).alias("kind"),
-                F.lit(0).alias("w"), "_qid")
+                F.lit(0).alias("w"), F.col("b").alias("_qpos"))
     scanned = keyed_scan(points.unionByName(queries), ["L", "blk"], ["negx", "kind"], cumsum="w")
-    nested = scanned.filter(F.col("kind") == 1).groupBy("_qid").agg(F.sum("_csum").alias("_n"))
-    out = pos.join(nested, pos[id_col] == nested["_qid"], "left")
+    nested = scanned.filter(F.col("kind") == 1).groupBy("_qpos").agg(F.sum("_csum").alias("_n"))
+    out = pos.join(nested, pos["_gpos"] == nested["_qpos"], "left")
     dist = F.when(F.col("_prev__gpos").isNull(), F.lit(-1)) \
         .otherwise(F.col("_gpos") - F.col("_prev__gpos") - 1 - F.coalesce(F.col("_n"), F.lit(0)))
     return out.withColumn("reuse_distance", dist.cast("long")) \
-        .drop("_qid", "_n", "_gpos", "_prev__gpos")
+        .drop("_qpos", "_n", "_gpos", "_prev__gpos")
 
 
 def lru_hits(with_distance: DataFrame, capacity: int = CACHE_SIZE) -> Column:
