@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from verity.llm.common import mix, tidy
+from verity.llm.common import mix, string_parts, tidy
 from verity.session import checkpoint, ship_package
 
 LEAST_LENGTH = 7
@@ -267,33 +267,33 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     may come more than once.  An untouched gram of two words of one length has the same distance from
     the start and from the end: lists by the latter need only pairs of different lengths."""
     def found(words, counts, left, right, from_end):
-        size = np.array([len(w) for w in words])
+        raw, at = string_parts(words)
+        size = np.diff(at)
         swap = size[left] < size[right]
         left, right = np.where(swap, right, left), np.where(swap, left, right)
         keep = (size[left] - size[right] <= 1) & ((size[left] > size[right]) | ~from_end)
         left, right = left[keep], right[keep]
+        # The parity of each code point's number (in 64 classes): an edit changes two of them at most.
+        odd = np.bitwise_xor.reduceat(np.uint64(1) << (raw & np.uint8(63)).astype(np.uint64), at[:-1])
+        keep = np.bitwise_count(odd[left] ^ odd[right]) <= 2
+        left, right = left[keep], right[keep]
         hits = np.zeros(len(left), bool)
-        small = size[left] <= 40
-        if small.any():
-            table = np.zeros((len(words), 41), np.uint8)
-            for i, w in enumerate(words):
-                if len(w) <= 40:
-                    table[i, : len(w)] = np.frombuffer(w, np.uint8)
-            at = np.flatnonzero(small)
-            for x in range(0, len(at), CHUNK):
-                own = at[x : x + CHUNK]
-                i, j = left[own], right[own]
-                hits[own] = _near_rows(table[i], table[j], size[i], size[j])
+        small, grid = size[left] <= 40, np.arange(41)
+        padded = lambda i: np.where(grid < size[i][:, None], raw[np.minimum(at[i][:, None] + grid, len(raw) - 1)], 0)
+        chosen = np.flatnonzero(small)
+        for x in range(0, len(chosen), CHUNK):
+            own = chosen[x : x + CHUNK]
+            i, j = left[own], right[own]
+            hits[own] = _near_rows(padded(i), padded(j), size[i], size[j])
         for k in np.flatnonzero(~small).tolist():
-            hits[k] = near(words[left[k]], words[right[k]])
+            hits[k] = near(words[int(left[k])].as_py(), words[int(right[k])].as_py())
         left, right = left[hits], right[hits]
         if not len(left):
             return
-        names, n = pa.array(words, pa.binary()), np.asarray(counts, np.int64)
-        a, b = names.take(pa.array(left)), names.take(pa.array(right))
+        a, b = words.take(pa.array(left)), words.take(pa.array(right))
         turned = (size[left] == size[right]) & np.asarray(pc.greater(a, b))
         left, right = np.where(turned, right, left), np.where(turned, left, right)
-        yield pa.RecordBatch.from_arrays([names.take(pa.array(left)), names.take(pa.array(right)), pa.array(n[left]), pa.array(n[right])], names=["a", "b", "an", "bn"])
+        yield pa.RecordBatch.from_arrays([words.take(pa.array(left)), words.take(pa.array(right)), pa.array(counts[left]), pa.array(counts[right])], names=["a", "b", "an", "bn"])
 
     def short_lists(key, words, counts):
         """Whole short lists of one batch."""
@@ -315,7 +315,7 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def long_list(words, counts, from_end):
         """Words of a long list that share a spelling with one code point left out."""
         met: dict[bytes, list[int]] = {}
-        for i, w in enumerate(words):
+        for i, w in enumerate(words.to_pylist()):
             for s in _left_out(w):
                 met.setdefault(s, []).append(i)
         left, right = [], []
@@ -328,10 +328,10 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if left:
             yield from found(words, counts, np.concatenate(left), np.concatenate(right), np.bool_(from_end))
 
-    key, words, counts = np.zeros(0, np.int64), [], np.zeros(0, np.int64)
+    key, words, counts = np.zeros(0, np.int64), pa.array([], pa.binary()), np.zeros(0, np.int64)
     for batch in batches:
         key = np.concatenate((key, batch.column("key").to_numpy()))
-        words += batch.column("w").to_pylist()
+        words = pa.concat_arrays([words, batch.column("w")])
         counts = np.concatenate((counts, batch.column("n").to_numpy()))
         last = int(np.searchsorted(key, key[-1])) if len(key) else 0
         if last:
