@@ -13,10 +13,10 @@ them, as deep as its region is dense.  A region cut by a partition boundary is s
 beside the cut.  Candidates whose signatures or sizes speak against the link are dropped at once, then
 those that bitmaps of the sets rule out.
 
-Links are confirmed on full sets: first the best candidates of each class, then those whose ends still
-lie in different components.  What dense regions leave open, classes of one region in different
-components, is settled exactly by the size-aware join on these classes alone, so the window drops no
-link between texts that any order brings together.
+Links are confirmed on full sets: first the best candidates of each class.  What dense regions then leave
+open, classes of one region in different components, is settled exactly by the size-aware join on these
+classes alone, so the window drops no link between texts that any order brings together.  Of the other
+candidates, those whose ends still lie in different components are confirmed.
 """
 
 from __future__ import annotations
@@ -224,23 +224,30 @@ def forest_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDT
         return checkpoint(components(edges).select(F.col("node").alias("cid"), F.col("component").alias("label")))
 
     near = placed(links)
-    side = lambda x: near.select(F.col("cid").alias(x), F.col("label").alias(f"{x}label"))
-    across = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left") \
-        .filter(F.coalesce("alabel", "a") != F.coalesce("blabel", "b")).select("a", "b").join(early, ["a", "b"], "left_anti")
-    across = checkpoint(across)
-    if across.head(1):
-        links = links.unionByName(_confirmed(across, classes, docs, percent, width))
-        near = placed(links)
-
     named = dense.join(near, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     undecided = named.groupBy("region").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("region")
     undecided = checkpoint(dense.join(undecided, "region", "left_semi").select("cid").distinct())
+    side = lambda x: near.select(F.col("cid").alias(x), F.col("label").alias(f"{x}label"))
+    across = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left") \
+        .filter(F.coalesce("alabel", "a") != F.coalesce("blabel", "b")).select("a", "b").join(early, ["a", "b"], "left_anti")
+    more = []
     if undecided.head(1):
+        # Pairs of two such classes are left to the exact join.
+        open_end = lambda x: undecided.select(F.col("cid").alias(x), F.lit(True).alias(f"{x}open"))
+        across = across.join(open_end("a"), "a", "left").join(open_end("b"), "b", "left").filter("aopen IS NULL OR bopen IS NULL").select("a", "b")
         wanted = undecided.join(classes, "cid").select("doc_id", "cid")
         texts = docs.join(wanted, "doc_id").select("cid", "text").mapInArrow(tidy(lambda x: _same_class(x, width)), "doc_id bigint, text string")
         settled = ngram_components(checkpoint(texts), percent, width)
-        links = links.unionByName(settled.filter("doc_id <> component_id").select(F.col("component_id").alias("a"), F.col("doc_id").alias("b")).distinct())
-        near = placed(links)
+        more.append(settled.filter("doc_id <> component_id").select(F.col("component_id").alias("a"), F.col("doc_id").alias("b")).distinct())
+    across = checkpoint(across)
+    if across.head(1):
+        more.append(_confirmed(across, classes, docs, percent, width))
+    if more:
+        # What is linked already enters as one edge a class.
+        every = near.filter("cid <> label").select(F.col("label").alias("a"), F.col("cid").alias("b"))
+        for links in more:
+            every = every.unionByName(links)
+        near = placed(every)
 
     groups = checkpoint(classes.select("cid", "doc_id").join(near, "cid", "left").withColumn("label", F.coalesce("label", "cid")))
     least = groups.groupBy("label").agg(F.min("doc_id").alias("component_id"))
