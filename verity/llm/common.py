@@ -37,6 +37,15 @@ def unused(columns: list[str], name: str) -> str:
     return name
 
 
+def few_tasks(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """``df``, a checkpoint or a table, in no more tasks than its rows fill at ``rows`` a task.
+
+    Each shuffle writes files for every task of its input, so small results in many partitions
+    cost more disk and time than their rows.  More rows, more tasks: nothing large is put together.
+    """
+    return df.coalesce(df.count() // rows + 1)
+
+
 def _return_memory() -> None:
     """Give what Arrow and the C library hold free back to the system, where they can."""
     pa.default_memory_pool().release_unused()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from verity.llm.common import shingle_sets, tidy
+from verity.llm.common import few_tasks, shingle_sets, tidy
 from verity.llm.graph import components
 from verity.llm.ngram_join import _close, _linked, _sets_of, bitmap, class_id, ngram_components
 from verity.session import checkpoint, ship_package
@@ -43,6 +43,8 @@ VALUES, ORDERS, DEPTH = 100, 20, 4
 AGREE = 66
 WINDOW, BEST = 64, 4
 FIRST_LINKS = 4
+#: Classes (with signature and bitmap) that a task takes at most, where few tasks suffice.
+CLASSES_A_TASK = 8_192
 
 _FOUND = "kind int, a bigint, b bigint, agree int, key binary, n bigint"
 _NAMES = ["kind", "a", "b", "agree", "key", "n"]
@@ -179,25 +181,26 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: i
     the symmetric difference from below, are compared first."""
     side = lambda x: classes.select(F.col("cid").alias(x), F.col("n").alias(f"{x}n"), F.col("doc_id").alias(f"{x}doc"), F.col("bits").alias(f"{x}bits"))
     known = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    known = checkpoint(known.mapInArrow(tidy(lambda x: _close(x, percent)), "a bigint, b bigint, adoc bigint, bdoc bigint"))
+    known = few_tasks(checkpoint(known.mapInArrow(tidy(lambda x: _close(x, percent)), "a bigint, b bigint, adoc bigint, bdoc bigint")))
     ids = known.select(F.col("adoc").alias("doc_id")).unionByName(known.select(F.col("bdoc").alias("doc_id")))
     sets = _sets_of(docs, ids, width).dropDuplicates(["cid"])
     rows = known.select("a", "b").join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("at")), "a") \
         .join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("bt")), "b").select("a", "b", "at", "bt")
-    return checkpoint(rows.mapInArrow(tidy(lambda x: _linked(x, percent)), "a bigint, b bigint"))
+    return few_tasks(checkpoint(rows.mapInArrow(tidy(lambda x: _linked(x, percent)), "a bigint, b bigint")))
 
 
 def forest_candidates(classes: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """Of classes (cid, n, sig): the candidate pairs (a, b, agree), and (cid, region) of the classes of dense regions."""
     rows = classes.select("cid", "n", "sig").mapInArrow(tidy(_orders), "key binary, cid bigint, n bigint")
     ranged = rows.repartitionByRange("key").sortWithinPartitions("key")
-    found = checkpoint(ranged.mapInArrow(tidy(lambda x: _neighbours(x, percent, True)), _FOUND))
+    found = few_tasks(checkpoint(ranged.mapInArrow(tidy(lambda x: _neighbours(x, percent, True)), _FOUND)))
     beside = found.filter("kind = 2").select("key", F.col("a").alias("cid"), "n", F.col("b").alias("region")).distinct()
     cuts = beside.repartition("region").sortWithinPartitions("key").select("key", "cid", "n")
     stitched = cuts.mapInArrow(tidy(lambda x: _neighbours(x, percent, False)), _FOUND)
     every = found.filter("kind < 2").unionByName(stitched)
     pairs = every.filter("kind = 0 AND a <> b").groupBy("a", "b").agg(F.max("agree").alias("agree"))
-    return checkpoint(pairs), checkpoint(every.filter("kind = 1").select(F.col("a").alias("cid"), F.col("b").alias("region")).distinct())
+    dense = every.filter("kind = 1").select(F.col("a").alias("cid"), F.col("b").alias("region")).distinct()
+    return few_tasks(checkpoint(pairs)), few_tasks(checkpoint(dense))
 
 
 def forest_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
@@ -211,22 +214,23 @@ def forest_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDT
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"))
     members = checkpoint(docs.mapInArrow(tidy(lambda x: _members(x, width)), "doc_id bigint, n bigint, cid bigint, sig binary, bits binary"))
     known = members.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = checkpoint(known.groupBy("cid", "n").agg(F.min(F.struct("doc_id", "sig", "bits")).alias("first")).select("cid", "n", "first.*"))
+    classes = known.groupBy("cid", "n").agg(F.min(F.struct("doc_id", "sig", "bits")).alias("first")).select("cid", "n", "first.*")
+    classes = few_tasks(checkpoint(classes), CLASSES_A_TASK)
     pairs, dense = forest_candidates(classes, percent)
 
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
     best = Window.partitionBy("a").orderBy(F.desc("agree"), "b")
     early = both.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= FIRST_LINKS)
-    early = checkpoint(early.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    early = few_tasks(checkpoint(early.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
     links = _confirmed(early, classes, docs, percent, width)
 
     def placed(edges):
-        return checkpoint(components(edges).select(F.col("node").alias("cid"), F.col("component").alias("label")))
+        return few_tasks(checkpoint(components(edges).select(F.col("node").alias("cid"), F.col("component").alias("label"))))
 
     near = placed(links)
     named = dense.join(near, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     undecided = named.groupBy("region").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("region")
-    undecided = checkpoint(dense.join(undecided, "region", "left_semi").select("cid").distinct())
+    undecided = few_tasks(checkpoint(dense.join(undecided, "region", "left_semi").select("cid").distinct()))
     side = lambda x: near.select(F.col("cid").alias(x), F.col("label").alias(f"{x}label"))
     across = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left") \
         .filter(F.coalesce("alabel", "a") != F.coalesce("blabel", "b")).select("a", "b").join(early, ["a", "b"], "left_anti")
@@ -237,9 +241,9 @@ def forest_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDT
         across = across.join(open_end("a"), "a", "left").join(open_end("b"), "b", "left").filter("aopen IS NULL OR bopen IS NULL").select("a", "b")
         wanted = undecided.join(classes, "cid").select("doc_id", "cid")
         texts = docs.join(wanted, "doc_id").select("cid", "text").mapInArrow(tidy(lambda x: _same_class(x, width)), "doc_id bigint, text string")
-        settled = ngram_components(checkpoint(texts), percent, width)
+        settled = ngram_components(few_tasks(checkpoint(texts), CLASSES_A_TASK), percent, width)
         more.append(settled.filter("doc_id <> component_id").select(F.col("component_id").alias("a"), F.col("doc_id").alias("b")).distinct())
-    across = checkpoint(across)
+    across = few_tasks(checkpoint(across))
     if across.head(1):
         more.append(_confirmed(across, classes, docs, percent, width))
     if more:
@@ -249,7 +253,7 @@ def forest_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDT
             every = every.unionByName(links)
         near = placed(every)
 
-    groups = checkpoint(classes.select("cid", "doc_id").join(near, "cid", "left").withColumn("label", F.coalesce("label", "cid")))
+    groups = few_tasks(checkpoint(classes.select("cid", "doc_id").join(near, "cid", "left").withColumn("label", F.coalesce("label", "cid"))))
     least = groups.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("component_id")), F.col("doc_id")))
     out = members.join(groups.join(least, "label").select("cid", "component_id"), "cid", "left")

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from verity.llm.common import mix, shingle_sets, tidy, unused
+from verity.llm.common import few_tasks, mix, shingle_sets, tidy, unused
 from verity.llm.graph import components
 from verity.session import checkpoint
 
@@ -55,6 +55,8 @@ FLUSH = 300_000
 #: Bits of the Bloom filter over the ids of texts to check, by their count; at most 8 MB.
 BLOOM_BITS = (20, 26)
 BLOOM_BLOCK = 1 << 16
+#: Ids that a task puts into its share of the filter at most, where few tasks suffice.
+IDS_A_TASK = 1 << 17
 
 _POSTINGS = "kind int, bucket int, blob binary"
 _LISTS = "kind int, token bigint, a bigint, an int, apos int, b bigint, bn int"
@@ -354,8 +356,10 @@ def _bloom_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """(cid, tokens) of the documents with these ids, and of a few more."""
     ids = checkpoint(ids.select("doc_id").distinct())
+    count = ids.count()
+    ids = ids.coalesce(count // IDS_A_TASK + 1)
     low, high = BLOOM_BITS
-    bits = min(max(low, (16 * ids.count()).bit_length()), high)
+    bits = min(max(low, (16 * count).bit_length()), high)
     kind = "block int, bits binary"
     field = np.zeros((1 << bits) // 8, np.uint8)
     for r in ids.mapInArrow(tidy(lambda x: _bloom_blocks(x, bits)), kind).repartition("block").mapInArrow(tidy(_bloom_joined), kind).collect():
@@ -398,14 +402,14 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: in
     """The pairs (a, b) of classes that link."""
     side = lambda x: classes.select(F.col("cid").alias(x), F.col("n").alias(f"{x}n"), F.col("doc_id").alias(f"{x}doc"), F.col("bits").alias(f"{x}bits"))
     known = pairs.join(side("a"), "a").join(side("b"), "b")
-    close = checkpoint(known.mapInArrow(tidy(lambda x: _close(x, percent)), "a bigint, b bigint, adoc bigint, bdoc bigint"))
+    close = few_tasks(checkpoint(known.mapInArrow(tidy(lambda x: _close(x, percent)), "a bigint, b bigint, adoc bigint, bdoc bigint")))
     sets = _sets_of(docs, close.select(F.col("adoc").alias("doc_id")).unionByName(close.select(F.col("bdoc").alias("doc_id"))), width)
     rows = (
         close.select("a", "b").join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("at")), "a")
         .join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("bt")), "b")
         .select("a", "b", "at", "bt")
     )
-    return checkpoint(rows.mapInArrow(tidy(lambda x: _linked(x, percent)), "a bigint, b bigint"))
+    return few_tasks(checkpoint(rows.mapInArrow(tidy(lambda x: _linked(x, percent)), "a bigint, b bigint")))
 
 
 def _boundary(counted: DataFrame, classes: DataFrame, percent: int) -> int:
@@ -460,7 +464,7 @@ def _classes_and_labels(docs: DataFrame, percent: int, width: int) -> tuple[Data
         .select("a", "b")
     )
     links = _verified(short.filter("first = 0").select("a", "b").unionByName(star).distinct(), classes, docs, percent, width)
-    near = checkpoint(components(links))
+    near = few_tasks(checkpoint(components(links)))
 
     # Whatever lies in different components, through short lists and long ones.
     left = near.select(F.col("node").alias("a"), F.col("component").alias("ca"))
@@ -473,6 +477,7 @@ def _classes_and_labels(docs: DataFrame, percent: int, width: int) -> tuple[Data
     per_token = placed.groupBy("token", "c").agg(F.count(F.lit(1)).alias("m"))
     largest = per_token.groupBy("token").agg(F.max(F.struct("m", "c")).alias("top"), F.count(F.lit(1)).alias("groups")).filter("groups > 1")
     placed = checkpoint(placed.join(largest, "token").withColumn("other", F.col("c") != F.col("top.c")).drop("top", "groups", "ca"))
+    placed = few_tasks(placed)
     others = placed.filter("other").select("token", "a", "an", "apos", F.col("c").alias("ca"))
     every = placed.select("token", F.col("a").alias("b"), F.col("an").alias("bn"), F.col("apos").alias("bpos"), F.col("c").alias("cb"), "other")
     across = (
