@@ -15,8 +15,8 @@ those that bitmaps of the sets rule out.
 
 Links are confirmed on full sets: first the best candidates of each class.  What dense regions then leave
 open, classes of one region in different components, is settled exactly by the size-aware join on these
-classes alone, so the window drops no link between texts that any order brings together.  Of the other
-candidates, those whose ends still lie in different components are confirmed.
+classes alone, so the window drops no link between texts that any order brings together.  Of the
+candidates met outside of dense regions, those whose ends still lie in different components are confirmed.
 """
 
 from __future__ import annotations
@@ -102,8 +102,8 @@ def _regions(key: np.ndarray) -> np.ndarray:
 
 
 def _neighbours(batches: Iterator[pa.RecordBatch], percent: int, edges: bool) -> Iterator[pa.RecordBatch]:
-    """Of rows in sorted order.  Kind 0: a pair of classes with the number of values that agree; 1: a class
-    ``a`` of a dense region ``b``; 2 (if ``edges``): a row beside the partition's ends, where its region may go on."""
+    """Of rows in sorted order.  Kind 0: a pair of classes with the number of values that agree, ``n`` 1 if its
+    region is dense by now; 1: a class ``a`` of a dense region ``b``; 2 (if ``edges``): a row beside the partition's ends, where its region may go on."""
     key, cid, n = np.zeros((0, VALUES + 1), np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
     region, place = np.zeros(0, np.int64), np.zeros(0, np.int64)
     opening = None
@@ -148,14 +148,14 @@ def _neighbours(batches: Iterator[pa.RecordBatch], percent: int, edges: bool) ->
             part = agree[rows]
             least = np.sort(part, axis=1)[:, -BEST][:, None]
             agree[rows] = np.where((part >= least) & (np.cumsum(part == least, axis=1) * (part == least) <= BEST), part, -1)
+        last = np.append(np.flatnonzero(begin)[1:], len(cid)) - 1
+        crowded = np.repeat(place[last] > WINDOW + 1, np.diff(np.append(-1, last)))
         i, k = np.nonzero(agree >= 0)
         if len(i):
             x, y = cid[i + old], cid[i + old - k - 1]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.zeros(len(i), np.int32)), pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(agree[i, k].astype(np.int32)),
-                 pa.nulls(len(i), pa.binary()), pa.nulls(len(i), pa.int64())], names=_NAMES)
-        last = np.append(np.flatnonzero(begin)[1:], len(cid)) - 1
-        crowded = np.repeat(place[last] > WINDOW + 1, np.diff(np.append(-1, last)))
+                 pa.nulls(len(i), pa.binary()), pa.array(crowded[i + old].astype(np.int64))], names=_NAMES)
         if crowded.any():
             at = np.flatnonzero(crowded)
             yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(at), np.int32)), pa.array(cid[at]), pa.array(region[at]), pa.nulls(len(at), pa.int32()),
@@ -190,7 +190,8 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: i
 
 
 def forest_candidates(classes: DataFrame, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
-    """Of classes (cid, n, sig): the candidate pairs (a, b, agree), and (cid, region) of the classes of dense regions."""
+    """Of classes (cid, n, sig): the candidate pairs (a, b, agree, apart), and (cid, region) of the classes of dense
+    regions.  ``apart``: the pair was met outside of dense regions, so no region settles it."""
     rows = classes.select("cid", "n", "sig").mapInArrow(tidy(_orders), "key binary, cid bigint, n bigint")
     ranged = rows.repartitionByRange("key").sortWithinPartitions("key")
     found = few_tasks(checkpoint(ranged.mapInArrow(tidy(lambda x: _neighbours(x, percent, True)), _FOUND)))
@@ -198,7 +199,7 @@ def forest_candidates(classes: DataFrame, percent: int = PERCENT) -> tuple[DataF
     cuts = beside.repartition("region").sortWithinPartitions("key").select("key", "cid", "n")
     stitched = cuts.mapInArrow(tidy(lambda x: _neighbours(x, percent, False)), _FOUND)
     every = found.filter("kind < 2").unionByName(stitched)
-    pairs = every.filter("kind = 0 AND a <> b").groupBy("a", "b").agg(F.max("agree").alias("agree"))
+    pairs = every.filter("kind = 0 AND a <> b").groupBy("a", "b").agg(F.max("agree").alias("agree"), (F.min("n") == 0).alias("apart"))
     dense = every.filter("kind = 1").select(F.col("a").alias("cid"), F.col("b").alias("region")).distinct()
     return few_tasks(checkpoint(pairs)), few_tasks(checkpoint(dense))
 
@@ -218,7 +219,7 @@ def forest_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDT
     classes = few_tasks(checkpoint(classes), CLASSES_A_TASK)
     pairs, dense = forest_candidates(classes, percent)
 
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
+    both = pairs.select("a", "b", "agree").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
     best = Window.partitionBy("a").orderBy(F.desc("agree"), "b")
     early = both.withColumn("k", F.row_number().over(best)).filter(F.col("k") <= FIRST_LINKS)
     early = few_tasks(checkpoint(early.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
@@ -232,7 +233,7 @@ def forest_components(docs: DataFrame, percent: int = PERCENT, width: int = WIDT
     undecided = named.groupBy("region").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("region")
     undecided = few_tasks(checkpoint(dense.join(undecided, "region", "left_semi").select("cid").distinct()))
     side = lambda x: near.select(F.col("cid").alias(x), F.col("label").alias(f"{x}label"))
-    across = pairs.join(side("a"), "a", "left").join(side("b"), "b", "left") \
+    across = pairs.filter("apart").join(side("a"), "a", "left").join(side("b"), "b", "left") \
         .filter(F.coalesce("alabel", "a") != F.coalesce("blabel", "b")).select("a", "b").join(early, ["a", "b"], "left_anti")
     more = []
     if undecided.head(1):
