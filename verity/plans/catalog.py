@@ -526,6 +526,7 @@ def q_validated_union(spark: SparkSession, root: str) -> DataFrame:
 # --- 2.7 A1-A4 upserts and metrics ------------------------------------------------
 
 from verity.operators import analytics as an  # noqa: E402
+from verity.operators import retry  # noqa: E402
 from verity.operators import store as st  # noqa: E402
 
 MERGE_SPLIT = "2024-01-16 00:00:00"
@@ -698,6 +699,26 @@ def q_error_backoff(spark: SparkSession, root: str) -> DataFrame:
     return e.select("message_id", "question_id", "error_type", "error_detail", "attempts", "delay_s", "retry_at")
 
 
+@register("retry_states", with_views("v_errors", "v_questions") + """,
+e AS (SELECT question_id AS message_id, max(attempts) AS n FROM v_errors GROUP BY question_id),
+l AS (SELECT e.message_id, e.n, make_timestamp(((epoch_us(v.ts) + CAST(pow(2, e.n - 1) * 1000000 AS BIGINT)) // 1000000) * 1000000) AS due
+      FROM e JOIN v_errors v ON v.question_id = e.message_id AND v.attempts = e.n),
+t AS (SELECT max(ts) AS at FROM v_errors)
+SELECT l.message_id,
+       CASE WHEN l.n >= 12 THEN 'exhausted' WHEN q.question_id IS NULL THEN 'no request'
+            WHEN l.due <= t.at - INTERVAL 1 DAY THEN 'due' ELSE 'waiting' END AS state,
+       l.n AS failed_attempts, l.n + 1 AS attempts, strftime(l.due, '%Y-%m-%dT%H:%M:%SZ') AS retry_at, q.title
+FROM l CROSS JOIN t LEFT JOIN (SELECT DISTINCT question_id, title FROM v_questions) q ON q.question_id = l.message_id""")
+def q_retry_states(spark: SparkSession, root: str) -> DataFrame:
+    """Failed messages a day before the last error: due, waiting, exhausted after twelve attempts, or unknown."""
+    e = an.error_backoff(fx.v_errors(spark, root), jitter=0.0).withColumn("message_id", F.col("question_id"))
+    asked = fx.v_questions(spark, root).select(F.col("question_id").alias("message_id"), "title", F.lit(1).alias("attempts"))
+    last = e.agg(F.max(F.unix_micros("ts")).alias("us")).first()["us"] or 0
+    at = F.timestamp_micros(F.lit(last)) - F.expr("INTERVAL 1 DAY")
+    states = retry.retry_states(e, asked, at, max_attempts=12)
+    return states.select("message_id", "state", "failed_attempts", "attempts", "retry_at", "title")
+
+
 @register("sample_questions", with_views("v_questions") + """,
 p AS (SELECT message_id, question_id, row_number() OVER (ORDER BY question_id) AS pos FROM v_questions),
 t AS (SELECT count(*) AS n FROM p),
