@@ -102,9 +102,9 @@ def test_stream_sends_again_when_due(spark, tmp_path):
 
     run(lambda: "past" in seen and len(_lines(f"{err}_quarantine")) == 1, 60)
     # After a restart the timer still stands; the error sent twice more is known.
-    _put(err, "b.json", [error("past", 1, iso(-5))])
+    _put(err, "b.json", [error("past", 1, iso(-5)), {"message_id": "broken"}])
     run(lambda: "soon" in seen, 60)
     sent = {(r["message_id"], r["attempts"], r["prompt"]) for r in _lines(out)}
     assert sent == {("past", 2, "P"), ("soon", 2, "P")} and len(_lines(out)) == 2
     assert seen["soon"] >= dt.datetime.fromisoformat(soon).timestamp()
-    assert sorted((json.loads(r["value"])["message_id"], r["reason"]) for r in _lines(f"{err}_quarantine")) == [("spent", "exhausted")]
+    assert sorted((json.loads(r["value"])["message_id"], r["reason"]) for r in _lines(f"{err}_quarantine")) == [("broken", "missing trace_id"), ("spent", "exhausted")]

@@ -106,7 +106,7 @@ def start_retries(spark: SparkSession, requests: str, errors: str, checkpoint: s
                   kafka_servers: str | None = None, kafka_options: Mapping[str, str] | None = None):
     """Start the consumer of error records; ``again`` (default: ``requests``) takes the requests to send again.
 
-    Records that do not decode are left to the worker's and the errors' own readers.  The default trigger keeps the
+    Errors that do not decode go to the quarantine; requests that do not are left to the worker's.  The default trigger keeps the
     query running: timers need triggers to come."""
     topics = {"requests": again or requests, QUARANTINE: quarantine or f"{errors.rstrip('/')}_quarantine"}
     sinks = BatchSinks(topics, checkpoint, fmt, kafka_servers, kafka_options)
@@ -115,7 +115,10 @@ def start_retries(spark: SparkSession, requests: str, errors: str, checkpoint: s
         make_folder(spark, errors)
     raw = read_topics(spark, [requests, errors], fmt, [requests, errors], max_per_trigger=max_per_trigger,
                       kafka_servers=kafka_servers, kafka_options=kafka_options)
-    side = lambda topic, kind: decode(raw.filter(F.col("topic") == topic), kind, keep=("key", "value")).filter("valid")
+    asked = decode(raw.filter(F.col("topic") == requests), "llm_request", keep=("key", "value")).filter("valid")
+    failed = decode(raw.filter(F.col("topic") == errors), "error", keep=("key", "value"))
+    broken = failed.filter(~F.col("valid")).select("key", "value", F.col("reason").alias("outcome"), F.lit(0).alias("attempts"))
+    outcomes = retry_stream(asked, failed.filter("valid"), hold_seconds, max_attempts).unionByName(broken)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         if sinks.done(spark, batch_id):
@@ -133,5 +136,4 @@ def start_retries(spark: SparkSession, requests: str, errors: str, checkpoint: s
         finally:
             batch.unpersist()
 
-    return start(retry_stream(side(requests, "llm_request"), side(errors, "error"), hold_seconds, max_attempts), sink,
-                 checkpoint, available_now)
+    return start(outcomes, sink, checkpoint, available_now)
