@@ -24,6 +24,10 @@ SWEEP_THRESHOLDS = (0.3, 0.4, 0.5, 0.6, 0.65, 0.7, 0.8, 0.9)
 BACKOFF_BASE_SECONDS = 1.0
 BACKOFF_JITTER_SECONDS = 0.5
 THROUGHPUT_WINDOW = "1 hour"
+#: Size of a quantile sketch: the rank of a quantile it gives is off by less than SKETCH_ERROR of the rows (a normalised
+#: rank error of 2.3 / k^0.97 = 0.27 % holds for 99 %; SKETCH_ERROR allows for three times that).
+SKETCH_K = 1024
+SKETCH_ERROR = 0.01
 #: About 3,000 years; times end with the year 9999.
 LONGEST_DELAY_SECONDS = 1e11
 
@@ -105,6 +109,30 @@ def latency_summary(latency: DataFrame, col: str = "latency_ms") -> DataFrame:
         .select("n", "mean_ms", "max_ms", F.col("q0").alias("p50_ms"), F.col("q1").alias("p95_ms"))
 
 
+def sketch_windows(rows: DataFrame, value: str, ts: str, size: str = THROUGHPUT_WINDOW, k: int = SKETCH_K) -> DataFrame:
+    """(w, n, lo, hi, sketch) per tumbling window of ``ts``: a mergeable KLL sketch of the values.
+
+    Sketches are built map-side and merge in the shuffle, so a window costs one of a few kB per task; their size does not
+    depend on its rows.  NULL and NaN values, and rows without a time, take no part.  Add ``withWatermark`` upstream when
+    streaming: a window's state is then its sketch."""
+    x = F.col(value).cast("double")
+    used = rows.select(F.col(ts).alias("_t"), x.alias("_x")).filter(F.col("_x").isNotNull() & ~F.isnan("_x") & F.col("_t").isNotNull())
+    return used.groupBy(F.window("_t", size).alias("w")).agg(
+        F.count("_x").alias("n"), F.min("_x").alias("lo"), F.max("_x").alias("hi"), F.kll_sketch_agg_double("_x", F.lit(k)).alias("sketch"))
+
+
+def merge_sketches(windows: DataFrame, size: str, k: int = SKETCH_K) -> DataFrame:
+    """The same for longer windows, out of ``sketch_windows`` rows alone (``size`` a multiple of theirs)."""
+    return windows.groupBy(F.window(F.col("w.start"), size).alias("w")).agg(
+        F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"))
+
+
+def sketch_quantiles(windows: DataFrame, probs: Sequence[float] = (0.5, 0.95)) -> DataFrame:
+    """window_start, n, lo, hi and q0, q1, ...: values whose rank is within ``SKETCH_ERROR`` of the wanted one."""
+    return windows.select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n", "lo", "hi",
+                          *[F.kll_sketch_get_quantile_double("sketch", F.lit(float(p))).alias(f"q{i}") for i, p in enumerate(probs)])
+
+
 def throughput_windows(log: DataFrame, ts: str = "timestamp", size: str = THROUGHPUT_WINDOW) -> DataFrame:
     """Messages per tumbling window (add ``withWatermark`` upstream when streaming)."""
     w = F.window(F.col(ts).cast("timestamp"), size)

@@ -657,6 +657,27 @@ def q_latency_summary(spark: SparkSession, root: str) -> DataFrame:
     return s.select("n", "max_ms", *[F.round(c, 6).alias(c) for c in ("mean_ms", "p50_ms", "p95_ms")])
 
 
+@register("latency_sketches", with_views("v_log") + """
+SELECT strftime(time_bucket(INTERVAL '1 day', "timestamp"), '%Y-%m-%d %H:%M:%S') AS window_start, count(latency) AS n,
+       min(latency) AS lo, max(latency) AS hi, true AS p50_within, true AS p95_within
+FROM v_log WHERE latency IS NOT NULL GROUP BY 1""")
+def q_latency_sketches(spark: SparkSession, root: str) -> DataFrame:
+    """Sketches per hour merged to days; whether the exact rank of each quantile is within the stated error."""
+    log = fx.v_log(spark, root).select("timestamp", F.col("latency").cast("double").alias("latency"))
+    day = an.sketch_quantiles(an.merge_sketches(an.sketch_windows(log, "latency", "timestamp", "1 hour"), "1 day"), (0.5, 0.95))
+    rows = log.select(F.date_format(F.window("timestamp", "1 day").start, "yyyy-MM-dd HH:mm:ss").alias("window_start"), "latency")
+    below = [f(F.when(c, 1).otherwise(0)).alias(name) for f, c, name in (
+        (F.sum, F.col("latency") < F.col("q0"), "b0"), (F.sum, F.col("latency") <= F.col("q0"), "t0"),
+        (F.sum, F.col("latency") < F.col("q1"), "b1"), (F.sum, F.col("latency") <= F.col("q1"), "t1"))]
+    ranked = rows.filter("latency IS NOT NULL").join(day, "window_start").groupBy("window_start", "n", "lo", "hi").agg(*below)
+
+    def within(i: int, p: float):
+        slack = F.lit(an.SKETCH_ERROR) * F.col("n") + 1
+        return (F.col(f"b{i}") <= F.lit(p) * F.col("n") + slack) & (F.col(f"t{i}") >= F.lit(p) * F.col("n") - slack)
+
+    return ranked.select("window_start", "n", "lo", "hi", within(0, 0.5).alias("p50_within"), within(1, 0.95).alias("p95_within"))
+
+
 @register("throughput_windows", with_views("v_log") + """
 SELECT strftime(time_bucket(INTERVAL '1 hour', "timestamp"), '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(time_bucket(INTERVAL '1 hour', "timestamp") + INTERVAL '1 hour', '%Y-%m-%d %H:%M:%S') AS window_end,
