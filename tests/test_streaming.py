@@ -208,6 +208,43 @@ def test_replayed_batch_is_consumed_and_not_emitted_twice(spark, tmp_path):
     assert len(_lines(v) + _lines(r)) == 2 * len(records)
 
 
+def test_records_delivered_again_count_once(spark, tmp_path):
+    """A producer's replay emits the records of a batch again, with other times and in another order."""
+    def record(i, attempts, at):
+        return {"message_id": f"m{i}", "trace_id": f"t{i}", "question_id": f"q{i % 3}", "title": "t", "content": "c", "llm_answer": "a",
+                "best_answer": "b", "score": 0.5, "accepted": True, "source": "llm", "attempts": attempts,
+                "decided_at": (T0 + dt.timedelta(seconds=at)).strftime("%Y-%m-%dT%H:%M:%S.%fZ")}
+
+    first = [record(i, 1, i) for i in range(9)]
+    again = [record(i, 1, 100 + i) for i in reversed(range(4, 9))] + [record(2, 2, 120)]
+    src, root, ck = str(tmp_path / "validated"), str(tmp_path / "results"), str(tmp_path / "ck")
+    broken = [{"message_id": "m90"}, {"trace_id": "lost"}]
+    _write_files(src, first + broken, 1)
+    _run(start_storage(spark, src, root, str(tmp_path / "m"), ck, once_within="1 hour"))
+    _write_files(src, again + broken, 1, start_index=1)
+    _run(start_storage(spark, src, root, str(tmp_path / "m"), ck, once_within="1 hour"))  # state outlives the restart
+    assert current_metrics(spark, str(tmp_path / "m")).first()["procesadas"] == 10       # the second attempt is a record of its own
+    assert current_results(spark, root).agg(F.sum("contador_consultas")).first()[0] == 10
+    assert len(_lines(f"{root}_quarantine")) == 2
+    # Without it all that is delivered counts.
+    _run(start_storage(spark, src, str(tmp_path / "r2"), str(tmp_path / "m2"), str(tmp_path / "ck2")))
+    assert current_metrics(spark, str(tmp_path / "m2")).first()["procesadas"] == 15
+
+
+def test_scorer_scores_a_response_delivered_again_once(spark, tmp_path):
+    at = lambda i: (T0 + dt.timedelta(seconds=i)).strftime("%Y-%m-%dT%H:%M:%S.%fZ")
+    response = lambda k, n, sec: {"message_id": f"m{k}", "trace_id": "t", "question_id": "q", "llm_answer": "nothing alike",
+                                  "best_answer": "alpha beta", "attempts": n, "produced_at": at(sec)}
+    src, v, r, ck = (str(tmp_path / x) for x in ("responses", "validated", "regen", "ck"))
+    _write_files(src, [response(k, 0, k) for k in range(4)], 1)
+    _run(start_scorer(spark, src, v, r, ck, once_within="1 hour"))
+    _write_files(src, [response(k, 0, 50 + k) for k in range(4)] + [response(0, 1, 60)], 1, start_index=1)
+    _run(start_scorer(spark, src, v, r, ck, once_within="1 hour"))
+    # Four first attempts and one second: no replay has used up an attempt.
+    assert sorted((x["message_id"], x["attempts"]) for x in _lines(r)) == [("m0", 1), ("m0", 2), ("m1", 1), ("m2", 1), ("m3", 1)]
+    assert _lines(v) == []
+
+
 def test_the_whole_cycle_equals_the_batch(spark, tmp_path):
     """questions -> route -> answer -> score -> regenerate -> ... -> results, all as streams."""
     at = lambda i: (T0 + dt.timedelta(seconds=i)).strftime("%Y-%m-%dT%H:%M:%S.%fZ")

@@ -70,6 +70,23 @@ def read_topics(spark: SparkSession, topics: Sequence[str], fmt: str = "files",
     return out
 
 
+def delivered_once(raw: DataFrame, within: str | None, fields: Sequence[str] = ("message_id", "attempts")) -> DataFrame:
+    """``raw`` without messages delivered again within ``within`` (an interval; None: ``raw`` as it is).
+
+    A producer that repeats a micro-batch after a failure (a Kafka sink) emits its records again, with other times and
+    maybe in another order.  Two messages of one topic are the same when they agree in ``fields``; one without the
+    first of these is told by its whole text.  State holds an identity for that long after it came.  The clock is that of
+    arrival, so no message is ever late, and none is dropped but for repeats.  Give it to consumers of topics whose
+    messages carry their attempt: a message that is sent again on purpose with the same attempt goes, too."""
+    if within is None:
+        return raw
+    parts = [F.get_json_object("value", f"$.{f}") for f in fields]
+    same = F.when(parts[0].isNotNull(), F.to_json(F.array(F.lit("m"), *[F.coalesce(p, F.lit("")) for p in parts]))) \
+        .otherwise(F.concat(F.lit("x"), F.sha2(F.coalesce("value", F.lit("")), 256)))
+    named = raw.withColumn("_same", same).withColumn("_came", F.current_timestamp())
+    return named.withWatermark("_came", within).dropDuplicatesWithinWatermark(["topic", "_same"]).drop("_same", "_came")
+
+
 def read_topic_batch(spark: SparkSession, topic: str, path: str | None = None) -> DataFrame:
     """The whole content of a file topic as a batch DataFrame (same shape)."""
     raw = spark.read.format("text").load(path or topic)

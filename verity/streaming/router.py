@@ -26,7 +26,7 @@ from verity.operators import decide, reuse
 from verity.operators.analytics import error_backoff
 from verity.session import checkpoints_removed
 from verity.sources import snapshots as snap
-from verity.sources.streams import read_topic, read_topics
+from verity.sources.streams import delivered_once, read_topic, read_topics
 from verity.streaming.sinks import QUARANTINE, BatchSinks, make_folder, start
 from verity.streaming.storage import COMPACT_EVERY, current_results
 
@@ -60,11 +60,12 @@ def start_router(spark: SparkSession, questions: str, regeneration: str, validat
                  results_root: str, cache_root: str, checkpoint: str, quarantine: str | None = None,
                  ttl_seconds: float = reuse.CACHE_TTL_SECONDS, max_per_trigger: int | None = None, fmt: str = "files",
                  available_now: bool = True, decided_at: Column | None = None, kafka_servers: str | None = None,
-                 kafka_options: Mapping[str, str] | None = None):
+                 kafka_options: Mapping[str, str] | None = None, once_within: str | None = None):
     """Start the router: questions and regeneration records -> validated hits / requests / quarantine.
 
     Topics are folders, or Kafka topics with ``fmt="kafka"``; ``results_root`` and ``cache_root`` are folders on
-    shared storage.  ``decided_at`` is the time of the decision unless a column over the question is given."""
+    shared storage.  ``decided_at`` is the time of the decision unless a column over the question is given.
+    ``once_within``: messages delivered again in that time are routed once (``sources.streams.delivered_once``)."""
     topics = {"validated": validated, "requests": requests,
               QUARANTINE: quarantine or f"{requests.rstrip('/')}_quarantine"}
     sinks = BatchSinks(topics, checkpoint, fmt, kafka_servers, kafka_options)
@@ -123,14 +124,14 @@ def start_router(spark: SparkSession, questions: str, regeneration: str, validat
         if not sinks.done(spark, batch_id):
             sinks.write(batch_id, outputs)
 
-    return start(raw, sink, checkpoint, available_now)
+    return start(delivered_once(raw, once_within), sink, checkpoint, available_now)
 
 
 def start_worker(spark: SparkSession, requests: str, responses: str, errors: str, checkpoint: str,
                  generator: decide.Generator = offline_answer, error: Column | None = None, fallback: bool = True,
                  quarantine: str | None = None, max_per_trigger: int | None = None, fmt: str = "files",
                  available_now: bool = True, kafka_servers: str | None = None,
-                 kafka_options: Mapping[str, str] | None = None):
+                 kafka_options: Mapping[str, str] | None = None, once_within: str | None = None):
     """Start the answer worker: requests -> responses / errors / quarantine (``decide.generate_with_fallback``)."""
     topics = {"responses": responses, "errors": errors,
               QUARANTINE: quarantine or f"{responses.rstrip('/')}_quarantine"}
@@ -138,7 +139,7 @@ def start_worker(spark: SparkSession, requests: str, responses: str, errors: str
     if fmt == "files":
         make_folder(spark, requests)
     raw = read_topic(spark, requests, fmt, requests, max_per_trigger, kafka_servers, kafka_options)
-    decoded = decode(raw, "llm_request", keep=("key", "value"), stamp=True)
+    decoded = decode(delivered_once(raw, once_within), "llm_request", keep=("key", "value"), stamp=True)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         if sinks.done(spark, batch_id):

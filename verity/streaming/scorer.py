@@ -33,7 +33,7 @@ from verity.functions.ids import now_iso
 from verity.functions.json import decode
 from verity.operators.decide import MAX_ATTEMPTS, SCORER_SOURCE, regeneration_requests, validated_projection
 from verity.operators.score import STREAM_THRESHOLD, pair_score
-from verity.sources.streams import read_topic
+from verity.sources.streams import delivered_once, read_topic
 from verity.streaming.sinks import QUARANTINE, BatchSinks, consume, start
 
 _STATE = T.StructType([T.StructField("pending", T.IntegerType())])
@@ -146,18 +146,20 @@ def start_scorer(spark: SparkSession, responses: str, validated: str, regenerati
                  quarantine: str | None = None, threshold: float = STREAM_THRESHOLD,
                  max_attempts: int = MAX_ATTEMPTS, max_per_trigger: int | None = None, fmt: str = "files",
                  available_now: bool = True, source: str = SCORER_SOURCE, decided_at: Column | None = None,
-                 kafka_servers: str | None = None, kafka_options: Mapping[str, str] | None = None):
+                 kafka_servers: str | None = None, kafka_options: Mapping[str, str] | None = None,
+                 once_within: str | None = None):
     """Start the scorer: llm_responses -> decode -> score -> counter -> validated / regeneration / quarantine.
 
     ``responses``, ``validated``, ``regeneration`` and ``quarantine`` are folders, or Kafka topics with
     ``fmt="kafka"`` (``kafka_options`` go to the source and the sinks).  Without ``quarantine``, undecodable
     messages go to ``<regeneration>_quarantine``.  ``checkpoint`` must be on shared storage; it holds offsets
     and the keyed state, so a restarted query resumes where it stopped.  ``decided_at`` is the time of the
-    decision unless a column over the response is given (replayable runs).
+    decision unless a column over the response is given (replayable runs).  ``once_within``: responses delivered
+    again in that time are scored once (``sources.streams.delivered_once``).
     """
     topics = {"validated": validated, "regeneration": regeneration,
               QUARANTINE: quarantine or f"{regeneration.rstrip('/')}_quarantine"}
     sinks = BatchSinks(topics, checkpoint, fmt, kafka_servers, kafka_options)
     raw = read_topic(spark, responses, fmt, responses, max_per_trigger, kafka_servers, kafka_options)
-    return start(decide_stream(raw, threshold, max_attempts), decision_sink(sinks, source, decided_at),
+    return start(decide_stream(delivered_once(raw, once_within), threshold, max_attempts), decision_sink(sinks, source, decided_at),
                  checkpoint, available_now)

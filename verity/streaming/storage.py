@@ -20,7 +20,7 @@ from verity.functions.json import decode, split_valid
 from verity.operators.store import (METRIC_COLUMNS, RESULT_COLUMNS, combine_metrics, combine_states,
                                     metrics_partial, results_state)
 from verity.sources import snapshots as snap
-from verity.sources.streams import read_topic
+from verity.sources.streams import delivered_once, read_topic
 from verity.streaming.sinks import QUARANTINE, BatchSinks, start
 
 COMPACT_EVERY = 64
@@ -63,14 +63,15 @@ def apply_batch(batch: DataFrame, batch_id: int, results_root: str, metrics_root
 def start_storage(spark: SparkSession, validated: str, results_root: str, metrics_root: str, checkpoint: str,
                   quarantine: str | None = None, max_per_trigger: int | None = None, fmt: str = "files",
                   available_now: bool = True, compact_every: int = COMPACT_EVERY, kafka_servers: str | None = None,
-                  kafka_options: Mapping[str, str] | None = None):
+                  kafka_options: Mapping[str, str] | None = None, once_within: str | None = None):
     """Start the storage query over a validated topic (a folder, or a Kafka topic).
 
-    Without ``quarantine``, undecodable messages go to ``<results_root>_quarantine``."""
+    Without ``quarantine``, undecodable messages go to ``<results_root>_quarantine``.  ``once_within``: records that the
+    producer's replay delivers again in that time are counted once (``sources.streams.delivered_once``)."""
     sinks = BatchSinks({QUARANTINE: quarantine or f"{results_root.rstrip('/')}_quarantine"}, checkpoint, fmt,
                        kafka_servers, kafka_options)
     raw = read_topic(spark, validated, fmt, validated, max_per_trigger, kafka_servers, kafka_options)
-    decoded = decode(raw, "validated", keep=("key", "value"), stamp=True)
+    decoded = decode(delivered_once(raw, once_within), "validated", keep=("key", "value"), stamp=True)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
