@@ -64,8 +64,10 @@ def spread_lines(lines: DataFrame, min_sites: int) -> DataFrame:
     low, high = min_sites * (1 - MARGIN) - 1, min_sites * (1 + MARGIN) + 1
     wide = checkpoint(sketched.filter(F.col("estimate") >= low))
     near = wide.filter(F.col("estimate") <= high)
+    # Of a line's rows one a site is left before they meet by line, so a line costs its sites, not its documents.
+    pairs = lines.filter("site IS NOT NULL").select("line", "site").distinct()
     exact = (
-        lines.join(near.select("line"), "line", "left_semi").groupBy("line").agg(F.count_distinct("site").alias("sites"))
+        pairs.join(near.select("line"), "line", "left_semi").groupBy("line").agg(F.count(F.lit(1)).alias("sites"))
         .filter(F.col("sites") >= min_sites)
     )
     return wide.filter(F.col("estimate") > high).select("line", "holder").unionByName(near.join(exact, "line").select("line", "holder"))
