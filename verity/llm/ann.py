@@ -8,9 +8,12 @@
 3. The centroids form an in-memory graph (near neighbours and some far ones), searched best first
    with a beam.  Every vector goes to its nearest centroid's posting list; one near a boundary is
    replicated to the other lists within ``REPLICATE`` times that distance, ``COPIES`` at most.
-4. A query searches the graph and probes the lists within ``PROBE`` times the distance of the
-   nearest centroid, at most ``LISTS`` or one in ``SHARE`` of all lists, whichever is more, and at
-   least as many as hold ``LEAST`` times k rows.
+4. A query searches the graph and probes the lists within a ratio of the distance of the nearest
+   centroid, as far as they are among its ``width`` nearest, and at least as many as hold ``LEAST`` times k
+   rows.  Ratio and width are fitted on the sample: the least ones whose lists hold ``TARGET`` of the near
+   neighbours of ``FIT_QUERIES`` sampled vectors each.  Of the k nearest of all rows the sample holds its
+   share, so that many neighbours are looked at.  In clustered data the ratio prunes; in data without any
+   structure distances hardly differ, and the width does.
 5. Lists are split into parts of about ``PART`` rows by a hash of vec_id, so an overfull list spreads
    over tasks.  Each part returns a query's best by exact products in double precision; the k
    best of those are the result.
@@ -33,12 +36,12 @@ from pyspark.sql import functions as F
 
 from verity.session import checkpoint
 
-SAMPLE = 32_768
-CENTROIDS = 2_048
-ROWS_PER_LIST = 128
-DEGREE, FAR_LINKS, BEAM = 24, 8, 32
-COPIES, REPLICATE = 8, 1.12
-LISTS, SHARE, PROBE, LEAST = 96, 8, 1.6, 4
+SAMPLE = 65_536
+CENTROIDS = 4_096
+ROWS_PER_LIST = 48
+DEGREE, FAR_LINKS, BEAM, QUERY_BEAM = 24, 8, 32, 96
+COPIES, REPLICATE = 4, 1.12
+TARGET, FIT_QUERIES, LEAST = 0.975, 256, 2 * COPIES
 PART = 4_096
 
 
@@ -82,7 +85,7 @@ class Graph:
         for x in range(0, n, 512):
             d = norms[None, :] - 2 * points[x : x + 512] @ points.T
             d[np.arange(len(d)), np.arange(x, x + len(d))] = np.inf if n > 1 else 0
-            near[x : x + 512] = np.argsort(d, axis=1, kind="stable")[:, : near.shape[1]]
+            near[x : x + 512] = np.argpartition(d, near.shape[1] - 1, axis=1)[:, : near.shape[1]]
         self.links = np.concatenate([near, rng.integers(0, n, (n, FAR_LINKS))], axis=1)
         self.entry = rng.permutation(n)[: min(n, 16)]
 
@@ -143,21 +146,59 @@ def _assigned(batches: Iterator[pa.RecordBatch], graph: Graph, norm: float) -> I
             yield pa.RecordBatch.from_arrays([pa.array(at[row, place].astype(np.int32)), taken.column("vec_id"), taken.column("x")], names=["list", "vec_id", "x"])
 
 
+def _as_query(x: np.ndarray, norm: float) -> np.ndarray:
+    """Rows as points of the lifted space: of the largest norm, with no last coordinate."""
+    return np.concatenate([x / np.linalg.norm(x, axis=1, keepdims=True) * norm, np.zeros((len(x), 1))], axis=1)
+
+
+def fitted_ratio(graph: Graph, x: np.ndarray, lifted: np.ndarray, count: int, k: int, norm: float) -> tuple[float, int]:
+    """(ratio, width): the least distance ratio, and the least number of nearest lists, that hold ``TARGET`` of the near
+    neighbours of sampled queries.  ``x``: the sample, in random order; ``count``: all rows."""
+    queries = x[:FIT_QUERIES]
+    wanted = min(max(1, round(k * len(x) / count)), max(len(x) - 1, 1))
+    apart = _distances(_as_query(queries, norm), graph.points)
+    ratios = apart / np.maximum(apart.min(axis=1, keepdims=True), 1e-300)
+    score = queries @ x.T
+    score[np.arange(len(queries)), np.arange(len(queries))] = -np.inf
+    near = np.argpartition(-score, wanted - 1, axis=1)[:, :wanted]
+    needed, places = [], []
+    for of, members in zip(ratios, near, strict=True):
+        at, dist = graph.search(lifted[members], COPIES)
+        least = np.where(dist <= REPLICATE * dist[:, :1] + 1e-12, of[at], np.inf).min(axis=1)
+        needed.append(least)
+        places.append(np.searchsorted(np.sort(of), least, side="right"))
+    ratio, width = (np.quantile(np.concatenate(v), TARGET, method="higher") for v in (needed, places))
+    return float(ratio), int(width)
+
+
+def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum((a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None] - 2 * a @ b.T, 0))
+
+
+def probed(graph: Graph, x: np.ndarray, sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row of ``x``, list) of all lists to look at."""
+    rows, lists, todo, width = [], [], np.arange(len(x)), max(graph.width + 1, QUERY_BEAM)
+    points = _as_query(x, graph.scale)
+    while len(todo):
+        at, dist = graph.search(points[todo], width)
+        held = np.cumsum(sizes[at], axis=1) - sizes[at]
+        near = (dist <= graph.ratio * dist[:, :1] + 1e-12) & (np.arange(at.shape[1]) < graph.width)
+        inside = near | (held < LEAST * k)
+        whole = ~inside[:, -1] | (at.shape[1] == len(graph.points))
+        row, place = np.nonzero(inside & whole[:, None])
+        rows.append(todo[row])
+        lists.append(at[row, place])
+        todo, width = todo[~whole], 2 * width
+    return np.concatenate(rows), np.concatenate(lists)
+
+
 def _probes(batches: Iterator[pa.RecordBatch], graph: Graph, sizes: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
-    most = max(LISTS, len(graph.points) // SHARE)
     for batch in batches:
         for y in range(0, batch.num_rows, 128):
             part = batch.slice(y, 128)
-            x = _matrix(part.column("x"))
-            lifted = np.concatenate([x / np.linalg.norm(x, axis=1, keepdims=True) * graph.scale, np.zeros((len(x), 1))], axis=1)
-            few = len(graph.points) <= most or sizes.sum() <= 2 * LEAST * k
-            at, dist = graph.search(lifted, len(graph.points) if few else most)
-            held = np.cumsum(sizes[at], axis=1) - sizes[at]
-            row, place = np.nonzero((dist <= PROBE * dist[:, :1] + 1e-12) | (held < LEAST * k))
-            if few and sizes.sum() <= 2 * LEAST * k:
-                row, place = np.nonzero(np.ones(at.shape, bool))
+            row, at = probed(graph, _matrix(part.column("x")), sizes, k)
             taken = part.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([pa.array(at[row, place].astype(np.int32)), taken.column("vec_id"), taken.column("x")], names=["list", "query_id", "x"])
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), taken.column("vec_id"), taken.column("x")], names=["list", "query_id", "x"])
 
 
 def _scan(key, members: pa.Table, queries: pa.Table, best_of: int) -> pa.Table:
@@ -190,8 +231,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
 
     ``vectors`` has vec_id and embedding; others are ignored.  Null, zero and non-finite vectors,
     null ids and vectors of another length than most take no part.  Rows that repeat a vec_id count
-    as one (its least vector); ties go to the smaller vec_id.  With few rows all lists are scanned,
-    so a query has all candidates if there are fewer than k.  An empty table gives none.
+    as one (its least vector); ties go to the smaller vec_id.  The lists of a query hold k others at
+    least, or all rows, so a query has all candidates if there are fewer than k.  An empty table gives none.
     """
     spark = vectors.sparkSession
     rows = checkpoint(usable(vectors))
@@ -205,6 +246,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     lifted = np.concatenate([x, np.sqrt(np.maximum(largest**2 - (x * x).sum(axis=1, keepdims=True), 0))], axis=1)
     graph = Graph(balanced_centroids(lifted, min(CENTROIDS, max(1, count // ROWS_PER_LIST), max(1, len(x) // 16))))
     graph.scale = largest
+    kinds = np.sort(np.unique(x, axis=0, return_index=True)[1])
+    graph.ratio, graph.width = fitted_ratio(graph, x[kinds], lifted[kinds], count, k, largest)
     shared = spark.sparkContext.broadcast(graph)
 
     place = Window.partitionBy("x").orderBy("vec_id")
