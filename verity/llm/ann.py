@@ -158,12 +158,11 @@ def fitted_ratio(graph: Graph, x: np.ndarray, lifted: np.ndarray, count: int, k:
     wanted = min(max(1, round(k * len(x) / count)), max(len(x) - 1, 1))
     apart = _distances(_as_query(queries, norm), graph.points)
     ratios = apart / np.maximum(apart.min(axis=1, keepdims=True), 1e-300)
-    score = queries @ x.T
-    score[np.arange(len(queries)), np.arange(len(queries))] = -np.inf
-    near = np.argpartition(-score, wanted - 1, axis=1)[:, :wanted]
     needed, places = [], []
-    for of, members in zip(ratios, near, strict=True):
-        at, dist = graph.search(lifted[members], COPIES)
+    for i, of in enumerate(ratios):
+        score = x @ queries[i]
+        score[i] = -np.inf
+        at, dist = graph.search(lifted[np.argpartition(-score, wanted - 1)[:wanted]], COPIES)
         least = np.where(dist <= REPLICATE * dist[:, :1] + 1e-12, of[at], np.inf).min(axis=1)
         needed.append(least)
         places.append(np.searchsorted(np.sort(of), least, side="right"))
@@ -241,8 +240,8 @@ def nearest(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     empty = "query_id bigint, rank int, vec_id bigint, score double"
     if not count:
         return spark.createDataFrame([], empty)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("x").collect()
-    x = np.array([r["x"] for r in sample])
+    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("x").toArrow()
+    x = _matrix(sample.column("x").combine_chunks())
     lifted = np.concatenate([x, np.sqrt(np.maximum(largest**2 - (x * x).sum(axis=1, keepdims=True), 0))], axis=1)
     graph = Graph(balanced_centroids(lifted, min(CENTROIDS, max(1, count // ROWS_PER_LIST), max(1, len(x) // 16))))
     graph.scale = largest
