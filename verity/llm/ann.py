@@ -38,7 +38,7 @@ from verity.session import checkpoint
 
 SAMPLE = 65_536
 CENTROIDS = 4_096
-ROWS_PER_LIST = 48
+ROWS_PER_LIST = 128
 DEGREE, FAR_LINKS, BEAM, QUERY_BEAM = 24, 8, 32, 96
 COPIES, REPLICATE = 4, 1.12
 TARGET, FIT_QUERIES, LEAST = 0.975, 256, 2 * COPIES
