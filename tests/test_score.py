@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from verity.operators.score import evaluate_pairs, pair_score, score_pairs
+from verity.operators.score import evaluate_pairs, pair_score, pair_tfidf, score_pairs, term_frequencies
 
 WORD = re.compile(r"(?u)\b\w\w+\b")
 
@@ -103,3 +104,30 @@ def test_property_matches_brute_force_and_is_symmetric(spark, pairs):
         assert 0.0 <= s <= 1.0
         assert abs(s - brute(a, b)) < 1e-9
         assert abs(s - got[f"r{i}"]) < 1e-12
+
+
+def test_counting_is_bounded_by_slices_not_by_tasks(spark):
+    """No aggregate or exchange over token rows: a task's memory would grow with its share of the input."""
+    rows = [(f"m{i}", f"alpha beta word{i}", "alpha") for i in range(50)]
+    df = _frame(spark, rows)
+    for out in (score_pairs(df), evaluate_pairs(df), term_frequencies(df), pair_tfidf(term_frequencies(df))):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "HashAggregate" not in plan and "Generate" not in plan, plan
+    assert "Exchange" not in score_pairs(df)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_term_frequencies_of_repeated_and_null_keys_over_many_slices(spark):
+    rnd = random.Random(3)
+    words = ["uno", "dos", "tres", "Cuatro", "ñandú", "x"]
+    rows = [(rnd.choice(["a", "b", "c", None, f"k{i}"]),
+             rnd.choice([None, "", " ".join(rnd.choices(words, k=rnd.randrange(9)))]),
+             rnd.choice([None, " ".join(rnd.choices(words, k=rnd.randrange(9)))])) for i in range(4000)]
+    want = Counter()
+    for k, a, b in rows:
+        for side, text in enumerate((a, b)):
+            for t in WORD.findall((text or "").lower()):
+                want[k, t, side] += 1
+    df = _frame(spark, rows).repartition(3)
+    got = {(r.message_id, r.term): (r.tf_expected, r.tf_actual) for r in term_frequencies(df).collect()}
+    assert len(got) == term_frequencies(df).count()
+    assert got == {(k, t): (want[k, t, 0], want[k, t, 1]) for k, t, _ in want}

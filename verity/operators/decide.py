@@ -215,7 +215,7 @@ def regeneration_loop(questions: DataFrame, generator: Generator = offline_answe
         same = F.col("_last").eqNullSafe(F.col("llm_answer")) & F.col("_kept").isNotNull()
         answered = answered.repartition("message_id").persist(StorageLevel.MEMORY_AND_DISK)
         fresh = _scored(answered.filter(~same).select("message_id", "attempts", "llm_answer", "best_answer"),
-                        "message_id", "best_answer", "llm_answer", clustered=True).select(*ids, "llm_answer", "_raw")
+                        "message_id", "best_answer", "llm_answer").select(*ids, "llm_answer", "_raw")
         kept = answered.filter(same).select(*ids, "llm_answer", F.col("_kept").alias("_raw"))
         nat = F.coalesce(F.col("_raw") >= F.lit(threshold), F.lit(False))
         decided = checkpoint((fresh if pending is None else fresh.unionByName(kept)).select(

@@ -4,33 +4,44 @@ The vectorizer of the reference is fitted on the two texts of a pair only, so
 the IDF has a closed form: 1 for a term in both texts, ln(1.5) + 1 for a term
 in one.  No corpus model is needed.
 
-``score_pairs`` / ``evaluate_pairs`` (the table operators) hash-partition
-only (key, expected, actual) once on the key, explode tokens natively, count
-per (key, term) and fold per key; both aggregations run on that exchange, so
-token rows are never shuffled and texts cross the network once.  The small
-per-key sums are joined back onto the caller's (pruned) rows.  A pair is told
-from others by its key columns and a hash of its two texts, so a message with
-several answers gives several pairs, and a hot key spreads over its texts.
-
-``pair_score`` is the same score as a single Column (row-local fold with
-higher-order functions, no shuffle at all), for places where a DataFrame
-operator cannot be used; it is slower per token since lambdas are
-interpreted.
+``score_pairs`` / ``evaluate_pairs`` (the table operators) tokenise natively,
+count each row's terms and fold them to the three sums of the cosine in Arrow
+batches (``pair_norms``).  A pair lies in its row, so nothing is shuffled or
+joined, a message may have several answers, and a task holds the tokens of a
+few hundred rows at a time, however large its share of the input is.
+
+``term_frequencies`` counts over all rows of a key: texts are hash-partitioned
+and sorted on the key, then counted in the same way, the last key's counts
+being carried from one slice of rows to the next.
+
+``pair_score`` is the same score as a single native Column (row-local fold with
+higher-order functions), for streams and places without Python workers; it is
+slower per token since lambdas are interpreted.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from verity.functions.text import SHARED_IDF, UNSHARED_IDF, tokenize
+from verity.operators.sequence import _starts
+from verity.session import ship_package
 
 # Default acceptance thresholds.
 STREAM_THRESHOLD = 0.65      # compose configuration of the streaming scorer
 SERVICE_THRESHOLD = 0.5      # request/response score service default
 SCORE_DIGITS = 4             # the score service rounds to 4 decimals
+#: Rows and tokens (beyond one row) that are counted at a time.
+SLICE_ROWS = 512
+SLICE_TOKENS = 1 << 18
 
 
 def _c(c: Column | str) -> Column:
@@ -91,80 +102,76 @@ def pair_score(expected: Column | str, actual: Column | str) -> Column:
     return F.when(empty, F.lit(0.0)).otherwise(score)
 
 
-def _keys(key: str | Sequence[str]) -> list[str]:
-    return [key] if isinstance(key, str) else list(key)
-
-
-def _token_positions(df: DataFrame, key: str | Sequence[str], expected: str, actual: str) -> DataFrame:
-    """(key columns, _na, _p, term): the arrays are built once per row before the
-    generator, so nothing is re-tokenized per exploded token."""
-    keys = _keys(key)
-    arrays = df.select(*keys, tokenize(expected).alias("_ta"), tokenize(actual).alias("_tb"))
-    sized = arrays.select(*keys, F.size("_ta").alias("_na"), "_ta", "_tb")
-    return sized.select(*keys, "_na", F.posexplode(F.concat("_ta", "_tb")).alias("_p", "term"))
-
+def _slices(expected: pa.Array, actual: pa.Array) -> Iterator[tuple[int, int]]:
+    """(first row, number) of consecutive slices of at most SLICE_ROWS rows and SLICE_TOKENS tokens, or one row."""
+    size = lambda tokens: np.asarray(pc.fill_null(pc.list_value_length(tokens), 0))
+    upto = np.cumsum(size(expected).astype(np.int64) + size(actual))
+    at = 0
+    while at < len(upto):
+        before = upto[at - 1] if at else 0
+        end = min(int(np.searchsorted(upto, before + SLICE_TOKENS, "right")), at + SLICE_ROWS)
+        end = max(end, at + 1)
+        yield at, end - at
+        at = end
+
+
+def _counted(group: np.ndarray, terms: pa.Array, ca: np.ndarray, cb: np.ndarray):
+    """(group, term, ca, cb) arrays, one entry per group and term, by group: the counts summed."""
+    named = terms.dictionary_encode()
+    code = group.astype(np.int64) * max(len(named.dictionary), 1) + np.asarray(named.indices, np.int64)
+    distinct, of = np.unique(code, return_inverse=True)
+    total = lambda c: np.bincount(of, c, len(distinct)).astype(np.int64)
+    group, term = np.divmod(distinct, max(len(named.dictionary), 1))
+    return group, named.dictionary.take(pa.array(term)), total(ca), total(cb)
+
+
+def _tokens(expected: pa.Array, actual: pa.Array):
+    """(row, term, ca, cb) arrays, one entry per token of the two columns of token arrays."""
+    sides = [(np.asarray(pc.list_parent_indices(c)), c.flatten()) for c in (expected, actual)]
+    row = np.concatenate([r for r, _ in sides]).astype(np.int64)
+    side = np.repeat([0, 1], [len(r) for r, _ in sides])
+    return row, pa.concat_arrays([t for _, t in sides]), 1 - side, side
+
+
+def _norms(expected: pa.Array, actual: pa.Array) -> pa.Array:
+    parts = []
+    for at, n in _slices(expected, actual):
+        row, _, ca, cb = _counted(*_tokens(expected.slice(at, n), actual.slice(at, n)))
+        idf = np.where((ca > 0) & (cb > 0), SHARED_IDF, UNSHARED_IDF)
+        wa, wb = ca * idf, cb * idf
+        parts.append(np.stack([np.bincount(row, w, n) for w in (wa * wb, wa * wa, wb * wb)]))
+    sums = np.concatenate(parts, axis=1) if parts else np.zeros((3, 0))
+    return pa.StructArray.from_arrays([pa.array(x) for x in sums], names=["dot", "na2", "nb2"])
+
+
+def pair_norms(expected: Column | str, actual: Column | str) -> Column:
+    """Struct (dot, na2, nb2): the sums of products and squares of a row's pair TF-IDF vectors.
+
+    Tokens are found natively; each slice of rows is counted per (row, term)
+    and folded per row in Arrow batches.  All are 0 without a token.
+    """
+    norms = F.arrow_udf(_norms, "dot double, na2 double, nb2 double")
+    return norms(tokenize(expected), tokenize(actual))
 
-def pair_norms(df: DataFrame, key: str | Sequence[str], expected: str = "best_answer",
-               actual: str = "llm_answer") -> DataFrame:
-    """(key, dot, na, nb) of the pair TF-IDF vectors; ``df`` must be clustered on ``key``.
 
-    Tokens of both texts are exploded natively (``posexplode`` of the two
-    concatenated arrays; positions past the first array's size are the
-    actual answer's), counted per (key, term) and folded per key.  Both
-    aggregations run on the input's hash partitioning on ``key``.
-    """
-    keys = _keys(key)
-    toks = _token_positions(df, keys, expected, actual)
-    tf = toks.groupBy(*keys, "term").agg(
-        F.count_if(F.col("_p") < F.col("_na")).alias("ca"),
-        F.count_if(F.col("_p") >= F.col("_na")).alias("cb"))
-    wa = _weight(F.col("ca"), F.col("cb"))
-    wb = _weight(F.col("cb"), F.col("ca"))
-    return tf.groupBy(*keys).agg(F.sum(wa * wb).alias("_dot"), F.sum(wa * wa).alias("_na2"),
-                               F.sum(wb * wb).alias("_nb2"))
-
-
-def _cosine() -> Column:
-    """Cosine from the per-key sums; 0 when a side has no token (an empty or
+def _cosine(norms: Column) -> Column:
+    """Cosine from a pair's sums; 0 when a side has no token (an empty or
     NULL text has none), where the reference's vectorizer would not fit."""
-    cos = F.col("_dot") / (F.sqrt(F.col("_na2")) * F.sqrt(F.col("_nb2")))
-    ok = (F.coalesce(F.col("_na2"), F.lit(0.0)) > 0) & (F.coalesce(F.col("_nb2"), F.lit(0.0)) > 0)
+    cos = norms["dot"] / (F.sqrt(norms["na2"]) * F.sqrt(norms["nb2"]))
+    ok = (norms["na2"] > 0) & (norms["nb2"] > 0)
     return F.when(ok, F.least(F.lit(1.0), F.greatest(F.lit(0.0), cos))).otherwise(F.lit(0.0))
 
 
-def _scored(df: DataFrame, key: str | Sequence[str], expected: str, actual: str,
-            clustered: bool = False) -> DataFrame:
-    """Input rows plus ``_raw`` score.
-
-    Pairs are keyed by the key columns and a hash of both texts.  Rows that
-    share all of these are one pair: counting its tokens k times scales both
-    vectors by k, which leaves the cosine as it is.
-
-    Only ``(key, expected, actual)`` is hash-partitioned on the key; the token
-    explode and both aggregations run on that one exchange, whose only
-    consumer they are, so the texts cross the network once.  The per-key
-    norms (one small row per pair) are then joined back onto the caller's
-    rows, which carry only the columns the caller selects (AQE broadcasts the
-    norms when they are small, else it is a sort-merge join whose norms side
-    is already partitioned).  A pair without any token has no norms row and
-    scores 0; rows with a NULL key column are kept with a NULL score.
-
-    ``clustered=True`` says ``df`` is already hash-partitioned on the key
-    columns (e.g. a persisted repartition), so no exchange is added at all.
-    """
-    keys = _keys(key)
+def _scored(df: DataFrame, key: str | Sequence[str], expected: str, actual: str) -> DataFrame:
+    """Input rows plus ``_raw`` score, row by row: no exchange.  Rows with a
+    NULL key column are kept with a NULL score."""
+    ship_package(df.sparkSession)
     known = F.lit(True)
-    for k in keys:
+    for k in [key] if isinstance(key, str) else key:
         known = known & F.col(k).isNotNull()
-    df = df.withColumn("_texts", F.xxhash64(expected, F.lit("|"), actual))
-    pairs = df.filter(known).select(*keys, "_texts", expected, actual)
-    if not clustered:
-        pairs = pairs.repartition(*keys, "_texts")
-    norms = pair_norms(pairs, [*keys, "_texts"], expected, actual)
-    # A NULL key matches nothing in the left join; its score is NULL.
-    joined = df.join(norms, [*keys, "_texts"], "left")
-    raw = F.when(~known, F.lit(None).cast("double")).otherwise(_cosine())
-    return joined.select(*[c for c in df.columns if c != "_texts"], raw.alias("_raw"))
+    normed = df.withColumn("_norms", pair_norms(expected, actual))
+    raw = F.when(~known, F.lit(None).cast("double")).otherwise(_cosine(F.col("_norms")))
+    return normed.select(*df.columns, raw.alias("_raw"))
 
 
 def score_pairs(df: DataFrame, key: str | Sequence[str] = "message_id", expected: str = "best_answer",
@@ -184,18 +191,57 @@ def evaluate_pairs(df: DataFrame, threshold: float = SERVICE_THRESHOLD, key: str
         .withColumn("accepted", F.col("_raw") >= F.lit(threshold)).drop("_raw")
 
 
+def _counter(schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Counts per (key, term) of rows (key, _ta, _tb) that come sorted by key."""
+    def batch(keys, terms, ca, cb):
+        columns = (keys, terms, pa.array(ca), pa.array(cb))
+        return pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+    def run(batches):
+        last, held = None, None  # the key of the row before; its counts so far
+        for rows in batches:
+            keys, expected, actual = rows.columns
+            for at, n in _slices(expected, actual):
+                own = keys.slice(at, n)
+                new = _starts([own], last)
+                if new[0] and held is not None:
+                    yield batch(*held)
+                    held = None
+                group = np.cumsum(new) - int(new[0])
+                row, terms, ca, cb = _tokens(expected.slice(at, n), actual.slice(at, n))
+                row = group[row]
+                if held is not None:
+                    _, t, a, b = held
+                    row, terms = np.concatenate((np.zeros(len(t), np.int64), row)), pa.concat_arrays([t, terms])
+                    ca, cb = np.concatenate((a, ca)), np.concatenate((b, cb))
+                row, terms, ca, cb = _counted(row, terms, ca, cb)
+                first = np.flatnonzero(np.diff(group, prepend=-1))  # a row of each group
+                named = own.take(pa.array(first[row]))
+                done = int(np.searchsorted(row, group[-1]))  # the last key may go on
+                if done:
+                    yield batch(named[:done], terms[:done], ca[:done], cb[:done])
+                held = (named[done:], terms[done:], ca[done:], cb[done:])
+                last = [own[n - 1].as_py()]
+        if held is not None:
+            yield batch(*held)
+
+    return run
+
+
 def term_frequencies(df: DataFrame, key: str = "message_id", expected: str = "best_answer",
                      actual: str = "llm_answer") -> DataFrame:
     """Raw term counts of both texts of each pair: (key, term, tf_expected, tf_actual).
 
-    The input is hash-partitioned on the key once; the per-(key, term)
-    aggregation then reuses that partitioning, so no token-level shuffle.
+    The input is hash-partitioned and sorted on the key once; a task then
+    counts slice by slice, so it holds the tokens of one slice and the terms
+    of one key.  No token is shuffled.
     """
-    toks = _token_positions(df.repartition(key), key, expected, actual)
-    return toks.groupBy(key, "term").agg(
-        F.count_if(F.col("_p") < F.col("_na")).alias("tf_expected"),
-        F.count_if(F.col("_p") >= F.col("_na")).alias("tf_actual"),
-    )
+    ship_package(df.sparkSession)
+    rows = df.select(key, expected, actual).repartition(key).sortWithinPartitions(key)
+    tokens = rows.select(key, tokenize(expected).alias("_ta"), tokenize(actual).alias("_tb"))
+    schema = T.StructType([df.select(key).schema[0], T.StructField("term", T.StringType()),
+                           T.StructField("tf_expected", T.LongType()), T.StructField("tf_actual", T.LongType())])
+    return tokens.mapInArrow(_counter(to_arrow_schema(schema)), schema)
 
 
 def pair_tfidf(tf: DataFrame) -> DataFrame:
