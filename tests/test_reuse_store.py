@@ -10,6 +10,7 @@ import pandas as pd
 import pytest
 
 from conftest import as_rows
+from verity.operators import reuse
 from verity.operators.reuse import lru_hits, reuse_distance, reuse_lookup, reuse_misses, ttl_hits
 from verity.operators.store import (RESULT_COLUMNS, merge_metrics, metrics_partial, results_merge, results_state,
                                     results_upsert)
@@ -75,6 +76,25 @@ def test_reuse_distance_matches_lru(spark):
         assert [got[i] for i in range(len(rows))] == lru_loop(keys, cap), cap
 
 
+@pytest.mark.parametrize(("bits", "most"), [(3, 10), (2, 5), (16, 10)])
+def test_reuse_distance_over_blocks_of_positions(spark, monkeypatch, bits, most):
+    """Requests of every spread of a and b over blocks; no scan of several rows a request (one a level)."""
+    scan, sizes = reuse.keyed_scan, []
+    monkeypatch.setattr(reuse, "keyed_scan", lambda df, *a, **b: sizes.append(df.count()) or scan(df, *a, **b))
+    monkeypatch.setattr(reuse, "BLOCK_BITS", bits)
+    monkeypatch.setattr(reuse, "MOST_BLOCKS_BITS", most)
+    rnd = random.Random(bits)
+    keys = [f"k{int(rnd.paretovariate(0.7)) % 60}" for _ in range(500)]
+    d = reuse_distance(_requests(spark, [(k, i * 7) for i, k in enumerate(keys)]))
+    got = {int(r.message_id): r.reuse_distance for r in d.collect()}
+    want, last = {}, {}
+    for i, k in enumerate(keys):
+        want[i] = len(set(keys[last[k] + 1:i])) if k in last else -1
+        last[k] = i
+    assert got == want
+    assert max(sizes) == len(keys)
+
+
 def test_lookup_empty_vs_null_answer(spark):
     req = spark.createDataFrame(
         [("m1", "t1", "q1", "msg title", "msg content", "msg best", 2, "2024-01-01T00:00:00Z"),

@@ -13,12 +13,16 @@
   so no task ever holds a whole key.
 * ``reuse_distance`` counts, for each repeat request, the distinct other keys
   requested since the previous request of the same key (LRU stack distance),
-  as an exact 2D dominance count over dyadic position blocks; an LRU cache
+  as an exact 2D dominance count over blocks of positions; an LRU cache
   of capacity C hits exactly when the distance is below C.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +35,9 @@ CACHE_TTL_SECONDS = 3600
 SOURCE_STORAGE = "storage"
 SOURCE_CACHE = "cache"
 ROUTE_LLM = "llm"
+# Blocks of positions: of 2^BLOCK_BITS rows, or more so that there are at most 2^MOST_BLOCKS_BITS.
+BLOCK_BITS = 16
+MOST_BLOCKS_BITS = 10
 
 
 def usable_answers(store: DataFrame, answer: str = "respuesta_llm") -> DataFrame:
@@ -192,6 +199,40 @@ def hit_rate(routed: DataFrame) -> DataFrame:
 
 # --- recency (LRU stack distance) ---------------------------------------------------
 
+def _dominated(x: np.ndarray, y: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """Per point (x, y; x distinct): the number of points with x' > x and y' < below.
+
+    The points in order of y that lie below form a prefix; it is split into
+    dyadic blocks, and each level's blocks are sorted by x and searched at once.
+    """
+    n = len(x)
+    order = np.argsort(y)
+    rank = np.empty(n, np.int64)
+    rank[np.argsort(x)] = np.arange(n)
+    upto = np.searchsorted(y[order], below)
+    out = np.zeros(n, np.int64)
+    for level in range(n.bit_length()):
+        odd = np.flatnonzero((upto >> level) & 1)
+        if len(odd):
+            block = (upto[odd] >> level) - 1
+            tree = np.sort((np.arange(n) >> level) * n + rank[order])
+            out[odd] += ((block + 1) << level) - np.searchsorted(tree, block * n + rank[odd], "right")
+    return out
+
+
+def _blockwise(shift: int, beyond=None) -> Callable[[pa.Table], pa.Table]:
+    """Counts of the repeats of one block, of b (with the whole blocks' counts ``beyond``) or of a."""
+    def run(rows: pa.Table) -> pa.Table:
+        x, y = rows.column("x").to_numpy(), rows.column("y").to_numpy()
+        if beyond is None:
+            count = _dominated(x, y, (y >> shift) << shift)
+        else:
+            count = _dominated(x, y, y) + beyond.value[x >> shift, y >> shift]
+        return pa.table({"_qpos": pa.array(y, pa.int64()), "_n": pa.array(count, pa.int64())})
+
+    return run
+
+
 def reuse_distance(requests: DataFrame, key: str = "question_id", ts: str = "ts",
                    tiebreak: str = "event_id", id_col: str = "message_id") -> DataFrame:
     """Per request: ``reuse_distance`` = distinct other keys requested since the
@@ -201,38 +242,34 @@ def reuse_distance(requests: DataFrame, key: str = "question_id", ts: str = "ts"
     window), a repeat request at position b whose key was last requested at
     a has distance (b - a - 1) - #{repeat requests m : prev(m) > a, m < b}:
     every position of the gap counts once, except those whose key recurs
-    inside the gap.  That count is a 2D dominance count, done exactly in
-    O(N log^2 N) work: ``m < b`` is split into at most log2 N dyadic position
-    blocks, and inside each block a running count ordered by prev(m)
-    descending (a keyed scan over (level, block), cut by sampled ranges)
-    gives the points with prev(m) > a.  Rows are made for the levels that
-    count only.  No task holds a whole level, and no pair of rows is enumerated.
+    inside the gap.  That count is a 2D dominance count, done exactly by
+    blocks of positions.  The m counted lie in b's block (counted within it);
+    or in an earlier block with prev(m) in a's block (counted within that), or
+    with prev(m) in a block behind a's: these are sums over whole blocks, told by
+    a table of the repeats per pair of blocks, at most 2^20 numbers.  Positions
+    are distinct, so blocks are of equal size and each repeat is shuffled twice, whatever
+    the keys; within a block O(n log^2 n) work in numpy, and no pair is enumerated.
     """
     order = [ts, tiebreak]
     g = keyed_scan(requests, [], order).withColumnRenamed("_pos", "_gpos")
     pos = checkpoint(keyed_scan(g, [key], ["_gpos"], lag_cols=["_gpos"]).drop("_pos"))
-    n = pos.agg(F.max("_gpos")).first()[0] or 0
-    every = F.sequence(F.lit(0), F.lit(max(int(n).bit_length(), 1) - 1))
-    rep = pos.filter(F.col("_prev__gpos").isNotNull())
-
-    def shr(c: str) -> Column:
-        return F.expr(f"shiftright({c}, L)")
-
-    # Even blocks of a point; of a query, the odd ones that begin behind the last request.
-    even = F.filter(every, lambda x: F.call_function("shiftright", F.col("y"), x) % 2 == 0)
-    odd = F.filter(every, lambda x: (F.call_function("shiftright", F.col("b"), x) % 2 == 1)
-                   & (F.call_function("shiftleft", F.call_function("shiftright", F.col("b"), x), x) > F.col("a") + 1))
-    # Six small numbers a row: a query is known by its own position.
-    points = rep.select(F.col("_prev__gpos").alias("x"), F.col("_gpos").alias("y")) \
-        .select("x", "y", F.explode(even).alias("L")).withColumn("blk", shr("y")) \
-        .select("L", "blk", (-F.col("x")).alias("negx"), F.lit(0).alias("kind"), F.lit(1).alias("w"),
-                F.lit(0).cast("long").alias("_qpos"))
-    queries = rep.select(F.col("_prev__gpos").alias("a"), F.col("_gpos").alias("b")) \
-        .select("a", "b", F.explode(odd).alias("L")).withColumn("hb", shr("b")) \
-        .select("L", (F.col("hb") - 1).alias("blk"), (-F.col("a")).alias("negx"), F.lit(1).alias("kind"),
-                F.lit(0).alias("w"), F.col("b").alias("_qpos"))
-    scanned = keyed_scan(points.unionByName(queries), ["L", "blk"], ["negx", "kind"], cumsum="w")
-    nested = scanned.filter(F.col("kind") == 1).groupBy("_qpos").agg(F.sum("_csum").alias("_n"))
+    n = int(pos.agg(F.max("_gpos")).first()[0] or 0)
+    shift = max(BLOCK_BITS, n.bit_length() - MOST_BLOCKS_BITS)
+    rep = pos.filter(F.col("_prev__gpos").isNotNull()).select(
+        F.col("_prev__gpos").alias("x"), F.col("_gpos").alias("y"),
+        F.shiftright("_prev__gpos", shift).alias("xb"), F.shiftright("_gpos", shift).alias("yb"))
+
+    cells = rep.groupBy("xb", "yb").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    blocks = (n >> shift) + 1
+    beyond = np.zeros((blocks + 1, blocks + 1), np.int64)  # [i, j]: repeats with xb >= i and yb < j
+    beyond[cells.column("xb").to_numpy(), cells.column("yb").to_numpy() + 1] = cells.column("n").to_numpy()
+    beyond = beyond[::-1].cumsum(axis=0)[::-1].cumsum(axis=1)
+    beyond = requests.sparkSession.sparkContext.broadcast(beyond[1:])  # xb > i
+
+    schema = "_qpos bigint, _n bigint"
+    within_b = rep.select("x", "y", "yb").groupBy("yb").applyInArrow(_blockwise(shift, beyond), schema)
+    within_a = rep.select("x", "y", "xb").groupBy("xb").applyInArrow(_blockwise(shift), schema)
+    nested = within_b.unionByName(within_a).groupBy("_qpos").agg(F.sum("_n").alias("_n"))
     out = pos.join(nested, pos["_gpos"] == nested["_qpos"], "left")
     dist = F.when(F.col("_prev__gpos").isNull(), F.lit(-1)) \
         .otherwise(F.col("_gpos") - F.col("_prev__gpos") - 1 - F.coalesce(F.col("_n"), F.lit(0)))
