@@ -51,7 +51,8 @@ WITH RECURSIVE state(word, s) AS (
 SELECT word, arg_min(s, length(s)) AS s FROM state GROUP BY word
 """
 
-_DECODE = "SELECT row, string_agg(v.hex, '' ORDER BY pos) AS hex FROM ids JOIN vocabulary v USING (id) GROUP BY row"
+#: One sort of all ids: sorting within the aggregate costs three times as much.  One thread reads them, in that order.
+_DECODE = "SELECT row, string_agg(hex, '') AS hex FROM (SELECT row, pos, v.hex FROM ids JOIN vocabulary v USING (id) ORDER BY pos) GROUP BY row"
 
 
 class Codec:
