@@ -200,7 +200,7 @@ def _counter(schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     def run(batches):
         last, held = None, None  # the key of the row before; its counts so far
         for rows in batches:
-            keys, expected, actual = rows.columns
+            keys, expected, actual = rows.filter(pc.and_(rows.column("_ta").is_valid(), rows.column("_tb").is_valid())).columns
             for at, n in _slices(expected, actual):
                 own = keys.slice(at, n)
                 new = _starts([own], last)
@@ -234,7 +234,7 @@ def term_frequencies(df: DataFrame, key: str = "message_id", expected: str = "be
 
     The input is hash-partitioned and sorted on the key once; a task then
     counts slice by slice, so it holds the tokens of one slice and the terms
-    of one key.  No token is shuffled.
+    of one key.  No token is shuffled.  A row with a NULL text adds nothing.
     """
     ship_package(df.sparkSession)
     rows = df.select(key, expected, actual).repartition(key).sortWithinPartitions(key)
