@@ -116,6 +116,22 @@ def test_affected_bound_is_never_too_small():
         assert shared >= max(sum(own[i].values()) - int(grams.affected()[i]) for i in (0, 1))
 
 
+def test_padded_words_compare_as_near_does():
+    rnd = random.Random(4)
+    words = [bytes(rnd.choice(b"abc\xff") for _ in range(rnd.randrange(1, 40))) for _ in range(200)]
+    for w in words[:200]:
+        k, z = rnd.randrange(len(w)), bytes([rnd.choice(b"ab\xff")])
+        words += [w[:k] + z + w[k:], w[:k] + z + w[k + 1:], w[:k] + w[k + 1:] or b"a"]
+    at = np.concatenate(([0], np.cumsum([len(w) for w in words])))
+    rows = spelling._padded(np.frombuffer(b"".join(words), np.uint8), at, 48)
+    for i in range(200):
+        for j in (*range(200 + 3 * i, 203 + 3 * i), *rnd.sample(range(len(words)), 5)):
+            a, b = (i, j) if len(words[i]) >= len(words[j]) else (j, i)
+            if len(words[a]) - len(words[b]) <= 1:
+                told = spelling._replaced if len(words[a]) == len(words[b]) else spelling._inserted
+                assert bool(told(rows[[a]], rows[[b]])[0]) == spelling.near(words[a], words[b])
+
+
 def test_spelling_of_odd_rows(odd_documents, odd_rows, no_documents):  # noqa: F811
     assert told(spelling_groups(odd_documents)) == brute_spelling([r[:2] for r in odd_rows])
     assert spelling_groups(no_documents).count() == 0

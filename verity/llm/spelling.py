@@ -251,15 +251,29 @@ def near(a: bytes, b: bytes) -> bool:
     return bool((x[cut + 1 :] == y[cut:]).all())
 
 
-def _near_rows(a: np.ndarray, b: np.ndarray, la: np.ndarray, lb: np.ndarray) -> np.ndarray:
-    """``near`` of rows of padded words; ``la >= lb``."""
+def _padded(raw: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """The words as rows of ``width`` bytes, cut or filled with zeros: made once a word, not once a pair."""
+    grid, out = np.arange(width), np.zeros((len(at) - 1, width), np.uint8)
+    for x in range(0, len(out), CHUNK):
+        begin, end = at[:-1][x : x + CHUNK, None], at[1:][x : x + CHUNK, None]
+        out[x : x + CHUNK] = np.where(grid < end - begin, raw[np.minimum(begin + grid, len(raw) - 1)], 0)
+    return out
+
+
+def _replaced(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether rows of padded words of one length differ in exactly one code point; eight at a time."""
+    bits = a.view(np.uint64) ^ b.view(np.uint64)
+    for k in (4, 2, 1):
+        bits |= bits >> np.uint64(k)
+    return np.bitwise_count(bits & np.uint64(0x0101010101010101)).sum(axis=1, dtype=np.uint8) == 1
+
+
+def _inserted(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether rows of padded words ``a`` are those of ``b`` with one code point more, given they are one longer."""
     width = a.shape[1]
-    differ = a != b
-    same = (la == lb) & (differ.sum(axis=1) == 1)
-    first = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
-    moved = a[:, 1:] != b[:, :-1]
+    differ, moved = a != b, a[:, 1:] != b[:, :-1]
     last = np.where(moved.any(axis=1), width - 1 - moved[:, ::-1].argmax(axis=1), 0)  # one behind the last that differs
-    return same | ((la == lb + 1) & (last <= first))
+    return last <= differ.argmax(axis=1)
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,22 +283,23 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def found(words, counts, left, right, from_end):
         raw, at = string_parts(words)
         size = np.diff(at)
+        # The parity of each code point's number (in 64 classes): an edit changes two of them at most.
+        odd = np.bitwise_xor.reduceat(np.uint64(1) << (raw & np.uint8(63)).astype(np.uint64), at[:-1])
+        keep = np.flatnonzero(np.bitwise_count(odd[left] ^ odd[right]) <= 2)
+        left, right, from_end = left[keep], right[keep], from_end[keep] if from_end.ndim else from_end
         swap = size[left] < size[right]
         left, right = np.where(swap, right, left), np.where(swap, left, right)
         keep = (size[left] - size[right] <= 1) & ((size[left] > size[right]) | ~from_end)
         left, right = left[keep], right[keep]
-        # The parity of each code point's number (in 64 classes): an edit changes two of them at most.
-        odd = np.bitwise_xor.reduceat(np.uint64(1) << (raw & np.uint8(63)).astype(np.uint64), at[:-1])
-        keep = np.bitwise_count(odd[left] ^ odd[right]) <= 2
-        left, right = left[keep], right[keep]
         hits = np.zeros(len(left), bool)
-        small, grid = size[left] <= 40, np.arange(41)
-        padded = lambda i: np.where(grid < size[i][:, None], raw[np.minimum(at[i][:, None] + grid, len(raw) - 1)], 0)
-        chosen = np.flatnonzero(small)
-        for x in range(0, len(chosen), CHUNK):
-            own = chosen[x : x + CHUNK]
-            i, j = left[own], right[own]
-            hits[own] = _near_rows(padded(i), padded(j), size[i], size[j])
+        small = size[left] <= 40
+        if small.any():
+            padded = _padded(raw, at, (int(size[left[small]].max()) // 8 + 1) * 8)
+            level = size[left] == size[right]
+            for chosen, told in ((np.flatnonzero(small & level), _replaced), (np.flatnonzero(small & ~level), _inserted)):
+                for x in range(0, len(chosen), CHUNK):
+                    own = chosen[x : x + CHUNK]
+                    hits[own] = told(padded[left[own]], padded[right[own]])
         for k in np.flatnonzero(~small).tolist():
             hits[k] = near(words[int(left[k])].as_py(), words[int(right[k])].as_py())
         left, right = left[hits], right[hits]
