@@ -9,6 +9,7 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_inputs import shipped  # noqa: F401 (fixtures)
 
@@ -319,3 +320,18 @@ def test_recall_with_all_centroids(spark, monkeypatch):
         score[q] = -np.inf
         hits += len(set(np.argsort(-score)[:20].tolist()) & got[q])
     assert hits / (len(got) * 20) >= 0.9
+
+
+def test_a_list_returns_only_rows_at_or_above_the_floor():
+    """What cannot be among a query's best does not leave the list; rows at the floor do, whatever their ids."""
+    x = [[1.0, 0.0], [0.9, 0.1], [0.5, 0.5], [0.5, 0.2], [0.1, 0.9], [-1.0, 0.0]]
+    members = pa.table({"vec_id": pa.array(range(6), pa.int64()), "x": pa.array(x, pa.list_(pa.float64()))})
+    floors = {10: 0.5, 11: float("-inf"), 12: 0.95, 13: 2.0}
+    queries_of = pa.table({
+        "query_id": pa.array(list(floors), pa.int64()), "x": pa.array([[1.0, 0.0]] * 4, pa.list_(pa.float64())),
+        "floor": pa.array(list(floors.values()), pa.float64()),
+    })
+    got = ann._scan(None, members, queries_of, 4).to_pylist()
+    best = {q: [r["vec_id"] for r in got if r["query_id"] == q] for q in floors}
+    assert best == {10: [0, 1, 2, 3], 11: [0, 1, 2, 3], 12: [0], 13: []}
+    assert all(r["score"] == x[r["vec_id"]][0] for r in got)

@@ -17,6 +17,8 @@
 5. Lists are split into parts of about ``PART`` rows by a hash of vec_id, so an overfull list spreads
    over tasks.  Each part returns a query's best by exact products in double precision; the k
    best of those are the result.
+6. A query's nearest lists, about half the square root of their number, are scanned first.  The others return
+   only rows that score at least the last of the best found there: no other row can be in the result.
 
 Equal vectors tie, and ties go to the smaller vec_id: of the rows of one vector only the k + 1 smallest ids can
 be in a result, so those stand for it in the lists, and equal query vectors are searched once.  A vector
@@ -192,17 +194,20 @@ def probed(graph: Graph, x: np.ndarray, sizes: np.ndarray, k: int) -> tuple[np.n
 
 
 def _probes(batches: Iterator[pa.RecordBatch], graph: Graph, sizes: np.ndarray, k: int) -> Iterator[pa.RecordBatch]:
+    """The queries with their lists, nearest first."""
     for batch in batches:
         for y in range(0, batch.num_rows, 128):
             part = batch.slice(y, 128)
             row, at = probed(graph, _matrix(part.column("x")), sizes, k)
-            taken = part.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), taken.column("vec_id"), taken.column("x")], names=["list", "query_id", "x"])
+            at = at[np.argsort(row, kind="stable")].astype(np.int32)
+            ends = np.cumsum(np.bincount(row, minlength=part.num_rows))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(at))
+            yield pa.RecordBatch.from_arrays([part.column("vec_id"), part.column("x"), lists], names=["query_id", "x", "lists"])
 
 
 def _scan(key, members: pa.Table, queries: pa.Table, best_of: int) -> pa.Table:
-    """A query's best in one part of a list.  A matrix product narrows them down; the scores are
-    products row by row, so equal vectors score equally."""
+    """A query's best in one part of a list, of those that score its ``floor`` at least.  A matrix product
+    narrows them down; the scores are products row by row, so equal vectors score equally."""
     names, kinds = ["query_id", "vec_id", "score"], [pa.int64(), pa.int64(), pa.float64()]
     out: list[list] = [[], [], []]
     if members.num_rows and queries.num_rows:
@@ -210,16 +215,18 @@ def _scan(key, members: pa.Table, queries: pa.Table, best_of: int) -> pa.Table:
         x = np.ascontiguousarray(_matrix(members.column("x").combine_chunks()))
         q = _matrix(queries.column("x").combine_chunks())
         query_ids = queries.column("query_id").to_numpy()
-        slack = 1e-9 * np.linalg.norm(x, axis=1).max()
+        slack = 1e-9 * np.linalg.norm(x, axis=1).max() * np.linalg.norm(q, axis=1)
+        floor = queries.column("floor").to_numpy() - slack
         for lo in range(0, len(q), 256):
             rough = q[lo : lo + 256] @ x.T
-            for query, vector, row in zip(query_ids[lo : lo + 256], q[lo : lo + 256], rough, strict=True):
-                near = np.arange(len(ids))
-                if len(ids) > best_of:
-                    near = np.flatnonzero(row >= np.partition(row, -best_of)[-best_of] - slack * np.linalg.norm(vector))
+            for i in np.flatnonzero(rough.max(axis=1) >= floor[lo : lo + 256]):
+                row, vector = rough[i], q[lo + i]
+                near = np.flatnonzero(row >= floor[lo + i])
+                if len(near) > best_of:
+                    near = np.flatnonzero(row >= max(np.partition(row, -best_of)[-best_of] - slack[lo + i], floor[lo + i]))
                 score = (x[near] * vector).sum(axis=1)
                 best = np.lexsort((ids[near], -score))[:best_of]
-                out[0].append(np.full(len(best), query))
+                out[0].append(np.full(len(best), query_ids[lo + i]))
                 out[1].append(ids[near][best])
                 out[2].append(score[best])
     return pa.table({n: pa.array(np.concatenate(v) if v else [], t) for n, v, t in zip(names, out, kinds, strict=True)})
@@ -260,19 +267,30 @@ def nearest(vectors: DataFrame, is_query, k: int = 20) -> DataFrame:
     per_list = spark.createDataFrame([(i, int(p)) for i, p in enumerate(parts)], "list int, parts int")
     members = lists.join(F.broadcast(per_list), "list").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int"))
     asked = rows.filter(is_query)
-    first = checkpoint(asked.groupBy("x").agg(F.min("vec_id").alias("vec_id")))
-    queries = first.mapInArrow(lambda b: _probes(b, shared.value, shared_sizes.value, k), "list int, query_id bigint, x array<double>")
-    queries = queries.join(F.broadcast(per_list), "list").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    found = members.select("list", "part", "vec_id", "x").groupBy("list", "part").cogroup(
-        queries.select("list", "part", "query_id", "x").groupBy("list", "part")
-    ).applyInArrow(lambda key, a, b: _scan(key, a, b, k + 1), "query_id bigint, vec_id bigint, score double")
+    first = asked.groupBy("x").agg(F.min("vec_id").alias("vec_id"))
+    queries = checkpoint(first.mapInArrow(lambda b: _probes(b, shared.value, shared_sizes.value, k), "query_id bigint, x array<double>, lists array<int>"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    top = (
-        found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        .withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1).select("query_id", "vec_id", "score")
-    )
+
+    def scanned(queries: DataFrame, lists) -> DataFrame:
+        """query_id, vec_id, score: the best of each part of these lists that score the query's floor at least."""
+        probes = queries.select(F.explode(lists).alias("list"), "query_id", "x", "floor").join(F.broadcast(per_list), "list")
+        probes = probes.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        return members.select("list", "part", "vec_id", "x").groupBy("list", "part").cogroup(
+            probes.select("list", "part", "query_id", "x", "floor").groupBy("list", "part")
+        ).applyInArrow(lambda key, a, b: _scan(key, a, b, k + 1), "query_id bigint, vec_id bigint, score double")
+
+    def leading(found: DataFrame) -> DataFrame:
+        one = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return one.withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
+
+    early = F.ceil(F.sqrt(F.size("lists")) / 2).cast("int")
+    start = checkpoint(leading(scanned(queries.withColumn("floor", F.lit(float("-inf"))), F.slice("lists", F.lit(1), early))))
+    last = start.filter(F.col("place") == k + 1).select("query_id", F.col("score").alias("floor"))
+    floors = queries.join(last, "query_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    rest = scanned(floors, F.slice("lists", early + 1, F.size("lists")))
+    top = leading(start.drop("place").unionByName(rest)).select("query_id", "vec_id", "score")
     # Every query row has the results of its vector but for itself.
-    same = asked.join(first.select("x", F.col("vec_id").alias("first_id")), "x").select(F.col("vec_id").alias("query_id"), "first_id")
+    same = asked.join(queries.select("x", F.col("query_id").alias("first_id")), "x").select(F.col("vec_id").alias("query_id"), "first_id")
     return (
         same.join(top.withColumnRenamed("query_id", "first_id"), "first_id").filter(F.col("vec_id") != F.col("query_id"))
         .withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
