@@ -7,10 +7,12 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from verity.operators.score import evaluate_pairs, pair_score, pair_tfidf, score_pairs, term_frequencies
+from verity.plans.catalog import QUERIES
 
 WORD = re.compile(r"(?u)\b\w\w+\b")
 
@@ -131,3 +133,14 @@ def test_term_frequencies_of_repeated_and_null_keys_over_many_slices(spark):
     got = {(r.message_id, r.term): (r.tf_expected, r.tf_actual) for r in term_frequencies(df).collect()}
     assert len(got) == term_frequencies(df).count()
     assert got == {(k, t): (want[k, t, 0], want[k, t, 1]) for k, t, _ in want}
+
+
+@pytest.mark.parametrize("query", ["score_pairs", "evaluate_pairs"])
+def test_registered_queries_score_row_by_row(spark, tmp_path, query):
+    """From scan to result no operator gathers rows or tokens of a task: what a task holds does not grow with the table."""
+    spark.createDataFrame([(i, f"uno dos palabra{i}", "es", "web") for i in range(9)], "doc_id bigint, text string, lang string, source string") \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    out = QUERIES[query](spark, str(tmp_path))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(node in plan for node in ("Aggregate", "Generate", "Exchange", "Sort", "Window")), plan
+    assert out.count() == 9
